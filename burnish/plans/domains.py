@@ -156,7 +156,7 @@ def _floor_zero(column: str) -> Rule:
     return Rule("NUMERIC_NEGATIVE", "bounds", "SET_ZERO", column, when=f"{column} < 0", value="0")
 
 
-def orders(as_of: str | None = None) -> Domain:
+def orders(as_of: str | None = None, legacy_before: str = "2020-01-01") -> Domain:
     p99 = Stat("total_amount_p99", "quantile", "total_amount", 0.99)
     return Domain(
         "orders",
@@ -199,7 +199,7 @@ def orders(as_of: str | None = None) -> Domain:
                   "onboarding_date > go_live_date"),
             Check("future_order_date", "accuracy", "WARNING", "order_date", f"order_date > {_moment(as_of)}"),
             Check("legacy_order_date", "accuracy", "INFO", "order_date",
-                  "order_date < CAST('1992-02-01' AS TIMESTAMP_NTZ)"),
+                  f"order_date < CAST('{legacy_before}' AS TIMESTAMP_NTZ)"),
         ],
     )
 

@@ -16,6 +16,7 @@ ORACLES: dict[str, str] = {}
 
 AS_OF = "2001-01-01"
 AS_OF_EVENTS = "2024-01-25"
+LEGACY = "1995-02-01"
 VIEW_NAMES = tuple(VIEWS)
 
 
@@ -62,6 +63,8 @@ def define(name: str, text: str, *parents: str) -> None:
 def domain(name: str, **options) -> Domain:
     if name == "catalog":
         return DOMAINS[name](**options)
+    if name == "orders":
+        options = {"legacy_before": LEGACY, **options}
     return DOMAINS[name](as_of=AS_OF_EVENTS if name == "telemetry" else AS_OF, **options)
 
 
