@@ -6,15 +6,17 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # The formats results are defined by.
+WHITESPACE = " \t\n\x0b\f\r"
 EMAIL = r"^[^@]+@[^@]+\.[^@]+$"
 LIKE_EMAIL = "%@%.%"
+ACCOUNT_CODE = r"(?s)^(?:GL-)?(?:0(?=[0-9]{4}))?(.*?)(?:-00)?$"
 TAG = r"<[^>]+>"
 CONTROL_OR_REPLACEMENT = r"[\x{0080}-\x{009F}\x{FFFD}]"
 
 
 def trim_ws(c: Column) -> Column:
     """Strip whitespace of every kind (tabs and newlines too) at both ends."""
-    return F.regexp_replace(c, r"^\s+|\s+$", "")
+    return F.btrim(c, F.lit(WHITESPACE))
 
 
 def upper(c: Column) -> Column:
@@ -143,9 +145,8 @@ def clean_version(c: Column, semver: bool = False) -> Column:
 
 def clean_account_code(c: Column) -> Column:
     """Account code to four digits: no ``GL-`` prefix, ``-00`` suffix or extra zero."""
-    value = F.regexp_replace(F.upper(trim_ws(c)), "^GL-", "")
-    value = F.regexp_replace(value, "-00$", "")
-    return zfill_trunc(F.regexp_replace(value, "^0(?=[0-9]{4})", ""), 4)
+    core = F.regexp_extract(F.upper(trim_ws(c)), ACCOUNT_CODE, 1)
+    return zfill_trunc(core, 4)
 
 
 def null_tokens(c: Column, tokens: list[str]) -> Column:

@@ -160,6 +160,17 @@ def _deletes(rules: list[Rule]) -> list[Rule]:
     return [r for r in rules if r.deletes and r.action != "DELETE_DUPLICATES"]
 
 
+def surviving_rows(df: DataFrame, rules: list[Rule], order_by: list[str]) -> tuple[DataFrame, DataFrame]:
+    """(deduplicated, surviving): the key and deletion stages only."""
+    key = _key_rule(rules)
+    deduped = dedupe_first(df, list(key.keys), order_by) if key else df
+    deletes = _deletes(rules)
+    if not deletes:
+        return deduped, deduped
+    gone = reduce(lambda a, b: a | b, [holds(F.expr(r.when)) for r in deletes])
+    return deduped, deduped.filter(~gone)
+
+
 def clean(
     df: DataFrame,
     rules: list[Rule],
@@ -178,13 +189,7 @@ def clean(
     is the table's own surviving rows.
     """
     flag_only = mode == "flag_only"
-    key = None if flag_only else _key_rule(rules)
-    deletes = [] if flag_only else _deletes(rules)
-    deduped = dedupe_first(df, list(key.keys), order_by) if key else df
-    survivors = deduped
-    if deletes:
-        gone = reduce(lambda a, b: a | b, [holds(F.expr(r.when)) for r in deletes])
-        survivors = deduped.filter(~gone)
+    deduped, survivors = (df, df) if flag_only else surviving_rows(df, rules, order_by)
     if stats is None:
         wanted = [s for r in rules for s in r.stats]
         stats = compute_stats(survivors, wanted, copy=stat_copy)

@@ -31,6 +31,7 @@ from burnish.registry.base import (
     raw,
 )
 from burnish.registry.profiles import NUMBERS, PROFILED, union
+from burnish.session import materialise
 
 # Conditions that fail a row, per dimension, in DuckDB SQL.  {t} is the layer's table.
 FAILS = {
@@ -116,11 +117,11 @@ define(
 
 
 def table_scores(spark, sf_dir, name: str) -> DataFrame:
+    """Raw and cleaned score rows; the cleaned table is written once and scored from there."""
     d = domain(name)
     df = raw(spark, sf_dir, name)
-    return S.score_layers(
-        {"raw": S.score_table(df, d), "cleaned": S.score_table(d.clean(df).frame, d)}, name
-    )
+    done = materialise(d.clean(df).frame, f"clean-{name}")
+    return S.score_layers({"raw": S.score_table(df, d), "cleaned": S.score_table(done, d)}, name)
 
 
 def all_scores(spark, sf_dir) -> DataFrame:

@@ -53,11 +53,17 @@ def normalise_null_tokens(df: DataFrame, tokens: list[str] | None = None) -> Dat
     )
 
 
-def write_table(df: DataFrame, namespace: str, name: str, fmt: str = "parquet") -> str:
-    """Create or replace ``namespace.name`` with the rows and types of ``df``."""
+def write_table(df: DataFrame, namespace: str, name: str, fmt: str = "parquet", path: str | None = None) -> str:
+    """Create or replace ``namespace.name`` with the rows and types of ``df``.
+
+    ``path`` puts the files in a chosen shared folder instead of the warehouse.
+    """
     spark = df.sparkSession
     spark.sql(f"CREATE NAMESPACE IF NOT EXISTS `{namespace}`")
-    df.write.mode("overwrite").format(fmt).saveAsTable(f"`{namespace}`.`{name}`")
+    writer = df.write.mode("overwrite").format(fmt)
+    if path is not None:
+        writer = writer.option("path", path)
+    writer.saveAsTable(f"`{namespace}`.`{name}`")
     return f"{namespace}.{name}"
 
 

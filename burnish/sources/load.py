@@ -20,12 +20,14 @@ REPORT_COLUMNS = (
 )
 
 
-def ingest(spark: SparkSession, path: str, namespace: str, name: str, sample_rows: int | None = 10_000):
+def ingest(
+    spark: SparkSession, path: str, namespace: str, name: str, sample_rows: int | None = 10_000, store: str | None = None
+):
     """CSV to a typed table: (table, rejected rows, load result row)."""
     started = time.monotonic()
     text = normalise_null_tokens(sanitise_names(read_csv_table(spark, path)))
     ok, rejected = cast_or_reject(text, inferred_schema(infer_types(text, sample_rows)))
-    table = write_table(ok, namespace, name)
+    table = write_table(ok, namespace, name, path=store)
     loaded = spark.table(table)
     rows = loaded.count()
     result = (f"{namespace}.{name}", rows, round(time.monotonic() - started, 3), "LOADED", None)
@@ -106,7 +108,8 @@ def profile_document(meta: DataFrame, columns: DataFrame, issues: DataFrame, rec
 
 
 def write_profile(document: DataFrame, path: str) -> None:
-    document.write.mode("append").text(path) if document.columns == ["value"] else document.write.mode("append").json(path)
+    """Append the document (one JSON object per table)."""
+    document.select(F.col("full_profile_json").alias("value")).write.mode("append").text(path)
 
 
 def report_row(document: DataFrame, scores: DataFrame, totals: DataFrame, issues: DataFrame) -> DataFrame:
@@ -136,6 +139,11 @@ def report_row(document: DataFrame, scores: DataFrame, totals: DataFrame, issues
     )
 
 
-def append_report(report: DataFrame, namespace: str = "profiles", name: str = "quality_reports") -> None:
+def append_report(
+    report: DataFrame, namespace: str = "profiles", name: str = "quality_reports", path: str | None = None
+) -> None:
     report.sparkSession.sql(f"CREATE NAMESPACE IF NOT EXISTS `{namespace}`")
-    report.write.mode("append").saveAsTable(f"`{namespace}`.`{name}`")
+    writer = report.write.mode("append")
+    if path is not None:
+        writer = writer.option("path", path)
+    writer.saveAsTable(f"`{namespace}`.`{name}`")

@@ -43,9 +43,15 @@ def clean_stream(stream: DataFrame, rules: list[Rule], stats: dict) -> DataFrame
     return clean(stream, row_local(rules), [], stats=stats).frame
 
 
+def _event_time(df: DataFrame, column: str, delay: str) -> DataFrame:
+    """Watermark on ``_event_time``: watermarks need a zoned timestamp, tables may hold none."""
+    return df.withColumn("_event_time", F.col(column).cast("timestamp")).withWatermark("_event_time", delay)
+
+
 def dedupe_stream(stream: DataFrame, keys: list[str], event_time: str, delay: str) -> DataFrame:
     """First row per key while copies arrive within ``delay``; state is dropped after it."""
-    return stream.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(keys)
+    marked = _event_time(stream, event_time, delay)
+    return marked.dropDuplicatesWithinWatermark(keys).drop("_event_time")
 
 
 def dedupe_into(path: str, keys: list[str], order_by: list[str]) -> Callable[[DataFrame, int], None]:
@@ -79,10 +85,8 @@ def run_batches(stream: DataFrame, handler: Callable[[DataFrame, int], None], ch
     query.awaitTermination()
 
 
-def route_late(stream: DataFrame, event: str, ingest: str, as_of: str | None, delay: str | None = None) -> DataFrame:
+def route_late(stream: DataFrame, event: str, ingest: str, as_of: str | None) -> DataFrame:
     """Mark each row for its sink: ok, impossible order, or an event in the future."""
-    if delay is not None:
-        stream = stream.withWatermark(ingest, delay)
     route = (
         F.when(holds(F.col(ingest) < F.col(event)), F.lit("impossible"))
         .when(holds(F.col(event) > as_of_literal(as_of)), F.lit("clock_drift"))
@@ -94,8 +98,9 @@ def route_late(stream: DataFrame, event: str, ingest: str, as_of: str | None, de
 def windowed_quality(df: DataFrame, ts: str, width: str, checks: list[Check], delay: str | None = None) -> DataFrame:
     """Passing rows per dimension and tumbling window, on a table or a stream."""
     if delay is not None:
-        df = df.withWatermark(ts, delay)
+        df, ts = _event_time(df, ts, delay), "_event_time"
     aggs = [F.count(F.lit(1)).alias("total_rows")]
+    names = ["total_rows"]
     for dimension in WEIGHTS:
         tests = [c.predicate() for c in checks if c.dimension == dimension and c.column in df.columns]
         if tests:
@@ -103,16 +108,12 @@ def windowed_quality(df: DataFrame, ts: str, width: str, checks: list[Check], de
             for t in tests[1:]:
                 fails = fails | t
             aggs.append(F.count_if(~fails).alias(f"{dimension}_rows"))
+            names.append(f"{dimension}_rows")
     return df.groupBy(F.window(ts, width).alias("w")).agg(*aggs).select(
-        F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), *[a for a in _names(aggs, checks)]
+        F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), *names
     )
 
 
-def _names(aggs: list, checks: list[Check]) -> list[str]:
-    used = [d for d in WEIGHTS if any(c.dimension == d for c in checks)]
-    return ["total_rows", *[f"{d}_rows" for d in used if d != "uniqueness"]]
-
-
 def on_refresh(domain: Domain, path: str, approx: bool = True) -> Callable[[DataFrame, int], None]:
     """``foreachBatch`` handler: profile and score each refresh into its own folders."""
 
