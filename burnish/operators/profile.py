@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from burnish.functions.aggregates import pearson
 from burnish.functions.numbers import holds
 from burnish.functions.text import trim_ws
 from burnish.operators.quantiles import Quantile, exact_quantiles
@@ -183,7 +184,7 @@ def col_mode(df: DataFrame, cols: list[str]) -> DataFrame:
 
 def correlations(df: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
     """Pearson r of each pair, all in one aggregation."""
-    row = df.agg(*[F.corr(a, b).alias(f"r{i}") for i, (a, b) in enumerate(pairs)])
+    row = df.agg(*[pearson(F.col(a), F.col(b)).alias(f"r{i}") for i, (a, b) in enumerate(pairs)])
     items = [
         F.struct(F.lit(a).alias("column_a"), F.lit(b).alias("column_b"), F.col(f"r{i}").alias("r"))
         for i, (a, b) in enumerate(pairs)

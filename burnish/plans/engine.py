@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from burnish.functions.aggregates import pearson
 from burnish.functions.numbers import holds
 from burnish.operators.dedupe import dedupe_first, duplicate_rows
 from burnish.operators.quantiles import Quantile, exact_quantiles
@@ -63,7 +64,7 @@ def _aggregate(stat: Stat) -> Column:
     makers = {"mean": F.avg, "min": F.min, "max": F.max, "sum": F.sum, "skewness": F.skewness}
     if stat.kind in makers:
         return makers[stat.kind](_stat_value(stat))
-    pairs = {"slope": F.regr_slope, "intercept": F.regr_intercept, "corr": F.corr}
+    pairs = {"slope": F.regr_slope, "intercept": F.regr_intercept, "corr": pearson}
     return pairs[stat.kind](_stat_value(stat), F.expr(stat.other))
 
 

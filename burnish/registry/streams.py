@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from burnish.dirty import VIEWS, table
 from burnish.plans.rules import Check
 from burnish.registry.base import AS_OF_EVENTS, ctes, domain, query, raw
+from burnish.registry.scores import DIMS
 from burnish.session import shared_path
 from burnish.streaming import incremental as K
 
@@ -110,7 +111,6 @@ def _refresh(spark, sf_dir):
     path = shared_path(spark, "k5")
     handler = K.on_refresh(domain("catalog"), path)
     K.run_batches(dirty_stream(spark, sf_dir, "catalog", "part"), handler, f"{path}/checkpoint")
-    dims = ("completeness", "validity", "uniqueness", "consistency", "accuracy")
     return spark.read.parquet(f"{path}/score").select(
-        "total_rows", *[F.round(d, 6).alias(d) for d in dims], "overall", "grade"
+        "total_rows", *[F.round(d, 6).alias(d) for d in DIMS], "overall", "grade"
     )

@@ -45,7 +45,7 @@ def clean_stream(stream: DataFrame, rules: list[Rule], stats: dict) -> DataFrame
 
 def _event_time(df: DataFrame, column: str, delay: str) -> DataFrame:
     """Watermark on ``_event_time``: watermarks need a zoned timestamp, tables may hold none."""
-    return df.withColumn("_event_time", F.col(column).cast("timestamp")).withWatermark("_event_time", delay)
+    return df.withColumn("_event_time", F.col(column).cast("timestamp_ltz")).withWatermark("_event_time", delay)
 
 
 def dedupe_stream(stream: DataFrame, keys: list[str], event_time: str, delay: str) -> DataFrame:
