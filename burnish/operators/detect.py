@@ -12,6 +12,7 @@ from burnish.functions.numbers import as_of_literal, days_between, holds
 from burnish.operators.dedupe import key_multiplicity
 from burnish.operators.skew import is_small
 from burnish.plans.rules import Check
+from burnish.session import materialise
 
 
 # Row predicates.  NULL never counts as an issue (except where NULL is the issue).
@@ -134,7 +135,7 @@ def orphan_fk(df: DataFrame, column: str, master: DataFrame, key: str) -> DataFr
     Foreign keys are counted before the anti join, so a hot key moves as one row.
     """
     used = df.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("rows"))
-    known = master.select(F.col(key).alias(column)).distinct()
+    known = materialise(master.select(F.col(key).alias(column)).distinct(), "keys")
     if is_small(known):
         known = F.broadcast(known)
     return used.join(known, column, "left_anti")

@@ -25,21 +25,34 @@ FUNCTION_WORDS = {
 }
 
 
-def function_word_count(text: Column, lang: str) -> Column:
-    """Words of the whole text that are function words of ``lang``."""
-    words = F.split(F.lower(text), r"[^\p{L}]+")
-    return F.size(F.filter(words, lambda w: w.isin(FUNCTION_WORDS[lang])))
+def _bind(value: Column, use) -> Column:
+    """``use(value)`` with ``value`` computed once however often it is read."""
+    return F.transform(F.array(value), use)[0]
 
 
 def guess_language(text: Column) -> Column:
-    """Latin-script language with most function words (first by code on a tie); NULL if none."""
+    """Latin-script language with most function words in the whole text.
+
+    NULL when it has none; the first code in order on a tie.
+    """
     langs = sorted(FUNCTION_WORDS)
-    counts = [function_word_count(text, lang) for lang in langs]
-    # One pass over the words: the counts live in a struct, the best is its maximum.
-    best = F.greatest(
-        *[F.struct(n.alias("n"), F.lit(-i).alias("i"), F.lit(lang).alias("lang")) for i, (lang, n) in enumerate(zip(langs, counts))]
-    )
-    return F.when(best["n"] > 0, best["lang"])
+    known = sorted({w for words in FUNCTION_WORDS.values() for w in words})
+    words = F.split(F.lower(text), r"[^\p{L}]+")
+    # The array of known words is short and bound once, then counted per language.
+    hits = F.filter(words, lambda w: w.isin(known))
+
+    def count(found: Column, lang: str) -> Column:
+        return F.size(F.filter(found, lambda w: w.isin(FUNCTION_WORDS[lang])))
+
+    def best(found: Column) -> Column:
+        return F.greatest(
+            *[
+                F.struct(count(found, lang).alias("n"), F.lit(-i).alias("i"), F.lit(lang).alias("lang"))
+                for i, lang in enumerate(langs)
+            ]
+        )
+
+    return _bind(_bind(hits, best), lambda top: F.when(top["n"] > 0, top["lang"]))
 
 
 def wrong_language(text: Column, lang: Column | str) -> Column:
@@ -49,6 +62,7 @@ def wrong_language(text: Column, lang: Column | str) -> Column:
     script = [
         F.when(declared == code, letters & ~text.rlike(pattern)) for code, pattern in SCRIPTS.items()
     ]
-    guess = guess_language(text)
-    latin = F.when(declared.isin(sorted(FUNCTION_WORDS)), guess.isNotNull() & (guess != declared))
+    latin = F.when(
+        declared.isin(sorted(FUNCTION_WORDS)), _bind(guess_language(text), lambda g: g.isNotNull() & (g != declared))
+    )
     return holds(F.coalesce(reduce(lambda a, b: F.coalesce(a, b), script), latin))

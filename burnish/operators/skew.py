@@ -13,24 +13,30 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# A lookup is broadcast only after its rows were counted and found below this.
+from burnish.session import materialise
+
+# A lookup is broadcast only after it was measured and found below both limits.
 BROADCAST_ROWS = 200_000
+BROADCAST_TEXT_BYTES = 32 << 20
 # A key is hot when it holds more than this share of the rows.  By arithmetic there
 # are fewer than 1 / HOT_SHARE such keys, so the hot list always fits a broadcast.
 HOT_SHARE = 0.001
 SALTS = 64
 
 
-def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows; reads no more than needed."""
-    return df.limit(max_rows + 1).count() <= max_rows
+def is_small(df: DataFrame, max_rows: int | None = None) -> bool:
+    """True when ``df`` is within the broadcast limits, by counted rows and text bytes."""
+    limit = BROADCAST_ROWS if max_rows is None else max_rows
+    text = [F.sum(F.octet_length(f.name)) for f in df.schema.fields if isinstance(f.dataType, (T.StringType, T.BinaryType))]
+    row = df.agg(F.count(F.lit(1)), *text).first()
+    return row[0] <= limit and sum(x or 0 for x in row[1:]) <= BROADCAST_TEXT_BYTES
 
 
 def hot_keys(df: DataFrame, on: list[str], share: float = HOT_SHARE) -> list[tuple]:
     """Keys (NULL included) holding more than ``share`` of all rows: under 1 / share of them."""
     counts = df.groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
-    total = df.count()
-    return [tuple(row) for row in counts.filter(F.col("_n") > total * share).select(*on).collect()]
+    total = counts.agg(F.sum("_n")).scalar()
+    return [tuple(row) for row in counts.filter(F.col("_n") > total * F.lit(share)).select(*on).collect()]
 
 
 def attach(
@@ -42,14 +48,15 @@ def attach(
 ) -> DataFrame:
     """Left join ``df`` to ``lookup`` (unique on ``on``), keeping every row of ``df``.
 
-    A lookup of counted small size is broadcast, so ``df`` is not shuffled.  A larger
-    one is joined by shuffle; if some keys are hot their rows are spread over ``salts``
-    partitions and only the hot lookup rows are repeated.  The salt is the input
-    partition number, so a task run again after an executor loss salts the same way.
+    The lookup is an aggregate, so it is computed once, stored, and measured.  A small
+    one is broadcast and ``df`` is not shuffled.  A larger one is joined by shuffle; if
+    some keys are hot their rows are spread over ``salts`` partitions and only the hot
+    lookup rows are repeated.  The salt is the input partition number, so a task run
+    again after an executor loss salts the same way.
     """
-    limit = BROADCAST_ROWS if max_broadcast_rows is None else max_broadcast_rows
     added = [c for c in lookup.columns if c not in on]
-    if is_small(lookup, limit):
+    lookup = materialise(lookup, "lookup")
+    if is_small(lookup, max_broadcast_rows):
         return df.join(F.broadcast(lookup), on, "left").select(*df.columns, *added)
     hot = hot_keys(df, on)
     if not hot:
