@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 from functools import reduce
 
@@ -35,19 +36,9 @@ def build_stages(rules: list[Rule]) -> list[tuple[str, list[Rule]]]:
     return [(s, group) for s in STAGES if (group := [r for r in rules if r.stage == s])]
 
 
-def compute_stats(df: DataFrame, stats: list[Stat], copy: bool = True) -> dict:
+def compute_stats(df: DataFrame, stats: list[Stat]) -> dict:
     """All statistics of a table: quantiles together, plain aggregates together."""
     stats = list({s.name: s for s in stats}.values())
-    if not stats:
-        return {}
-    if copy:
-        # Every later pass reads this narrow copy, not the deduplication again.
-        columns = [_stat_value(s).alias(f"s{i}") for i, s in enumerate(stats)]
-        columns += [F.expr(s.other).alias(f"o{i}") for i, s in enumerate(stats) if s.other]
-        df = materialise(df.select(*columns), "stats")
-        stats = [
-            Stat(s.name, s.kind, f"s{i}", s.q, other=f"o{i}" if s.other else None) for i, s in enumerate(stats)
-        ]
     quantiles = [s for s in stats if s.kind == "quantile"]
     modes = [s for s in stats if s.kind == "mode"]
     plain = [s for s in stats if s.kind not in ("quantile", "mode")]
@@ -60,6 +51,28 @@ def compute_stats(df: DataFrame, stats: list[Stat], copy: bool = True) -> dict:
     return out
 
 
+def _mentioned(expressions: list[str | None], columns: list[str]) -> set[str]:
+    """Columns whose names occur in the expressions (a few too many do no harm)."""
+    words = set(re.findall(r"[A-Za-z_][A-Za-z0-9_]*", " ".join(e for e in expressions if e)))
+    return words & set(columns)
+
+
+def slim_columns(
+    columns: list[str], rules: list[Rule], stats: list[Stat], references: list[Reference], balances: list[Balance]
+) -> set[str]:
+    """Columns that statistics, own-table masters and group sums are computed from."""
+    need = _mentioned([e for s in stats for e in (s.value, s.where, s.other)], columns)
+    need |= {r.key for r in references if r.master == "self"}
+    reach = _mentioned([e for b in balances for e in (b.key, b.a, b.b, b.where)], columns)
+    while True:
+        # Rules that change a summed column bring the columns they read.
+        feeding = [r for r in rules if not r.deletes and r.changes_value and r.column in reach]
+        more = reach | _mentioned([e for r in feeding for e in (r.when, r.value)], columns)
+        if more == reach:
+            return need | reach
+        reach = more
+
+
 def _aggregate(stat: Stat) -> Column:
     makers = {"mean": F.avg, "min": F.min, "max": F.max, "sum": F.sum, "skewness": F.skewness}
     if stat.kind in makers:
@@ -109,10 +122,11 @@ def group_imbalance(df: DataFrame, rule: Balance) -> DataFrame:
     return sums.filter(F.abs("difference") > rule.tol)
 
 
-def mark_imbalances(df: DataFrame, balances: list[Balance]) -> DataFrame:
+def mark_imbalances(df: DataFrame, balances: list[Balance], source: DataFrame | None = None) -> DataFrame:
     """Boolean marks on every row (in scope) of an imbalanced group.
 
-    Balances over one key share one aggregation and one join back.
+    Balances over one key share one aggregation and one join back.  ``source`` is a
+    narrower frame with the same rows to sum over.
     """
     for key in dict.fromkeys(b.key for b in balances):
         group = [b for b in balances if b.key == key]
@@ -122,7 +136,7 @@ def mark_imbalances(df: DataFrame, balances: list[Balance]) -> DataFrame:
             for i, (b, s) in enumerate(zip(group, scopes))
         ]
         off = [F.col(f"_off{i}") for i in range(len(group))]
-        sums = df.groupBy(key).agg(*gaps).filter(reduce(lambda x, y: x | y, [holds(o) for o in off]))
+        sums = (df if source is None else source).groupBy(key).agg(*gaps).filter(reduce(lambda x, y: x | y, [holds(o) for o in off]))
         df = attach(df, sums, [key]).withColumns(
             {b.mark: holds(o) & s for b, o, s in zip(group, off, scopes)}
         ).drop(*[f"_off{i}" for i in range(len(group))])
@@ -181,37 +195,58 @@ def clean(
     balances: list[Balance] = (),
     mode: str = "clean",
     stats: dict | None = None,
-    stat_copy: bool = True,
+    slim_copy: bool = True,
 ) -> Cleaned:
     """Apply rules in stage order.
 
     ``mode="flag_only"`` writes flags and changes nothing else.  ``stats`` skips the
     statistics passes (incremental runs use the stored ones).  A master named "self"
     is the table's own surviving rows.
+
+    Statistics, own-table masters and group sums read few columns, but each needs the
+    surviving rows.  Those columns are deduplicated and stored once (``slim_copy``),
+    so the wide rows are shuffled only for the result itself.
     """
     flag_only = mode == "flag_only"
     deduped, survivors = (df, df) if flag_only else surviving_rows(df, rules, order_by)
+    wanted = [] if stats is not None else [s for r in rules for s in r.stats]
+    slim = survivors
+    columns = slim_columns(df.columns, rules, wanted, references, balances)
+    if slim_copy and columns:
+        slim = materialise(survivors.select(*[c for c in df.columns if c in columns]), "slim")
     if stats is None:
-        wanted = [s for r in rules for s in r.stats]
-        stats = compute_stats(survivors, wanted, copy=stat_copy)
+        stats = compute_stats(slim, wanted)
+
+    def staged(frame: DataFrame, group: list[Rule]) -> DataFrame:
+        return frame.withColumns(_projection(frame, group, stats, positions, flag_only))
 
-    frame = survivors
+    frame, narrow = survivors, slim
     positions = {id(r): i for i, r in enumerate(rules)}
     for stage, group in build_stages(rules):
         if stage in ("key", "impossible"):
             continue
         if stage == "reference":
             for ref in references:
-                master = survivors if ref.master == "self" else (masters or {})[ref.master]
+                master = slim if ref.master == "self" else (masters or {})[ref.master]
                 frame = mark_orphans(frame, ref, master)
-            frame = mark_imbalances(frame, list(balances))
-        frame = frame.withColumns(_projection(frame, group, stats, positions, flag_only))
+            frame = mark_imbalances(frame, list(balances), narrow)
+        elif slim is not survivors:
+            own = [r for r in group if r.changes_value and _readable(r, df.columns, narrow.columns)]
+            narrow = staged(narrow, own) if own else narrow
+        frame = staged(frame, group)
+        if slim is survivors:
+            narrow = frame
     marks = [r.mark for r in references] + [b.mark for b in balances]
     marked = frame.drop(*marks)
     markers = [c for c in marked.columns if c.startswith(("_hit_", "_set_"))]
     return Cleaned(marked.drop(*markers), df, deduped, survivors, marked, rules, stats, order_by)
 
 
+def _readable(rule: Rule, columns: list[str], present: list[str]) -> bool:
+    """True when every table column the rule touches is in the narrow frame."""
+    return _mentioned([rule.column, rule.when, rule.value], columns) <= set(present)
+
+
 def _projection(frame, group, stats, positions, flag_only) -> dict[str, Column]:
     """Column updates of one stage; all conditions read the stage's input."""
     updates: dict[str, Column] = {}
