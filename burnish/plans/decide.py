@@ -188,7 +188,7 @@ def plan_to_rules(plan: DataFrame, as_of: str | None = None) -> tuple[list[Rule]
         rules.append(
             {
                 "DELETE_DUPLICATES": lambda: Rule(name, "key", action, c, keys=(c,)),
-                "DELETE_NULL_KEY": lambda: Rule(name, "impossible", action, c, when=missing),
+                "DELETE_NULL_KEY": lambda: Rule(name, "key", action, c, when=missing),
                 "DELETE_NULL_TEMPORAL": lambda: Rule(name, "impossible", action, c, when=missing),
                 "DELETE_FUTURE": lambda: Rule(name, "impossible", action, c, when=f"{q} > {now}"),
                 "FLAG_NULL": lambda: Rule(

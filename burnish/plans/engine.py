@@ -6,7 +6,7 @@ import re
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from burnish.functions.aggregates import pearson
@@ -149,12 +149,23 @@ class Cleaned:
 
     frame: DataFrame
     raw: DataFrame
-    deduped: DataFrame
+    steps: list[Deletion]
     survivors: DataFrame
     marked: DataFrame
     rules: list[Rule]
     stats: dict
     order_by: list[str]
+    observed: dict | None = None
+
+    def store(self, name: str) -> DataFrame:
+        """Write the cleaned table once, counting the audit's hits in the same job."""
+        counts = _rule_counts(self)
+        if not counts:
+            return materialise(self.frame, name)
+        seen = Observation(f"audit-{name}")
+        stored = materialise(self.marked.observe(seen, *counts).select(*self.frame.columns), name)
+        self.observed = seen.get
+        return stored
 
     def audit(self) -> DataFrame:
         """One row per rule: matched, deleted, cells really changed."""
@@ -167,23 +178,32 @@ class Cleaned:
         return removed_rows(self)
 
 
-def _key_rule(rules: list[Rule]) -> Rule | None:
-    return next((r for r in rules if r.action == "DELETE_DUPLICATES"), None)
-
+@dataclass
+class Deletion:
+    """One deletion step: the rows it saw and the rules that applied to them."""
 
-def _deletes(rules: list[Rule]) -> list[Rule]:
-    return [r for r in rules if r.deletes and r.action != "DELETE_DUPLICATES"]
+    before: DataFrame
+    rules: list[Rule]
+    by_key: bool
 
 
-def surviving_rows(df: DataFrame, rules: list[Rule], order_by: list[str]) -> tuple[DataFrame, DataFrame]:
-    """(deduplicated, surviving): the key and deletion stages only."""
-    key = _key_rule(rules)
-    deduped = dedupe_first(df, list(key.keys), order_by) if key else df
-    deletes = _deletes(rules)
-    if not deletes:
-        return deduped, deduped
-    gone = reduce(lambda a, b: a | b, [holds(F.expr(r.when)) for r in deletes])
-    return deduped, deduped.filter(~gone)
+def surviving_rows(df: DataFrame, rules: list[Rule], order_by: list[str]) -> tuple[list[Deletion], DataFrame]:
+    """Deletion steps and what is left: rows without a key, extra copies, impossible rows."""
+    missing = [r for r in rules if r.stage == "key" and r.action != "DELETE_DUPLICATES"]
+    copies = [r for r in rules if r.stage == "key" and r.action == "DELETE_DUPLICATES"]
+    impossible = [r for r in rules if r.stage == "impossible"]
+    steps = []
+    for group in [missing, *[[r] for r in copies], impossible]:
+        if not group:
+            continue
+        by_key = group[0].action == "DELETE_DUPLICATES"
+        steps.append(Deletion(df, group, by_key))
+        if by_key:
+            df = dedupe_first(df, list(group[0].keys), order_by)
+        else:
+            gone = reduce(lambda a, b: a | b, [holds(F.expr(r.when)) for r in group])
+            df = df.filter(~gone)
+    return steps, df
 
 
 def clean(
@@ -208,7 +228,7 @@ def clean(
     so the wide rows are shuffled only for the result itself.
     """
     flag_only = mode == "flag_only"
-    deduped, survivors = (df, df) if flag_only else surviving_rows(df, rules, order_by)
+    steps, survivors = ([], df) if flag_only else surviving_rows(df, rules, order_by)
     wanted = [] if stats is not None else [s for r in rules for s in r.stats]
     slim = survivors
     columns = slim_columns(df.columns, rules, wanted, references, balances)
@@ -239,7 +259,7 @@ def clean(
     marks = [r.mark for r in references] + [b.mark for b in balances]
     marked = frame.drop(*marks)
     markers = [c for c in marked.columns if c.startswith(("_hit_", "_set_"))]
-    return Cleaned(marked.drop(*markers), df, deduped, survivors, marked, rules, stats, order_by)
+    return Cleaned(marked.drop(*markers), df, steps, survivors, marked, rules, stats, order_by)
 
 
 def _readable(rule: Rule, columns: list[str], present: list[str]) -> bool:
@@ -274,6 +294,21 @@ def _projection(frame, group, stats, positions, flag_only) -> dict[str, Column]:
     return {**updates, **markers}
 
 
+def _row_rules(result: Cleaned) -> list[tuple[int, Rule]]:
+    return [(i, r) for i, r in enumerate(result.rules) if not r.deletes]
+
+
+def _rule_counts(result: Cleaned) -> list[Column]:
+    """Matched rows and changed cells of every rule that looks at one row."""
+    present = set(result.marked.columns)
+    counts = []
+    for i, _ in _row_rules(result):
+        counts.append(F.count_if(f"_hit_{i}").alias(f"h{i}"))
+        if f"_set_{i}" in present:
+            counts.append(F.count_if(f"_set_{i}").alias(f"c{i}"))
+    return counts
+
+
 def audit_frame(result: Cleaned) -> DataFrame:
     """Three aggregations: copies per key, deletions, and every other rule at once."""
     spark = result.raw.sparkSession
@@ -295,33 +330,36 @@ def audit_frame(result: Cleaned) -> DataFrame:
         return one_row.select(F.inline(F.array(*items)))
 
     zero = F.lit(0).cast("bigint")
-    key = _key_rule(result.rules)
-    if key is not None:
-        copies = (
-            result.raw.groupBy(*key.keys)
-            .agg(F.count(F.lit(1)).alias("n"))
-            .agg(F.coalesce(F.sum(F.col("n") - 1), zero).alias("copies"))
-        )
-        i = result.rules.index(key)
-        pieces.append(rows(copies, [(i, key, F.col("copies"), F.col("copies"), zero)]))
-    deletes = _deletes(result.rules)
-    if deletes:
+    for step in result.steps:
+        if step.by_key:
+            (rule,) = step.rules
+            copies = (
+                step.before.groupBy(*rule.keys)
+                .agg(F.count(F.lit(1)).alias("n"))
+                .agg(F.coalesce(F.sum(F.col("n") - 1), zero).alias("copies"))
+            )
+            entry = (result.rules.index(rule), rule, F.col("copies"), F.col("copies"), zero)
+            pieces.append(rows(copies, [entry]))
+            continue
         aggs, earlier = [], F.lit(False)
-        for n, rule in enumerate(deletes):
+        for n, rule in enumerate(step.rules):
             hit = holds(F.expr(rule.when))
             aggs += [F.count_if(hit).alias(f"h{n}"), F.count_if(hit & ~earlier).alias(f"d{n}")]
             earlier = earlier | hit
-        counted = result.deduped.agg(*aggs)
         entries = [
-            (result.rules.index(r), r, F.col(f"h{n}"), F.col(f"d{n}"), zero) for n, r in enumerate(deletes)
+            (result.rules.index(r), r, F.col(f"h{n}"), F.col(f"d{n}"), zero) for n, r in enumerate(step.rules)
         ]
-        pieces.append(rows(counted, entries))
-    others = [(i, r) for i, r in enumerate(result.rules) if not r.deletes]
+        pieces.append(rows(step.before.agg(*aggs), entries))
+    others = _row_rules(result)
     if others:
+        counts = _rule_counts(result)
+        if result.observed is not None:
+            counted = spark.range(1).select(
+                *[F.lit(value).cast("bigint").alias(name) for name, value in result.observed.items()]
+            )
+        else:
+            counted = result.marked.agg(*counts)
         present = set(result.marked.columns)
-        aggs = [F.count_if(f"_hit_{i}").alias(f"h{i}") for i, _ in others]
-        aggs += [F.count_if(f"_set_{i}").alias(f"c{i}") for i, _ in others if f"_set_{i}" in present]
-        counted = result.marked.agg(*aggs)
         entries = [
             (i, r, F.col(f"h{i}"), zero, F.col(f"c{i}") if f"_set_{i}" in present else zero)
             for i, r in others
@@ -341,13 +379,14 @@ def audit_totals(audit: DataFrame) -> DataFrame:
 def removed_rows(result: Cleaned) -> DataFrame:
     """Every deleted row with the rule that deleted it."""
     pieces = []
-    key = _key_rule(result.rules)
-    if key is not None:
-        extra = duplicate_rows(result.raw, list(key.keys), result.order_by)
-        pieces.append(extra.withColumn("reason", F.lit(key.name)))
-    deletes = _deletes(result.rules)
-    if deletes:
-        reason = F.coalesce(*[F.when(holds(F.expr(r.when)), F.lit(r.name)) for r in deletes])
-        gone = result.deduped.withColumn("reason", reason)
-        pieces.append(gone.filter(F.col("reason").isNotNull()))
+    for step in result.steps:
+        if step.by_key:
+            (rule,) = step.rules
+            extra = duplicate_rows(step.before, list(rule.keys), result.order_by)
+            pieces.append(extra.withColumn("reason", F.lit(rule.name)))
+        else:
+            reason = F.coalesce(*[F.when(holds(F.expr(r.when)), F.lit(r.name)) for r in step.rules])
+            pieces.append(step.before.withColumn("reason", reason).filter(F.col("reason").isNotNull()))
+    if not pieces:
+        return result.raw.withColumn("reason", F.lit("")).filter(F.lit(False))
     return reduce(DataFrame.unionByName, pieces)

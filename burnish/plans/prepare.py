@@ -13,7 +13,6 @@ from burnish.plans.decide import decide, measure, recommendations
 from burnish.plans.domains import Domain
 from burnish.plans.engine import Cleaned, audit_totals
 from burnish.plans.score import compare_scores, score_layers, score_table, with_marks
-from burnish.session import materialise
 from burnish.sources.load import profile_document, report_row
 
 
@@ -42,9 +41,9 @@ class Prepared:
 
 
 def prepare(df: DataFrame, domain: Domain, masters: dict[str, DataFrame] | None = None, **options) -> Prepared:
-    """Clean one table, write it once, and score both layers."""
+    """Clean one table, write it once with its audit counted in the same job, score both layers."""
     result = domain.clean(df, masters, **options)
-    cleaned = materialise(result.frame, f"clean-{domain.name}")
+    cleaned = result.store(f"clean-{domain.name}")
     scores = score_layers(
         {"raw": score_table(df, domain, masters), "cleaned": score_table(cleaned, domain, masters)}, domain.name
     )

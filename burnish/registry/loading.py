@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from burnish.dirty import TABLES, dirty, table
 from burnish.functions import numbers as N
-from burnish.plans.prepare import prepare
+from burnish.plans.prepare import prepare, run
 from burnish.registry.base import AS_OF, ctes, domain, query, raw
 from burnish.registry.profiles import union
 from burnish.session import materialise, shared_path
@@ -84,6 +84,17 @@ def _infer(spark, sf_dir):
     return Y.infer_types(S.read_csv_table(spark, path), None).select("column_name", "data_type")
 
 
+@query(
+    "a6_sanitise_names",
+    "SELECT c_custkey AS C_CUSTKEY, c_name AS FULL_NAME, c_mktsegment AS MARKET_SEGMENT FROM customer",
+)
+def _names(spark, sf_dir):
+    customer = table(spark, sf_dir, "customer")
+    return Y.sanitise_names(
+        customer.select("c_custkey", F.col("c_name").alias(" full name "), F.col("c_mktsegment").alias("market-segment"))
+    )
+
+
 _BAD = (
     "CASE WHEN o_orderkey % 50 = 3 THEN 'n/a' ELSE CAST(o_custkey AS STRING) END AS customer",
     "CASE WHEN o_orderkey % 70 = 3 THEN 'twelve' ELSE CAST(o_orderkey % 12 AS STRING) END AS month_no",
@@ -193,6 +204,17 @@ def _load_summary(spark, sf_dir):
     return totals.drop("seconds")
 
 
+@query(
+    "a14_run",
+    ctes("clean_catalog") + "SELECT row_seq, product_id, price_usd, category_l1 FROM clean_catalog",
+)
+def _run(spark, sf_dir):
+    """One dataset and one layer out of those known."""
+    tables = {n: (dirty(spark, sf_dir, n), domain(n)) for n in ("orders", "catalog")}
+    frames = run(tables, datasets=["catalog"], layers=["cleaned"])
+    return frames[("cleaned", "catalog")].select("row_seq", "product_id", "price_usd", "category_l1")
+
+
 @query(
     "a15_head_sample",
     ctes("dirty_orders") + "SELECT row_seq, order_id, status FROM dirty_orders ORDER BY row_seq LIMIT 5",

@@ -216,9 +216,26 @@ def _variants(spark, sf_dir):
     return P.variant_clusters(raw(spark, sf_dir, "orders"), "status")
 
 
-@query("c16_classify_columns")
+CLASSES = {
+    "order_date": "TEMPORAL", "go_live_date": "TEMPORAL", "order_amount": "MONETARY", "arr": "MONETARY", "nps_score": "NUMERIC",
+    "seats_used": "NUMERIC", "status": "CATEGORY", "industry": "CATEGORY", "customer_name": "PII", "email": "PII",
+}
+
+
+@query(
+    "c16_classify_columns",
+    ctes("dirty_orders")
+    + union(
+        [f"SELECT '{c}' AS column_name, '{k}' AS column_class" for c, k in CLASSES.items()]
+        + [
+            f"SELECT '{c}', CASE WHEN count(DISTINCT {c}) / count({c}) >= 9e-1 THEN 'NUMERIC_PK' ELSE 'REFERENCE' END FROM dirty_orders"
+            for c in ("row_seq", "order_id", "customer_id")
+        ]
+    ),
+)
 def _classify(spark, sf_dir):
-    return classify_columns(P.profile_columns(raw(spark, sf_dir, "orders")), {"customer_id": "REFERENCE"})
+    df = raw(spark, sf_dir, "orders").select("row_seq", "order_id", "customer_id", *CLASSES)
+    return classify_columns(P.profile_columns(df)).select("column_name", "column_class")
 
 
 CONSTRAINTS = {

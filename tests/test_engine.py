@@ -104,6 +104,22 @@ def test_duplicate_goes_before_impossible_date(spark):
     assert {r["reason"]: r["s"] for r in result.removed_rows().collect()} == {"PK": 2, "SEQ": 1}
 
 
+def test_missing_keys_go_first_and_every_key_is_deduplicated(spark):
+    df = spark.createDataFrame(
+        [(1, None, "x"), (2, None, "y"), (3, 7, "x"), (4, 7, "z"), (5, 8, "x"), (6, 9, "w")], "s int, k int, u string"
+    )
+    rules = [
+        Rule("NO_KEY", "key", "DELETE_NULL_KEY", "k", when="k IS NULL"),
+        Rule("PK", "key", "DELETE_DUPLICATES", "k", keys=("k",)),
+        Rule("UNIQUE", "key", "DELETE_DUPLICATES", "u", keys=("u",)),
+    ]
+    result = clean(df, rules, ["s"])
+    assert sorted(r["s"] for r in result.frame.collect()) == [3, 6]
+    audit = {r["rule"]: r["rows_deleted"] for r in result.audit().collect()}
+    assert audit == {"NO_KEY": 2, "PK": 1, "UNIQUE": 1}
+    assert {r["s"]: r["reason"] for r in result.removed_rows().collect()} == {1: "NO_KEY", 2: "NO_KEY", 4: "PK", 5: "UNIQUE"}
+
+
 def test_statistics_come_after_deletions(spark):
     df = spark.createDataFrame([(1, 1, 10.0), (2, 1, 1000.0), (3, 2, 20.0), (4, 3, None)], "s int, k int, v double")
     rules = [
@@ -207,6 +223,16 @@ def test_grade_scales(spark, score, letters):
     assert "".join(got) == letters
 
 
+@pytest.mark.parametrize("name", ["orders", "ledger"])
+def test_audit_counted_while_writing(spark, small, name):
+    """The counts observed during the write are those of a separate pass."""
+    df = dirty(spark, small, name)
+    stored, fresh = make(name).clean(df), make(name).clean(df)
+    table = stored.store("test")
+    assert stored.observed and table.exceptAll(fresh.frame).count() == 0
+    assert sorted(stored.audit().collect()) == sorted(fresh.audit().collect())
+
+
 def test_prepare_and_report(spark, small):
     done = prepare(dirty(spark, small, "catalog"), make("catalog"))
     report = done.report("2001-01-01").first()
