@@ -36,8 +36,7 @@ class Quantile:
         return value if self.where is None else F.when(F.expr(self.where), value)
 
 
-def _fractions(position: float, rows: int) -> list[float]:
-    slack = 2.0 / ACCURACY
+def _fractions(position: float, rows: int, slack: float) -> list[float]:
     centre = position / max(rows - 1, 1)
     return [max(0.0, centre - slack), min(1.0, centre + slack)]
 
@@ -46,12 +45,13 @@ def exact_quantiles(df: DataFrame, requests: list[Quantile]) -> dict[str, float
     """Linear-interpolation quantiles of many columns in two passes (more only if large)."""
     if not requests:
         return {}
-    columns = {r.name: r.column() for r in requests}
-    values = df.select(*[columns[r.name].alias(f"v{i}") for i, r in enumerate(requests)])
+    # The sketch errs by at most 1 / ACCURACY of the rows; brackets allow twice that.
+    slack = 2.0 / ACCURACY
+    values = df.select(*[r.column().alias(f"v{i}") for i, r in enumerate(requests)])
     first = values.agg(
         *[F.count(f"v{i}").alias(f"n{i}") for i in range(len(requests))],
         *[
-            F.percentile_approx(f"v{i}", _fractions(r.q, 2), F.lit(ACCURACY)).alias(f"b{i}")
+            F.percentile_approx(f"v{i}", _fractions(r.q, 2, slack), F.lit(ACCURACY)).alias(f"b{i}")
             for i, r in enumerate(requests)
         ],
     ).first()
@@ -62,26 +62,28 @@ def exact_quantiles(df: DataFrame, requests: list[Quantile]) -> dict[str, float
         if rows == 0:
             out[r.name] = None
             continue
-        position = r.q * (rows - 1)
         lo, hi = first[f"b{i}"]
-        # The sketch's ends stand for the column's ends.
         live[i] = {
             "rows": rows,
-            "position": position,
-            "lo": -math.inf if r.q <= 2.0 / ACCURACY else lo,
-            "hi": math.inf if r.q >= 1 - 2.0 / ACCURACY else hi,
-            "expected": rows * 4.0 / ACCURACY,
+            "position": r.q * (rows - 1),
+            # A bracket reaching an end of the column is open there.
+            "lo": -math.inf if r.q <= slack else lo,
+            "hi": math.inf if r.q >= 1 - slack else hi,
+            "slack": slack,
+            "expected": rows * 2 * slack,
         }
-    _narrow(values, live)
     while live:
-        missed = {}
+        _narrow(values, live)
         picks = _pick(values, live)
+        missed = {}
         for i, state in live.items():
-            found = picks.get(i)
-            if found is None:
-                missed[i] = {**state, "lo": -math.inf, "hi": math.inf}
+            if i not in picks:
+                # Start over from the whole column with a bracket eight times as wide.
+                missed[i] = {
+                    **state, "lo": -math.inf, "hi": math.inf, "slack": state["slack"] * 8, "expected": state["rows"]
+                }
                 continue
-            low, high = found
+            low, high = picks[i]
             part = state["position"] - math.floor(state["position"])
             out[requests[i].name] = low if part == 0 else low * (1 - part) + high * part
         live = missed
@@ -94,25 +96,27 @@ def _narrow(values: DataFrame, live: dict[int, dict]) -> None:
         wide = {i: s for i, s in live.items() if s["expected"] > BRACKET_ROWS and s["lo"] < s["hi"]}
         if not wide:
             return
+        inside = {
+            i: F.when((F.col(f"v{i}") >= F.lit(s["lo"])) & (F.col(f"v{i}") <= F.lit(s["hi"])), F.col(f"v{i}"))
+            for i, s in wide.items()
+        }
+        counted = values.agg(
+            *[F.count_if(F.col(f"v{i}") < F.lit(s["lo"])).alias(f"u{i}") for i, s in wide.items()],
+            *[F.count(inside[i]).alias(f"n{i}") for i in wide],
+        ).first()
         aggs = []
         for i, s in wide.items():
-            v = F.col(f"v{i}")
-            inside = F.when((v >= F.lit(s["lo"])) & (v <= F.lit(s["hi"])), v)
-            aggs += [F.count_if(v < F.lit(s["lo"])).alias(f"u{i}"), F.count(inside).alias(f"n{i}")]
-        counted = values.agg(*aggs).first()
-        aggs = []
-        for i, s in wide.items():
-            v = F.col(f"v{i}")
-            inside = F.when((v >= F.lit(s["lo"])) & (v <= F.lit(s["hi"])), v)
             rows = counted[f"n{i}"]
             local = min(max(s["position"] - counted[f"u{i}"], 0.0), max(rows - 1, 0))
-            aggs.append(F.percentile_approx(inside, _fractions(local, rows), F.lit(ACCURACY)).alias(f"b{i}"))
+            aggs.append(
+                F.percentile_approx(inside[i], _fractions(local, rows, s["slack"]), F.lit(ACCURACY)).alias(f"b{i}")
+            )
         bounds = values.agg(*aggs).first()
         for i, s in wide.items():
             lo, hi = bounds[f"b{i}"] or (s["lo"], s["hi"])
             # A bracket that stops shrinking is made of heavy ties: few distinct values.
             stuck = (lo, hi) == (s["lo"], s["hi"])
-            s.update(lo=lo, hi=hi, expected=0 if stuck else counted[f"n{i}"] * 4.0 / ACCURACY)
+            s.update(lo=lo, hi=hi, expected=0 if stuck else counted[f"n{i}"] * 2 * s["slack"])
 
 
 def _pick(values: DataFrame, live: dict[int, dict]) -> dict[int, tuple[float, float]]:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -41,16 +41,18 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 
 def normalise_null_tokens(df: DataFrame, tokens: list[str] | None = None) -> DataFrame:
-    """The listed texts become NULL in every text column, in one projection."""
+    """The listed texts become NULL in every text column, NaN in every number column."""
     words = tokens or NULL_TOKENS
-    return df.select(
-        *[
-            null_tokens(F.col(f"`{f.name}`"), words).alias(f.name)
-            if isinstance(f.dataType, T.StringType)
-            else F.col(f"`{f.name}`")
-            for f in df.schema.fields
-        ]
-    )
+
+    def value(f: T.StructField) -> Column:
+        c = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, T.StringType):
+            return null_tokens(c, words).alias(f.name)
+        if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
+            return F.when(~F.isnan(c), c).alias(f.name)
+        return c
+
+    return df.select(*[value(f) for f in df.schema.fields])
 
 
 def write_table(df: DataFrame, namespace: str, name: str, fmt: str = "parquet", path: str | None = None) -> str:

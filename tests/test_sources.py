@@ -68,6 +68,8 @@ def test_null_tokens_and_names(spark):
     out = sanitise_names(normalise_null_tokens(df))
     assert out.columns == ["MY_COL", "N"]
     assert [r["MY_COL"] for r in out.orderBy("N").collect()] == [None, None, None, None, "Nancy"]
+    numbers = spark.createDataFrame([(float("nan"),), (1.0,), (None,)], "v double")
+    assert normalise_null_tokens(numbers).agg(F.count("v")).first()[0] == 1
 
 
 def test_rejects_keep_the_row_and_the_reason(spark):
