@@ -28,7 +28,7 @@ WEIGHTS = (5, 2, 1)
 SHARE = (3, 2)  # of all sizes, as a fraction
 CAP = 2
 SEED = "mix-1"
-BUCKET_ROWS = 20_000
+BUCKET_ROWS = 4_000
 ADDED = ("size", "source_size", "target", "taken")
 
 

@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from burnish.llm import chat, mixing, simhash
+from burnish.llm import ann, chat, decontaminate, html, langid, mixing, quality, simhash, urls
 from burnish.llm.common import table
 from burnish.session import prepare_session
 
@@ -41,3 +42,37 @@ def _op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("op10_chat_rotation", chat.OP10_SQL)
 def _op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.rotate(table(spark, sf_dir, "conversations"))
+
+
+@_query("op3_url_filter")
+def _op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge(table(spark, sf_dir, "pages"))
+
+
+@_query("op4_html_text")
+def _op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract_pages(table(spark, sf_dir, "pages"))
+
+
+@_query("op5_nearest_vectors")
+def _op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), F.col("vec_id") % 20 == 0)
+
+
+@_query("op6_language_id")
+def _op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = langid.identify(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
+    return found.select("doc_id", "held_out", "lang_pred", "score")
+
+
+@_query("op7_decontaminate", decontaminate.OP7_SQL)
+def _op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, bench = table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark")
+    found = decontaminate.judged(decontaminate.mark(docs, bench, without=("text",)))
+    digest = F.sha2(F.concat_ws(",", F.array_sort("hit_items")), 256)
+    return found.select("doc_id", "n_words", "n_hit", F.size("hit_items").cast("long").alias("n_items"), digest.alias("items_sha256"), "contaminated")
+
+
+@_query("op9_quality_votes")
+def _op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels"))
