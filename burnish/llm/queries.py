@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from burnish.llm import ann, chat, decontaminate, html, langid, mixing, quality, simhash, urls
+from burnish.llm import ann, chat, decontaminate, html, langid, mixing, pii, quality, simhash, urls
 from burnish.llm.common import table
 from burnish.session import prepare_session
 
@@ -29,6 +29,11 @@ def _query(name: str, oracle: str | None = None):
     return wrap
 
 
+@_query("op1_pii_skip_chain")
+def _op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.detect(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 @_query("op2_simhash_near_dedup")
 def _op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
