@@ -13,9 +13,10 @@ that makes all norms equal, and queries a zero, so that order by distance is ord
 product; scores are computed in double precision on the original vectors.
 
 Equal vectors are indexed once and expanded at the end, so no number of copies makes a list
-long.  A list longer than ``BLOCK`` is cut into blocks by hash, and so are the queries that
-read it; a task scores one block of queries against one block of vectors.  Queries that
-found fewer than asked are searched exactly, in blocks, against all rows.
+long.  Lists are cut into blocks of at most about ``BLOCK`` vectors, blocks are dealt to
+shards, and a task scores a block of queries against a shard, each query only against the
+lists it reads, and returns its best.  Queries that found fewer than asked are searched
+exactly, in blocks, against all rows.
 
 Defined cases: a vector that is null, empty, zero, or holds null or non-finite components
 takes no part, nor does one whose length is not the table's most frequent length, or a row
@@ -46,6 +47,8 @@ MEASURED = 200  # sample vectors whose exact neighbours set the ratio
 DEGREE = 16
 STEP = 4  # nodes of the graph expanded at once for each point
 BLOCK = 2_000
+SHARD = 25  # blocks of vectors that a task holds
+ASKED = 1_000  # queries that a task holds
 _POINTS = 500  # points whose graph search runs at once
 
 
@@ -114,10 +117,10 @@ def _gaps(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.maximum((a**2).sum(axis=1)[:, None] + (b**2).sum(axis=1) - 2 * a @ b.T, 0)
 
 
-def nearest_lists(points: np.ndarray, index: dict, beam: int) -> tuple[np.ndarray, np.ndarray]:
-    """Best-first search of the centroid graph for many points: ``beam`` list numbers and distances, nearest first."""
+def nearest_lists(points: np.ndarray, index: dict, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """Best-first search of the centroid graph for many points: ``most`` list numbers and distances, nearest first."""
     centres, graph = index["centres"], index["graph"]
-    beam = min(beam, len(centres))
+    beam = min(most + most // 2 + 16, len(centres))
     seen = np.zeros((len(points), len(centres)), bool)
     nodes, gaps = np.zeros((len(points), beam), np.int64), np.full((len(points), beam), np.inf, np.float32)
     done = np.ones((len(points), beam), bool)
@@ -138,7 +141,7 @@ def nearest_lists(points: np.ndarray, index: dict, beam: int) -> tuple[np.ndarra
         step = np.argsort(done[active], axis=1, kind="stable")[:, :STEP]  # the nearest that are not expanded yet
         done[active[:, None], step] = True
         fresh = graph[nodes[active[:, None], step]].reshape(len(active), step.shape[1] * graph.shape[1])
-    return nodes, np.sqrt(gaps)
+    return nodes[:, :most], np.sqrt(gaps[:, :most])
 
 
 def _assigner(shared, queries: bool):
@@ -162,36 +165,64 @@ def _assigner(shared, queries: bool):
 _FOUND = T.StructType([T.StructField("query_id", T.LongType()), T.StructField("cid", T.LongType()), T.StructField("score", T.DoubleType())])
 
 
+def _ranked(query: np.ndarray, cid: np.ndarray, score: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The k best of each query: by score, then cid; a cid met in several lists counts once."""
+    order = np.lexsort((cid, -score, query))
+    query, cid, score = query[order], cid[order], score[order]
+    new = np.ones(len(query), bool)
+    new[1:] = (query[1:] != query[:-1]) | (cid[1:] != cid[:-1])
+    query, cid, score = query[new], cid[new], score[new]
+    place = np.arange(len(query)) - np.searchsorted(query, query)
+    return query[place < k], cid[place < k], score[place < k]
+
+
 def _best(k: int):
     def best(queries: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
         if not len(queries) or not len(rows):
-            return pd.DataFrame({"query_id": [], "cid": [], "score": []}).astype({"query_id": "int64", "cid": "int64"})
-        rows = rows.sort_values("cid", kind="stable")
-        cids = rows["cid"].to_numpy()
-        scores = np.stack(queries["q"].to_numpy()).astype(np.float64) @ np.stack(rows["v"].to_numpy()).astype(np.float64).T
-        if scores.shape[1] > k:  # those above the k-th score, and of its equals the smaller ids
-            bound = -np.partition(-scores, k - 1, axis=1)[:, k - 1 : k]
-            scores = np.where(scores >= bound, scores, -np.inf)
-            width = int((scores >= bound).sum(axis=1).max())
-            some = np.sort(np.argpartition(-scores, width - 1, axis=1)[:, :width], axis=1)
-        else:
-            some = np.broadcast_to(np.arange(scores.shape[1]), scores.shape)
-        order = np.argsort(-np.take_along_axis(scores, some, axis=1), axis=1, kind="stable")[:, :k]
-        top = np.take_along_axis(some, order, axis=1)
-        return pd.DataFrame({"query_id": np.repeat(queries["query_id"].to_numpy(), top.shape[1]), "cid": cids[top].ravel(), "score": np.take_along_axis(scores, top, axis=1).ravel()})
+            return pd.DataFrame({"query_id": np.zeros(0, np.int64), "cid": np.zeros(0, np.int64), "score": np.zeros(0)})
+        rows = rows.sort_values(["list", "cid"], kind="stable")
+        cids, lists = rows["cid"].to_numpy(), rows["list"].to_numpy()
+        vectors, asked = np.stack(rows["v"].to_numpy()).astype(np.float64), np.stack(queries["q"].to_numpy()).astype(np.float64)
+        reads = queries["lists"].to_numpy()
+        reader = np.repeat(np.arange(len(reads)), [len(x) for x in reads])
+        read = np.concatenate(reads)
+        order = np.argsort(read, kind="stable")
+        reader, read = reader[order], read[order]
+        found = []
+        for at in np.unique(lists):
+            own = slice(*np.searchsorted(lists, [at, at + 1]))
+            by = reader[slice(*np.searchsorted(read, [at, at + 1]))]
+            scores = asked[by] @ vectors[own].T
+            if scores.shape[1] > k:  # the k-th score and all above it; of its equals the smaller ids
+                bound = -np.partition(-scores, k - 1, axis=1)[:, k - 1 : k]
+                which, what = np.nonzero(scores >= bound)
+            else:
+                which, what = np.nonzero(np.ones(scores.shape, bool))
+            found.append(_ranked(by[which], cids[own][what], scores[which, what], k))
+        query, cid, score = _ranked(*(np.concatenate(x) for x in zip(*found)), k)
+        return pd.DataFrame({"query_id": queries["query_id"].to_numpy()[query], "cid": cid, "score": score})
 
     return best
 
 
-def _scored(probes: DataFrame, postings: DataFrame, k: int, block: int) -> DataFrame:
-    """probes (list, query_id, q) and postings (list, cid, v) -> the k best of each block pair."""
-    sizes = postings.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("vs"))
-    sizes = materialise(sizes.join(probes.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("qs")), "list"), "lists")
-    every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n).cast("long") - 1))
-    left = probes.join(sizes, "list").withColumn("qb", F.pmod(F.xxhash64("query_id"), F.col("qs").cast("long"))).withColumn("vb", every("vs"))
-    right = postings.join(sizes, "list").withColumn("vb", F.pmod(F.xxhash64("cid"), F.col("vs").cast("long"))).withColumn("qb", every("qs"))
-    key = ["list", "vb", "qb"]
-    return left.select(*key, "query_id", "q").groupBy(*key).cogroup(right.select(*key, "cid", "v").groupBy(*key)).applyInPandas(_best(k), _FOUND)
+def _scored(probes: DataFrame, postings: DataFrame, asked: DataFrame, k: int, block: int) -> DataFrame:
+    """probes (query_id, list), postings (list, cid, v), asked (query_id, q) -> the k best of each query and shard.
+
+    Lists are cut into units of at most about ``block`` rows, and units dealt by hash into
+    shards of about ``SHARD`` units; a query goes to a shard once, with the lists it reads there.
+    """
+    cut = postings.groupBy("list").agg(F.count(F.lit(1)).alias("rows"))
+    cut = materialise(cut.select("list", "rows", F.ceil(F.col("rows") / block).cast("long").alias("units")), "lists")
+    shards = max(1, (cut.agg(F.sum(F.col("rows") / block)).first()[0] or 0) // SHARD)
+    shard = F.pmod(F.xxhash64("list", "unit"), F.lit(int(shards)))
+    units = cut.select("list", F.explode(F.sequence(F.lit(0).cast("long"), F.col("units") - 1)).alias("unit")).select("list", shard.alias("shard")).distinct()
+    left = probes.join(units, "list").groupBy("query_id", "shard").agg(F.collect_set("list").alias("lists")).join(asked, "query_id")
+    parts = max(1, -(-asked.count() // ASKED))
+    left = left.withColumn("part", F.pmod(F.xxhash64("query_id"), F.lit(parts)))
+    right = postings.join(cut.select("list", "units"), "list").withColumn("unit", F.pmod(F.xxhash64("cid"), F.col("units"))).withColumn("shard", shard)
+    right = right.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(parts - 1).cast("long"))))
+    key = ["shard", "part"]
+    return left.groupBy(*key).cogroup(right.select(*key, "list", "cid", "v").groupBy(*key)).applyInPandas(_best(k), _FOUND)
 
 
 def _expanded(found: DataFrame, members: DataFrame, k: int) -> DataFrame:
@@ -235,15 +266,18 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20, lists: int | None
         return listed
 
     postings = distinct.select("cid", "v", F.explode(lists_of(False)("v")).alias("list"))
-    asked = queries.select("query_id", "q", F.explode(lists_of(True)("q")).alias("list"))
+    asked = queries.select("query_id", F.explode(lists_of(True)("q")).alias("list"))
     postings, asked = materialise(postings, "postings"), materialise(asked, "probes")
-    found = materialise(_expanded(_scored(asked, postings, k + 1, block), members, k), "found")
+    found = materialise(_expanded(_scored(asked, postings, queries, k + 1, block), members, k), "found")
 
     # Queries whose lists held too few rows are searched against everything.
     everything = rows.count()
     few = queries.join(found.groupBy("query_id").count(), "query_id", "left").filter(F.coalesce("count", F.lit(0)) < min(k, everything - 1))
-    few = materialise(few.select("query_id", "q", F.lit(0).alias("list")), "few")
-    if not few.limit(1).count():
+    few = materialise(few.select("query_id", "q"), "few")
+    if few.isEmpty():
         return found
-    exact = _expanded(_scored(few, distinct.select("cid", "v", F.lit(0).alias("list")), k + 1, block), members, k)
+    whole = max(1, size.n // block)
+    every = few.select("query_id", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(whole - 1).cast("long"))).alias("list"))
+    dealt = distinct.select("cid", "v", F.pmod(F.xxhash64("cid"), F.lit(whole)).alias("list"))
+    exact = _expanded(_scored(every, dealt, few, k + 1, block), members, k)
     return reduce(DataFrame.unionByName, [found.join(few.select("query_id"), "query_id", "left_anti"), exact])
