@@ -6,8 +6,8 @@ are outside any entity and part the tokens into chains.  Potentials:
 
 * a token's shape (digits, separators, parts, check digit, letters), log-linear;
 * neighbouring tokens of a chain;
-* skip edges between distant tokens that are equal or similar, that is, share their last nine
-  digits, or their letters case-folded.  Each token is joined to the next one like it, so
+* skip edges between distant tokens that are equal or similar, that is, share their last seven
+  digits, or are one address case-folded.  Each token is joined to the next one like it, so
   edges grow with the tokens, not with their pairs.
 
 Tokens of base spans are observed.  Loopy message passing (``ROUNDS`` rounds, damped) over a
@@ -17,7 +17,8 @@ no base span touches become added spans.
 
 Weights are fitted on the tokens of about ``FIT_ROWS`` documents (a hash of the id picks
 them), with the base spans as labels; Spark counts shapes and label pairs first, so the
-driver sees a table of distinct shapes, not tokens.
+driver sees a table of distinct shapes, not tokens.  An unlabelled token that is like a
+labelled one of its document counts as unknown, not as outside, in shapes and skip edges.
 
 Defined cases: a null or empty text has no spans; overlapping spans of different kinds are all
 reported, and masked as one; a table without any entity adds none; repeated rows are each
@@ -140,7 +141,7 @@ def _key(word: str) -> str:
     digits = _DIGITS.sub("", word)
     if "@" in word:
         return word.lower().strip(".,;:!?\"'()[]<>|")
-    return digits[-9:] if len(digits) >= 7 else ""
+    return digits[-7:] if len(digits) >= 7 else ""
 
 
 def _graph(texts, spans: list[list[Span]]) -> tuple:
@@ -185,8 +186,14 @@ def _counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for rows in batches:
         texts = list(rows["text"])
         _, _, shape, label, chain, skip = _graph(texts, [base_spans(t) for t in texts])
-        parts = [np.stack((np.zeros_like(shape), shape, label), axis=1)]
-        parts += [np.concatenate((np.full((len(e), 1), k), label[e]), axis=1) for k, e in ((1, chain), (2, skip))]
+        group = np.arange(len(shape))
+        for a, b in skip.tolist():
+            group[b] = group[a]
+        known = np.zeros(len(shape), bool)
+        known[group[label > 0]] = True
+        sure = (label > 0) | ~known[group]
+        parts = [np.stack((np.zeros_like(shape), shape, label), axis=1)[sure]]
+        parts += [np.concatenate((np.full((len(e), 1), k), label[e]), axis=1) for k, e in ((1, chain), (2, skip[sure[skip].all(axis=1)]))]
         keys, n = np.unique(np.concatenate(parts), axis=0, return_counts=True)
         yield pd.DataFrame({"kind": keys[:, 0], "a": keys[:, 1], "b": keys[:, 2], "n": n})
 
