@@ -9,11 +9,11 @@ from pyspark.sql import functions as F
 
 from burnish.functions.numbers import as_of_literal, clip, holds, is_future
 from burnish.functions.text import trim_ws
-from burnish.operators.profile import col_skewness, outlier_bounds
+from burnish.operators.profile import col_skewness, modes, outlier_bounds
 from burnish.operators.quantiles import Quantile, exact_quantiles, grouped_median
 from burnish.operators.skew import attach
-from burnish.plans.engine import column_mode, mark_imbalances
-from burnish.plans.rules import Balance
+from burnish.plans.engine import mark_imbalances
+from burnish.plans.rules import Balance, literal
 
 
 def keep_where(df: DataFrame, predicate: Column) -> DataFrame:
@@ -68,7 +68,7 @@ def flag_negative(df: DataFrame, column: str, label: str = "NEGATIVE_MONETARY")
 
 
 def flag_outlier(df: DataFrame, column: str, p: float = 0.99, label: str = "OUTLIER_REVIEW") -> DataFrame:
-    bound = exact_quantiles(df, [Quantile("p", column, p)])["p"]
+    bound = exact_quantiles(df, [Quantile("p", f"`{column}`", p)])["p"]
     return flag_when(df, f"{column}_flag", F.col(column) > F.lit(bound), label)
 
 
@@ -101,7 +101,7 @@ def winsorise(
         return df.withColumn(flag, F.lit(None).cast("string"))
     if rate > high:
         return df.withColumn(flag, F.lit("DISTRIBUTION_REVIEW"))
-    bound = F.lit(exact_quantiles(df, [Quantile("p", column, p)])["p"])
+    bound = F.lit(exact_quantiles(df, [Quantile("p", f"`{column}`", p)])["p"])
     c = F.col(column)
     return df.withColumns(
         {column: F.when(c > bound, bound).otherwise(c), flag: F.when(c > bound, F.lit("CAPPED_P99"))}
@@ -135,10 +135,10 @@ def cap_range(df: DataFrame, column: str, lo: float, hi: float, label: str | Non
 
 def median_if_out_of_range(df: DataFrame, cols: list[str], lo: float, hi: float) -> DataFrame:
     """Replace out-of-range values by the median of the column's in-range values."""
-    found = exact_quantiles(df, [Quantile(c, c, 0.5, f"{c} BETWEEN {lo} AND {hi}") for c in cols])
+    found = exact_quantiles(df, [Quantile(c, f"`{c}`", 0.5, f"`{c}` BETWEEN {lo} AND {hi}") for c in cols])
     return df.withColumns(
         {
-            c: F.when((F.col(c) < lo) | (F.col(c) > hi), F.lit(found[c])).otherwise(F.col(c))
+            c: F.when((F.col(f"`{c}`") < lo) | (F.col(f"`{c}`") > hi), F.lit(found[c])).otherwise(F.col(f"`{c}`"))
             for c in cols
         }
     )
@@ -165,8 +165,8 @@ def round_money(df: DataFrame, cols: list[str], decimal: bool = False) -> DataFr
 
 
 def impute_median(df: DataFrame, cols: list[str]) -> DataFrame:
-    found = exact_quantiles(df, [Quantile(c, c) for c in cols])
-    return df.withColumns({c: F.coalesce(F.col(c), F.lit(found[c])) for c in cols})
+    found = exact_quantiles(df, [Quantile(c, f"`{c}`") for c in cols])
+    return df.withColumns({c: F.coalesce(F.col(f"`{c}`"), F.lit(found[c])) for c in cols})
 
 
 def impute_mean(df: DataFrame, cols: list[str]) -> DataFrame:
@@ -183,7 +183,7 @@ def impute_group_median(df: DataFrame, column: str, by: list[str], values: list
     if values is not None:
         (group,) = by
         found = exact_quantiles(
-            df, [Quantile(str(v), column, 0.5, f"{group} = '{v}'") for v in values]
+            df, [Quantile(str(v), f"`{column}`", 0.5, f"`{group}` = {literal(v)}") for v in values]
         )
         filled = reduce(
             lambda out, v: F.when(F.col(group) == v, F.lit(found[str(v)]).cast("double")).otherwise(out),
@@ -200,7 +200,8 @@ def impute_group_median(df: DataFrame, column: str, by: list[str], values: list
 
 
 def impute_mode(df: DataFrame, cols: list[str]) -> DataFrame:
-    return df.withColumns({c: F.coalesce(F.col(c), F.lit(column_mode(df, c))) for c in cols})
+    found = modes(df, cols)
+    return df.withColumns({c: F.coalesce(F.col(f"`{c}`"), F.lit(found[c])) for c in cols})
 
 
 def impute_const(df: DataFrame, cols: list[str], value="UNKNOWN") -> DataFrame:
@@ -212,7 +213,7 @@ def impute_regression(df: DataFrame, target: str, predictor: str) -> DataFrame:
     line = df.agg(
         F.regr_slope(target, predictor).alias("slope"), F.regr_intercept(target, predictor).alias("intercept")
     ).first()
-    median = exact_quantiles(df, [Quantile("m", target)])["m"]
+    median = exact_quantiles(df, [Quantile("m", f"`{target}`")])["m"]
     fitted = F.lit(line["slope"]).cast("double") * F.col(predictor) + F.lit(line["intercept"]).cast("double")
     return df.withColumn(target, F.coalesce(F.col(target), fitted, F.lit(median).cast("double")))
 

@@ -2,48 +2,86 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from burnish.operators.dedupe import dedupe_first, duplicate_rows
 from burnish.operators.profile import value_counts
+from burnish.session import materialise
 
 
-def cell_diff(raw: DataFrame, cleaned: DataFrame, key: list[str], cols: list[str]) -> DataFrame:
+def same_key(left: DataFrame, right: DataFrame, key: list[str], suffix: str) -> Column:
+    """Null-safe equality of the key columns; ``right`` holds them under ``<name><suffix>``."""
+    return reduce(lambda a, b: a & b, [left[f"`{k}`"].eqNullSafe(right[f"`{k}{suffix}`"]) for k in key])
+
+
+def cell_diff(
+    raw: DataFrame,
+    cleaned: DataFrame,
+    key: list[str],
+    cols: list[str],
+    order_by: list[str] | None = None,
+    printed: Callable[[Column, T.DataType], Column] | None = None,
+) -> DataFrame:
     """One row per changed cell: key, column_name, raw and cleaned value, change type.
 
+    Only the first row of a key (by ``order_by``, then all compared columns) is paired; its
+    other copies are ROW_DELETED in the raw table, ROW_ADDED in the cleaned one.  Keys are
+    compared null-safely.  Both sides have one row per key when they meet, so no key is
+    hot in the join.  ``printed`` renders values; the default is their text form.
     Unchanged cells are dropped before the rows are multiplied by their columns.
     """
-    left = raw.select(*key, F.struct(*cols).alias("_r"))
-    right = cleaned.select(*key, F.struct(*cols).alias("_c"))
-    both = left.join(right, key, "full_outer")
-    gone, new = F.col("_c").isNull(), F.col("_r").isNull()
+    show = printed or (lambda value, kind: value.cast("string"))
+    order = order_by or []
+    extra = [c for c in order if c not in key and c not in cols]
+    kinds = {c: raw.schema[c].dataType for c in cols}
+
+    def narrow(df: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
+        df = materialise(df.select(*[F.col(f"`{c}`") for c in dict.fromkeys([*key, *cols, *[x for x in extra if x in df.columns]])]), name)
+        by = [c for c in order if c in df.columns]
+        return dedupe_first(df, key, by), duplicate_rows(df, key, by)
+
+    left, left_copies = narrow(raw, "diff-raw")
+    right, right_copies = narrow(cleaned, "diff-cleaned")
+    values = lambda df, name: F.struct(*[F.col(f"`{c}`") for c in cols]).alias(name)
+    left = left.select(*[F.col(f"`{k}`") for k in key], values(left, "_r"))
+    right = right.select(*[F.col(f"`{k}`").alias(f"{k}_2") for k in key], values(right, "_c"))
+    both = left.join(right, same_key(left, right, key, "_2"), "left")
     cells = [
         F.when(
-            ~gone & ~new & ~F.col(f"_r.{c}").eqNullSafe(F.col(f"_c.{c}")),
+            F.col("_c").isNotNull() & ~F.col(f"_r.`{c}`").eqNullSafe(F.col(f"_c.`{c}`")),
             F.struct(
                 F.lit(c).alias("column_name"),
-                F.col(f"_r.{c}").cast("string").alias("raw_value"),
-                F.col(f"_c.{c}").cast("string").alias("cleaned_value"),
-                F.when(F.col(f"_r.{c}").isNull(), F.lit("FILLED"))
-                .when(F.col(f"_c.{c}").isNull(), F.lit("NULLED"))
+                show(F.col(f"_r.`{c}`"), kinds[c]).alias("raw_value"),
+                show(F.col(f"_c.`{c}`"), kinds[c]).alias("cleaned_value"),
+                F.when(F.col(f"_r.`{c}`").isNull(), F.lit("FILLED"))
+                .when(F.col(f"_c.`{c}`").isNull(), F.lit("NULLED"))
                 .otherwise(F.lit("CHANGED"))
                 .alias("change_type"),
             ),
         )
         for c in cols
     ]
-    row_change = F.when(
-        gone | new,
-        F.struct(
-            F.lit(None).cast("string").alias("column_name"),
-            F.lit(None).cast("string").alias("raw_value"),
-            F.lit(None).cast("string").alias("cleaned_value"),
-            F.when(gone, F.lit("ROW_DELETED")).otherwise(F.lit("ROW_ADDED")).alias("change_type"),
-        ),
-    )
-    return both.select(*key, F.explode(F.array_compact(F.array(row_change, *cells))).alias("_d")).select(*key, "_d.*")
+
+    def whole_row(change: str) -> Column:
+        nothing = F.lit(None).cast("string")
+        return F.struct(
+            nothing.alias("column_name"), nothing.alias("raw_value"), nothing.alias("cleaned_value"),
+            F.lit(change).alias("change_type"),
+        )
+
+    names = [F.col(f"`{k}`") for k in key]
+    paired = both.select(*names, F.explode(F.array_compact(F.array(F.when(F.col("_c").isNull(), whole_row("ROW_DELETED")), *cells))).alias("_d"))
+    added = right.join(left, same_key(left, right, key, "_2"), "left_anti").select(*[F.col(f"`{k}_2`").alias(k) for k in key])
+    rows = [
+        paired.select(*names, "_d.*"),
+        *[df.select(*names, whole_row(change).alias("_d")).select(*names, "_d.*") for df, change in ((left_copies, "ROW_DELETED"), (right_copies, "ROW_ADDED"), (added, "ROW_ADDED"))],
+    ]
+    return reduce(DataFrame.unionByName, rows)
 
 
 def recompute_log(diff: DataFrame, cols: list[str]) -> DataFrame:

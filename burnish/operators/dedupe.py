@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from burnish.operators.skew import attach
 
@@ -17,14 +18,24 @@ def _first(df: DataFrame, keys: list[str], order: list) -> DataFrame:
     )
 
 
+def _sortable(df: DataFrame) -> list[str]:
+    return [f.name for f in df.schema.fields if "map<" not in f.dataType.simpleString() and not isinstance(f.dataType, T.VariantType)]
+
+
+def total_order(df: DataFrame, order_by: list) -> list[Column]:
+    """``order_by`` carried on over the other columns: rows that still tie are exact copies."""
+    given = [F.col(f"`{c}`") if isinstance(c, str) else c for c in order_by]
+    return given + [F.col(f"`{c}`") for c in _sortable(df) if c not in [x for x in order_by if isinstance(x, str)]]
+
+
 def dedupe_first(df: DataFrame, keys: list[str], order_by: list) -> DataFrame:
     """Keep the first row per key; NULL keys form one group like any other value."""
-    return _first(df, keys, order_by)
+    return _first(df, keys, total_order(df, order_by))
 
 
 def dedupe_latest(df: DataFrame, keys: list[str], date: str, order_by: list) -> DataFrame:
     """Keep the row with the latest ``date`` per key; ties go to the first in order."""
-    return _first(df, keys, [F.col(date).desc_nulls_last(), *order_by])
+    return _first(df, keys, [F.col(date).desc_nulls_last(), *total_order(df, order_by)])
 
 
 def drop_null_key(df: DataFrame, key: str) -> DataFrame:
@@ -35,19 +46,24 @@ def duplicate_rows(df: DataFrame, keys: list[str], order_by: list[str]) -> DataF
     """The rows ``dedupe_first`` removes: all but the first per key.
 
     The first position per key is a map-side combined minimum joined back, so no
-    key's rows are gathered in one task.
+    key's rows are gathered in one task.  Rows at the first position are exact copies of
+    the kept one; they are counted, and all but one of them listed.
     """
-    position = F.struct(*order_by)
+    position = F.struct(*[c.alias(f"p{i}") for i, c in enumerate(total_order(df, order_by))])
     safe = [F.coalesce(F.col(k).cast("string"), F.lit("\u0000")).alias(f"_k{i}") for i, k in enumerate(keys)]
     names = [f"_k{i}" for i in range(len(keys))]
     keyed = df.select("*", *safe)
     firsts = keyed.groupBy(*names).agg(F.min(position).alias("_first"), F.count(F.lit(1)).alias("_n"))
     firsts = firsts.filter(F.col("_n") > 1).drop("_n")
-    return (
-        attach(keyed, firsts, names)
-        .filter(F.col("_first").isNotNull() & (position > F.col("_first")))
-        .select(*df.columns)
+    shared = attach(keyed, firsts, names).filter(F.col("_first").isNotNull())
+    later = shared.filter(position > F.col("_first")).select(*df.columns)
+    plain = _sortable(df)
+    copies = shared.filter(position.eqNullSafe(F.col("_first")))
+    copies = copies.groupBy(*[F.col(f"`{c}`") for c in plain]).agg(
+        F.count(F.lit(1)).alias("_n"), *[F.first(F.col(f"`{c}`")).alias(c) for c in df.columns if c not in plain]
     )
+    copies = copies.filter(F.col("_n") > 1).withColumn("_copy", F.explode(F.sequence(F.lit(2), F.col("_n"))))
+    return later.unionByName(copies.select(*df.columns))
 
 
 def key_multiplicity(df: DataFrame, keys: list[str]) -> DataFrame:

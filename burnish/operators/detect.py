@@ -151,13 +151,12 @@ def mixed_category(df: DataFrame, column: str) -> DataFrame:
     )
 
 
-def detect_issues(df: DataFrame, checks: list[Check]) -> DataFrame:
-    """All row checks in one aggregation, one row per check."""
-    present = [c for c in checks if c.column in df.columns]
-    counted = df.agg(
-        F.count(F.lit(1)).alias("total"),
-        *[F.count_if(c.predicate()).alias(f"n{i}") for i, c in enumerate(present)],
-    )
+def issue_counts(checks: list[Check]) -> list[Column]:
+    return [F.count_if(c.predicate()).alias(f"n{i}") for i, c in enumerate(checks)]
+
+
+def issue_rows(counted: DataFrame, checks: list[Check]) -> DataFrame:
+    """One row per check from the row that holds its count and ``total_rows``."""
     rows = [
         F.struct(
             F.lit(c.name).alias("issue"),
@@ -165,13 +164,19 @@ def detect_issues(df: DataFrame, checks: list[Check]) -> DataFrame:
             F.lit(c.dimension).alias("dimension"),
             F.lit(c.severity).alias("severity"),
             F.col(f"n{i}").alias("issue_rows"),
-            F.round(F.try_divide(F.col(f"n{i}") * 100, F.col("total")), 2).alias("pct"),
+            F.round(F.try_divide(F.col(f"n{i}") * 100, F.col("total_rows")), 2).alias("pct"),
         )
-        for i, c in enumerate(present)
+        for i, c in enumerate(checks)
     ]
     return counted.select(F.inline(F.array(*rows)))
 
 
+def detect_issues(df: DataFrame, checks: list[Check]) -> DataFrame:
+    """All row checks in one aggregation, one row per check."""
+    present = [c for c in checks if c.column in df.columns]
+    return issue_rows(df.agg(F.count(F.lit(1)).alias("total_rows"), *issue_counts(present)), present)
+
+
 def issue_summary(issues: DataFrame) -> DataFrame:
     """Issues found and rows concerned per severity."""
     return (
@@ -184,8 +189,11 @@ def issue_summary(issues: DataFrame) -> DataFrame:
 def affected_rows(df: DataFrame, checks: list[Check]) -> DataFrame:
     """Rows with at least one issue."""
     present = [c for c in checks if c.column in df.columns]
-    hit = reduce(lambda a, b: a | b, [c.predicate() for c in present])
-    return df.agg(F.count(F.lit(1)).alias("total_rows"), F.count_if(hit).alias("affected_rows"))
+    return df.agg(F.count(F.lit(1)).alias("total_rows"), affected_count(present))
+
+
+def affected_count(checks: list[Check]) -> Column:
+    return F.count_if(reduce(lambda a, b: a | b, [c.predicate() for c in checks])).alias("affected_rows")
 
 
 def issue_overview(tables: dict[tuple[str, str], DataFrame]) -> DataFrame:

@@ -1,72 +1,89 @@
 """Deterministic defect injection, so cleaning can be regression-tested at any size.
 
-A row is hit when its key falls on one residue of ``every``: the same rows on every
-run and every cluster, with no random state.
+A row is hit by arithmetic on its key: the same rows on every run and every cluster, with
+no random state.  Any rate is met within one key in every run of consecutive keys.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+PARTS = 1_000_000  # rates are whole millionths
+BLOCK = 1_000  # neighbouring keys among which a key is copied
 
-def every_for(pct: float) -> int:
-    """Modulus whose residue classes each hold about ``pct`` percent of the keys."""
-    return max(1, round(100 / pct))
+
+def number_of(df: DataFrame, key: str) -> Column:
+    """The key as a number; text keys are hashed."""
+    return F.col(key).cast("bigint") if isinstance(df.schema[key].dataType, T.IntegralType) else F.xxhash64(key)
 
 
 def hit(df: DataFrame, key: str, every: int, offset: int = 0) -> Column:
-    """True for one key in ``every``; text keys are hashed first."""
-    number = isinstance(df.schema[key].dataType, T.IntegralType)
-    value = F.col(key) if number else F.xxhash64(key)
-    return F.pmod(value, F.lit(every)) == F.lit(offset % every)
+    """True for one key in ``every``."""
+    return F.pmod(number_of(df, key), F.lit(every)) == F.lit(offset % every)
+
+
+def hit_share(df: DataFrame, key: str, pct: float, offset: int = 0) -> Column:
+    """True for ``pct`` percent of the keys, evenly spaced."""
+    share = round(pct * PARTS / 100)
+    return F.pmod(F.pmod(number_of(df, key) - F.lit(offset), F.lit(PARTS)) * F.lit(share), F.lit(PARTS)) < F.lit(share)
 
 
 def inject_nulls(df: DataFrame, column: str, key: str, pct: float, offset: int = 0) -> DataFrame:
-    return _set(df, column, hit(df, key, every_for(pct), offset), F.lit(None))
+    return _set(df, column, hit_share(df, key, pct, offset), F.lit(None))
 
 
 def inject_negatives(df: DataFrame, column: str, key: str, pct: float, offset: int = 0) -> DataFrame:
-    return _set(df, column, hit(df, key, every_for(pct), offset), -F.abs(F.col(column)))
+    return _set(df, column, hit_share(df, key, pct, offset), -F.abs(F.col(column)))
 
 
 def inject_dup_keys(df: DataFrame, column: str, key: str, pct: float) -> DataFrame:
-    """Give the last key of each block the first key of its block (an earlier row's)."""
-    every = every_for(pct)
-    last = F.pmod(F.col(key), F.lit(every)) == F.lit(every - 1)
-    return _set(df, column, last, F.col(column) - F.lit(every - 1))
+    """Give ``pct`` percent of the rows of each block of keys the value of the last row before them that keeps its own.
+
+    Rows are ordered by ``key`` inside a block, so sparse and text keys are copied as well
+    as dense ones; the range of the numbers, or of the hash values, is cut into equal
+    blocks that hold about ``BLOCK`` rows each.
+    """
+    number = number_of(df, key)
+    size = df.agg(F.count(F.lit(1)).alias("n"), F.min(number).alias("lo"), F.max(number).alias("hi")).first()
+    least = size.lo or 0
+    width = max(1, BLOCK * ((size.hi or 0) - least + 1) // max(1, size.n))
+    block = F.floor((number.cast("decimal(38,0)") - F.lit(least).cast("decimal(38,0)")) / F.lit(width).cast("decimal(38,0)")).cast("bigint")
+    placed = df.withColumn("_block", block)
+    by = Window.partitionBy("_block").orderBy(key, column)
+    share = round(pct * PARTS / 100)
+    rank = F.row_number().over(by).cast("bigint") - 1
+    taken = F.floor((rank + 1) * share / PARTS) > F.floor(rank * share / PARTS)
+    placed = placed.withColumn("_taken", taken)
+    upto = by.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    copied = F.coalesce(F.last(F.when(~F.col("_taken"), F.col(column)), ignorenulls=True).over(upto), F.col(column))
+    return placed.withColumn("_copied", copied).drop("_block", "_taken", column).withColumnRenamed("_copied", column).select(*df.columns)
 
 
 def inject_range(df: DataFrame, column: str, key: str, values: list[float], pct: float) -> DataFrame:
     """Out-of-range values, taken in turn from ``values``."""
-    every = every_for(pct) * len(values)
-    step = every // len(values)
-    return df.withColumn(
-        column,
-        reduce(
-            lambda out, i: F.when(hit(df, key, every, i * step), F.lit(values[i])).otherwise(out),
-            range(len(values)),
-            F.col(column),
-        ),
-    )
+    share = round(pct * PARTS / 100)
+    turn = F.pmod(F.floor(F.pmod(number_of(df, key), F.lit(PARTS * len(values))) * F.lit(share) / PARTS), F.lit(len(values)))
+    value = F.get(F.array(*[F.lit(v) for v in values]), turn.cast("int"))
+    return df.withColumn(column, F.when(hit_share(df, key, pct), value).otherwise(F.col(column)))
 
 
 def inject_reversed(df: DataFrame, start: str, end: str, key: str, pct: float, days: int = 7) -> DataFrame:
     """Put ``end`` ``days`` before ``start``."""
     early = F.col(start) - F.make_dt_interval(F.lit(days))
-    return _set(df, end, hit(df, key, every_for(pct)), early)
+    return _set(df, end, hit_share(df, key, pct), early)
 
 
 def inject_dates(df: DataFrame, column: str, key: str, value: str, pct: float) -> DataFrame:
-    return _set(df, column, hit(df, key, every_for(pct)), F.lit(value).cast(df.schema[column].dataType))
+    return _set(df, column, hit_share(df, key, pct), F.lit(value).cast(df.schema[column].dataType))
 
 
 def inject_variants(df: DataFrame, column: str, key: str, variants: list[str]) -> DataFrame:
     """Spread the rows over spellings of one value."""
-    at = F.pmod(F.col(key), F.lit(len(variants)))
+    at = F.pmod(number_of(df, key), F.lit(len(variants)))
     choice = F.get(F.array(*[F.lit(v) for v in variants]), at.cast("int"))
     return df.withColumn(column, choice)
 
@@ -91,18 +108,17 @@ def inject_padding(df: DataFrame, column: str, key: str, every: int) -> DataFram
 
 
 def inject_orphans(df: DataFrame, column: str, key: str, pct: float, shift: int = 1_000_000_000) -> DataFrame:
-    return _set(df, column, hit(df, key, every_for(pct)), F.col(column) + F.lit(shift))
+    return _set(df, column, hit_share(df, key, pct), F.col(column) + F.lit(shift))
 
 
 def inject_identity(df: DataFrame, column: str, key: str, factor: float, pct: float) -> DataFrame:
     """Break an arithmetic identity by scaling one side."""
-    return _set(df, column, hit(df, key, every_for(pct)), F.col(column) * F.lit(factor))
+    return _set(df, column, hit_share(df, key, pct), F.col(column) * F.lit(factor))
 
 
 def inject_imbalance(df: DataFrame, column: str, group: str, key: str, pct: float, factor: float = 1.1) -> DataFrame:
     """Scale one side of the rows hit inside groups hit, leaving those groups unbalanced."""
-    every = every_for(pct)
-    return _set(df, column, hit(df, group, every) & hit(df, key, 2), F.col(column) * F.lit(factor))
+    return _set(df, column, hit_share(df, group, pct) & hit(df, key, 2), F.col(column) * F.lit(factor))
 
 
 def inject_text_noise(df: DataFrame, column: str, key: str, kind: str, every: int, other: str | None = None) -> DataFrame:
@@ -119,7 +135,7 @@ def inject_text_noise(df: DataFrame, column: str, key: str, kind: str, every: in
 
 
 def inject_outliers(df: DataFrame, column: str, key: str, factor: float, pct: float) -> DataFrame:
-    return _set(df, column, hit(df, key, every_for(pct)), F.col(column) * F.lit(factor))
+    return _set(df, column, hit_share(df, key, pct), F.col(column) * F.lit(factor))
 
 
 def _set(df: DataFrame, column: str, where: Column, value: Column) -> DataFrame:

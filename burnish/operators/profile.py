@@ -14,13 +14,17 @@ from burnish.functions.text import trim_ws
 from burnish.operators.quantiles import Quantile, exact_quantiles
 
 
+# Column pairs of one aggregation.
+PAIRS_AT_ONCE = 500
+
+
 def _numeric(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]
 
 
 def _cells(df: DataFrame, cols: list[str]) -> DataFrame:
     """(column_name, value as text), one row per cell."""
-    items = [F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value")) for c in cols]
+    items = [F.struct(F.lit(c).alias("column_name"), F.col(f"`{c}`").cast("string").alias("value")) for c in cols]
     return df.select(F.inline(F.array(*items)))
 
 
@@ -158,7 +162,7 @@ def col_skewness(df: DataFrame, cols: list[str]) -> DataFrame:
 
 
 def col_quantile(df: DataFrame, cols: list[str], p: float) -> DataFrame:
-    found = exact_quantiles(df, [Quantile(c, c, p) for c in cols])
+    found = exact_quantiles(df, [Quantile(c, f"`{c}`", p) for c in cols])
     return df.sparkSession.createDataFrame(
         [(c, p, found[c]) for c in cols], "column_name string, p double, quantile double"
     )
@@ -169,17 +173,37 @@ def col_median(df: DataFrame, cols: list[str]) -> DataFrame:
 
 
 def col_mode(df: DataFrame, cols: list[str]) -> DataFrame:
-    """Most frequent value per column, lowest on a tie."""
-    counted = (
-        _cells(df, cols).filter("value IS NOT NULL").groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n"))
-    )
+    """Most frequent value per column as text, lowest on a tie; all columns counted in one shuffle.
+
+    Ties are settled on the value, not on its text: 9 is lower than 10.
+    """
+
+    def cell(c: str) -> Column:
+        kind, value = df.schema[c].dataType, F.col(f"`{c}`")
+        whole = isinstance(kind, (T.IntegralType, T.DecimalType))
+        return F.struct(
+            F.lit(c).alias("column_name"),
+            value.cast("string").alias("value"),
+            (value.cast("decimal(38,9)") if whole else F.lit(None).cast("decimal(38,9)")).alias("exact"),
+            (value.cast("double") if isinstance(kind, T.NumericType) else F.lit(None).cast("double")).alias("number"),
+        )
+
+    cells = df.select(F.inline(F.array(*[cell(c) for c in cols]))).filter("value IS NOT NULL")
+    counted = cells.groupBy("column_name", "value", "exact", "number").agg(F.count(F.lit(1)).alias("n"))
     # Highest count first; among equals the lowest value.
-    top = counted.groupBy("column_name").agg(F.max("n").alias("n"))
-    return (
-        counted.join(F.broadcast(top), ["column_name", "n"])
-        .groupBy("column_name")
-        .agg(F.min("value").alias("mode"), F.first("n").alias("rows"))
+    place = F.struct(-F.col("n"), F.col("exact"), F.col("number"), F.col("value"))
+    return counted.groupBy("column_name").agg(F.min_by("value", place).alias("mode"), F.max("n").alias("rows"))
+
+
+def modes(df: DataFrame, cols: list[str]) -> dict:
+    """Mode of each column in its own type; None for a column without values."""
+    if not cols:
+        return {}
+    found = {r["column_name"]: r["mode"] for r in col_mode(df, cols).collect()}
+    row = df.sparkSession.range(1).select(
+        *[F.lit(found.get(c)).cast(df.schema[c].dataType).alias(f"m{i}") for i, c in enumerate(cols)]
     )
+    return dict(zip(cols, row.first()))
 
 
 def correlations(df: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
@@ -195,7 +219,7 @@ def correlations(df: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
 def outlier_bounds(df: DataFrame, cols: list[str], width: float = 3.0) -> dict[str, float | None]:
     """Upper fence Q3 + width x IQR per column."""
     found = exact_quantiles(
-        df, [Quantile(f"{c}|{q}", c, q) for c in cols for q in (0.25, 0.75)]
+        df, [Quantile(f"{c}|{q}", f"`{c}`", q) for c in cols for q in (0.25, 0.75)]
     )
     out = {}
     for c in cols:
@@ -265,10 +289,11 @@ def contradictions(df: DataFrame, constraints: dict[str, str]) -> DataFrame:
 
 
 def correlated_pairs(df: DataFrame, cols: list[str] | None = None, threshold: float = 0.7) -> DataFrame:
-    """Column pairs with |r| above the threshold."""
+    """Column pairs with |r| above the threshold; many pairs are computed a chunk at a time."""
     cols = cols or _numeric(df)
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1 :]]
-    return correlations(df, pairs).filter(F.abs("r") > threshold)
+    chunks = [pairs[i : i + PAIRS_AT_ONCE] for i in range(0, max(len(pairs), 1), PAIRS_AT_ONCE)]
+    return reduce(DataFrame.unionByName, [correlations(df, chunk).filter(F.abs("r") > threshold) for chunk in chunks])
 
 
 def numeric_summary(df: DataFrame, cols: list[str]) -> DataFrame:

@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from burnish.operators.skew import attach
+from burnish.session import materialise
 
 ACCURACY = 10_000
 # Values of one bracket that may meet in the final ordered pass.
@@ -158,43 +159,86 @@ def _pick(values: DataFrame, live: dict[int, dict]) -> dict[int, tuple[float, fl
     return {i: (s["low"], s["high"]) for i, s in found.items() if len(s) == 2}
 
 
-def grouped_median(df: DataFrame, by: list[str], value: str, name: str) -> DataFrame:
+# Parts a group's bracket is cut into when too many of its values fall inside.
+PARTS = 1_024
+
+
+def grouped_median(df: DataFrame, by: list[str], value: str, name: str, slack: float | None = None) -> DataFrame:
     """Exact median of ``value`` per group: (by…, name), for any number of groups.
 
-    The bracket of each group comes from a sketch aggregated map-side; only values in
-    the bracket are then ordered, so a hot group orders a thousandth of its values.
-    The sketch's rank error is at most 1 / ACCURACY; the bracket allows five times that.
+    The bracket of each group comes from a sketch aggregated map-side.  If a group is so
+    large that its bracket holds more than ``BRACKET_ROWS`` values, the brackets are cut
+    into ``PARTS`` equal ranges, counted map-side, and only the ranges that hold the middle
+    ranks are ordered.  A group whose bracket missed a rank is redone with a wider one.
     """
-    slack = 5.0 / ACCURACY
+    slack = 5.0 / ACCURACY if slack is None else slack
     # NULL group members take part like any other: compare on a null-free copy.
     names = [f"_g{i}" for i in range(len(by))]
-    keyed = df.filter(F.col(value).isNotNull()).select(
-        *[F.coalesce(F.col(c).cast("string"), F.lit("\u0000")).alias(g) for c, g in zip(by, names)],
-        *[F.col(c) for c in by],
-        F.col(value).cast("double").alias("_v"),
+    keyed = df.filter(F.col(f"`{value}`").isNotNull()).select(
+        *[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("\u0000")).alias(g) for c, g in zip(by, names)],
+        *[F.col(f"`{c}`") for c in by],
+        F.col(f"`{value}`").cast("double").alias("_v"),
     )
+    low_share, high_share = max(0.0, 0.5 - slack), min(1.0, 0.5 + slack)
     brackets = keyed.groupBy(*names).agg(
         F.count(F.lit(1)).alias("_rows"),
-        F.percentile_approx("_v", [0.5 - slack, 0.5 + slack], F.lit(ACCURACY)).alias("_b"),
+        F.percentile_approx("_v", [low_share, high_share], F.lit(ACCURACY)).alias("_b"),
+    )
+    low, high = F.floor((F.col("_rows") - 1) / 2), F.ceil((F.col("_rows") - 1) / 2)
+    if low_share == 0.0:  # nothing left to miss
+        brackets = brackets.withColumn("_b", F.array(F.lit(-math.inf), F.lit(math.inf)))
+    brackets = materialise(brackets.select(*names, "_rows", F.col("_b")[0].alias("_lo"), F.col("_b")[1].alias("_hi")), "brackets")
+    most = brackets.agg(F.max("_rows")).first()[0] or 0
+    if most * 2 * slack > BRACKET_ROWS and low_share > 0.0:
+        brackets = _cut(keyed, brackets, names, low, high)
+    joined = attach(keyed, brackets, names).filter(F.col("_v") <= F.col("_hi"))
+    histogram = joined.groupBy(*names, "_rows", F.when(F.col("_v") >= F.col("_lo"), F.col("_v")).alias("_v")).agg(
+        F.count(F.lit(1)).alias("_n"), *[F.first(F.col(f"`{c}`")).alias(c) for c in by]
     )
-    joined = attach(keyed, brackets, names).filter(F.col("_v") <= F.col("_b")[1])
-    histogram = joined.groupBy(
-        *names, "_rows", F.when(F.col("_v") >= F.col("_b")[0], F.col("_v")).alias("_v")
-    ).agg(F.count(F.lit(1)).alias("_n"), *[F.first(c).alias(c) for c in by])
     ordered = Window.partitionBy(*names).orderBy(F.col("_v").asc_nulls_first())
     upto = F.sum("_n").over(ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    low, high = F.floor((F.col("_rows") - 1) / 2), F.ceil((F.col("_rows") - 1) / 2)
     ranked = histogram.withColumn("_stop", upto).withColumn("_start", F.col("_stop") - F.col("_n"))
     weight = F.when((low >= F.col("_start")) & (low < F.col("_stop")), 1).otherwise(0) + F.when(
         (high >= F.col("_start")) & (high < F.col("_stop")), 1
     ).otherwise(0)
-    return (
+    found = (
         ranked.withColumn("_w", weight)
         .filter((F.col("_w") > 0) & F.col("_v").isNotNull())
         .groupBy(*names)
         .agg(
-            *[F.first(c).alias(c) for c in by],
+            *[F.first(F.col(f"`{c}`")).alias(c) for c in by],
+            F.sum("_w").alias("_found"),
             (F.sum(F.col("_v") * F.col("_w")) / F.sum("_w")).alias(name),
         )
-        .select(*by, name)
+    )
+    found = materialise(found.filter("_found = 2"), "medians")
+    done = found.select(*[F.col(f"`{c}`") for c in by], name)
+    missed = brackets.join(found, names, "left_anti").select(*names)
+    if low_share == 0.0 or missed.isEmpty():
+        return done
+    texts = [F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("\u0000")).alias(g) for c, g in zip(by, names)]
+    again = df.select("*", *texts).join(missed, names, "left_semi").select(*df.columns)
+    return done.unionByName(grouped_median(again, by, value, name, slack * 8))
+
+
+def _cut(keyed: DataFrame, brackets: DataFrame, names: list[str], low: Column, high: Column) -> DataFrame:
+    """Brackets shrunk to the equal ranges that hold the two middle ranks."""
+    wide = F.col("_hi") - F.col("_lo")
+    part = F.when(F.col("_v") < F.col("_lo"), -1).when(wide <= 0, 0).otherwise(
+        F.least(F.floor((F.col("_v") - F.col("_lo")) / wide * PARTS), F.lit(PARTS - 1))
+    )
+    inside = attach(keyed, brackets, names).filter(F.col("_v") <= F.col("_hi"))
+    counted = inside.groupBy(*names, "_rows", part.cast("int").alias("_p")).agg(
+        F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_least"), F.max("_v").alias("_most")
+    )
+    by = Window.partitionBy(*names).orderBy("_p").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = counted.withColumn("_stop", F.sum("_n").over(by)).filter("_p >= 0")
+    start = F.col("_stop") - F.col("_n")
+    holds = ((low >= start) & (low < F.col("_stop"))) | ((high >= start) & (high < F.col("_stop")))
+    shrunk = ranked.filter(holds).groupBy(*names).agg(F.min("_least").alias("_lo2"), F.max("_most").alias("_hi2"))
+    return materialise(
+        brackets.join(shrunk, names, "left").select(
+            *names, "_rows", F.coalesce("_lo2", "_lo").alias("_lo"), F.coalesce("_hi2", "_hi").alias("_hi")
+        ),
+        "brackets",
     )

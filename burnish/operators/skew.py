@@ -25,9 +25,15 @@ SALTS = 64
 
 
 def is_small(df: DataFrame, max_rows: int | None = None) -> bool:
-    """True when ``df`` is within the broadcast limits, by counted rows and text bytes."""
+    """True when ``df`` is within the broadcast limits, by counted rows and bytes of varying size."""
     limit = BROADCAST_ROWS if max_rows is None else max_rows
-    text = [F.sum(F.octet_length(f.name)) for f in df.schema.fields if isinstance(f.dataType, (T.StringType, T.BinaryType))]
+    nested = (T.StructType, T.ArrayType, T.MapType)
+    text = [
+        F.sum(F.octet_length(name.cast("string") if isinstance(f.dataType, nested) else name))
+        for f in df.schema.fields
+        if isinstance(f.dataType, (T.StringType, T.BinaryType, *nested))
+        for name in [F.col(f"`{f.name}`")]
+    ]
     row = df.agg(F.count(F.lit(1)), *text).first()
     return row[0] <= limit and sum(x or 0 for x in row[1:]) <= BROADCAST_TEXT_BYTES
 
@@ -51,8 +57,9 @@ def attach(
     The lookup is an aggregate, so it is computed once, stored, and measured.  A small
     one is broadcast and ``df`` is not shuffled.  A larger one is joined by shuffle; if
     some keys are hot their rows are spread over ``salts`` partitions and only the hot
-    lookup rows are repeated.  The salt is the input partition number, so a task run
-    again after an executor loss salts the same way.
+    lookup rows are repeated.  The salt is a hash of the row's other columns, moved by the
+    input partition number for exact copies, so a task run again after an executor loss
+    salts the same way and input clustered by the key is spread all the same.
     """
     added = [c for c in lookup.columns if c not in on]
     lookup = materialise(lookup, "lookup")
@@ -70,7 +77,9 @@ def attach(
         same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(h)) for c, h in zip(on, marked)])
         return frame.join(F.broadcast(hot_frame), same, "left").drop(*marked)
 
-    spread = F.when(F.col("_hot"), F.pmod(F.spark_partition_id(), F.lit(salts))).otherwise(F.lit(0))
+    plain = [F.col(f"`{f.name}`") for f in df.schema.fields if f.name not in on and not isinstance(f.dataType, T.MapType)]
+    own = F.xxhash64(*plain) if plain else F.lit(0).cast("bigint")
+    spread = F.when(F.col("_hot"), F.pmod(own + F.spark_partition_id(), F.lit(salts)).cast("int")).otherwise(F.lit(0))
     copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
     salted = mark(df).withColumn("_salt", spread).drop("_hot")
     repeated = mark(lookup).withColumn("_salt", F.explode(copies)).drop("_hot")

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from burnish.functions.aggregates import pearson
 from burnish.functions.numbers import holds
 from burnish.operators.dedupe import dedupe_first, duplicate_rows
+from burnish.operators.profile import modes
 from burnish.operators.quantiles import Quantile, exact_quantiles
 from burnish.operators.skew import attach
 from burnish.plans.rules import (
@@ -40,14 +41,16 @@ def compute_stats(df: DataFrame, stats: list[Stat]) -> dict:
     """All statistics of a table: quantiles together, plain aggregates together."""
     stats = list({s.name: s for s in stats}.values())
     quantiles = [s for s in stats if s.kind == "quantile"]
-    modes = [s for s in stats if s.kind == "mode"]
+    counted = [s for s in stats if s.kind == "mode"]
     plain = [s for s in stats if s.kind not in ("quantile", "mode")]
     out = exact_quantiles(df, [Quantile(s.name, s.value, s.q, s.where) for s in quantiles])
     if plain:
         row = df.agg(*[_aggregate(s).alias(f"a{i}") for i, s in enumerate(plain)]).first()
         out.update({s.name: row[f"a{i}"] for i, s in enumerate(plain)})
-    for s in modes:
-        out[s.name] = column_mode(df.select(_stat_value(s).alias("v")), "v")
+    if counted:
+        values = df.select(*[_stat_value(s).alias(f"m{i}") for i, s in enumerate(counted)])
+        found = modes(values, values.columns)
+        out.update({s.name: found[f"m{i}"] for i, s in enumerate(counted)})
     return out
 
 
@@ -86,19 +89,6 @@ def _stat_value(stat: Stat) -> Column:
     return value if stat.where is None else F.when(F.expr(stat.where), value)
 
 
-def column_mode(df: DataFrame, column: str):
-    """Most frequent value, lowest on a tie; counted map-side, only the winner moves."""
-    row = (
-        df.filter(F.col(column).isNotNull())
-        .groupBy(column)
-        .count()
-        .orderBy(F.desc("count"), F.asc(column))
-        .limit(1)
-        .first()
-    )
-    return None if row is None else row[0]
-
-
 def mark_orphans(df: DataFrame, ref: Reference, master: DataFrame) -> DataFrame:
     """Boolean ``ref.mark``: the key is not NULL and not in the master."""
     keys = (

@@ -7,12 +7,11 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 
-from burnish.operators.detect import detect_issues
 from burnish.operators.profile import profile_columns, profile_metadata
 from burnish.plans.decide import decide, measure, recommendations
 from burnish.plans.domains import Domain
 from burnish.plans.engine import Cleaned, audit_totals
-from burnish.plans.score import compare_scores, score_layers, score_table, with_marks
+from burnish.plans.score import compare_scores, measure_layer, score_layers
 from burnish.sources.load import profile_document, report_row
 
 
@@ -26,6 +25,7 @@ class Prepared:
     scores: DataFrame
     audit: DataFrame
     issues: DataFrame
+    affected: DataFrame
 
     def report(self, as_of: str | None = None) -> DataFrame:
         """Row of the quality-reports table with the nested profile document."""
@@ -44,11 +44,9 @@ def prepare(df: DataFrame, domain: Domain, masters: dict[str, DataFrame] | None
     """Clean one table, write it once with its audit counted in the same job, score both layers."""
     result = domain.clean(df, masters, **options)
     cleaned = result.store(f"clean-{domain.name}")
-    scores = score_layers(
-        {"raw": score_table(df, domain, masters), "cleaned": score_table(cleaned, domain, masters)}, domain.name
-    )
-    issues = detect_issues(with_marks(df, domain, masters), domain.checks)
-    return Prepared(domain.name, result, cleaned, scores, result.audit(), issues)
+    before, after = (measure_layer(layer, domain, masters) for layer in (df, cleaned))
+    scores = score_layers({"raw": before.scores, "cleaned": after.scores}, domain.name)
+    return Prepared(domain.name, result, cleaned, scores, result.audit(), before.issues, before.affected)
 
 
 def run(

@@ -8,6 +8,8 @@ from __future__ import annotations
 
 import json
 from dataclasses import asdict, dataclass, field
+from datetime import date, datetime
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -136,6 +138,16 @@ def literal(value) -> str:
         return "CAST(NULL AS DOUBLE)"
     if isinstance(value, str):
         return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    if isinstance(value, bool):
+        return str(value).upper()
+    if isinstance(value, int):
+        return f"{value}L" if -(2**63) < value < 2**63 else f"CAST('{value}' AS DECIMAL(38,0))"
+    if isinstance(value, Decimal):
+        return f"CAST('{value:f}' AS DECIMAL(38,{max(0, -value.as_tuple().exponent)}))"
+    if isinstance(value, datetime):
+        return f"TIMESTAMP_NTZ'{value.replace(tzinfo=None).isoformat(sep=' ')}'"
+    if isinstance(value, date):
+        return f"DATE'{value.isoformat()}'"
     return f"CAST('{float(value)!r}' AS DOUBLE)"
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -9,10 +10,12 @@ from pyspark.sql import functions as F
 
 from burnish.functions.numbers import holds
 from burnish.operators.dedupe import key_multiplicity
+from burnish.operators.detect import affected_count, issue_counts, issue_rows
 from burnish.operators.profile import null_cells
 from burnish.plans.domains import Domain
 from burnish.plans.engine import mark_imbalances, mark_orphans
 from burnish.plans.rules import Check
+from burnish.session import materialise
 
 # Weights and grade scales the results are defined by.
 WEIGHTS = {"completeness": 0.25, "validity": 0.25, "uniqueness": 0.20, "consistency": 0.20, "accuracy": 0.10}
@@ -42,27 +45,36 @@ def uniqueness(df: DataFrame, keys: list[str], extra_only: bool = False) -> Data
     )
 
 
-def score_dimensions(df: DataFrame, checks: list[Check], keys: list[str], extra_only: bool = False) -> DataFrame:
-    """One row: total rows and the five dimension scores.
-
-    A row fails a dimension when any of its checks fires; four dimensions share one
-    pass, uniqueness counts keys without joining back to the rows.
-    """
+def _passing(df: DataFrame, checks: list[Check]) -> list[Column]:
+    """Total rows, and the rows that pass each dimension but uniqueness."""
     aggs = [F.count(F.lit(1)).alias("total_rows")]
     for dimension in WEIGHTS:
         tests = [c.predicate() for c in checks if c.dimension == dimension and c.column in df.columns]
         if dimension != "uniqueness":
             fails = reduce(lambda a, b: a | b, tests) if tests else F.lit(False)
             aggs.append(F.count_if(~fails).alias(f"_{dimension}"))
-    unique = uniqueness(df, keys, extra_only).select("uniqueness")
-    columns = []
-    for dimension in WEIGHTS:
-        if dimension == "uniqueness":
-            columns.append(unique.scalar().alias("uniqueness"))
-        else:
-            passing = F.col(f"_{dimension}")
-            columns.append(F.try_divide(passing * 100, F.col("total_rows")).alias(dimension))
-    return df.agg(*aggs).select("total_rows", *columns)
+    return aggs
+
+
+def _dimensions(counted: DataFrame, unique: Column) -> DataFrame:
+    columns = [
+        unique.alias(d) if d == "uniqueness" else F.try_divide(F.col(f"_{d}") * 100, F.col("total_rows")).alias(d)
+        for d in WEIGHTS
+    ]
+    return counted.select("total_rows", *columns)
+
+
+def score_dimensions(
+    df: DataFrame, checks: list[Check], keys: list[str], extra_only: bool = False, bare: DataFrame | None = None
+) -> DataFrame:
+    """One row: total rows and the five dimension scores.
+
+    A row fails a dimension when any of its checks fires; four dimensions share one
+    pass, uniqueness counts keys without joining back to the rows.  ``bare`` is the frame
+    without marks: keys are counted there, so the joins behind the marks run once.
+    """
+    unique = uniqueness(df if bare is None else bare, keys, extra_only).select("uniqueness")
+    return _dimensions(df.agg(*_passing(df, checks)), unique.scalar())
 
 
 def overall_score(dims: DataFrame, weights: dict[str, float] | None = None, scale: str = "framework") -> DataFrame:
@@ -89,7 +101,36 @@ def score_table(
     scale: str = "framework",
 ) -> DataFrame:
     marked = with_marks(df, domain, masters)
-    return overall_score(score_dimensions(marked, domain.checks, list(domain.key)), weights, scale)
+    return overall_score(score_dimensions(marked, domain.checks, list(domain.key), bare=df), weights, scale)
+
+
+@dataclass
+class Measured:
+    """What one pass over a marked layer tells: one score row, issue rows, affected rows."""
+
+    scores: DataFrame
+    issues: DataFrame
+    affected: DataFrame
+
+
+def measure_layer(
+    df: DataFrame,
+    domain: Domain,
+    masters: dict[str, DataFrame] | None = None,
+    weights: dict[str, float] | None = None,
+    scale: str = "framework",
+) -> Measured:
+    """Score, issues and affected rows of a layer: marked once, aggregated once, stored as one row."""
+    marked = with_marks(df, domain, masters)
+    checks = [c for c in domain.checks if c.column in marked.columns]
+    counted = marked.agg(*_passing(marked, checks), *issue_counts(checks), affected_count(checks))
+    unique = uniqueness(df, list(domain.key)).select("uniqueness").scalar()
+    counted = materialise(counted.withColumn("_unique", unique), "measured")
+    return Measured(
+        overall_score(_dimensions(counted, F.col("_unique")), weights, scale),
+        issue_rows(counted, checks),
+        counted.select("total_rows", "affected_rows"),
+    )
 
 
 def score_layers(layers: dict[str, DataFrame], table: str) -> DataFrame:

@@ -25,12 +25,46 @@ inject(
     ["o_orderkey", "o_totalprice"],
     "o_orderkey, CASE WHEN o_orderkey % 50 = 1 THEN -abs(o_totalprice) ELSE o_totalprice END AS o_totalprice",
 )
-inject(
-    "l3_inject_dup_keys", "orders",
-    lambda df: I.inject_dup_keys(df.withColumn("order_id", F.col("o_orderkey")), "order_id", "o_orderkey", 1),
-    ["o_orderkey", "order_id"],
-    "o_orderkey, CASE WHEN o_orderkey % 100 = 99 THEN o_orderkey - 99 ELSE o_orderkey END AS order_id",
-)
+def _dup_sql(key: str, pct: int) -> str:
+    """Within a block of about 1000 rows, every so many take the key of the last row that keeps its own."""
+    return (
+        "o_orderkey, coalesce(last_value(CASE WHEN NOT taken THEN k END IGNORE NULLS) OVER (PARTITION BY b ORDER BY o_orderkey "
+        "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), k) AS order_id FROM "
+        f"(SELECT o_orderkey, b, {key} AS k, (r + 1) * {pct} // 100 > r * {pct} // 100 AS taken FROM "
+        "(SELECT o_orderkey, b, row_number() OVER (PARTITION BY b ORDER BY o_orderkey) - 1 AS r FROM (SELECT o_orderkey, (o_orderkey - lo) // w AS b "
+        "FROM orders, (SELECT min(o_orderkey) AS lo, greatest(1, 1000 * (max(o_orderkey) - min(o_orderkey) + 1) // count(*)) AS w FROM orders))))"
+    )
+
+
+def _dup(name: str, key: str, pct: int) -> None:
+    def run(spark, sf_dir):
+        df = table(spark, sf_dir, "orders").select("o_orderkey", F.expr(key).alias("order_id"))
+        return I.inject_dup_keys(df, "order_id", "o_orderkey", pct)
+
+    query(name, f"SELECT {_dup_sql(key, pct)}")(run)
+
+
+_dup("l3_inject_dup_keys", "o_orderkey", 1)
+_dup("l3_inject_dup_keys_8pct", "o_orderkey", 8)
+_dup("l3_inject_dup_keys_40pct_sparse", "o_orderkey * 7919", 40)
+
+
+def _rate(name: str, source: str, key: str, column: str, pct: int, fn, sql: str) -> None:
+    """A rate that divides no hundred: still exact within one key per run of keys."""
+    shown = f"{key}, CASE WHEN ({key} * {pct * 10_000}) % 1000000 < {pct * 10_000} THEN {sql} ELSE {column} END AS {column}"
+    inject(name, source, lambda df: fn(df, column, key, pct), [key, column], shown)
+
+
+for _pct in (8, 40):
+    _rate(f"l1_inject_nulls_{_pct}pct", "customer", "c_custkey", "c_acctbal", _pct, I.inject_nulls, "NULL")
+    _rate(f"l2_inject_negatives_{_pct}pct", "orders", "o_orderkey", "o_totalprice", _pct, I.inject_negatives, "-abs(o_totalprice)")
+    _rate(f"l9_inject_orphans_{_pct}pct", "orders", "o_orderkey", "o_custkey", _pct, I.inject_orphans, "o_custkey + 1000000000")
+    _rate(
+        f"l13_inject_outliers_{_pct}pct", "orders", "o_orderkey", "o_totalprice", _pct,
+        lambda df, c, k, p: I.inject_outliers(df, c, k, 10.0, p), "o_totalprice * 1e1",
+    )
+
+
 inject(
     "l4_inject_range", "events", lambda df: I.inject_range(df, "value", "event_id", [900.0, -90.0], 1),
     ["event_id", "value"],

@@ -74,14 +74,57 @@ def _permissive(spark, sf_dir):
 
 @query(
     "a4_infer_types",
-    "SELECT 'o_orderkey' AS column_name, 'bigint' AS data_type UNION ALL SELECT 'o_custkey', 'bigint' UNION ALL "
-    "SELECT 'o_orderstatus', 'string' UNION ALL SELECT 'o_totalprice', 'double' UNION ALL SELECT 'order_date', 'timestamp_ntz' "
-    "UNION ALL SELECT 'o_orderpriority', 'string'",
+    "SELECT column_name, CASE WHEN column_name IN ('o_orderkey', 'o_custkey') THEN 'bigint' WHEN column_name = 'o_totalprice' THEN 'double' "
+    "WHEN column_name = 'order_date' THEN 'timestamp_ntz' ELSE 'string' END AS data_type, "
+    "regexp_matches(lower(column_name), '(?:^|_)(?:date|timestamp|time)(?:_|$)|_at$') AS temporal_name "
+    "FROM (DESCRIBE SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate AS order_date, o_orderpriority FROM orders)",
 )
 def _infer(spark, sf_dir):
     path = shared_path(spark, "csv-orders")
     S.write_csv(table(spark, sf_dir, "orders").withColumnRenamed("o_orderdate", "order_date"), path)
-    return Y.infer_types(S.read_csv_table(spark, path), None).select("column_name", "data_type")
+    text = S.read_csv_table(spark, path)
+    moments = [c for c in text.columns if Y.is_temporal_name(c)]
+    return Y.infer_types(text).select("column_name", "data_type", F.col("column_name").isin(moments).alias("temporal_name"))
+
+
+def _inferred(spark, df, column: str):
+    """Type inferred for one column of a written CSV, and what the casts then keep and reject."""
+    path = shared_path(spark, "csv-inferred")
+    S.write_csv(df, path)
+    text = S.read_csv_table(spark, path)
+    types = Y.inferred_schema(Y.infer_types(text))
+    ok, rejected = Y.cast_or_reject(text, types)
+    kept = ok.agg(F.count(F.lit(1)).alias("loaded_rows"), F.max(F.col(column).cast("string")).alias("largest"))
+    lost = rejected.agg(F.count(F.lit(1)).alias("n")).scalar()
+    return kept.select(F.lit(types[column]).alias("data_type"), "loaded_rows", lost.alias("rejected_rows"), "largest")
+
+
+_LATE = "CASE WHEN l_orderkey * 10 > {most} * 9 THEN concat('C', CAST(l_orderkey AS {text})) ELSE CAST(l_orderkey AS {text}) END"
+
+
+@query(
+    "a4_infer_types_late_text",
+    "SELECT 'string' AS data_type, count(*) AS loaded_rows, CAST(0 AS BIGINT) AS rejected_rows, max("
+    + _LATE.format(most="(SELECT max(l_orderkey) FROM lineitem)", text="VARCHAR")
+    + ") AS largest FROM lineitem",
+)
+def _infer_late(spark, sf_dir):
+    """Whole numbers first, codes in the last tenth: text, and every row is kept."""
+    lines = table(spark, sf_dir, "lineitem")
+    most = lines.agg(F.max("l_orderkey").alias("most")).scalar()
+    coded = lines.withColumn("_most", most).select(F.expr(_LATE.format(most="_most", text="STRING")).alias("code"), "l_linenumber")
+    return _inferred(spark, coded, "code")
+
+
+@query(
+    "a4_infer_types_wide_ids",
+    "SELECT 'decimal(38,0)' AS data_type, count(*) AS loaded_rows, CAST(0 AS BIGINT) AS rejected_rows, "
+    "max(concat('9', lpad(CAST(o_orderkey AS VARCHAR), 19, '0'))) AS largest FROM orders",
+)
+def _infer_wide(spark, sf_dir):
+    """Identifiers of twenty digits do not fit a BIGINT; none is rejected."""
+    wide = F.concat(F.lit("9"), F.lpad(F.col("o_orderkey").cast("string"), 19, "0")).alias("code")
+    return _inferred(spark, table(spark, sf_dir, "orders").select(wide, "o_custkey"), "code")
 
 
 @query(
@@ -182,26 +225,54 @@ def _verify(spark, sf_dir):
     return L.verify_counts(actual, wanted.withColumnRenamed("row_count", "expected_rows"))
 
 
-@query(
-    "a13_load_summary",
-    "SELECT 'LOADED' AS status, CAST(3 AS BIGINT) AS tables, (SELECT count(*) FROM customer) + (SELECT count(*) FROM supplier) "
-    "+ (SELECT count(*) FROM nation) AS row_count UNION ALL SELECT 'FAILED', 1, 0",
-)
-def _load_summary(spark, sf_dir):
-    def job(name):
+_CODED = "CASE WHEN s_suppkey % 10 = 0 THEN 'n/a' ELSE CAST(s_suppkey AS STRING) END AS code"
+
+
+def _loads(spark, sf_dir):
+    """Results of four loads: whole, with rejects, all rejected, and a file that is not there."""
+
+    def job(name, df, schema=None):
         def run():
-            path = _csv(spark, sf_dir, name)
+            path = shared_path(spark, f"csv-{name}")
+            S.write_csv(df, path)
             store = shared_path(spark, f"load-{name}")
-            return L.ingest(spark, path, "raw", f"{name}_{store.rsplit('-', 1)[-1]}", store=store)
+            return L.ingest(spark, path, "raw", f"{name}_{store.rsplit('-', 1)[-1]}", store=store, schema=schema)
 
         return run
 
-    def missing():
-        return L.ingest(spark, shared_path(spark, "missing"), "raw", "missing")
+    suppliers = table(spark, sf_dir, "supplier").select(F.expr(_CODED), "s_name")
+    jobs = {
+        "customer": job("customer", table(spark, sf_dir, "customer")),
+        "supplier": job("supplier", suppliers, {"CODE": "bigint"}),
+        "nation": job("nation", table(spark, sf_dir, "nation"), {"N_NAME": "bigint"}),
+        "missing": lambda: L.ingest(spark, shared_path(spark, "missing"), "raw", "missing"),
+    }
+    return L.load_summary(spark, L.load_all(jobs))
+
+
+@query(
+    "a13_load_summary",
+    "SELECT 'LOADED' AS status, CAST(1 AS BIGINT) AS tables, count(*) AS row_count, CAST(0 AS BIGINT) AS rejected_rows FROM customer "
+    "UNION ALL SELECT 'PARTIAL', 1, count(*) FILTER (s_suppkey % 10 <> 0), count(*) FILTER (s_suppkey % 10 = 0) FROM supplier "
+    "UNION ALL SELECT 'EMPTY', 1, 0, count(*) FROM nation UNION ALL SELECT 'FAILED', 1, 0, 0",
+)
+def _load_summary(spark, sf_dir):
+    return _loads(spark, sf_dir)[1].drop("seconds")
 
-    jobs = {n: job(n) for n in ("customer", "supplier", "nation")}
-    _, totals = L.load_summary(spark, L.load_all({**jobs, "missing": missing}))
-    return totals.drop("seconds")
+
+@query(
+    "h11_reconcile_ingest",
+    "SELECT 'customer' AS table_name, count(*) AS expected_rows, count(*) AS loaded_rows, CAST(0 AS BIGINT) AS rejected_rows, "
+    "CAST(0 AS BIGINT) AS unexplained, 'PASS' AS status FROM customer UNION ALL "
+    "SELECT 'supplier', count(*), count(*) FILTER (s_suppkey % 10 <> 0), count(*) FILTER (s_suppkey % 10 = 0), 0, 'PASS' FROM supplier "
+    "UNION ALL SELECT 'nation', count(*), 0, count(*), 0, 'PASS' FROM nation",
+)
+def _reconcile_ingest(spark, sf_dir):
+    """The load results against the sources they came from."""
+    results = _loads(spark, sf_dir)[0].filter("status <> 'FAILED'")
+    results = results.withColumn("table_name", F.regexp_extract("table_name", r"raw\.([a-z]+)_", 1))
+    expected = L.table_counts({n: table(spark, sf_dir, n) for n in ("customer", "supplier", "nation")})
+    return L.reconcile_results(results, expected.withColumnRenamed("row_count", "expected_rows"))
 
 
 @query(
@@ -223,9 +294,10 @@ def _head(spark, sf_dir):
     return S.head_sample(raw(spark, sf_dir, "orders").select("row_seq", "order_id", "status"), 5, ["row_seq"])
 
 
-@query("a15_random_sample")
+@query("a15_random_sample", ctes("dirty_orders") + "SELECT row_seq, order_id FROM dirty_orders WHERE row_seq * 7919 % 1000 < 100")
 def _random(spark, sf_dir):
-    return S.random_sample(raw(spark, sf_dir, "orders").select("row_seq", "order_id"), 0.1)
+    """A tenth of the rows by key, the same tenth on every run."""
+    return S.key_sample(raw(spark, sf_dir, "orders").select("row_seq", "order_id"), "row_seq", 0.1)
 
 
 @query("a17_write_profile")

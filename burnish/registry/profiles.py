@@ -150,6 +150,25 @@ def _mode(spark, sf_dir):
     return P.col_mode(raw(spark, sf_dir, "ledger"), ["currency", "approval_status", "account_code"])
 
 
+_TIED = "SELECT CAST(9 + k AS {long}) AS number, CAST(9 + k AS {text}) AS word FROM (SELECT o_orderkey % 2 AS k FROM orders UNION ALL SELECT 1 - o_orderkey % 2 FROM orders)"
+
+
+@query(
+    "c10_col_mode_ties",
+    union(
+        [
+            f"(SELECT '{c}' AS column_name, CAST({c} AS VARCHAR) AS mode, count(*) AS rows FROM ({_TIED.format(long='BIGINT', text='VARCHAR')}) "
+            f"GROUP BY {c} ORDER BY count(*) DESC, {c} LIMIT 1)"
+            for c in ("number", "word")
+        ]
+    ),
+)
+def _mode_ties(spark, sf_dir):
+    """Two values equally often: 9 before 10 as numbers, "10" before "9" as text."""
+    text = _TIED.format(long="BIGINT", text="STRING").replace("FROM orders", "FROM {orders}")
+    return P.col_mode(spark.sql(text, orders=table(spark, sf_dir, "orders")), ["number", "word"])
+
+
 PAIRS = [("arr", "mrr"), ("order_amount", "total_amount"), ("nps_score", "health_score"), ("arr", "seats_used")]
 
 

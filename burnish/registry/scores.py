@@ -121,7 +121,7 @@ def table_scores(spark, sf_dir, name: str) -> DataFrame:
     d = domain(name)
     df = raw(spark, sf_dir, name)
     done = materialise(d.clean(df).frame, f"clean-{name}")
-    return S.score_layers({"raw": S.score_table(df, d), "cleaned": S.score_table(done, d)}, name)
+    return S.score_layers({"raw": S.measure_layer(df, d).scores, "cleaned": S.measure_layer(done, d).scores}, name)
 
 
 def all_scores(spark, sf_dir) -> DataFrame:
@@ -141,8 +141,8 @@ for _n in VIEW_NAMES:
     )
     def _dimensions(spark, sf_dir, name=_n):
         d = domain(name)
-        marked = S.with_marks(raw(spark, sf_dir, name), d)
-        return _rounded(S.score_dimensions(marked, d.checks, list(d.key)))
+        df = raw(spark, sf_dir, name)
+        return _rounded(S.score_dimensions(S.with_marks(df, d), d.checks, list(d.key), bare=df))
 
     @query(
         f"g2_overall_score_{_n}",

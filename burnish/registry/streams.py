@@ -51,17 +51,30 @@ def _dedupe_stream(spark, sf_dir):
     return spark.read.parquet(f"{path}/out")
 
 
+# NULL keys, and keys that come again in a later file.
+_ARRIVING = (
+    "SELECT CASE WHEN l_partkey % 17 = 0 THEN NULL ELSE journal_entry_id % 500 END AS entry, l_partkey, l_suppkey, l_quantity, "
+    "l_extendedprice, transaction_id, l_suppkey % 3 AS file_no FROM "
+)
+_ENTRY_ORDER = ["file_no", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "transaction_id"]
+
+
 @query(
     "k2_dedupe_batches",
-    ctes("ledger_first") + "SELECT transaction_id, l_partkey, l_suppkey FROM ledger_first",
+    ctes("dirty_ledger")
+    + f"SELECT entry, file_no, l_partkey, l_suppkey, transaction_id FROM ({_ARRIVING} dirty_ledger) "
+    f"QUALIFY row_number() OVER (PARTITION BY entry ORDER BY {', '.join(_ENTRY_ORDER)}) = 1",
 )
 def _dedupe_batches(spark, sf_dir):
-    """Batches against the target table instead of state: no event time, no bound on delay."""
-    d = domain("ledger")
+    """Three files, a batch each, against the target table instead of state: no event time, no bound on delay."""
     path = shared_path(spark, "k2b")
-    handler = K.dedupe_into(f"{path}/out", list(d.key), list(d.order_by))
-    K.run_batches(dirty_stream(spark, sf_dir, "ledger", "lineitem"), handler, f"{path}/checkpoint")
-    return spark.read.parquet(f"{path}/out").select("transaction_id", "l_partkey", "l_suppkey")
+    arriving = spark.sql(_ARRIVING + "{ledger}", ledger=raw(spark, sf_dir, "ledger"))
+    for n in range(3):  # written one after another, so they arrive in this order
+        arriving.filter(F.col("file_no") == n).coalesce(1).write.mode("append").parquet(f"{path}/in")
+    live = K.file_stream(spark, f"{path}/in", arriving.schema, "*.parquet", files_per_batch=1)
+    handler = K.dedupe_into(f"{path}/out", ["entry"], _ENTRY_ORDER, compact_every=2)
+    K.run_batches(live, handler, f"{path}/checkpoint")
+    return spark.read.parquet(f"{path}/out").select("entry", "file_no", "l_partkey", "l_suppkey", "transaction_id")
 
 
 @query(

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
+import warnings
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -42,6 +44,11 @@ def prepare_session(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def _one_machine(spark: SparkSession) -> bool:
+    """Local modes, local-cluster included, run every executor on this machine."""
+    return spark.sparkContext.master.startswith("local")
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach: the one named in ``spark.checkpoint.dir``.
 
@@ -49,8 +56,10 @@ def shared_dir(spark: SparkSession) -> str:
     local-mode session without either gets a temporary one.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if folder and re.match(r"(file:/*)?/?(tmp|var/tmp)/", folder.lstrip("/")) and not _one_machine(spark):
+        warnings.warn(f"{folder} looks local to each machine; name a folder all executors share", stacklevel=2)
     if not folder:
-        if not spark.sparkContext.master.startswith("local"):
+        if not _one_machine(spark):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="burnish-"))
         folder = spark.sparkContext.getCheckpointDir()

@@ -74,6 +74,13 @@ def head_sample(df: DataFrame, n: int, order_by: list[str]) -> DataFrame:
     return df.orderBy(*order_by).limit(n)
 
 
+def key_sample(df: DataFrame, key: str, fraction: float) -> DataFrame:
+    """Rows whose key falls in a fixed share of the residues; repeatable, unlike a random sample."""
+    number = isinstance(df.schema[key].dataType, T.IntegralType)
+    spread = F.pmod(F.col(key) * F.lit(7919) if number else F.xxhash64(key), F.lit(1000))
+    return df.filter(spread < F.lit(round(fraction * 1000)))
+
+
 def random_sample(df: DataFrame, fraction: float, seed: int = 42) -> DataFrame:
     """Unbiased sample for profiling."""
     return df.sample(fraction=fraction, seed=seed)

@@ -9,6 +9,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from burnish.operators.compare import reconcile_load
 from burnish.sources.files import normalise_null_tokens, read_csv_table, write_table
 from burnish.sources.typing import cast_or_reject, infer_types, inferred_schema, sanitise_names
 
@@ -21,17 +22,33 @@ REPORT_COLUMNS = (
 
 
 def ingest(
-    spark: SparkSession, path: str, namespace: str, name: str, sample_rows: int | None = 10_000, store: str | None = None
+    spark: SparkSession,
+    path: str,
+    namespace: str,
+    name: str,
+    sample_rows: int | None = None,
+    store: str | None = None,
+    schema: dict[str, str] | None = None,
 ):
-    """CSV to a typed table: (table, rejected rows, load result row)."""
+    """CSV to a typed table: (table, table of rejected rows, load result row).
+
+    Types are inferred over all rows; ``schema`` declares some or all of them instead.
+    Rows that do not fit are kept in ``<name>_rejects`` and counted in the result: LOADED
+    without any, PARTIAL with some, EMPTY when nothing else is left.
+    """
     started = time.monotonic()
     text = normalise_null_tokens(sanitise_names(read_csv_table(spark, path)))
-    ok, rejected = cast_or_reject(text, inferred_schema(infer_types(text, sample_rows)))
-    table = write_table(ok, namespace, name, path=store)
-    loaded = spark.table(table)
-    rows = loaded.count()
-    result = (f"{namespace}.{name}", rows, round(time.monotonic() - started, 3), "LOADED", None)
-    return loaded, rejected, result
+    declared = schema or {}
+    guessed = text.drop(*declared)
+    types = {**(inferred_schema(infer_types(guessed, sample_rows)) if guessed.columns else {}), **declared}
+    ok, rejected = cast_or_reject(text, types)
+    loaded = spark.table(write_table(ok, namespace, name, path=store))
+    kept_aside = write_table(rejected, namespace, f"{name}_rejects", path=store and f"{store}-rejects")
+    rejects = spark.table(kept_aside)
+    rows, lost = loaded.count(), rejects.count()
+    status = "LOADED" if not lost else "PARTIAL" if rows else "EMPTY"
+    result = (f"{namespace}.{name}", rows, lost, round(time.monotonic() - started, 3), status, None)
+    return loaded, rejects, result
 
 
 def load_all(jobs: dict[str, Callable[[], tuple]]) -> list[tuple]:
@@ -42,23 +59,32 @@ def load_all(jobs: dict[str, Callable[[], tuple]]) -> list[tuple]:
         try:
             results.append(job()[2])
         except Exception as error:  # noqa: BLE001 - one table must not stop the rest
-            results.append((name, 0, round(time.monotonic() - started, 3), "FAILED", str(error)[:500]))
+            results.append((name, 0, 0, round(time.monotonic() - started, 3), "FAILED", str(error)))
     return results
 
 
 def load_summary(spark: SparkSession, results: list[tuple]) -> tuple[DataFrame, DataFrame]:
     """Per-table results, and totals per status."""
     frame = spark.createDataFrame(
-        results, "table_name string, row_count bigint, seconds double, status string, error string"
+        results,
+        "table_name string, row_count bigint, rejected_rows bigint, seconds double, status string, error string",
     )
     totals = frame.groupBy("status").agg(
         F.count(F.lit(1)).alias("tables"),
         F.sum("row_count").alias("row_count"),
+        F.sum("rejected_rows").alias("rejected_rows"),
         F.sum("seconds").alias("seconds"),
     )
     return frame, totals
 
 
+def reconcile_results(results: DataFrame, expected: DataFrame) -> DataFrame:
+    """Rows a source should hold against loaded plus rejected ones, from the load results."""
+    return reconcile_load(
+        expected, results.select("table_name", "row_count"), results.select("table_name", "rejected_rows")
+    )
+
+
 def table_counts(tables: dict[str, DataFrame]) -> DataFrame:
     pieces = [
         df.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(name).alias("table_name"), "row_count")

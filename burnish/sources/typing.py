@@ -1,4 +1,4 @@
-"""Type inference from samples and row-level casts that keep what they reject."""
+"""Type inference and row-level casts that keep what they reject."""
 
 from __future__ import annotations
 
@@ -10,8 +10,7 @@ from pyspark.sql import types as T
 
 from burnish.plans.decide import TEMPORAL_NAME
 
-SAMPLE_ROWS = 10_000
-PARSED_SHARE = 0.95
+LONG_LIMIT = float(1 << 63)
 
 
 def is_temporal_name(name: str) -> bool:
@@ -24,11 +23,13 @@ def sanitise_names(df: DataFrame) -> DataFrame:
     return df.toDF(*[c.strip().replace(" ", "_").replace("-", "_").upper() for c in df.columns])
 
 
-def infer_types(df: DataFrame, sample_rows: int | None = SAMPLE_ROWS) -> DataFrame:
-    """(column_name, data_type, max_len) from one aggregation over a sample.
+def infer_types(df: DataFrame, sample_rows: int | None = None) -> DataFrame:
+    """(column_name, data_type, max_len) from one map-side aggregation over the whole input.
 
-    Text is numeric when every value is; whole-number doubles become BIGINT; a
-    temporal type needs both the name and values that parse.
+    A type is chosen only if every value has it: BIGINT if all cast to it, DECIMAL(38,0)
+    for longer whole numbers, text for longer ones still; whole-number doubles become
+    BIGINT within its range; a temporal type needs the name as well.  ``sample_rows``
+    looks at some rows only; the casts that follow then count what did not fit.
     """
     sample = df if sample_rows is None else df.limit(sample_rows)
     aggs: list[Column] = []
@@ -42,20 +43,26 @@ def infer_types(df: DataFrame, sample_rows: int | None = SAMPLE_ROWS) -> DataFra
         if isinstance(f.dataType, T.StringType):
             aggs += [
                 F.count(text.try_cast("double")).alias(f"num{i}"),
+                F.count(text.try_cast("bigint")).alias(f"int{i}"),
+                F.count(text.try_cast("decimal(38,0)")).alias(f"dec{i}"),
                 F.count_if(text.rlike("[.eE]")).alias(f"dot{i}"),
                 F.count(text.try_cast("timestamp")).alias(f"ts{i}"),
             ]
         elif isinstance(f.dataType, (T.DoubleType, T.FloatType)):
-            aggs.append(F.count_if(c == F.floor(c)).alias(f"whole{i}"))
+            aggs.append(F.count_if((c == F.floor(c)) & (F.abs(c) < LONG_LIMIT)).alias(f"whole{i}"))
     row = sample.agg(*aggs)
     items = []
     for i, f in enumerate(df.schema.fields):
         n = F.col(f"n{i}")
         if isinstance(f.dataType, T.StringType):
             numeric = (n > 0) & (F.col(f"num{i}") == n)
-            kind = F.when(numeric & (F.col(f"dot{i}") > 0), F.lit("double")).when(numeric, F.lit("bigint"))
+            kind = (
+                F.when(numeric & (F.col(f"dot{i}") > 0), F.lit("double"))
+                .when(numeric & (F.col(f"int{i}") == n), F.lit("bigint"))
+                .when(numeric & (F.col(f"dec{i}") == n), F.lit("decimal(38,0)"))
+            )
             if is_temporal_name(f.name):
-                kind = kind.when((n > 0) & (F.col(f"ts{i}") >= n * PARSED_SHARE), F.lit("timestamp_ntz"))
+                kind = kind.when((n > 0) & (F.col(f"ts{i}") == n), F.lit("timestamp_ntz"))
             kind = kind.otherwise(F.lit("string"))
         elif isinstance(f.dataType, (T.DoubleType, T.FloatType)):
             kind = F.when((n > 0) & (F.col(f"whole{i}") == n), F.lit("bigint")).otherwise(F.lit("double"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,15 +13,25 @@ from pyspark.sql.streaming import StreamingQuery
 from burnish.functions.numbers import as_of_literal, holds
 from burnish.operators.dedupe import dedupe_first
 from burnish.operators.profile import profile_columns
+from burnish.operators.skew import is_small
 from burnish.plans.domains import Domain
 from burnish.plans.engine import clean
 from burnish.plans.rules import Check, Rule
 from burnish.plans.score import WEIGHTS, score_table
+from burnish.session import materialise
 
+# Batches whose keys are written together.
+COMPACT_EVERY = 16
 
-def file_stream(spark: SparkSession, folder: str, schema: T.StructType, pattern: str, fmt: str = "parquet") -> DataFrame:
+
+def file_stream(
+    spark: SparkSession, folder: str, schema: T.StructType, pattern: str, fmt: str = "parquet", files_per_batch: int | None = None
+) -> DataFrame:
     """Files of ``folder`` matching ``pattern`` as a stream."""
-    return spark.readStream.schema(schema).option("pathGlobFilter", pattern).format(fmt).load(folder)
+    reader = spark.readStream.schema(schema).option("pathGlobFilter", pattern)
+    if files_per_batch is not None:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    return reader.format(fmt).load(folder)
 
 
 def run_available(stream: DataFrame, path: str, checkpoint: str, partition_by: list[str] = ()) -> StreamingQuery:
@@ -54,27 +65,50 @@ def dedupe_stream(stream: DataFrame, keys: list[str], event_time: str, delay: st
     return marked.dropDuplicatesWithinWatermark(keys).drop("_event_time")
 
 
-def dedupe_into(path: str, keys: list[str], order_by: list[str]) -> Callable[[DataFrame, int], None]:
+def dedupe_into(path: str, keys: list[str], order_by: list[str], compact_every: int = COMPACT_EVERY) -> Callable[[DataFrame, int], None]:
     """``foreachBatch`` handler: keep keys not yet in the target, without state in memory.
 
     Each batch owns one folder that a repeated batch overwrites, so a restart neither
-    loses nor doubles rows.  Only key columns of earlier batches are read.
+    loses nor doubles rows.  NULL keys are keys like any other.  Of earlier batches only
+    key columns are read.  The batch's keys are measured: within the broadcast limits they
+    are sent to the history, which is then not shuffled, and only keys found there come
+    back.  Every ``compact_every`` batches the keys of those before are written together.
     """
+    names = [f"_k{i}" for i in range(len(keys))]
+
+    def known(spark: SparkSession, schema: T.StructType, batch_id: int) -> DataFrame:
+        base = batch_id - batch_id % compact_every
+        folders = [f"{path}/_keys/upto={i}" for i in range(compact_every, base + 1, compact_every)]
+        # Every earlier batch wrote its folder, so all of them are there to read.
+        folders += [f"{path}/batch_id={i}" for i in range(base, batch_id)]
+        return spark.read.schema(schema).parquet(*folders).toDF(*names)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
+        schema = batch.select(*keys).schema
         fresh = dedupe_first(batch, keys, order_by)
-        if batch_id > 0:
-            # Every earlier batch wrote its folder, so all of them are there to read.
-            seen = spark.read.schema(batch.select(*keys).schema).parquet(
-                *[f"{path}/batch_id={i}" for i in range(batch_id)]
-            )
-            fresh = fresh.join(seen, keys, "left_anti")
+        if batch_id and batch_id % compact_every == 0:
+            block = [f"{path}/batch_id={i}" for i in range(batch_id - compact_every, batch_id)]
+            spark.read.schema(schema).parquet(*block).write.mode("overwrite").parquet(f"{path}/_keys/upto={batch_id}")
+        if batch_id:
+            seen = known(spark, schema, batch_id)
+            asked = materialise(batch.select(*keys).distinct(), "keys")
+            if is_small(asked):
+                seen = F.broadcast(seen_before(seen, asked, keys))
+            same = reduce(lambda a, b: a & b, [fresh[k].eqNullSafe(seen[n]) for k, n in zip(keys, names)])
+            fresh = fresh.join(seen, same, "left_anti")
         fresh.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
     return handle
 
 
+def seen_before(history: DataFrame, asked: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows of the history that a few keys ask for: the keys travel, the history stays."""
+    few = F.broadcast(asked)
+    same = reduce(lambda a, b: a & b, [history[f"_k{i}"].eqNullSafe(few[k]) for i, k in enumerate(keys)])
+    return history.join(few, same, "left_semi")
+
+
 def run_batches(stream: DataFrame, handler: Callable[[DataFrame, int], None], checkpoint: str) -> None:
     query = (
         stream.writeStream.foreachBatch(handler)

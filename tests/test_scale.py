@@ -8,8 +8,12 @@ from pyspark.sql import functions as F
 
 from burnish.operators import quantiles as Q
 from burnish.operators import skew
+from burnish.operators import actions, inject
 from burnish.operators.actions import flag_group, impute_group_median
+from burnish.operators.compare import cell_diff
 from burnish.operators.dedupe import dedupe_first, dedupe_latest, duplicate_rows, key_multiplicity
+from burnish.operators.profile import modes
+from burnish.plans.rules import literal
 
 
 @pytest.fixture(scope="module")
@@ -104,6 +108,97 @@ def test_grouped_median(spark):
         assert got[g] == np.median([v for k, v in rows if k == g])
 
 
+@pytest.mark.parametrize("accuracy, bracket", [(10_000, 50), (20, 20), (10, 5)])
+def test_grouped_median_of_hot_groups(spark, monkeypatch, accuracy, bracket):
+    """Small sketches and brackets force cuts, misses and redone groups."""
+    monkeypatch.setattr(Q, "ACCURACY", accuracy)
+    monkeypatch.setattr(Q, "BRACKET_ROWS", bracket)
+    rng = np.random.default_rng(8)
+    rows = [("a", float(x)) for x in rng.lognormal(2, 2, 3000)] + [("b", float(x)) for x in rng.integers(0, 3, 800)]
+    rows += [(None, float(i)) for i in range(7)] + [("c", 1.0), ("d", None)]
+    df = spark.createDataFrame(rows, "`my group` string, `the value` double").repartition(4)
+    got = {r[0]: r[1] for r in Q.grouped_median(df, ["my group"], "the value", "m").collect()}
+    assert set(got) == {"a", "b", "c", None}
+    for g in got:
+        assert got[g] == pytest.approx(np.median([v for k, v in rows if k == g]), rel=1e-12)
+
+
+def test_awkward_names_and_values(spark):
+    rows = [("Cote d'Ivoire", 1.0), ("Cote d'Ivoire", 3.0), ("Cote d'Ivoire", None), ("b\\c", 9.0), ("b\\c", None)]
+    df = spark.createDataFrame(rows, "`a b` string, `v w` double")
+    listed = impute_group_median(df, "v w", ["a b"], ["Cote d'Ivoire", "b\\c"])
+    assert sorted(r[1] for r in listed.collect()) == [1.0, 2.0, 3.0, 9.0, 9.0]
+    assert actions.median_if_out_of_range(df, ["v w"], 0, 5).agg(F.max("`v w`")).first()[0] == 3.0
+    assert actions.impute_median(df, ["v w"]).filter("`v w` IS NULL").count() == 0
+
+
+def test_modes_of_many_columns_in_one_pass(spark):
+    rows = [(9, "9", 1.5, True), (10, "10", 2.5, True), (9, "9", 2.5, False), (10, "10", 1.5, None), (None, None, None, None)]
+    df = spark.createDataFrame(rows, "n bigint, t string, d double, b boolean")
+    assert modes(df, ["n", "t", "d", "b"]) == {"n": 9, "t": "10", "d": 1.5, "b": True}
+    assert actions.impute_mode(df, ["n", "t"]).filter("n IS NULL OR t IS NULL").count() == 0
+
+
+def test_statistics_keep_their_type(spark):
+    from datetime import date, datetime
+    from decimal import Decimal
+
+    values = [2**60 + 1, date(2024, 2, 29), datetime(2024, 1, 2, 3, 4, 5, 678), Decimal("12.340"), True, "it's \\", 1.5, 10**30]
+    row = spark.range(1).selectExpr(*[literal(v) for v in values]).first()
+    assert list(row) == values and literal(None) == "CAST(NULL AS DOUBLE)"
+
+
+def test_nested_columns_count_for_the_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(skew, "BROADCAST_TEXT_BYTES", 1000)
+    flat = spark.range(10).selectExpr("id", "repeat('x', 200) AS t")
+    assert not skew.is_small(flat) and skew.is_small(flat.select("id"))
+    assert not skew.is_small(flat.selectExpr("named_struct('a', t) AS s")) and not skew.is_small(flat.selectExpr("array(t) AS s"))
+
+
+def test_clustered_hot_rows_are_spread(spark):
+    """All hot rows in one input partition: the salt must not follow the partition."""
+    df = spark.range(2000, numPartitions=1).selectExpr("7 AS k", "id AS v")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = skew.attach(df, spark.range(1).selectExpr("7 AS k", "1 AS t"), ["k"], max_broadcast_rows=0, salts=16)
+        assert out.count() == 2000 and out.select(F.spark_partition_id()).distinct().count() > 1
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_tied_copies_are_listed(spark):
+    rows = [(1, "a", "x"), (1, "a", "x"), (1, "a", "y"), (1, "b", "x"), (None, "a", "z"), (None, "a", "z"), (2, "a", "x")]
+    df = spark.createDataFrame(rows, "k int, o string, v string")
+    kept, gone = dedupe_first(df, ["k"], ["o"]), duplicate_rows(df, ["k"], ["o"])
+    assert kept.count() + gone.count() == df.count()
+    assert sorted(kept.unionByName(gone).collect(), key=str) == sorted(df.collect(), key=str)
+
+
+def test_cell_diff_pairs_first_rows(spark):
+    raw = spark.createDataFrame([("o1", 1, "x"), ("o1", 2, "y"), ("o1", 2, "y"), (None, 1, "n"), ("o2", 1, "z"), ("o3", 1, "q")], "k string, seq int, v string")
+    cleaned = spark.createDataFrame([("o1", 1, "x"), (None, 1, "N"), ("o3", 1, None), ("o4", 1, "new")], "k string, seq int, v string")
+    diff = cell_diff(raw, cleaned, ["k"], ["v"], ["seq"])
+    got = sorted(((r.k, r.change_type, r.raw_value, r.cleaned_value) for r in diff.collect()), key=str)
+    want = [("o1", "ROW_DELETED", None, None)] * 2 + [(None, "CHANGED", "n", "N"), ("o2", "ROW_DELETED", None, None), ("o3", "NULLED", "q", None), ("o4", "ROW_ADDED", None, None)]
+    assert got == sorted(want, key=str)
+    assert "FullOuter" not in diff._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("pct", [0.5, 5, 8, 40, 70])
+def test_injection_rates(spark, pct):
+    df = spark.range(10_000).selectExpr("id", "concat('k', id) AS word", "1.0D AS v", "id * 7919 AS sparse")
+    hits = [r[0] for r in inject.inject_nulls(df, "v", "id", pct).filter("v IS NULL").collect()]
+    assert abs(len(hits) - 100 * pct) <= 1
+    assert max(abs(sum(h < n for h in hits) - n * pct / 100) for n in range(0, 10_001, 137)) <= 1
+    for key in ("sparse", "word"):
+        copied = inject.inject_dup_keys(df, key, key, pct)
+        lost = 10_000 - copied.select(key).distinct().count()
+        assert abs(lost - 100 * pct) <= 0.05 * 100 * pct + 60, key
+    assert inject.inject_variants(df, "word", "word", ["a", "b"]).select("word").distinct().count() == 2
+
+
 def test_group_median_fill(spark):
     rows = [("EUR", 1.0), ("EUR", 3.0), ("EUR", None), ("USD", None), ("XXX", 4.0), ("XXX", None)]
     df = spark.createDataFrame(rows, "currency string, fx double")

@@ -7,7 +7,7 @@ from burnish.operators.detect import invalid_utf8
 from burnish.operators.language import guess_language, wrong_language
 from burnish.session import shared_dir, shared_path
 from burnish.sources.files import CORRUPT, normalise_null_tokens, read_csv_table, write_csv
-from burnish.sources.load import load_all, load_summary
+from burnish.sources.load import ingest, load_all, load_summary
 from burnish.sources.typing import (
     cast_or_reject,
     infer_types,
@@ -43,6 +43,25 @@ def test_inference_needs_evidence(spark):
     }
 
 
+def test_inference_reads_every_row(spark):
+    late = spark.range(10_500).selectExpr("CAST(id AS STRING) AS code").unionAll(spark.range(1_500).selectExpr("concat('C', id) AS code"))
+    assert inferred_schema(infer_types(late)) == {"code": "string"}
+    wide = spark.createDataFrame([("9" * 20, "9" * 40, "2024-01-01", "9" * 18), ("1", "2", "soon", "3")], "a string, b string, order_date string, c string")
+    assert inferred_schema(infer_types(wide)) == {"a": "decimal(38,0)", "b": "string", "order_date": "string", "c": "bigint"}
+    far = spark.createDataFrame([(1e19,), (2.0,)], "v double")
+    assert inferred_schema(infer_types(far)) == {"v": "double"}
+
+
+def test_ingest_keeps_and_counts_rejects(spark, tmp_path):
+    path = str(tmp_path / "in")
+    write_csv(spark.range(30).selectExpr("id", "CASE WHEN id % 10 = 0 THEN 'n/a' ELSE CAST(id AS STRING) END AS code"), path)
+    loaded, rejects, result = ingest(spark, path, "raw", "ingest_test", store=str(tmp_path / "t"), schema={"CODE": "bigint"})
+    assert result[1:3] == (27, 3) and result[4] == "PARTIAL" and loaded.count() == 27
+    assert {r["ID"] for r in rejects.collect()} == {"0", "10", "20"}
+    _, _, result = ingest(spark, path, "raw", "ingest_whole", store=str(tmp_path / "w"))
+    assert result[1:3] == (30, 0) and result[4] == "LOADED"
+
+
 def test_csv_round_trip_with_quotes(spark, tmp_path):
     df = spark.createDataFrame([(1, 'say "hi", ok'), (2, "plain"), (3, None)], "id int, note string")
     path = str(tmp_path / "t")
@@ -82,14 +101,14 @@ def test_rejects_keep_the_row_and_the_reason(spark):
 
 def test_one_failed_load_does_not_stop_the_rest(spark):
     def good():
-        return None, None, ("raw.t", 5, 0.1, "LOADED", None)
+        return None, None, ("raw.t", 5, 2, 0.1, "PARTIAL", None)
 
     def bad():
-        raise RuntimeError("no file")
+        raise RuntimeError("no file" * 200)
 
     frame, totals = load_summary(spark, load_all({"bad": bad, "good": good}))
-    assert {r["status"]: r["row_count"] for r in totals.collect()} == {"LOADED": 5, "FAILED": 0}
-    assert frame.filter("status = 'FAILED'").first()["error"] == "no file"
+    assert {r["status"]: (r["row_count"], r["rejected_rows"]) for r in totals.collect()} == {"PARTIAL": (5, 2), "FAILED": (0, 0)}
+    assert frame.filter("status = 'FAILED'").first()["error"] == "no file" * 200
 
 
 def test_shared_folder_comes_from_the_session(spark):

@@ -41,6 +41,27 @@ def test_dedupe_across_batches(spark, arriving, tmp_path):
     assert spark.read.parquet(out).count() == 50
 
 
+def test_null_keys_are_kept_once(spark, tmp_path, monkeypatch):
+    from burnish.operators import skew
+
+    out = str(tmp_path / "out")
+    handler = K.dedupe_into(out, ["a", "b"], ["seq"], compact_every=2)
+    for n in range(6):
+        monkeypatch.setattr(skew, "BROADCAST_ROWS", 0 if n == 3 else 200_000)
+        batch = spark.createDataFrame([(n * 10, None, 1), (n * 10 + 1, None, None), (n * 10 + 2, n // 2, 1)], "seq int, a int, b int")
+        handler(batch, n)
+        handler(batch, n)
+    done = spark.read.parquet(out)
+    assert sorted(r["seq"] for r in done.collect()) == [0, 1, 2, 22, 42]
+    assert done.columns == ["seq", "a", "b", "batch_id"]
+
+
+def test_history_is_not_shuffled_for_a_small_batch(spark):
+    history, asked = spark.range(1000).toDF("_k0"), spark.range(5).toDF("k")
+    plan = K.seen_before(history, asked, ["k"])._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
+
+
 def test_dedupe_within_watermark(spark, arriving, tmp_path):
     source, table = arriving
     first = K.dedupe_stream(_stream(spark, source, table.schema), ["k"], "ts", "1 day")
