@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from burnish.functions.numbers import as_of_literal, clip, holds, is_future
 from burnish.functions.text import trim_ws
-from burnish.operators.profile import col_skewness, modes, outlier_bounds
+from burnish.operators.profile import col_skewness, modes, outlier_bounds, variant_map
 from burnish.operators.quantiles import Quantile, exact_quantiles, grouped_median
 from burnish.operators.skew import attach
 from burnish.plans.engine import mark_imbalances
@@ -237,16 +237,6 @@ def drop_sparse(df: DataFrame, limit: float = 0.30) -> DataFrame:
     return df.drop(*sparse)
 
 
-def variant_map(df: DataFrame, column: str) -> DataFrame:
-    """Spelling to the most frequent spelling of its TRIM + UPPER cluster."""
-    raw = df.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("n"))
-    raw = raw.withColumn("_cluster", F.upper(trim_ws(F.col(column))))
-    best = raw.groupBy("_cluster").agg(
-        F.max_by(F.col(column), F.struct(F.col("n"), F.col(column))).alias("canonical")
-    )
-    return raw.join(best, "_cluster").select(column, trim_ws(F.col("canonical")).alias("canonical"))
-
-
 def standardise_learned(df: DataFrame, column: str, uppercase: bool = False) -> DataFrame:
     """Replace each spelling by the most frequent one of its cluster."""
     out = attach(df, variant_map(df, column), [column])

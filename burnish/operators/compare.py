@@ -40,9 +40,12 @@ def cell_diff(
     extra = [c for c in order if c not in key and c not in cols]
     kinds = {c: raw.schema[c].dataType for c in cols}
 
-    def narrow(df: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
+    def narrow(df: DataFrame, name: str) -> tuple[DataFrame, DataFrame | None]:
         df = materialise(df.select(*[F.col(f"`{c}`") for c in dict.fromkeys([*key, *cols, *[x for x in extra if x in df.columns]])]), name)
         by = [c for c in order if c in df.columns]
+        repeated = df.groupBy(*[F.col(f"`{k}`") for k in key]).count().filter("count > 1")
+        if repeated.isEmpty():
+            return df, None
         return dedupe_first(df, key, by), duplicate_rows(df, key, by)
 
     left, left_copies = narrow(raw, "diff-raw")
@@ -79,7 +82,7 @@ def cell_diff(
     added = right.join(left, same_key(left, right, key, "_2"), "left_anti").select(*[F.col(f"`{k}_2`").alias(k) for k in key])
     rows = [
         paired.select(*names, "_d.*"),
-        *[df.select(*names, whole_row(change).alias("_d")).select(*names, "_d.*") for df, change in ((left_copies, "ROW_DELETED"), (right_copies, "ROW_ADDED"), (added, "ROW_ADDED"))],
+        *[df.select(*names, whole_row(change).alias("_d")).select(*names, "_d.*") for df, change in ((left_copies, "ROW_DELETED"), (right_copies, "ROW_ADDED"), (added, "ROW_ADDED")) if df is not None],
     ]
     return reduce(DataFrame.unionByName, rows)
 

@@ -22,12 +22,6 @@ def _numeric(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]
 
 
-def _cells(df: DataFrame, cols: list[str]) -> DataFrame:
-    """(column_name, value as text), one row per cell."""
-    items = [F.struct(F.lit(c).alias("column_name"), F.col(f"`{c}`").cast("string").alias("value")) for c in cols]
-    return df.select(F.inline(F.array(*items)))
-
-
 def _types(df: DataFrame, cols: list[str]) -> Column:
     kinds = {f.name: f.dataType.simpleString() for f in df.schema.fields}
     return F.create_map(*[F.lit(x) for c in cols for x in (c, kinds[c])])[F.col("column_name")]
@@ -37,20 +31,34 @@ def profile_columns(df: DataFrame, cols: list[str] | None = None, approx: bool =
     """Type, null count, null percentage and distinct count per column.
 
     Exact distincts come from counting each (column, value) once, map-side combined,
-    instead of one wide Expand over all columns.  ``approx`` uses sketches in a single
-    aggregation without that shuffle and adds a sketched median for numbers.
+    instead of one wide Expand over all columns.  A value travels as a 128-bit hash, so a
+    unique text column shuffles two numbers a row and not its texts.  ``approx`` uses
+    sketches in a single aggregation without that shuffle and adds a sketched median.
     """
     cols = cols or df.columns
     if approx:
         return _profile_sketched(df, cols)
-    counted = _cells(df, cols).groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n"))
+
+    def cell(i: int, c: str) -> Column:
+        value = F.col(f"`{c}`")
+        if "map<" in df.schema[c].dataType.simpleString():
+            value = value.cast("string")
+        known = value.isNotNull()
+        return F.struct(
+            F.lit(i).alias("i"), F.when(known, F.xxhash64(value)).alias("a"), F.when(known, F.xxhash64(F.lit(1), value)).alias("b")
+        )
+
+    cells = df.select(F.inline(F.array(*[cell(i, c) for i, c in enumerate(cols)])))
+    counted = cells.groupBy("i", "a", "b").agg(F.count(F.lit(1)).alias("n"))
+    names = F.element_at(F.array(*[F.lit(c) for c in cols]), F.col("i") + 1)
     return (
-        counted.groupBy("column_name")
+        counted.groupBy("i")
         .agg(
             F.sum("n").alias("total_rows"),
-            F.coalesce(F.sum(F.when(F.col("value").isNull(), F.col("n"))), F.lit(0)).alias("null_count"),
-            F.count("value").alias("distinct_count"),
+            F.coalesce(F.sum(F.when(F.col("a").isNull(), F.col("n"))), F.lit(0)).alias("null_count"),
+            F.count("a").alias("distinct_count"),
         )
+        .withColumn("column_name", names)
         .select(
             "column_name",
             _types(df, cols).alias("data_type"),
@@ -66,7 +74,7 @@ def _profile_sketched(df: DataFrame, cols: list[str]) -> DataFrame:
     numbers = set(_numeric(df))
     aggs = [F.count(F.lit(1)).alias("total")]
     for i, c in enumerate(cols):
-        aggs += [F.count(c).alias(f"n{i}"), F.approx_count_distinct(c).alias(f"d{i}")]
+        aggs += [F.count(c).alias(f"n{i}"), F.approx_count_distinct(c, 0.01).alias(f"d{i}")]
         if c in numbers:
             aggs.append(F.kll_sketch_agg_double(F.col(c).cast("double")).alias(f"k{i}"))
     row = df.agg(*aggs)
@@ -271,6 +279,16 @@ def variant_clusters(df: DataFrame, column: str) -> DataFrame:
     )
 
 
+def variant_map(df: DataFrame, column: str) -> DataFrame:
+    """Spelling to the most frequent spelling of its TRIM + UPPER cluster."""
+    raw = df.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("n"))
+    raw = raw.withColumn("_cluster", F.upper(trim_ws(F.col(column))))
+    best = raw.groupBy("_cluster").agg(
+        F.max_by(F.col(column), F.struct(F.col("n"), F.col(column))).alias("canonical")
+    )
+    return raw.join(best, "_cluster").select(column, trim_ws(F.col("canonical")).alias("canonical"))
+
+
 def contradictions(df: DataFrame, constraints: dict[str, str]) -> DataFrame:
     """Rows breaking each user-given constraint (SQL condition that should never hold)."""
     row = df.agg(

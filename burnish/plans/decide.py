@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+import json
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from burnish.functions.numbers import as_of_literal, holds
-from burnish.operators.profile import correlations, outlier_rate, profile_columns
-from burnish.plans.rules import Rule, Stat
+from burnish.operators.profile import correlations, outlier_rate, profile_columns, variant_map
+from burnish.plans.engine import group_imbalance
+from burnish.plans.rules import Balance, Rule, Stat
+from burnish.session import materialise
 
 # Name patterns (lower case) and band limits in percent.
 TEMPORAL_NAME = r"(?:^|_)(?:date|timestamp|time)(?:_|$)|_at$"
@@ -18,7 +23,11 @@ MONEY_NAME = (
     r"arr|mrr|ltv|cac|bonus|grant|fee|usd|eur|gbp|inr|jpy|cny)(_|$)"
 )
 KEY_NAME = r"(^|_)(id|key|seq|custkey|orderkey|partkey|suppkey)$"
+SCHEDULED_NAME = r"(^|_)(order|due|deliver\w*|schedul\w*|plan\w*|expect\w*|renew\w*|expir\w*|go_live|launch|end|until)(_|$)"
+REFUND_NAME = r"(^|_)(refund\w*|credit\w*|return\w*|chargeback\w*)(_|$)"
 UNIQUE_SHARE = 0.9
+# Text with more values than this, in more than this share of its rows, is free text.
+FREE_TEXT_VALUES, FREE_TEXT_SHARE = 100, 0.2
 NUMERIC_LOW, NUMERIC_HIGH = 10.0, 30.0
 TEXT_LOW, TEXT_HIGH = 5.0, 15.0
 TEMPORAL_LIMIT = 5.0
@@ -43,6 +52,7 @@ def classify_columns(profile: DataFrame, overrides: dict[str, str] | None = None
         .when(name.rlike(PII_NAME) & ~numeric, F.lit("PII"))
         .when(name.rlike(MONEY_NAME) & numeric, F.lit("MONETARY"))
         .when(numeric, F.lit("NUMERIC"))
+        .when((F.col("distinct_count") > FREE_TEXT_VALUES) & (share > FREE_TEXT_SHARE), F.lit("TEXT"))
         .otherwise(F.lit("CATEGORY"))
     )
     given = F.lit(None).cast("string")
@@ -51,9 +61,66 @@ def classify_columns(profile: DataFrame, overrides: dict[str, str] | None = None
     return profile.withColumn("column_class", F.coalesce(given, guess))
 
 
-def measure(df: DataFrame, as_of: str | None = None, overrides: dict[str, str] | None = None, approx: bool = False) -> DataFrame:
-    """Profile with class, skewness, outlier share, negatives, future dates and best predictor."""
-    profile = profile_columns(df, approx=approx).drop("approx_median")
+@dataclass(frozen=True)
+class Constraint:
+    """Something a user knows about the columns: ``when`` (SQL) holds for rows that break it.
+
+    Kinds: ``sequence`` (rows are deleted), ``bounds`` (values are capped to ``value``),
+    ``identity`` (recomputed as ``value``), ``physics`` and ``orphan`` (flagged), and
+    ``balance`` (groups of ``when`` whose sums of ``column`` and ``value`` differ are flagged).
+    """
+
+    kind: str
+    column: str
+    when: str
+    value: str | None = None
+
+
+def sequence(start: str, end: str) -> Constraint:
+    return Constraint("sequence", f"{start}/{end}", f"`{start}` > `{end}`")
+
+
+def bounds(column: str, low: float, high: float) -> Constraint:
+    return Constraint("bounds", column, f"`{column}` < {low} OR `{column}` > {high}", f"least(greatest(`{column}`, {low}), {high})")
+
+
+_CONSTRAINED = {
+    "sequence": ("DELETE_ROWS", "IMPOSSIBLE_SEQUENCE"),
+    "bounds": ("CAP_RANGE", "DOMAIN_BOUNDS"),
+    "identity": ("RECOMPUTE", "LOGIC_VIOLATION"),
+    "physics": ("FLAG_PHYSICS", "PHYSICS"),
+    "orphan": ("FLAG_ORPHAN", "FK_VIOLATION"),
+    "balance": ("FLAG_JOURNAL", "JOURNAL_BALANCE"),
+}
+
+
+def broken_constraints(df: DataFrame, constraints: list[Constraint]) -> DataFrame:
+    """Plan rows of the constraints that some row, or some group, breaks: one aggregation for all of the former."""
+    spark, schema = df.sparkSession, "column_name string, action string, rule string, detail string"
+    plain = [c for c in constraints if c.kind != "balance"]
+    found = []
+    if plain:
+        row = df.agg(*[F.count_if(F.expr(c.when)).alias(f"n{i}") for i, c in enumerate(plain)]).first()
+        found = [c for i, c in enumerate(plain) if row[f"n{i}"]]
+    found += [c for c in constraints if c.kind == "balance" and not group_imbalance(df, Balance(c.when, c.column, c.value, "_off")).isEmpty()]
+    rows = [(c.column, *_CONSTRAINED[c.kind], json.dumps({"when": c.when, "value": c.value})) for c in found]
+    return spark.createDataFrame(rows, schema)
+
+
+def measure(
+    df: DataFrame,
+    as_of: str | None = None,
+    overrides: dict[str, str] | None = None,
+    approx: bool = False,
+    profile: DataFrame | None = None,
+) -> DataFrame:
+    """Profile with class, skewness, outlier share, negatives, future dates and best predictor.
+
+    ``profile`` is one already computed; otherwise it is computed once and stored.
+    """
+    if profile is None:
+        profile = materialise(profile_columns(df, approx=approx), "profile")
+    profile = profile.drop("approx_median")
     typed = classify_columns(profile, overrides)
     types = {f.name: f.dataType for f in df.schema.fields}
     numbers = [c for c, t in types.items() if isinstance(t, T.NumericType)]
@@ -110,8 +177,19 @@ def _act(condition: Column, action: str, rule: str) -> Column:
     return F.when(holds(condition), F.struct(F.lit(action).alias("action"), F.lit(rule).alias("rule")))
 
 
-def decide(measured: DataFrame, overrides: dict[str, list[tuple[str, str]]] | None = None, has_refund: bool = True) -> DataFrame:
-    """Actions per column by the tree.  Band limits themselves belong to the middle band."""
+def decide(
+    measured: DataFrame,
+    overrides: dict[str, list[tuple[str, str]]] | None = None,
+    has_refund: bool | None = None,
+    broken: DataFrame | None = None,
+) -> DataFrame:
+    """Actions per column by the tree.  Band limits themselves belong to the middle band.
+
+    ``has_refund`` is looked up among the column names unless it is given.  ``broken`` is
+    what ``broken_constraints`` found.  Free text and references are left as they are.
+    """
+    if has_refund is None:
+        has_refund = not measured.filter(F.lower("column_name").rlike(REFUND_NAME)).isEmpty()
     cls = F.col("column_class")
     nulls = F.col("null_pct")
     has_nulls = F.col("null_count") > 0
@@ -127,7 +205,8 @@ def decide(measured: DataFrame, overrides: dict[str, list[tuple[str, str]]] | No
         _act(key & (F.col("distinct_count") < filled), "DELETE_DUPLICATES", "PK_VIOLATION"),
         _act(moment & has_nulls & (nulls < TEMPORAL_LIMIT), "DELETE_NULL_TEMPORAL", "TEMPORAL_NULL_LOW"),
         _act(moment & has_nulls & (nulls >= TEMPORAL_LIMIT), "FLAG_NULL", "TEMPORAL_NULL_HIGH"),
-        _act(moment & (F.col("futures") > 0), "FLAG_FUTURE", "TEMPORAL_FUTURE"),
+        _act(moment & (F.col("futures") > 0) & name.rlike(SCHEDULED_NAME), "FLAG_FUTURE", "TEMPORAL_SCHEDULED"),
+        _act(moment & (F.col("futures") > 0) & ~name.rlike(SCHEDULED_NAME), "DELETE_FUTURE", "TEMPORAL_FUTURE"),
         _act(money & has_nulls, "FLAG_NULL", "MONETARY_NULL"),
         _act(
             money & (F.col("negatives") > 0),
@@ -159,17 +238,43 @@ def decide(measured: DataFrame, overrides: dict[str, list[tuple[str, str]]] | No
         if not given:
             fixed = F.filter(tree, lambda x: F.lit(False))
         tree = F.when(F.col("column_name") == column, fixed).otherwise(tree)
-    return measured.select(
+    plan = measured.select(
         "column_name", "column_class", "null_pct", "predictor", F.explode(tree).alias("_a")
-    ).select("column_name", "column_class", "null_pct", "_a.action", "_a.rule", "predictor")
+    ).select("column_name", "column_class", "null_pct", "_a.action", "_a.rule", "predictor", F.lit(None).cast("string").alias("detail"))
+    if broken is None:
+        return plan
+    about = measured.select("column_name", "column_class", "null_pct")
+    more = broken.join(F.broadcast(about), "column_name", "left")
+    return plan.unionByName(more.withColumn("predictor", F.lit(None).cast("string")))
 
 
 def recommendations(plan: DataFrame) -> DataFrame:
     return plan.select("action", "column_name", "rule")
 
 
-def plan_to_rules(plan: DataFrame, as_of: str | None = None) -> tuple[list[Rule], list[str]]:
-    """Rules for the engine, and the columns to drop.  The plan has a few rows per column."""
+def learn_spellings(df: DataFrame, plan: DataFrame) -> dict[str, dict[str, str]]:
+    """Spelling to the most frequent spelling of its cluster, for each column to standardise.
+
+    Such columns are categories: they have few values, or they would be free text.
+    """
+    columns = [r["column_name"] for r in plan.filter("action = 'STANDARDIZE'").select("column_name").distinct().collect()]
+    return {c: {r[0]: r[1] for r in variant_map(df, c).collect()} for c in sorted(columns)}
+
+
+def plan_to_rules(
+    plan: DataFrame,
+    as_of: str | None = None,
+    keys: list[str] = (),
+    spellings: dict[str, dict[str, str]] | None = None,
+) -> tuple[list[Rule], list[str]]:
+    """Rules for the engine, and the columns to drop.  The plan has a few rows per column.
+
+    That a column looks like a key is a guess: rows are deleted for a missing or repeated
+    key only where ``keys`` names the column; for the others the plan stays advice.
+    ``spellings`` are the learned ones of ``learn_spellings``; without them categories are
+    trimmed and upper-cased.  A FLAG_JOURNAL rule reads the mark ``_off_<column>`` of a
+    ``Balance`` given to the engine.
+    """
     rules: list[Rule] = []
     dropped: list[str] = []
     now = "localtimestamp()" if as_of is None else f"CAST('{as_of}' AS TIMESTAMP_NTZ)"
@@ -185,6 +290,9 @@ def plan_to_rules(plan: DataFrame, as_of: str | None = None) -> tuple[list[Rule]
         if action == "DROP_COLUMN":
             dropped.append(c)
             continue
+        if action in ("DELETE_DUPLICATES", "DELETE_NULL_KEY") and c not in keys:
+            continue
+        detail = json.loads(r["detail"]) if r["detail"] else {}
         rules.append(
             {
                 "DELETE_DUPLICATES": lambda: Rule(name, "key", action, c, keys=(c,)),
@@ -196,7 +304,7 @@ def plan_to_rules(plan: DataFrame, as_of: str | None = None) -> tuple[list[Rule]
                     label="NULL_MONETARY" if r["column_class"] == "MONETARY" else "NULL_VALUE",
                 ),
                 "FLAG_FUTURE": lambda: Rule(
-                    name, "flag", action, c, when=f"{q} > {now}", flag=flag, label="FUTURE_DATE"
+                    name, "flag", action, c, when=f"{q} > {now}", flag=flag, label="SCHEDULED"
                 ),
                 "CONVERT_TO_POSITIVE": lambda: Rule(
                     name, "money", action, c, when=f"{q} < 0", fn="abs", flag=flag, label="CONVERTED_NEGATIVE"
@@ -214,7 +322,25 @@ def plan_to_rules(plan: DataFrame, as_of: str | None = None) -> tuple[list[Rule]
                 "NULLIFY_MALFORMED": lambda: Rule(name, "text", action, c, fn="email"),
                 "STANDARDIZE_PHONE": lambda: Rule(name, "text", action, c, fn="phone"),
                 "TRIM_WHITESPACE": lambda: Rule(name, "text", action, c, fn="trim"),
-                "STANDARDIZE": lambda: Rule(name, "text", action, c, fn="synonyms", args={"synonyms": {}}),
+                "STANDARDIZE": lambda: (
+                    Rule(name, "text", action, c, fn="map", args={"mapping": spellings[c]})
+                    if spellings and spellings.get(c)
+                    else Rule(name, "text", action, c, fn="synonyms", args={"synonyms": {}})
+                ),
+                "DELETE_ROWS": lambda: Rule(name, "impossible", action, c, when=detail["when"]),
+                "CAP_RANGE": lambda: Rule(
+                    name, "bounds", action, c, when=detail["when"], value=detail["value"], flag=flag, label="CAPPED_RANGE"
+                ),
+                "RECOMPUTE": lambda: Rule(name, "logic", action, c, when=detail["when"], value=detail["value"]),
+                "FLAG_PHYSICS": lambda: Rule(
+                    name, "logic", action, c, when=detail["when"], flag=flag, label="PHYSICS_VIOLATION"
+                ),
+                "FLAG_ORPHAN": lambda: Rule(
+                    name, "reference", action, c, when=detail["when"], flag=flag, label="ORPHANED_FK"
+                ),
+                "FLAG_JOURNAL": lambda: Rule(
+                    name, "reference", action, c, when=f"_off_{c}", flag=f"{c}_flag", label="IMBALANCED_JOURNAL"
+                ),
                 "IMPUTE_MEDIAN": lambda: impute(f"{{{c}_median}}", median),
                 "IMPUTE_MEAN": lambda: impute(f"{{{c}_mean}}", Stat(f"{c}_mean", "mean", q)),
                 "IMPUTE_MODE": lambda: impute(

@@ -75,6 +75,7 @@ SENSORS = (
 )
 EMAIL_SQL = "email RLIKE '^[^@]+@[^@]+\\\\.[^@]+$'"
 LBS_PER_KG = 2.205
+LANGUAGES = {"product_name_hi": "hi", "product_name_ja": "ja"}
 
 
 @dataclass(frozen=True)
@@ -156,12 +157,24 @@ def _floor_zero(column: str) -> Rule:
     return Rule("NUMERIC_NEGATIVE", "bounds", "SET_ZERO", column, when=f"{column} < 0", value="0")
 
 
-def orders(as_of: str | None = None, legacy_before: str = "2020-01-01") -> Domain:
+SUFFIX_ORPHAN = "try_cast(regexp_extract(CAST({c} AS STRING), '([0-9]+)$', 1) AS BIGINT) > {limit}"
+
+
+def orders(
+    as_of: str | None = None,
+    legacy_before: str = "2020-01-01",
+    orphan: str = SUFFIX_ORPHAN.format(c="customer_id", limit=9500),
+    customers: str | None = None,
+    order_by: tuple[str, ...] = ("row_seq",),
+) -> Domain:
+    """``orphan`` is the condition of an unknown customer; ``customers`` names the key column
+    of a master called "customers", which then decides instead."""
+    orphan = "_orphan_customer" if customers else orphan
     p99 = Stat("total_amount_p99", "quantile", "total_amount", 0.99)
     return Domain(
         "orders",
         ("order_id",),
-        ("row_seq",),
+        tuple(order_by),
         [
             _dedupe("order_id"),
             _sequence("onboarding_date", "go_live_date"),
@@ -180,7 +193,7 @@ def orders(as_of: str | None = None, legacy_before: str = "2020-01-01") -> Domai
             _impute("health_score", "mean", "IMPUTE_MEAN"),
             Rule("LOGIC_VIOLATION", "logic", "RECOMPUTE", "arr", when="arr < mrr * 12 * (1 - 1e-9)",
                  value="mrr * 12"),
-            _flag("FK_VIOLATION", "reference", "customer_id", "customer_id >= 1000000000", "ORPHANED_FK"),
+            _flag("FK_VIOLATION", "reference", "customer_id", orphan, "ORPHANED_FK"),
         ],
         [
             Check("null_customer_name", "completeness", "WARNING", "customer_name", "customer_name IS NULL"),
@@ -194,13 +207,14 @@ def orders(as_of: str | None = None, legacy_before: str = "2020-01-01") -> Domai
             Check("mixed_status", "consistency", "WARNING", "status", fn="map", args={"mapping": STATUS}),
             Check("mixed_industry", "consistency", "WARNING", "industry", fn="synonyms",
                   args={"synonyms": INDUSTRY}),
-            Check("orphan_customer", "consistency", "CRITICAL", "customer_id", "customer_id >= 1000000000"),
+            Check("orphan_customer", "consistency", "CRITICAL", "customer_id", orphan),
             Check("onboarding_after_go_live", "accuracy", "CRITICAL", "onboarding_date",
                   "onboarding_date > go_live_date"),
             Check("future_order_date", "accuracy", "WARNING", "order_date", f"order_date > {_moment(as_of)}"),
             Check("legacy_order_date", "accuracy", "INFO", "order_date",
                   f"order_date < CAST('{legacy_before}' AS TIMESTAMP_NTZ)"),
         ],
+        [Reference("customer_id", "customers", customers, "_orphan_customer")] if customers else [],
     )
 
 
@@ -228,7 +242,7 @@ def telemetry(as_of: str | None = None, power_factor: float = 0.001) -> Domain:
             _map("device_type", DEVICE_TYPE),
         ],
         [
-            Check("null_torque", "completeness", "CRITICAL", "torque_nm", "torque_nm IS NULL"),
+            *[Check(f"null_{c}", "completeness", "CRITICAL", c, f"{c} IS NULL") for c in SENSORS],
             Check("null_failure_days", "completeness", "INFO", "predicted_failure_days",
                   "predicted_failure_days IS NULL"),
             Check("temperature_range", "validity", "CRITICAL", "temperature_c",
@@ -304,7 +318,14 @@ def workforce(as_of: str | None = None, impute_equity: bool = False, contractor:
     )
 
 
-def ledger(as_of: str | None = None) -> Domain:
+def ledger(
+    as_of: str | None = None,
+    orphan: str = "contains(CAST(vendor_id AS STRING), 'GHOST')",
+    vendors: str | None = None,
+    order_by: tuple[str, ...] = ("posting_date",),
+) -> Domain:
+    """``orphan`` and ``vendors`` as in ``orders``; ties in ``order_by`` are settled by the other columns."""
+    orphan = "_orphan_vendor" if vendors else orphan
     fx = [
         Rule("GROUPED_IMPUTATION", "impute", "IMPUTE_MEDIAN_BY_GROUP", "fx_rate",
              when=f"fx_rate IS NULL AND currency = '{c}'", value="{" + f"fx_{c}" + "}",
@@ -315,7 +336,7 @@ def ledger(as_of: str | None = None) -> Domain:
     return Domain(
         "ledger",
         ("transaction_id",),
-        ("posting_date", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity"),
+        tuple(order_by),
         [
             _dedupe("transaction_id"),
             _positive("debit_amount", "NEGATIVE_DEBIT"),
@@ -331,7 +352,7 @@ def ledger(as_of: str | None = None) -> Domain:
             *fx,
             Rule("FORMAT_STANDARDISE", "text", "STANDARDIZE", "account_code", fn="account_code"),
             _map("approval_status", APPROVAL),
-            _flag("FK_VIOLATION", "reference", "vendor_id", "vendor_id >= 1000000000", "ORPHANED_FK"),
+            _flag("FK_VIOLATION", "reference", "vendor_id", orphan, "ORPHANED_FK"),
             _flag("JOURNAL_BALANCE", "reference", "journal_entry_id", "_off_journal", "IMBALANCED_JOURNAL"),
             _flag("INTERCOMPANY", "reference", "intercompany_flag", "_off_intercompany",
                   "INTERCOMPANY_IMBALANCE", flag="ic_unbalanced_flag"),
@@ -344,14 +365,14 @@ def ledger(as_of: str | None = None) -> Domain:
             Check("mixed_account_code", "consistency", "WARNING", "account_code", fn="account_code"),
             Check("mixed_approval", "consistency", "WARNING", "approval_status", fn="map",
                   args={"mapping": APPROVAL}),
-            Check("orphan_vendor", "consistency", "WARNING", "vendor_id", "vendor_id >= 1000000000"),
+            Check("orphan_vendor", "consistency", "WARNING", "vendor_id", orphan),
             Check("imbalanced_journal", "accuracy", "CRITICAL", "journal_entry_id", "_off_journal"),
             Check("net_amount_break", "accuracy", "CRITICAL", "net_amount",
                   "abs(net_amount - (debit_amount - credit_amount)) > 0.01D"),
             Check("approved_before_posted", "accuracy", "WARNING", "approval_date",
                   "approval_date < posting_date"),
         ],
-        [],
+        [Reference("vendor_id", "vendors", vendors, "_orphan_vendor")] if vendors else [],
         [
             Balance("journal_entry_id", "debit_amount", "credit_amount", "_off_journal"),
             Balance("journal_entry_id", "debit_amount", "credit_amount", "_off_intercompany",
@@ -360,7 +381,9 @@ def ledger(as_of: str | None = None) -> Domain:
     )
 
 
-def catalog(rates: dict[str, float] | None = None) -> Domain:
+def catalog(rates: dict[str, float] | None = None, languages: dict[str, str] | None = None) -> Domain:
+    """``languages`` names the language each text column should be in."""
+    languages = LANGUAGES if languages is None else languages
     rate = (rates or {"EUR": 0.92})["EUR"]
     weight = f"abs(weight_lbs - weight_kg * {LBS_PER_KG}D) > 0.01D"
     stale = f"abs(price_eur - abs(price_usd) * {rate}D) > 0.01D"
@@ -381,6 +404,11 @@ def catalog(rates: dict[str, float] | None = None) -> Domain:
             _sequence("created_at", "published_at"),
             _map("category_l1", CATEGORY),
             Rule("STRIP_HTML", "text", "STRIP_HTML", "description_en", fn="strip_html"),
+            *[
+                Rule("WRONG_LANGUAGE", "flag", "FLAG", c, test="wrong_language", args={"lang": lang}, flag=f"{c}_flag",
+                     label="WRONG_LANGUAGE")
+                for c, lang in languages.items()
+            ],
             *unknown,
             Rule("UNIT_WEIGHT", "logic", "RECOMPUTE", "weight_lbs", when=weight,
                  value=f"weight_kg * {LBS_PER_KG}D"),
@@ -395,6 +423,10 @@ def catalog(rates: dict[str, float] | None = None) -> Domain:
             Check("markup", "validity", "WARNING", "description_en", "description_en RLIKE '<[^>]+>'"),
             Check("negative_stock", "validity", "INFO", "stock_quantity", "stock_quantity < 0"),
             Check("mixed_category", "consistency", "WARNING", "category_l1", fn="map", args={"mapping": CATEGORY}),
+            *[
+                Check(f"wrong_language_{c}", "consistency", "WARNING", c, test="wrong_language", args={"lang": lang})
+                for c, lang in languages.items()
+            ],
             Check("weight_units", "accuracy", "WARNING", "weight_lbs", weight),
             Check("stale_rate", "accuracy", "WARNING", "price_eur", stale),
             Check("published_before_created", "accuracy", "CRITICAL", "published_at",

@@ -18,6 +18,7 @@ from burnish.operators.skew import attach
 from burnish.plans.rules import (
     FUNCTIONS,
     STAGES,
+    TESTS,
     Balance,
     Reference,
     Rule,
@@ -265,6 +266,8 @@ def _projection(frame, group, stats, positions, flag_only) -> dict[str, Column]:
     for rule in group:
         i = positions[id(rule)]
         hit = holds(F.expr(fill_stats(rule.when, stats))) if rule.when else None
+        if rule.test:
+            hit = holds(TESTS[rule.test](F.col(rule.column), **rule.args))
         if rule.flag:
             before = updates.get(rule.flag, F.col(rule.flag) if rule.flag in types else F.lit(None))
             updates[rule.flag] = F.coalesce(before, F.when(hit, F.lit(rule.label))).cast("string")

@@ -12,6 +12,7 @@ from burnish.plans.decide import decide, measure, recommendations
 from burnish.plans.domains import Domain
 from burnish.plans.engine import Cleaned, audit_totals
 from burnish.plans.score import compare_scores, measure_layer, score_layers
+from burnish.session import materialise
 from burnish.sources.load import profile_document, report_row
 
 
@@ -30,11 +31,12 @@ class Prepared:
     def report(self, as_of: str | None = None) -> DataFrame:
         """Row of the quality-reports table with the nested profile document."""
         raw = self.result.raw
+        profile = materialise(profile_columns(raw), "profile")
         document = profile_document(
             profile_metadata(raw, self.name),
-            profile_columns(raw),
+            profile,
             self.issues,
-            recommendations(decide(measure(raw, as_of))),
+            recommendations(decide(measure(raw, as_of, profile=profile))),
             compare_scores(self.scores),
         )
         return report_row(document, self.scores, audit_totals(self.audit), self.issues)

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from burnish.functions import numbers as N
 from burnish.functions import text as X
+from burnish.operators.language import wrong_language
 
 # Fixed order of work.  Rules of one stage see the values the stage started with.
 STAGES = (
@@ -51,7 +52,10 @@ FUNCTIONS = {
     "strip_html": X.strip_html,
 }
 
-CLASSES = ("MONETARY", "PII", "TEMPORAL", "NUMERIC_PK", "NUMERIC", "CATEGORY")
+# Named column tests a rule or check may use as its condition.
+TESTS = {"wrong_language": wrong_language}
+
+CLASSES = ("MONETARY", "PII", "TEMPORAL", "NUMERIC_PK", "NUMERIC", "CATEGORY", "TEXT")
 NEVER_IMPUTE = ("MONETARY", "PII")
 
 
@@ -81,6 +85,7 @@ class Rule:
     label: str | None = None
     stats: tuple[Stat, ...] = ()
     keys: tuple[str, ...] = ()
+    test: str | None = None
 
     @property
     def deletes(self) -> bool:
@@ -93,7 +98,7 @@ class Rule:
 
 @dataclass(frozen=True)
 class Check:
-    """Issue test.  Without ``when`` the test is "differs from its canonical form"."""
+    """Issue test: a condition, a named test, or else "differs from its canonical form"."""
 
     name: str
     dimension: str
@@ -102,8 +107,11 @@ class Check:
     when: str | None = None
     fn: str | None = None
     args: dict = field(default_factory=dict)
+    test: str | None = None
 
     def predicate(self) -> Column:
+        if self.test is not None:
+            return N.holds(TESTS[self.test](F.col(self.column), **self.args))
         if self.when is not None:
             return N.holds(F.expr(self.when))
         value = F.col(self.column)
@@ -164,6 +172,8 @@ def validate_rules(rules: list[Rule], classes: dict[str, str]) -> None:
             raise ValueError(f"{rule.name}: unknown stage {rule.stage}")
         if rule.fn is not None and rule.fn not in FUNCTIONS:
             raise ValueError(f"{rule.name}: unknown function {rule.fn}")
+        if rule.test is not None and rule.test not in TESTS:
+            raise ValueError(f"{rule.name}: unknown test {rule.test}")
         if rule.action.startswith("IMPUTE") and classes.get(rule.column) in NEVER_IMPUTE:
             raise ValueError(f"{rule.name}: {rule.column} is {classes[rule.column]} and is never imputed")
 

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from burnish.operators import compare as C
-from burnish.plans.engine import audit_totals, surviving_rows
+from burnish.plans.engine import audit_totals, clean, surviving_rows
 from burnish.plans.prepare import prepare
+from burnish.plans.rules import Rule
+from burnish.registry import scores  # noqa: F401 - defines the score tables
 from burnish.registry.base import (
     AS_OF,
     EMAIL,
@@ -20,7 +24,8 @@ from burnish.registry.base import (
     query,
     raw,
 )
-from burnish.registry.profiles import union
+from burnish.registry.detection import issues_sql
+from burnish.registry.profiles import COLUMNS, union
 from burnish.sources.typing import cast_or_reject
 
 # (rule, action, column, rows matched, cells modified) over the surviving rows.
@@ -84,58 +89,102 @@ def _removed(spark, sf_dir):
     return domain("orders").clean(raw(spark, sf_dir, "orders")).removed_rows().select("row_seq", "order_id", "reason")
 
 
-_TEXT = ["status", "industry", "customer_name", "email"]
+@query(
+    "h3_removed_rows_ties",
+    ctes("dirty_orders")
+    + "SELECT industry, status, 'PK_VIOLATION' AS reason FROM dirty_orders "
+    "QUALIFY row_number() OVER (PARTITION BY industry ORDER BY status) > 1",
+)
+def _removed_ties(spark, sf_dir):
+    """Rows that tie in the order are exact copies here; all but the kept one are listed."""
+    df = raw(spark, sf_dir, "orders").select("industry", "status")
+    rule = Rule("PK_VIOLATION", "key", "DELETE_DUPLICATES", "industry", keys=("industry",))
+    return clean(df, [rule], ["status"]).removed_rows()
+
+
+# How a compared value is printed in either engine.
+_MOMENTS = ("order_date", "onboarding_date", "go_live_date")
+_DAYS = ("created_at", "published_at")
+_PLAIN = (
+    "order_id", "customer_id", "status", "industry", "customer_name", "email", "product_id", "category_l1", "description_en",
+    "product_name_hi", "product_name_ja",
+)
+
+
+def printed(value: Column, kind: T.DataType) -> Column:
+    """Six places for numbers, seconds for moments."""
+    if isinstance(kind, T.DoubleType):
+        return value.cast("decimal(24,6)").cast("string")
+    if isinstance(kind, T.TimestampNTZType):
+        return F.date_format(value, "yyyy-MM-dd HH:mm:ss")
+    return value.cast("string")
 
 
-def _diff_sql(cols: list[str]) -> str:
+def _printed_sql(value: str, column: str) -> str:
+    if column in _MOMENTS:
+        return f"strftime({value}, '%Y-%m-%d %H:%M:%S')"
+    if column in _PLAIN or column in _DAYS:
+        return f"CAST({value} AS VARCHAR)"
+    return f"CAST(CAST({value} AS DECIMAL(24, 6)) AS VARCHAR)"
+
+
+def _diff_sql(name: str, key: str = "row_seq") -> str:
+    """Cell changes of the first raw row of each key, and every raw row without a cleaned one."""
+    cols = [c for c in COLUMNS[name] if c not in (key, "row_seq")]
+    first = f"(SELECT * FROM dirty_{name} QUALIFY row_number() OVER (PARTITION BY {key} ORDER BY row_seq) = 1)"
+
     def kind(c: str) -> str:
         return f"CASE WHEN r.{c} IS NULL THEN 'FILLED' WHEN k.{c} IS NULL THEN 'NULLED' ELSE 'CHANGED' END"
 
-    return (
-        union(
-            [
-                f"SELECT r.row_seq, '{c}' AS column_name, r.{c} AS raw_value, k.{c} AS cleaned_value, {kind(c)} AS change_type "
-                f"FROM dirty_orders r JOIN clean_orders k USING (row_seq) WHERE r.{c} IS DISTINCT FROM k.{c}"
-                for c in cols
-            ]
-        )
-        + " UNION ALL SELECT row_seq, NULL, NULL, NULL, 'ROW_DELETED' FROM dirty_orders WHERE row_seq NOT IN (SELECT row_seq FROM clean_orders)"
-    )
+    cells = [
+        f"SELECT r.{key}, '{c}' AS column_name, {_printed_sql(f'r.{c}', c)} AS raw_value, {_printed_sql(f'k.{c}', c)} AS cleaned_value, "
+        f"{kind(c)} AS change_type FROM {first} r JOIN clean_{name} k USING ({key}) WHERE r.{c} IS DISTINCT FROM k.{c}"
+        for c in cols
+    ]
+    gone = f"SELECT r.{key}, NULL, NULL, NULL, 'ROW_DELETED' FROM {first} r WHERE r.{key} NOT IN (SELECT {key} FROM clean_{name})"
+    copies = f"SELECT {key}, NULL, NULL, NULL, 'ROW_DELETED' FROM dirty_{name} QUALIFY row_number() OVER (PARTITION BY {key} ORDER BY row_seq) > 1"
+    return union([*cells, gone, copies])
 
 
-define("order_diff", _diff_sql(_TEXT), "dirty_orders", "clean_orders")
+define("order_diff", _diff_sql("orders"), "dirty_orders", "clean_orders")
+define("order_diff_by_id", _diff_sql("orders", "order_id"), "dirty_orders", "clean_orders")
+define("catalog_diff", _diff_sql("catalog"), "dirty_catalog", "clean_catalog")
 
 
-def _diff(spark, sf_dir, cols):
-    both = layers(spark, sf_dir, "orders")
-    return C.cell_diff(both["RAW"], both["CLEANED"], ["row_seq"], cols)
+def _diff(spark, sf_dir, name: str = "orders", key: str = "row_seq"):
+    both = layers(spark, sf_dir, name)
+    cols = [c for c in COLUMNS[name] if c not in (key, "row_seq")]
+    return C.cell_diff(both["RAW"], both["CLEANED"], [key], cols, ["row_seq"], printed)
 
 
 @query(
     "h4_recompute_log",
-    ctes("dirty_orders", "clean_orders")
-    + "SELECT r.row_seq, 'arr' AS column_name, round(r.arr, 6) AS raw_value, round(k.arr, 6) AS cleaned_value FROM dirty_orders r "
-    "JOIN clean_orders k USING (row_seq) WHERE r.arr IS DISTINCT FROM k.arr",
+    ctes("order_diff")
+    + "SELECT row_seq, column_name, raw_value, cleaned_value FROM order_diff WHERE column_name = 'arr' AND change_type = 'CHANGED'",
 )
 def _recomputed(spark, sf_dir):
-    log = C.recompute_log(_diff(spark, sf_dir, ["arr", "status"]), ["arr"])
-    return log.withColumns({c: F.round(F.col(c).cast("double"), 6) for c in ("raw_value", "cleaned_value")})
+    return C.recompute_log(_diff(spark, sf_dir), ["arr"])
 
 
-@query("h5_cell_diff", ctes("order_diff") + "SELECT * FROM order_diff")
-def _cell_diff(spark, sf_dir):
-    return _diff(spark, sf_dir, _TEXT)
+for _id, _name, _key, _view in (
+    ("h5_cell_diff", "orders", "row_seq", "order_diff"),
+    ("h5_cell_diff_by_order_id", "orders", "order_id", "order_diff_by_id"),
+    ("h5_cell_diff_catalog", "catalog", "row_seq", "catalog_diff"),
+):
+    query(_id, ctes(_view) + f"SELECT * FROM {_view}")(
+        lambda spark, sf_dir, name=_name, key=_key: _diff(spark, sf_dir, name, key)
+    )
 
 
 @query(
     "h6_diff_sample",
     ctes("order_diff")
-    + ", top AS (SELECT column_name FROM order_diff WHERE column_name IS NOT NULL GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 3), "
+    + ", top AS (SELECT column_name FROM order_diff WHERE column_name IS NOT NULL GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 10), "
     "picked AS (SELECT * FROM order_diff WHERE column_name IN (SELECT column_name FROM top)) "
     "SELECT * FROM picked WHERE row_seq IN (SELECT DISTINCT row_seq FROM picked ORDER BY row_seq LIMIT 20)",
 )
 def _sample(spark, sf_dir):
-    return C.diff_sample(_diff(spark, sf_dir, _TEXT), ["row_seq"], 3, 20)
+    return C.diff_sample(_diff(spark, sf_dir), ["row_seq"], 10, 20)
 
 
 def _metric_sql(name: str, exprs: dict[str, str]) -> str:
@@ -254,9 +303,27 @@ def _summary(spark, sf_dir):
     return C.layer_summary(_loaded(spark, sf_dir))
 
 
-@query("h10_report_row")
+def _scored(layer: str, column: str) -> str:
+    return f"(SELECT {column} FROM scores_orders WHERE layer = '{layer}')"
+
+
+def _issues(severity: str) -> str:
+    return f"(SELECT CAST(coalesce(sum(issue_rows), 0) AS BIGINT) FROM ({issues_sql('dirty_orders')}) WHERE severity = '{severity}')"
+
+
+@query(
+    "h10_report_row",
+    ctes("scores_orders", "audit_orders")
+    + f"SELECT 'orders' AS table_name, {_scored('raw', 'total_rows')} AS raw_rows, {_scored('cleaned', 'total_rows')} AS cleaned_rows, "
+    "(SELECT CAST(sum(rows_deleted) AS BIGINT) FROM audit_orders) AS rows_deleted, (SELECT CAST(sum(cells_modified) AS BIGINT) FROM audit_orders) AS rows_modified, "
+    f"{_scored('raw', 'overall')} AS quality_score_raw, {_scored('cleaned', 'overall')} AS quality_score_clean, "
+    f"{_scored('raw', 'grade')} AS grade_raw, {_scored('cleaned', 'grade')} AS grade_clean, "
+    f"{_issues('CRITICAL')} AS issues_critical, {_issues('WARNING')} AS issues_warning",
+)
 def _report(spark, sf_dir):
-    return prepare(raw(spark, sf_dir, "orders"), domain("orders")).report(AS_OF)
+    """The report row but for its time stamps and the nested document."""
+    row = prepare(raw(spark, sf_dir, "orders"), domain("orders")).report(AS_OF)
+    return row.drop("profiled_at", "created_at", "full_profile_json")
 
 
 @query(

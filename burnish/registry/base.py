@@ -18,6 +18,7 @@ AS_OF = "2001-01-01"
 AS_OF_EVENTS = "2024-01-25"
 LEGACY = "1995-02-01"
 VIEW_NAMES = tuple(VIEWS)
+LEDGER_ORDER = ("posting_date", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity")
 
 
 def query(name: str, oracle: str | None = None):
@@ -64,7 +65,9 @@ def domain(name: str, **options) -> Domain:
     if name == "catalog":
         return DOMAINS[name](**options)
     if name == "orders":
-        options = {"legacy_before": LEGACY, **options}
+        options = {"legacy_before": LEGACY, "orphan": "customer_id >= 1000000000", **options}
+    if name == "ledger":
+        options = {"orphan": "vendor_id >= 1000000000", "order_by": LEDGER_ORDER, **options}
     return DOMAINS[name](as_of=AS_OF_EVENTS if name == "telemetry" else AS_OF, **options)
 
 
@@ -124,6 +127,8 @@ STRIPPED = (
     "CASE WHEN contains(description_en, '<') THEN trim(regexp_replace(description_en, '<[^>]+>', '', 'g')) "
     "ELSE description_en END"
 )
+NOT_HINDI = r"regexp_matches(product_name_hi, '\p{L}') AND NOT regexp_matches(product_name_hi, '\p{Devanagari}')"
+NOT_JAPANESE = r"regexp_matches(product_name_ja, '\p{L}') AND NOT regexp_matches(product_name_ja, '[\p{Hiragana}\p{Katakana}\p{Han}]')"
 LOWERED_EMAIL = f"CASE WHEN {EMAIL} THEN lower(email) END"
 
 
@@ -297,7 +302,9 @@ SELECT row_seq, product_id, abs(price_usd) AS price_usd, price_eur,
   {CATEGORY} AS category_l1, {STRIPPED} AS description_en, coalesce(product_name_hi, 'UNKNOWN') AS product_name_hi,
   coalesce(product_name_ja, 'UNKNOWN') AS product_name_ja, created_at, published_at,
   CASE WHEN price_usd IS NULL THEN 'NULL_MONETARY' WHEN price_usd < 0 THEN 'CONVERTED_NEGATIVE' END AS price_usd_flag,
-  CASE WHEN abs(price_eur - abs(price_usd) * 92e-2) > 1e-2 THEN 'STALE_FX' END AS price_eur_flag
+  CASE WHEN abs(price_eur - abs(price_usd) * 92e-2) > 1e-2 THEN 'STALE_FX' END AS price_eur_flag,
+  CASE WHEN {NOT_HINDI} THEN 'WRONG_LANGUAGE' END AS product_name_hi_flag,
+  CASE WHEN {NOT_JAPANESE} THEN 'WRONG_LANGUAGE' END AS product_name_ja_flag
 FROM catalog_live""",
     "catalog_live",
 )

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from burnish.registry.base import TEXTS, cleaned, ctes, query, stamp
+from burnish.dirty import table
+from burnish.registry.base import TEXTS, cleaned, ctes, domain, query, raw, stamp
 
 STAMPS = {
     "orders": ("order_date", "onboarding_date", "go_live_date"),
@@ -46,3 +47,14 @@ def _oracle(name: str) -> str:
 for _id, _name in IDS.items():
     assert f"clean_{_name}" in TEXTS
     query(_id, _oracle(_name))(lambda spark, sf_dir, name=_name: as_text(cleaned(spark, sf_dir, name), name))
+
+
+@query(
+    "n1_clean_orders_by_master",
+    _oracle("orders").replace("SELECT * REPLACE (", "SELECT * REPLACE (CASE WHEN customer_id NOT IN (SELECT c_custkey FROM customer) THEN 'ORPHANED_FK' END AS customer_id_flag, "),
+)
+def _orders_by_master(spark, sf_dir):
+    """The customer master decides which customers are unknown, instead of a pattern."""
+    customers = table(spark, sf_dir, "customer").select("c_custkey")
+    done = domain("orders", customers="c_custkey").clean(raw(spark, sf_dir, "orders"), {"customers": customers})
+    return as_text(done.frame, "orders")

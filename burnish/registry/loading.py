@@ -8,6 +8,7 @@ from burnish.dirty import TABLES, dirty, table
 from burnish.functions import numbers as N
 from burnish.plans.prepare import prepare, run
 from burnish.registry.base import AS_OF, ctes, domain, query, raw
+from burnish.registry.decisions import decided_sql
 from burnish.registry.profiles import union
 from burnish.session import materialise, shared_path
 from burnish.sources import files as S
@@ -300,7 +301,11 @@ def _random(spark, sf_dir):
     return S.key_sample(raw(spark, sf_dir, "orders").select("row_seq", "order_id"), "row_seq", 0.1)
 
 
-@query("a17_write_profile")
+@query(
+    "a17_write_profile",
+    "SELECT 'catalog' AS table_name, (SELECT count(*) FROM part) AS total_rows, CAST(14 AS INT) AS columns, CAST(count(*) AS INT) AS recommendations FROM ("
+    + decided_sql("catalog", "dirty_catalog", AS_OF, False) + ")",
+)
 def _profile(spark, sf_dir):
     """Profile documents and report rows written and read back."""
     name = "catalog"

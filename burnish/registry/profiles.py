@@ -9,13 +9,18 @@ from burnish.operators import profile as P
 from burnish.plans.decide import classify_columns
 from burnish.registry.base import VIEW_NAMES, ctes, query, raw
 
-# Text and integer columns: their printed form is the same in both engines.
-PROFILED = {
-    "orders": ["row_seq", "order_id", "customer_id", "status", "industry", "customer_name", "email"],
-    "telemetry": ["row_seq", "device_id", "device_status", "firmware_version", "device_type"],
-    "workforce": ["row_seq", "employee_id", "manager_id", "full_name", "email", "department", "employment_status"],
-    "ledger": ["transaction_id", "journal_entry_id", "currency", "account_code", "approval_status", "vendor_id"],
-    "catalog": ["row_seq", "product_id", "category_l1", "description_en", "product_name_hi", "product_name_ja"],
+# Every column of the five views.
+COLUMNS = {
+    "orders": "row_seq order_id customer_id order_date order_amount total_amount status industry customer_name email nps_score "
+    "health_score seats_used arr mrr onboarding_date go_live_date".split(),
+    "telemetry": "row_seq device_id reading_timestamp ingestion_timestamp temperature_c humidity_pct pressure_psi device_status "
+    "vibration_hz voltage_v current_a power_kw efficiency_pct predicted_failure_days torque_nm firmware_version device_type".split(),
+    "workforce": "row_seq employee_id manager_id full_name email hire_date termination_date department employment_status base_salary "
+    "bonus_target equity_grant total_comp salary_band_max perf_rating_2024 pto_days_used pto_days_remaining".split(),
+    "ledger": "transaction_id journal_entry_id l_partkey l_suppkey l_quantity l_extendedprice posting_date effective_date approval_date "
+    "debit_amount credit_amount net_amount currency fx_rate account_code approval_status vendor_id intercompany_flag".split(),
+    "catalog": "row_seq product_id price_usd price_eur margin_pct stock_quantity weight_kg weight_lbs category_l1 description_en "
+    "product_name_hi product_name_ja created_at published_at".split(),
 }
 NUMBERS = {
     "orders": ["order_amount", "total_amount", "nps_score", "health_score", "seats_used", "arr", "mrr"],
@@ -24,32 +29,46 @@ NUMBERS = {
     "ledger": ["debit_amount", "credit_amount", "net_amount", "fx_rate"],
     "catalog": ["price_usd", "price_eur", "margin_pct", "weight_kg", "weight_lbs"],
 }
-TYPES = {"row_seq": "bigint", "customer_id": "bigint", "employee_id": "bigint", "manager_id": "bigint",
-         "journal_entry_id": "bigint", "vendor_id": "bigint"}
+# A column's type under its name in Spark.
+TYPE = (
+    "CASE WHEN typeof({c}) LIKE 'TIMESTAMP%' THEN 'timestamp_ntz' ELSE CASE typeof({c}) WHEN 'VARCHAR' THEN 'string' WHEN 'INTEGER' THEN 'int' "
+    "WHEN 'DOUBLE' THEN 'double' WHEN 'BIGINT' THEN 'bigint' WHEN 'DATE' THEN 'date' ELSE typeof({c}) END END"
+)
 
 
 def union(parts: list[str]) -> str:
     return " UNION ALL ".join(parts)
 
 
-for _name, _cols in PROFILED.items():
-    query(
-        f"c1_profile_columns_{_name}",
-        ctes(f"dirty_{_name}")
-        + union(
-            [
-                f"SELECT '{c}' AS column_name, '{TYPES.get(c, 'string')}' AS data_type, count(*) AS total_rows, "
-                f"count(*) - count({c}) AS null_count, round((count(*) - count({c})) * 100 / count(*), 2) AS null_pct, "
-                f"count(DISTINCT {c}) AS distinct_count FROM dirty_{_name}"
-                for c in _cols
-            ]
-        ),
-    )(lambda spark, sf_dir, name=_name, cols=_cols: P.profile_columns(raw(spark, sf_dir, name), cols))
-
-
-@query("c2_profile_columns_approx")
+def profile_sql(name: str) -> str:
+    return union(
+        [
+            f"SELECT '{c}' AS column_name, (SELECT {TYPE.format(c=c)} FROM dirty_{name} LIMIT 1) AS data_type, count(*) AS total_rows, "
+            f"count(*) - count({c}) AS null_count, round((count(*) - count({c})) * 100 / count(*), 2) AS null_pct, "
+            f"count(DISTINCT {c}) AS distinct_count FROM dirty_{name}"
+            for c in COLUMNS[name]
+        ]
+    )
+
+
+for _name in COLUMNS:
+    query(f"c1_profile_columns_{_name}", ctes(f"dirty_{_name}") + profile_sql(_name))(
+        lambda spark, sf_dir, name=_name: P.profile_columns(raw(spark, sf_dir, name))
+    )
+
+
+@query(
+    "c2_profile_columns_approx",
+    ctes("dirty_orders") + f"SELECT column_name, data_type, total_rows, null_count, null_pct, true AS distinct_close FROM ({profile_sql('orders')})",
+)
 def _approx(spark, sf_dir):
-    return P.profile_columns(raw(spark, sf_dir, "orders"), approx=True)
+    """Sketched distinct counts within five percent of the exact ones."""
+    df = raw(spark, sf_dir, "orders")
+    exact = P.profile_columns(df).select("column_name", F.col("distinct_count").alias("exact"))
+    close = F.abs(F.col("distinct_count") - F.col("exact")) <= F.col("exact") * 0.05
+    return P.profile_columns(df, approx=True).join(exact, "column_name").select(
+        "column_name", "data_type", "total_rows", "null_count", "null_pct", close.alias("distinct_close")
+    )
 
 
 @query(
@@ -69,9 +88,13 @@ def _ranges(spark, sf_dir):
     )
 
 
-@query("c4_profile_metadata")
+@query(
+    "c4_profile_metadata",
+    ctes("dirty_orders")
+    + "SELECT 'ORDERS' AS table_name, count(*) AS total_rows, least(count(*), 5000) AS sample_size, 'top_rows' AS sample_method FROM dirty_orders",
+)
 def _metadata(spark, sf_dir):
-    return P.profile_metadata(raw(spark, sf_dir, "orders"), "ORDERS")
+    return P.profile_metadata(raw(spark, sf_dir, "orders"), "ORDERS", "top_rows", 5000).drop("profiled_at")
 
 
 @query(
@@ -79,8 +102,8 @@ def _metadata(spark, sf_dir):
     ctes(*[f"dirty_{n}" for n in VIEW_NAMES])
     + union(
         [
-            f"SELECT '{n}' AS table_name, count(*) * {len(PROFILED[n] + NUMBERS[n])} AS total_cells, "
-            + " + ".join(f"(count(*) - count({c}))" for c in PROFILED[n] + NUMBERS[n])
+            f"SELECT '{n}' AS table_name, count(*) * {len(COLUMNS[n])} AS total_cells, "
+            + " + ".join(f"(count(*) - count({c}))" for c in COLUMNS[n])
             + " AS null_cells FROM dirty_"
             + n
             for n in VIEW_NAMES
@@ -89,7 +112,7 @@ def _metadata(spark, sf_dir):
 )
 def _null_cells(spark, sf_dir):
     pieces = [
-        P.null_cells(raw(spark, sf_dir, n), PROFILED[n] + NUMBERS[n]).select(
+        P.null_cells(raw(spark, sf_dir, n)).select(
             F.lit(n).alias("table_name"), "total_cells", "null_cells"
         )
         for n in VIEW_NAMES

@@ -21,6 +21,8 @@ from burnish.registry.base import (
     FIRMWARE,
     INDUSTRY,
     LEGACY,
+    NOT_HINDI,
+    NOT_JAPANESE,
     STATUS,
     VIEW_NAMES,
     ctes,
@@ -30,7 +32,7 @@ from burnish.registry.base import (
     query,
     raw,
 )
-from burnish.registry.profiles import NUMBERS, PROFILED, union
+from burnish.registry.profiles import COLUMNS, union
 from burnish.session import materialise
 
 # Conditions that fail a row, per dimension, in DuckDB SQL.  {t} is the layer's table.
@@ -65,7 +67,7 @@ FAILS = {
     "catalog": {
         "completeness": "price_usd IS NULL OR product_name_hi IS NULL OR product_name_ja IS NULL",
         "validity": "price_usd < 0 OR margin_pct < -50 OR margin_pct > 100 OR regexp_matches(description_en, '<[^>]+>') OR stock_quantity < 0",
-        "consistency": f"category_l1 <> {CATEGORY}",
+        "consistency": f"category_l1 <> {CATEGORY} OR ({NOT_HINDI}) OR ({NOT_JAPANESE})",
         "accuracy": "abs(weight_lbs - weight_kg * 2205e-3) > 1e-2 OR abs(price_eur - abs(price_usd) * 92e-2) > 1e-2 OR published_at < created_at",
     },
 }
@@ -193,7 +195,7 @@ for _extra, _id in ((False, "g4_uniqueness"), (True, "g4_uniqueness_extra_only")
 
 
 def _cells_sql(name: str) -> str:
-    cols = PROFILED[name] + NUMBERS[name]
+    cols = COLUMNS[name]
     nulls = " + ".join(f"(count(*) - count({c}))" for c in cols)
     score = f"round(greatest(0, 100 - ({nulls}) * 100 / (count(*) * {len(cols)}) - {S.NULL_CELL_PENALTY[name]}), 1)"
     return (
@@ -205,7 +207,7 @@ def _cells_sql(name: str) -> str:
 @query("g5_null_cell_score", ctes(*[f"dirty_{n}" for n in VIEW_NAMES]) + union([_cells_sql(n) for n in VIEW_NAMES]))
 def _cell_scores(spark, sf_dir):
     pieces = [
-        S.null_cell_score(raw(spark, sf_dir, n).select(*PROFILED[n], *NUMBERS[n]), S.NULL_CELL_PENALTY[n]).select(
+        S.null_cell_score(raw(spark, sf_dir, n), S.NULL_CELL_PENALTY[n]).select(
             F.lit(n).alias("table_name"), "score", "grade"
         )
         for n in VIEW_NAMES

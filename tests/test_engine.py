@@ -188,6 +188,7 @@ def _measured(spark, rows):
         ("TEMPORAL", 5.0, None, None, None, {"FLAG_NULL"}),
         ("MONETARY", 40.0, 9.0, 4.0, None, {"FLAG_NULL", "FLAG_OUTLIER"}),
         ("MONETARY", 0.0, 9.0, 5.0, None, {"FLAG_DISTRIBUTION"}),
+        ("TEXT", 20.0, None, None, None, set()),
     ],
 )
 def test_decision_bands(spark, cls, null_pct, skew, outliers, predictor, expected):
@@ -207,6 +208,36 @@ def test_decided_regression_and_drop(spark):
     assert out.filter(F.abs(F.col("b_score") - (3 * F.col("a_score") + 1)) > 1e-6).count() == 0
 
 
+def test_guessed_keys_and_free_text_are_left_alone(spark):
+    rows = [(i % 1900, f"note {i}" if i % 50 else None, "ab"[i % 2]) for i in range(2000)]
+    df = spark.createDataFrame(rows, "visit_id int, note string, kind string")
+    plan = decide(measure(df, "2001-01-01"))
+    got = {(r["column_name"], r["action"]) for r in plan.collect()}
+    assert ("visit_id", "DELETE_DUPLICATES") in got and not [c for c, _ in got if c == "note"]
+    rules, _ = plan_to_rules(plan)
+    assert clean(df, rules, ["visit_id"]).frame.count() == 2000
+    rules, _ = plan_to_rules(plan, keys=["visit_id"])
+    assert clean(df, rules, ["visit_id"]).frame.count() == 1900
+
+
+def test_refunds_are_looked_up(spark):
+    row = ("amount", "MONETARY", 100, 0, 0.0, 90, 0.0, 3, 0, 0.0, None)
+    other = ("refund_date", "TEMPORAL", 100, 0, 0.0, 90, None, 0, 0, None, None)
+    assert {r["action"] for r in decide(_measured(spark, [row])).collect()} == {"FLAG_NEGATIVE"}
+    assert {r["action"] for r in decide(_measured(spark, [row, other])).collect()} == {"CONVERT_TO_POSITIVE"}
+
+
+def test_constraints_become_rules(spark):
+    from burnish.plans.decide import Constraint, bounds, broken_constraints, sequence
+
+    df = spark.createDataFrame([(1, 2, 150.0, 1.0), (3, 2, 50.0, 1.0), (1, 5, 20.0, 9.0)], "a int, b int, pct double, v double")
+    known = [sequence("a", "b"), bounds("pct", 0, 100), bounds("v", 0, 100), Constraint("identity", "v", "v > 5", "a")]
+    plan = decide(measure(df), broken=broken_constraints(df, known))
+    rules, _ = plan_to_rules(plan.filter("detail IS NOT NULL"))
+    out = clean(df, rules, ["a"]).frame
+    assert sorted((r.a, r.pct, r.pct_flag, r.v) for r in out.collect()) == [(1, 20.0, None, 1.0), (1, 100.0, "CAPPED_RANGE", 1.0)]
+
+
 def test_overrides_win(spark):
     row = ("c", "NUMERIC", 100, 5, 5.0, 95, 0.0, 0, 0, 0.0, None)
     plan = decide(_measured(spark, [row]), {"c": [("IMPUTE_MEDIAN", "BY_HAND")]})
