@@ -19,6 +19,7 @@ from burnish.registry import QUERIES  # noqa: E402
 from burnish.session import local_session  # noqa: E402
 
 HEADLINE = [
+    "a13_load_summary",
     "n1_clean_orders",
     "n2_clean_telemetry",
     "n3_clean_workforce",
@@ -37,6 +38,7 @@ HEADLINE = [
     "e40_impute_group_median",
     "h1_audit",
     "h5_cell_diff",
+    "k2_dedupe_batches",
     "k4_windowed_quality",
 ]
 

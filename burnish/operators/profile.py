@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -263,6 +263,15 @@ def value_list(df: DataFrame, column: str, n: int = 6) -> DataFrame:
     return firsts.agg(F.sort_array(F.collect_list(column)).alias("value_list"))
 
 
+def value_lists(df: DataFrame, cols: list[str], n: int = 6) -> DataFrame:
+    """(column_name, value_list): the first ``n`` distinct values of each column as text, one pass for all."""
+    cells = [F.struct(F.lit(c).alias("column_name"), F.col(f"`{c}`").cast("string").alias("value")) for c in cols]
+    found = df.select(F.inline(F.array(*cells))).filter("value IS NOT NULL").distinct()
+    place = F.row_number().over(Window.partitionBy("column_name").orderBy("value"))
+    firsts = found.withColumn("_n", place).filter(F.col("_n") <= n)
+    return firsts.groupBy("column_name").agg(F.sort_array(F.collect_list("value")).alias("value_list"))
+
+
 def value_counts(df: DataFrame, column: str, n: int | None = None) -> DataFrame:
     counts = df.groupBy(column).agg(F.count(F.lit(1)).alias("cnt"))
     if n is None:

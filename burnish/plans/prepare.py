@@ -6,8 +6,10 @@ from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from burnish.operators.profile import profile_columns, profile_metadata
+from burnish.operators.profile import column_ranges, profile_columns, profile_metadata, value_lists
 from burnish.plans.decide import decide, measure, recommendations
 from burnish.plans.domains import Domain
 from burnish.plans.engine import Cleaned, audit_totals
@@ -32,16 +34,33 @@ class Prepared:
         """Row of the quality-reports table with the nested profile document."""
         raw = self.result.raw
         profile = materialise(profile_columns(raw), "profile")
+        measured = measure(raw, as_of, profile=profile)
+        plan = materialise(decide(measured), "plan")
         document = profile_document(
             profile_metadata(raw, self.name),
-            profile,
+            self._columns(raw, measured),
             self.issues,
-            recommendations(decide(measure(raw, as_of, profile=profile))),
+            recommendations(plan),
             compare_scores(self.scores),
+            sorted(r["column_name"] for r in plan.filter("action = 'DROP_COLUMN'").select("column_name").collect()),
         )
         return report_row(document, self.scores, audit_totals(self.audit), self.issues)
 
 
+    def _columns(self, raw: DataFrame, measured: DataFrame) -> DataFrame:
+        """Column profiles with class, range, first values of categories, and issues found."""
+        columns = measured.select("column_name", "data_type", "total_rows", "null_count", "null_pct", "distinct_count", "column_class")
+        numbers = [f.name for f in raw.schema.fields if isinstance(f.dataType, T.NumericType)]
+        if numbers:
+            ranges = column_ranges(raw, numbers).select("column_name", "min_value", "max_value")
+            columns = columns.join(F.broadcast(ranges), "column_name", "left")
+        categories = [r["column_name"] for r in columns.filter("column_class = 'CATEGORY'").select("column_name").collect()]
+        if categories:
+            columns = columns.join(F.broadcast(value_lists(raw, categories)), "column_name", "left")
+        found = self.issues.filter("issue_rows > 0").groupBy("column_name").agg(F.sort_array(F.collect_list("issue")).alias("issues"))
+        return columns.join(F.broadcast(found), "column_name", "left")
+
+
 def prepare(df: DataFrame, domain: Domain, masters: dict[str, DataFrame] | None = None, **options) -> Prepared:
     """Clean one table, write it once with its audit counted in the same job, score both layers."""
     result = domain.clean(df, masters, **options)

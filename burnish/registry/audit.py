@@ -10,12 +10,24 @@ from burnish.operators import compare as C
 from burnish.plans.engine import audit_totals, clean, surviving_rows
 from burnish.plans.prepare import prepare
 from burnish.plans.rules import Rule
-from burnish.registry import scores  # noqa: F401 - defines the score tables
+from burnish.registry import scores
 from burnish.registry.base import (
+    APPROVAL,
     AS_OF,
+    AS_OF_EVENTS,
+    CATEGORY,
+    CODE,
+    DEPARTMENT,
+    DEVICE,
     EMAIL,
+    EMPLOYMENT,
+    FIRMWARE,
     INDUSTRY,
+    NET,
+    NOT_HINDI,
+    NOT_JAPANESE,
     STATUS,
+    STRIPPED,
     VIEW_NAMES,
     ctes,
     define,
@@ -61,11 +73,108 @@ def _audit(spark, sf_dir):
     return domain("orders").clean(raw(spark, sf_dir, "orders")).audit().drop("position")
 
 
-@query("h1_audit_all")
+# The other tables' rules over their surviving rows: (rule, action, column, rows matched, cells modified or None for the same).
+_NO = "false"
+_OTHER_RULES = {
+    "telemetry": [
+        ("CLOCK_DRIFT_reading_timestamp", "FLAG_FUTURE", "reading_timestamp", f"reading_timestamp > TIMESTAMP '{AS_OF_EVENTS}'", _NO),
+        ("SENSOR_RANGE", "FLAG", "temperature_c", "temperature_c > 500 OR temperature_c < -50", _NO),
+        ("IMPOSSIBLE_VALUE", "NULLIFY_NEGATIVE", "pressure_psi", "pressure_psi < 0", None),
+        ("PHYSICAL_LIMIT", "CAP", "efficiency_pct", "efficiency_pct > 100", None),
+        ("ZERO_WHILE_RUNNING", "FLAG", "vibration_hz", "vibration_hz = 0 AND device_status = 'running'", _NO),
+        ("PHYSICS", "FLAG", "power_kw", "power_kw > voltage_v * current_a * 1e-3 * (1 + 1e-9)", _NO),
+        ("NULL_predicted_failure_days", "IMPUTE_MEDIAN", "predicted_failure_days", "predicted_failure_days IS NULL", None),
+        ("NULL_torque_nm", "IMPUTE_MEDIAN", "torque_nm", "torque_nm IS NULL", None),
+        ("FORMAT_CONSISTENCY", "STANDARDIZE", "firmware_version", f"firmware_version <> {FIRMWARE}", None),
+        ("CATEGORY_CONSISTENCY", "STANDARDIZE", "device_type", f"device_type <> {DEVICE}", None),
+    ],
+    "workforce": [
+        ("FUTURE_DATE_ERROR_hire_date", "FLAG_FUTURE", "hire_date", f"hire_date > TIMESTAMP '{AS_OF}'", _NO),
+        ("MONETARY_NEGATIVE", "CONVERT_TO_POSITIVE", "base_salary", "base_salary < 0", None),
+        ("TOTAL_COMP", "RECOMPUTE", "total_comp", "total_comp < abs(base_salary)", None),
+        ("PRESERVE_NULL", "PRESERVE", "bonus_target", "bonus_target IS NULL", _NO),
+        ("PII_CLEANUP", "TRIM_WHITESPACE", "full_name", "full_name <> trim(full_name)", None),
+        ("PII_EMAIL", "NULLIFY_MALFORMED", "email", f"NOT {EMAIL} OR email <> lower(email)", None),
+        ("CATEGORY_CONSISTENCY", "STANDARDIZE", "department", f"department <> {DEPARTMENT}", None),
+        ("CATEGORY_CONSISTENCY", "STANDARDIZE", "employment_status", f"employment_status <> {EMPLOYMENT}", None),
+        ("RATING_RANGE", "MEDIAN_IF_OUT_OF_RANGE", "perf_rating_2024", "perf_rating_2024 < 1 OR perf_rating_2024 > 5", None),
+        ("LEAVE_BALANCE", "CAP_BALANCE", "pto_days_used", "pto_days_used > pto_days_used + pto_days_remaining", None),
+        ("FK_VIOLATION", "FLAG", "manager_id", "manager_id IS NOT NULL AND manager_id NOT IN (SELECT employee_id FROM workforce_live)", _NO),
+        ("SALARY_BAND", "FLAG", "salary_band_max", "abs(base_salary) > salary_band_max", _NO),
+    ],
+    "ledger": [
+        ("MONETARY_NEGATIVE", "CONVERT_TO_POSITIVE", "debit_amount", "debit_amount < 0", None),
+        ("LOGIC_VIOLATION", "RECOMPUTE", "net_amount", "abs(net_amount - (abs(debit_amount) - credit_amount)) > 1e-2", None),
+        ("PRECISION_2DP", "ROUND_2DP", "debit_amount", "abs(debit_amount) IS DISTINCT FROM debit2", None),
+        ("PRECISION_2DP", "ROUND_2DP", "credit_amount", "credit_amount IS DISTINCT FROM credit2", None),
+        ("PRECISION_2DP", "ROUND_2DP", "net_amount", f"{NET} IS DISTINCT FROM net2", None),
+        ("FUTURE_DATE_posting_date", "FLAG_FUTURE", "posting_date", f"posting_date > TIMESTAMP '{AS_OF}'", _NO),
+        ("LAG", "FLAG", "effective_date", "date_sub('day', effective_date, posting_date) > 365", _NO),
+        ("APPROVAL_ORDER", "FLAG", "approval_date", "approval_date < posting_date", _NO),
+        *[
+            ("GROUPED_IMPUTATION", "IMPUTE_MEDIAN_BY_GROUP", "fx_rate", f"fx_rate IS NULL AND currency = '{c}'", None)
+            for c in ("EUR", "GBP", "JPY", "INR", "CAD", "AUD")
+        ],
+        ("FORMAT_STANDARDISE", "STANDARDIZE", "account_code", f"account_code <> {CODE}", None),
+        ("CATEGORY_CONSISTENCY", "STANDARDIZE", "approval_status", f"approval_status <> {APPROVAL}", None),
+        ("FK_VIOLATION", "FLAG", "vendor_id", "vendor_id >= 1000000000", _NO),
+        ("JOURNAL_BALANCE", "FLAG", "journal_entry_id", "off_all", _NO),
+        ("INTERCOMPANY", "FLAG", "intercompany_flag", "off_ic AND intercompany_flag = 1", _NO),
+    ],
+    "catalog": [
+        ("MONETARY_NULL", "FLAG_NULL", "price_usd", "price_usd IS NULL", _NO),
+        ("MONETARY_NEGATIVE", "CONVERT_TO_POSITIVE", "price_usd", "price_usd < 0", None),
+        ("CAP_RANGE", "CAP_RANGE", "margin_pct", "margin_pct < -50 OR margin_pct > 100", None),
+        ("NUMERIC_NEGATIVE", "SET_ZERO", "stock_quantity", "stock_quantity < 0", None),
+        ("CATEGORY_CONSISTENCY", "STANDARDIZE", "category_l1", f"category_l1 <> {CATEGORY}", None),
+        ("STRIP_HTML", "STRIP_HTML", "description_en", f"description_en <> {STRIPPED}", None),
+        ("WRONG_LANGUAGE", "FLAG", "product_name_hi", NOT_HINDI, _NO),
+        ("WRONG_LANGUAGE", "FLAG", "product_name_ja", NOT_JAPANESE, _NO),
+        ("NULL_product_name_hi", "IMPUTE_UNKNOWN", "product_name_hi", "product_name_hi IS NULL", None),
+        ("NULL_product_name_ja", "IMPUTE_UNKNOWN", "product_name_ja", "product_name_ja IS NULL", None),
+        ("UNIT_WEIGHT", "RECOMPUTE", "weight_lbs", "abs(weight_lbs - weight_kg * 2205e-3) > 1e-2", None),
+        ("STALE_FX", "FLAG", "price_eur", "abs(price_eur - abs(price_usd) * 92e-2) > 1e-2", _NO),
+    ],
+}
+_SEQUENCES = {
+    "telemetry": ("reading_timestamp", "ingestion_timestamp"),
+    "workforce": ("hire_date", "termination_date"),
+    "catalog": ("created_at", "published_at"),
+}
+
+
+def _audit_sql(name: str) -> str:
+    keys = scores.KEY_COLUMNS[name]
+    live = "ledger_money JOIN ledger_off ON journal_entry_id = je" if name == "ledger" else f"{name}_live"
+    copies = f"(SELECT CAST(sum(n - 1) AS BIGINT) FROM (SELECT count(*) AS n FROM dirty_{name} GROUP BY {keys}))"
+    parts = [
+        f"SELECT 'DELETE_DUPLICATES' AS action, '{keys.replace(', ', ',')}' AS column_name, 'PK_VIOLATION' AS rule, {copies} AS rows_matched, "
+        f"{copies} AS rows_deleted, CAST(0 AS BIGINT) AS cells_modified, '{name}' AS table_name"
+    ]
+    if name in _SEQUENCES:
+        a, b = _SEQUENCES[name]
+        parts.append(
+            f"SELECT 'DELETE_ROWS', '{a}/{b}', 'IMPOSSIBLE_SEQUENCE', count(*) FILTER ({a} > {b}), count(*) FILTER ({a} > {b}), 0, '{name}' FROM {name}_first"
+        )
+    parts += [
+        f"SELECT '{a}', '{c}', '{n}', count(*) FILTER ({w}), 0, count(*) FILTER ({w if m is None else m}), '{name}' FROM {live}"
+        for n, a, c, w, m in _OTHER_RULES[name]
+    ]
+    return union(parts)
+
+
+_AUDITED = ("telemetry_live", "telemetry_first", "workforce_live", "workforce_first", "ledger_money", "ledger_off", "catalog_live", "catalog_first")
+
+
+@query(
+    "h1_audit_all",
+    ctes("audit_orders", *[f"dirty_{n}" for n in _OTHER_RULES], *_AUDITED)
+    + union([*[_audit_sql(n) for n in _OTHER_RULES], "SELECT *, 'orders' FROM audit_orders"]),
+)
 def _audit_all(spark, sf_dir):
     out = None
     for name in VIEW_NAMES:
-        piece = domain(name).clean(raw(spark, sf_dir, name)).audit().withColumn("table_name", F.lit(name))
+        piece = domain(name).clean(raw(spark, sf_dir, name)).audit().drop("position").withColumn("table_name", F.lit(name))
         out = piece if out is None else out.unionByName(piece)
     return out
 

@@ -247,14 +247,14 @@ define(
     "WHERE currency IN ('EUR','GBP','JPY','INR','CAD','AUD') GROUP BY currency",
     "ledger_first",
 )
-_NET = (
+NET = (
     "CASE WHEN abs(net_amount - (abs(debit_amount) - credit_amount)) > 1e-2 "
     "THEN abs(debit_amount) - credit_amount ELSE net_amount END"
 )
 define(
     "ledger_money",
     f"SELECT *, {half_up('abs(debit_amount)')} AS debit2, {half_up('credit_amount')} AS credit2, "
-    f"{half_up(_NET)} AS net2 FROM ledger_first",
+    f"{half_up(NET)} AS net2 FROM ledger_first",
     "ledger_first",
 )
 define(

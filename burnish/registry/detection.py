@@ -16,10 +16,20 @@ from burnish.plans.engine import group_imbalance
 from burnish.plans.rules import Balance
 from burnish.plans.score import with_marks
 from burnish.registry.base import (
+    APPROVAL,
     AS_OF,
+    AS_OF_EVENTS,
+    CATEGORY,
+    CODE,
+    DEPARTMENT,
+    DEVICE,
     EMAIL,
+    EMPLOYMENT,
+    FIRMWARE,
     INDUSTRY,
     LEGACY,
+    NOT_HINDI,
+    NOT_JAPANESE,
     STATUS,
     VIEW_NAMES,
     cleaned,
@@ -417,7 +427,57 @@ def _overview(spark, sf_dir):
     )
 
 
-@query("d34_issue_overview_all")
+# (severity, condition) of the other tables' checks; {t} is the layer's table.
+_JOURNAL = "journal_entry_id IN (SELECT journal_entry_id FROM {t} GROUP BY 1 HAVING abs(sum(debit_amount) - sum(credit_amount)) > 1e-2)"
+OTHER_CHECKS = {
+    "telemetry": [
+        ("CRITICAL", "torque_nm IS NULL"), ("INFO", "predicted_failure_days IS NULL"),
+        ("CRITICAL", "temperature_c > 500 OR temperature_c < -50"), ("CRITICAL", "pressure_psi < 0"), ("WARNING", "efficiency_pct > 100"),
+        ("CRITICAL", "power_kw > voltage_v * current_a * 1e-3 * (1 + 1e-9)"), ("WARNING", f"firmware_version <> {FIRMWARE}"),
+        ("WARNING", f"device_type <> {DEVICE}"), ("WARNING", "vibration_hz = 0 AND device_status = 'running'"),
+        ("CRITICAL", "ingestion_timestamp < reading_timestamp"), ("WARNING", f"reading_timestamp > TIMESTAMP '{AS_OF_EVENTS}'"),
+    ],
+    "workforce": [
+        ("INFO", "bonus_target IS NULL"), ("INFO", "equity_grant IS NULL"), ("WARNING", "full_name IS NULL"), ("CRITICAL", "base_salary < 0"),
+        ("WARNING", f"NOT {EMAIL}"), ("WARNING", "perf_rating_2024 < 1 OR perf_rating_2024 > 5"), ("WARNING", f"department <> {DEPARTMENT}"),
+        ("WARNING", f"employment_status <> {EMPLOYMENT}"),
+        ("CRITICAL", "manager_id IS NOT NULL AND manager_id NOT IN (SELECT employee_id FROM {t})"), ("CRITICAL", "hire_date > termination_date"),
+        ("WARNING", f"hire_date > TIMESTAMP '{AS_OF}'"), ("CRITICAL", "total_comp < base_salary"), ("WARNING", "base_salary > salary_band_max"),
+    ],
+    "ledger": [
+        ("WARNING", "fx_rate IS NULL AND currency <> 'USD'"), ("INFO", "abs(debit_amount - round(debit_amount, 2)) > 1e-9"),
+        ("CRITICAL", "debit_amount < 0"), ("WARNING", f"account_code <> {CODE}"), ("WARNING", f"approval_status <> {APPROVAL}"),
+        ("WARNING", "vendor_id >= 1000000000"), ("CRITICAL", _JOURNAL), ("CRITICAL", "abs(net_amount - (debit_amount - credit_amount)) > 1e-2"),
+        ("WARNING", "approval_date < posting_date"),
+    ],
+    "catalog": [
+        ("WARNING", "price_usd IS NULL"), ("INFO", "product_name_hi IS NULL"), ("INFO", "product_name_ja IS NULL"), ("CRITICAL", "price_usd < 0"),
+        ("CRITICAL", "margin_pct < -50 OR margin_pct > 100"), ("WARNING", "regexp_matches(description_en, '<[^>]+>')"),
+        ("INFO", "stock_quantity < 0"), ("WARNING", f"category_l1 <> {CATEGORY}"), ("WARNING", NOT_HINDI), ("WARNING", NOT_JAPANESE),
+        ("WARNING", "abs(weight_lbs - weight_kg * 2205e-3) > 1e-2"), ("WARNING", "abs(price_eur - abs(price_usd) * 92e-2) > 1e-2"),
+        ("CRITICAL", "published_at < created_at"),
+    ],
+}
+
+
+def _severities(name: str, layer: str, source: str) -> str:
+    found = union([f"SELECT '{s}' AS severity, count(*) FILTER ({e.replace('{t}', source)}) AS issue_rows FROM {source}" for s, e in OTHER_CHECKS[name]])
+    return (
+        f"SELECT '{name}' AS table_name, '{layer}' AS layer, severity, count(*) AS issues, CAST(sum(issue_rows) AS BIGINT) AS issue_rows "
+        f"FROM ({found}) WHERE issue_rows > 0 GROUP BY severity"
+    )
+
+
+_LAYERS = (("RAW", "dirty_"), ("CLEANED", "clean_"))
+
+
+@query(
+    "d34_issue_overview_all",
+    ctes(*[f"{p}{n}" for n in VIEW_NAMES for _, p in _LAYERS])
+    + union([f"SELECT 'orders' AS table_name, '{layer}' AS layer, * FROM ({summary_sql(p + 'orders')})" for layer, p in _LAYERS])
+    + " UNION ALL "
+    + union([_severities(n, layer, p + n) for n in OTHER_CHECKS for layer, p in _LAYERS]),
+)
 def _overview_all(spark, sf_dir):
     """Both layers of all five tables, reference and balance marks included."""
     found = {}

@@ -114,7 +114,9 @@ def verify_outputs(spark: SparkSession, expected: list[tuple[str, str]]) -> Data
     return spark.createDataFrame(rows, "namespace string, table_name string, present boolean, has_rows boolean")
 
 
-def profile_document(meta: DataFrame, columns: DataFrame, issues: DataFrame, recommended: DataFrame, scores: DataFrame) -> DataFrame:
+def profile_document(
+    meta: DataFrame, columns: DataFrame, issues: DataFrame, recommended: DataFrame, scores: DataFrame, dropped: list[str] = ()
+) -> DataFrame:
     """One nested JSON text per table, from metadata-sized frames."""
     def rows(df: DataFrame, name: str) -> DataFrame:
         return df.agg(F.sort_array(F.collect_list(F.struct("*"))).alias(name))
@@ -128,6 +130,7 @@ def profile_document(meta: DataFrame, columns: DataFrame, issues: DataFrame, rec
                 rows(issues, "v").scalar().alias("issues_summary"),
                 rows(recommended, "v").scalar().alias("cleaning_recommendations"),
                 rows(scores, "v").scalar().alias("pre_post_comparison"),
+                F.array(*[F.lit(c) for c in dropped]).cast("array<string>").alias("columns_dropped"),
             )
         ).alias("full_profile_json"),
     )

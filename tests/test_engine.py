@@ -269,7 +269,10 @@ def test_prepare_and_report(spark, small):
     report = done.report("2001-01-01").first()
     assert report["raw_rows"] == 200 and report["cleaned_rows"] == done.cleaned.count()
     document = json.loads(report["full_profile_json"])
-    assert {"profile_metadata", "column_profiles", "issues_summary", "cleaning_recommendations"} <= set(document)
+    assert {"profile_metadata", "column_profiles", "issues_summary", "cleaning_recommendations", "columns_dropped"} <= set(document)
+    profiles = {c["column_name"]: c for c in document["column_profiles"]}
+    assert profiles["margin_pct"]["min_value"] == -75.0 and "Clothing" in profiles["category_l1"]["value_list"]
+    assert "margin_range" in profiles["margin_pct"]["issues"]
     gains = top_gain(compare_scores(done.scores)).collect()
     assert {r["dimension"] for r in gains} == {"completeness", "validity", "uniqueness", "consistency", "accuracy"}
 
