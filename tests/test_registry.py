@@ -82,3 +82,11 @@ def test_result_is_shuffled_wide_once(spark, small):
         plan = QUERIES[name](spark, small)._jdf.queryExecution().executedPlan().toString()
         wide = [p for p in plan.splitlines() if "Exchange hashpartitioning" in p]
         assert len(wide) <= (2 if name == "n2_clean_telemetry" else 1), (name, wide)
+
+
+def test_scores_mark_a_layer_once(spark, small):
+    """Uniqueness counts keys on the bare table: the joins behind the marks run once."""
+    for name, scans in (("g1_score_dimensions_ledger", 3), ("g1_score_dimensions_orders", 2)):
+        plan = QUERIES[name](spark, small)._jdf.queryExecution().executedPlan().toString()
+        plan = plan.split("== Initial Plan ==")[0]
+        assert plan.count("FileScan parquet") <= scans, (name, plan.count("FileScan parquet"))
