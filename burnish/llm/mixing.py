@@ -4,9 +4,11 @@ Every document gets a hash-random key.  Within its source the documents are orde
 that key; a prefix sum of their sizes tells where the source's budget ends.  Budgets above
 a source's size repeat it in whole epochs, and the last epoch is cut at the exact word.
 
-The prefix sum is distributed: the key's leading bits are a bucket, so buckets of a source
-hold equal shares of it whatever its size; sums per bucket are added up first, then the
-rows within each bucket.  No task ever orders a whole source.
+The prefix sum is distributed: the key's leading bits are a bucket, and a source has so many
+buckets that each holds at most about ``BUCKET_ROWS`` of its rows, a hot source as well as a
+small one.  Sums per bucket are added up first, in blocks of ``2**BLOCK_BITS`` buckets and
+then over blocks, and the rows within each bucket last.  No task ever orders a whole source,
+nor the buckets of one.
 
 Defined cases: a null text has size 0; a null source is a source of its own, sorted last;
 a document of size 0 takes 0; rows with equal keys (the same doc_id) are ordered by size,
@@ -28,7 +30,9 @@ WEIGHTS = (5, 2, 1)
 SHARE = (3, 2)  # of all sizes, as a fraction
 CAP = 2
 SEED = "mix-1"
-BUCKET_ROWS = 4_000
+BUCKET_ROWS = 256
+BUCKET_BITS = 24  # leading bits of the key that may be a bucket
+BLOCK_BITS = 12
 ADDED = ("size", "source_size", "target", "taken")
 
 
@@ -37,7 +41,7 @@ def size_of(text: str = "text") -> Column:
 
 
 def source_targets(sizes: DataFrame, weights=WEIGHTS, share=SHARE, cap: int = CAP) -> DataFrame:
-    """(_source, source_size) -> the same with ``target``: one narrow row per source.
+    """Rows with _source and source_size -> the same with ``target``: one narrow row per source.
 
     Sharing by weight and resharing the excess of capped sources ends at one level: with the
     sources in order of size per weight, the capped ones are a prefix of that order.
@@ -65,31 +69,41 @@ def source_targets(sizes: DataFrame, weights=WEIGHTS, share=SHARE, cap: int = CA
     at_first = lambda c: F.max(F.when(F.col("_k") == F.col("_first"), c)).over(everything)
     level_value = (F.col("_w") * at_first(F.col("_left"))).cast("double") / (F.lit(den) * at_first(F.col("_allw") - F.col("_cw"))).cast("double")
     target = F.when(F.col("_k") < F.col("_first"), (F.col("source_size") * cap).cast("double")).otherwise(level_value)
-    return ranked.select("_source", "source_size", target.alias("target"))
+    return ranked.select(*sizes.columns, target.alias("target"))
+
+
+def bucket_offsets(sums: DataFrame) -> DataFrame:
+    """(_name, _bucket, _sum) -> (_name, _bucket, _offset): the sum of the earlier buckets of a source."""
+    before = Window.rowsBetween(Window.unboundedPreceding, -1)
+    earlier = lambda c, keys, at: F.coalesce(F.sum(c).over(before.partitionBy(*keys).orderBy(at)), F.lit(0))
+    placed = sums.withColumn("_block", F.shiftright("_bucket", BLOCK_BITS))
+    inside = placed.withColumn("_inside", earlier("_sum", ("_name", "_block"), "_bucket"))
+    blocks = placed.groupBy("_name", "_block").agg(F.sum("_sum").alias("_all"))
+    blocks = blocks.select("_name", "_block", earlier("_all", ("_name",), "_block").alias("_before"))
+    return inside.join(blocks, ["_name", "_block"]).select("_name", "_bucket", (F.col("_before") + F.col("_inside")).alias("_offset"))
 
 
 def mix(docs: DataFrame, weights=WEIGHTS, share=SHARE, cap: int = CAP, seed: str = SEED, bucket_rows: int = BUCKET_ROWS, without: tuple = ()) -> DataFrame:
     """All rows of ``docs`` (columns in ``without`` left out) with ``size``, ``source_size``, ``target`` and ``taken``."""
     kept = [c for c in docs.columns if c not in ADDED]
     key = F.md5(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":" + seed)).cast("binary"))
+    source = F.col("source").cast("string")
+    name = F.coalesce(F.concat(F.lit("="), source), F.lit(""))  # never null, so that joins on it reuse its partitioning
     base = materialise(
-        docs.select(F.struct(*[c for c in kept if c not in without]).alias("_row"), F.col("source").cast("string").alias("_source"), size_of().alias("size"), key.alias("_key")),
+        docs.select(F.struct(*[c for c in kept if c not in without]).alias("_row"), name.alias("_name"), source.alias("_source"), size_of().alias("size"), key.alias("_key")),
         "mix",
     )
-    bits = max(0, (base.count() // bucket_rows).bit_length())
-    bucket = F.conv(F.substring("_key", 1, 6), 16, 10).cast("long")
-    base = base.withColumn("_bucket", F.shiftright(bucket, 24 - min(bits, 24)))
-
-    sums = base.groupBy("_source", "_bucket").agg(F.sum("size").alias("_sum"))
-    upto = Window.partitionBy("_source").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    sums = materialise(sums.withColumn("_offset", F.coalesce(F.sum("_sum").over(upto), F.lit(0))), "mix-sums")
-    targets = source_targets(sums.groupBy("_source").agg(F.sum("_sum").alias("source_size")), weights, share, cap)
-    offsets = sums.join(targets.withColumnRenamed("_source", "_s"), F.col("_source").eqNullSafe(F.col("_s")))
-    offsets = materialise(offsets.select(F.col("_source").alias("_s"), F.col("_bucket").alias("_b"), "_offset", "source_size", "target"), "mix-offsets")
-
-    within = Window.partitionBy("_source", "_bucket").orderBy("_key", F.col("_row.doc_id"), "size").rowsBetween(Window.unboundedPreceding, 0)
-    run = base.withColumn("_run", F.sum("size").over(within))
-    run = run.join(offsets, F.col("_source").eqNullSafe(F.col("_s")) & (F.col("_bucket") == F.col("_b")))
+    sources = base.groupBy("_name", "_source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("_n"))
+    bits = F.least(F.lit(BUCKET_BITS), F.greatest(F.lit(0), F.ceil(F.log2(F.col("_n") / bucket_rows)))).cast("int")
+    sources = materialise(source_targets(sources.withColumn("_bits", bits), weights, share, cap).drop("_source", "_n"), "mix-sources")
+    lead = F.conv(F.substring("_key", 1, BUCKET_BITS // 4), 16, 10).cast("long")
+    base = base.drop("_source").withColumn("_lead", lead).join(sources, "_name")
+    base = base.withColumn("_bucket", F.expr(f"shiftright(_lead, {BUCKET_BITS} - _bits)"))
+    sums = materialise(base.groupBy("_name", "_bucket").agg(F.sum("size").alias("_sum")), "mix-sums")
+    offsets = materialise(bucket_offsets(sums), "mix-offsets")
+
+    within = Window.partitionBy("_name", "_bucket").orderBy("_key", F.col("_row.doc_id"), "size").rowsBetween(Window.unboundedPreceding, 0)
+    run = base.withColumn("_run", F.sum("size").over(within)).join(offsets, ["_name", "_bucket"])
     budget = F.floor("target").cast("long")
     epochs = F.when(F.col("source_size") > 0, F.expr("CAST(floor(target) AS BIGINT) div source_size")).otherwise(F.lit(0))
     start = F.col("_offset") + F.col("_run") - F.col("size")

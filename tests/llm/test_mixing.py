@@ -46,3 +46,17 @@ def test_one_source_only(spark):
     df = spark.createDataFrame([(i, "a b c", "s") for i in range(9)], "doc_id long, text string, source string")
     found = mixing.mix(df)
     assert found.agg(F.sum("taken")).first()[0] == int(1.5 * 27)
+
+
+def test_offsets_over_many_blocks(spark):
+    """Buckets far apart, so both levels of the prefix sum are used."""
+    sums = [(name, 997 * i, i % 7) for name in ("=a", "") for i in range(50)]
+    found = mixing.bucket_offsets(spark.createDataFrame(sums, "_name string, _bucket long, _sum long"))
+    earlier = sorted((name, at, sum(s for n, b, s in sums if n == name and b < at)) for name, at, _ in sums)
+    assert sorted((r._name, r._bucket, r._offset) for r in found.collect()) == earlier
+
+
+def test_hot_source_is_cut_like_small_ones(spark):
+    rows_ = [(i, "a b", "hot" if i % 3 else f"s{i % 30}") for i in range(6_000)]
+    df = spark.createDataFrame(rows_, "doc_id long, text string, source string")
+    assert check(df).count() == len(rows_)
