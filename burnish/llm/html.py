@@ -1,8 +1,14 @@
 """Main text of web pages by two passes of block rules.
 
 Markup that is never article text is left out first: scripts, styles, menus, headers,
-footers, side columns, forms, and containers whose class or id names an advert, a notice,
-a comment section and the like.  What is left is cut into blocks at block-level tags.
+footers, side columns, forms, and containers whose class, id or role names an advert, a
+notice, a comment section and the like.  What is left is cut into blocks at block-level tags.
+
+A name alone drops a container only after its subtree is read.  An ``<article>`` or ``<main>``
+in it stays (unless its own name is on the list), and so does a container with more than half
+of the page's long text, if no article or main elsewhere on the page has long text.  If all
+the long text is in named containers, none is dropped.  A part behind ``no``, ``has``,
+``with`` and the like names a layout ("has-sidebar") and does not count.
 
 First pass: a block with mostly link text is boilerplate; a block shorter than ``SHORT`` is
 undecided; a longer one is content if at least ``DENSE`` of its words are stop words,
@@ -16,7 +22,7 @@ heading belongs to what follows it, so for a heading the next decided block deci
 
 Defined cases: a null or empty html gives an empty text; markup cut off at the end is left
 out; unknown or broken character references stay as written; unclosed elements end with
-their parent; repeated rows are each extracted; every text is read whole.
+their parent, and a named container that ends so loses its first block only; repeated rows are each extracted; every text is read whole.
 """
 
 from __future__ import annotations
@@ -51,33 +57,92 @@ _BLOCK = frozenset("address article blockquote body center dd details div dl dt
 _CLOSES_P = _BLOCK - {"body", "html", "td", "th", "tr", "tbody", "thead", "tfoot", "caption"}
 _HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 # Containers by class, id or role: whole name parts only, so "adapter" is no advert.
-_JUNK = re.compile(
-    r"(?:^|[\s_-])(?:ad|ads|advert|adverts|advertisement|advertising|adbox|banner|breadcrumb|breadcrumbs|comment|comments|consent|cookie|cookies|disqus|footer|gdpr|header|masthead|menu|modal|nav|navbar|navigation|newsletter|notice|notices|popup|promo|promoted|related|replies|respond|share|sharing|sidebar|social|sponsor|sponsored|subscribe|toolbar|widget)(?:$|[\s_-])",
-    re.I,
-)
+_JUNK = frozenset("ad ads advert adverts advertisement advertising adbox banner breadcrumb breadcrumbs comment comments consent cookie cookies disqus footer gdpr header masthead menu modal nav navbar navigation newsletter notice notices popup promo promoted related replies respond share sharing sidebar social sponsor sponsored subscribe toolbar widget".split())
+_LAYOUT = frozenset("has hide no non not with without".split())
+_OPTIONAL = frozenset("p li td th tr dd dt tbody thead tfoot".split())  # may end without an end tag
 _TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)|</[^>]*(?:>|\Z)""", re.S)
-_NAMED = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
+_ATTRIBUTE = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 _PUNCTUATION = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum())
 
 
 class _Block:
-    __slots__ = ("text", "linked", "heading", "inside")
-
-    def __init__(self, text: str, linked: int, heading: bool, inside: bool):
-        self.text, self.linked, self.heading, self.inside = text, linked, heading, inside
+    __slots__ = ("text", "linked", "heading", "inside", "named")
+
+    def __init__(self, text: str, linked: int, heading: bool, inside: bool, named: int):
+        self.text, self.linked, self.heading, self.inside, self.named = text, linked, heading, inside, named
+
+    def links(self) -> bool:
+        return self.linked > LINKS * len(self.text)
+
+    def long(self) -> int:
+        """Length of the text if it is long and not links."""
+        return len(self.text) if len(self.text) >= SHORT and not self.links() else 0
+
+
+class _Named:
+    """A container whose name is on the list: the one around it, and what its subtree holds."""
+
+    __slots__ = ("around", "inside", "unclosed", "first", "long", "long_inside")
+
+    def __init__(self, around: int, inside: bool):
+        self.around, self.inside, self.unclosed = around, inside, False
+        self.first, self.long, self.long_inside = -1, 0, 0
+
+
+def _is_junk(attributes: str) -> bool:
+    """Whether a class, id or role has a part on the list."""
+    for m in _ATTRIBUTE.finditer(attributes):
+        if m[1].lower() in ("class", "id", "role"):
+            for name in (m[2] or m[3] or m[4] or "").lower().split():
+                parts = name.replace("_", "-").split("-")
+                if any(x in _JUNK and (i == 0 or parts[i - 1] not in _LAYOUT) for i, x in enumerate(parts)):
+                    return True
+    return False
+
+
+def _without_named(found: list[_Block], named: list[_Named]) -> list[_Block]:
+    """Blocks outside the containers that their names drop."""
+    if not named:
+        return found
+    for i, block in enumerate(found):
+        if block.named >= 0:
+            own = named[block.named]
+            own.first = i if own.first < 0 else own.first
+            own.long += block.long()
+            own.long_inside += block.long() if block.inside else 0
+    for own in reversed(named):  # inner ones come after outer ones
+        if own.around >= 0:
+            outer = named[own.around]
+            outer.long += own.long
+            outer.long_inside += own.long_inside
+            if own.first >= 0 and (outer.first < 0 or own.first < outer.first):
+                outer.first = own.first
+    long = sum(b.long() for b in found)
+    long_inside = sum(b.long() for b in found if b.inside)
+    firsts, gone = set(), []
+    for own in named:
+        elsewhere = not own.inside and long_inside > own.long_inside
+        drops = elsewhere or 2 * own.long <= long
+        if drops and own.unclosed:
+            firsts.add(own.first)
+            drops = False
+        gone.append(drops or (own.around >= 0 and gone[own.around]))
+    kept = [b for i, b in enumerate(found) if i not in firsts and not (b.named >= 0 and gone[b.named])]
+    return kept if not long or any(b.long() for b in kept) else found
 
 
 def blocks(page: str) -> list[_Block]:
     """Blocks of a page that markup does not rule out, in page order."""
     found: list[_Block] = []
+    named: list[_Named] = []
     parts: list[str] = []
-    stack: list[tuple[str, bool]] = []  # open elements; whether each is left out
-    state = {"dropped": 0, "article": 0, "link": 0, "linked": 0, "heading": 0}
+    stack: list[tuple[str, bool, int | None]] = []  # open elements; whether each is left out; the named container to go back to
+    state = {"dropped": 0, "article": 0, "link": 0, "linked": 0, "heading": 0, "named": -1}
 
     def end_block() -> None:
         text = " ".join("".join(parts).split())
         if text:
-            found.append(_Block(text, state["linked"], state["heading"] > 0, state["article"] > 0))
+            found.append(_Block(text, state["linked"], state["heading"] > 0, state["article"] > 0, state["named"]))
         parts.clear()
         state["linked"] = 0
 
@@ -89,10 +154,15 @@ def blocks(page: str) -> list[_Block]:
         elif name in _HEADINGS:
             state["heading"] += by
 
-    def close(down_to: int) -> None:
-        for name, dropped in reversed(stack[down_to:]):
-            if name in _BLOCK or dropped:
+    def close(down_to: int, by_end_tag: bool = False) -> None:
+        for at in range(len(stack) - 1, down_to - 1, -1):
+            name, dropped, around = stack[at]
+            if name in _BLOCK or dropped or around is not None:
                 end_block()
+            if around is not None:
+                if by_end_tag and at > down_to and state["named"] >= 0 and name not in _OPTIONAL:
+                    named[state["named"]].unclosed = True
+                state["named"] = around
             count(name, -1)
             state["dropped"] -= dropped
         del stack[down_to:]
@@ -115,7 +185,7 @@ def blocks(page: str) -> list[_Block]:
         if closing:
             for i in range(len(stack) - 1, -1, -1):
                 if stack[i][0] == name:
-                    close(i)
+                    close(i, True)
                     break
             else:
                 if name == "p":
@@ -145,18 +215,28 @@ def blocks(page: str) -> list[_Block]:
             _close_open(stack, close, "head", ())
         if attributes.endswith("/") and name in ("path", "rect", "circle", "use"):
             continue
-        named = " ".join(x or y or z for x, y, z in _NAMED.findall(attributes)) if "=" in attributes else ""
-        dropped = name in _DROPPED or (name not in ("html", "body", "article", "main") and bool(named) and _JUNK.search(named) is not None)
-        if name in _BLOCK or dropped:
+        junk = "=" in attributes and name not in ("html", "body") and _is_junk(attributes)
+        dropped, around = name in _DROPPED, None
+        if name in ("article", "main"):
+            if not junk and state["named"] >= 0:
+                around = state["named"]  # lifts the drop of the containers around it
+        elif junk and not dropped:
+            around = state["named"]
+        if name in _BLOCK or dropped or around is not None:
             end_block()
-        stack.append((name, dropped))
+        if around is not None:
+            lifts = name in ("article", "main")
+            if not lifts:
+                named.append(_Named(around, state["article"] > 0))
+            state["named"] = -1 if lifts else len(named) - 1
+        stack.append((name, dropped, around))
         state["dropped"] += dropped
         count(name, 1)
     rest = page[at:]
     say(rest)
     close(0)
     end_block()
-    return found
+    return _without_named(found, named)
 
 
 def _close_open(stack, close, name: str, within: tuple) -> None:
@@ -171,7 +251,7 @@ def _close_open(stack, close, name: str, within: tuple) -> None:
 
 def _first_pass(block: _Block) -> bool | None:
     """True for content, False for boilerplate, None if undecided."""
-    if block.linked > LINKS * len(block.text):
+    if block.links():
         return False
     if block.heading or len(block.text) < SHORT:
         return None

@@ -123,3 +123,25 @@ def test_empty_pages(spark):
     assert html.extract_pages(spark.createDataFrame([], PAGES)).count() == 0
     found = html.extract_pages(spark.createDataFrame([(None, None, None)] * 2, PAGES).withColumn("text", F.lit(3)).withColumn("n_chars", F.lit(3))).collect()
     assert [(r.text, r.n_chars) for r in found] == [("", 0)] * 2
+
+
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        (f'<div class="layout has-sidebar"><p>{LONG}</p><div class="sidebar">Other</div></div>', LONG.strip()),
+        (f'<div id="content-with-comments"><article><p>{LONG}</p></article><div id="comments"><p>{LONG}</p></div></div>', LONG.strip()),
+        (f'<div class="post header"><article><p>{LONG}</p></article>Tail</div>', LONG.strip()),
+        (f'<div class="menu page"><p>{LONG}</p><div class="ad">Buy</div></div>', LONG.strip()),
+        (f'<div class="widget">{LONG}</div><div class="widget">{LONG}</div>', f"{LONG.strip()}\n{LONG.strip()}"),
+        (f'<div data-id="share" title=" class=ad"><p>{LONG}</p></div><p>{LONG}</p>', f"{LONG.strip()}\n{LONG.strip()}"),
+        (f'<section><p>{LONG}</p><div class="ad">Buy<p>{LONG}</p></section>', f"{LONG.strip()}\n{LONG.strip()}"),
+        (f'<article><p>{LONG}</p></article><div id="comments"><article class="comment"><p>{LONG * 3}</p></article></div>', LONG.strip()),
+    ],
+)
+def test_names_drop_no_article(page, text):
+    assert html.main_text(page) == text
+
+
+def test_deeply_nested_names_take_linear_time():
+    html.main_text('<div class="ad">x' * 50_000)
+    html.main_text('<div class="ad"><article>x' * 20_000)
