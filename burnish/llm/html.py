@@ -14,11 +14,15 @@ First pass: a block with mostly link text is boilerplate; a block shorter than `
 undecided; a longer one is content if at least ``DENSE`` of its words are stop words,
 boilerplate if fewer than ``SPARSE`` are, and undecided between.  Inside ``<article>`` or
 ``<main>`` a sparse block is undecided instead, since tables and names have few stop words.
+If dense blocks hold less than ``FITS`` of a page's long text, none of the listed languages
+fits it; stop words then say nothing, and a long block without many links is content.
 
-Second pass: an undecided block takes the label of its nearest decided neighbours: content
-if both sides agree on it, boilerplate if both sides say so.  If they differ, or there is
-only one, the nearer one decides, a tie or no neighbour at all counts as content.  A
-heading belongs to what follows it, so for a heading the next decided block decides.
+Second pass: an undecided block takes the label of its nearest decided neighbours on its own
+side of ``<article>`` and ``<main>`` (inside or outside): content if both agree on it,
+boilerplate if both say so.  If they differ, or there is only one, the nearer one decides, a
+tie or no neighbour at all counts as content.  A heading belongs to what follows it, so for a
+heading the next decided block decides.  Where no block is decided content, inside or on the
+whole page, links alone say nothing of the undecided ones: they are content.
 
 Defined cases: a null or empty html gives an empty text; markup cut off at the end is left
 out; unknown or broken character references stay as written; unclosed elements end with
@@ -42,6 +46,7 @@ SHORT = 70
 DENSE = 0.2
 SPARSE = 0.05
 LINKS = 0.33
+FITS = 0.25
 
 # Frequent function words of English, German, French and Spanish.
 STOP_WORDS = frozenset(
@@ -249,29 +254,37 @@ def _close_open(stack, close, name: str, within: tuple) -> None:
             return
 
 
-def _first_pass(block: _Block) -> bool | None:
-    """True for content, False for boilerplate, None if undecided."""
-    if block.links():
-        return False
-    if block.heading or len(block.text) < SHORT:
-        return None
-    words = block.text.lower().split()
-    dense = sum(w.strip(_PUNCTUATION) in STOP_WORDS for w in words) / len(words)
-    if dense >= DENSE:
-        return True
-    return False if dense < SPARSE and not block.inside else None
+def _first_passes(found: list[_Block]) -> list[bool | None]:
+    """True for content, False for boilerplate, None if undecided, for every block."""
+    density = []
+    for block in found:
+        words = block.text.lower().split() if block.long() else []
+        density.append(sum(w.strip(_PUNCTUATION) in STOP_WORDS for w in words) / max(1, len(words)))
+    long = sum(b.long() for b in found)
+    fits = sum(b.long() for b, d in zip(found, density) if d >= DENSE) >= FITS * long
+    labels: list[bool | None] = []
+    for block, dense in zip(found, density):
+        if block.links():
+            labels.append(False)
+        elif block.heading or not block.long():
+            labels.append(None)
+        elif dense >= DENSE or not fits:
+            labels.append(True)
+        else:
+            labels.append(False if dense < SPARSE and not block.inside else None)
+    return labels
 
 
-def main_text(page: str | None) -> str:
-    """Content blocks of a page, joined by line ends."""
-    found = blocks(page or "")
-    labels = [_first_pass(b) for b in found]
+def _second_pass(found: list[_Block], labels: list[bool | None], any_content: bool) -> list[bool]:
+    """Labels of all blocks of one side."""
+    if not any_content:
+        return [label is None for label in labels]
     before: list[int | None] = []
     last = None
     for i, label in enumerate(labels):
         before.append(last)
         last = i if label is not None else last
-    kept, following = [], None
+    done, following = [], None
     for i in range(len(found) - 1, -1, -1):
         label = labels[i]
         if label is None:
@@ -290,9 +303,23 @@ def main_text(page: str | None) -> str:
                 label = labels[previous if i - previous < following - i else following]
         else:
             following = i
-        if label:
-            kept.append(found[i].text)
-    return "\n".join(reversed(kept))
+        done.append(label)
+    return done[::-1]
+
+
+def main_text(page: str | None) -> str:
+    """Content blocks of a page, joined by line ends."""
+    found = blocks(page or "")
+    labels = _first_passes(found)
+    kept = [False] * len(found)
+    some_inside = any(b.inside for b in found)
+    for inside in (True, False):
+        own = [i for i, b in enumerate(found) if b.inside == inside]
+        # An article has text, so outside it links among short blocks are a menu's.
+        any_content = any(labels[i] for i in own) or (not inside and some_inside)
+        for i, label in zip(own, _second_pass([found[i] for i in own], [labels[i] for i in own], any_content)):
+            kept[i] = label
+    return "\n".join(b.text for b, k in zip(found, kept) if k)
 
 
 @F.pandas_udf(T.StringType())

@@ -145,3 +145,26 @@ def test_names_drop_no_article(page, text):
 def test_deeply_nested_names_take_linear_time():
     html.main_text('<div class="ad">x' * 50_000)
     html.main_text('<div class="ad"><article>x' * 20_000)
+
+
+ITALIAN = "Il governo presenta oggi alcune misure contro gli aumenti dei prezzi, dice ieri sera il ministro durante la conferenza stampa a Roma. "
+RUSSIAN = "Сегодня правительство представило новые меры против роста цен, сообщил вчера вечером министр на пресс-конференции в Москве. "
+MENU = "<div><a href=/>Home</a></div>"
+
+
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        (f"{MENU}<p>{ITALIAN}</p><p>{ITALIAN}</p>", f"{ITALIAN.strip()}\n{ITALIAN.strip()}"),
+        (f"{MENU}<p>{RUSSIAN}</p>", RUSSIAN.strip()),
+        (f"{MENU}<article><p>{RUSSIAN}</p></article>", RUSSIAN.strip()),
+        (f"{MENU}<p>{'政府今天公布了新的措施' * 20}</p>", "政府今天公布了新的措施" * 20),
+        (f"{MENU}<article><h1>Title</h1><p>First short one.</p><p>Second one.</p></article>", "Title\nFirst short one.\nSecond one."),
+        (f"<main>{MENU}<p>First short one.</p><p>Second one.</p></main>", "First short one.\nSecond one."),
+        (f"{MENU}<p>First short one.</p><p>Second one.</p>", "First short one.\nSecond one."),
+        (f"{MENU}Menu<article><p>{LONG}</p><p>End.</p></article>", f"{LONG.strip()}\nEnd."),
+        (f"<p>{ITALIAN * 8}</p><p>{LONG}</p>", f"{(ITALIAN * 8).strip()}\n{LONG.strip()}"),
+    ],
+)
+def test_articles_of_any_language_and_length(page, text):
+    assert html.main_text(page) == text
