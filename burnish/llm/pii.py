@@ -7,13 +7,19 @@ are outside any entity and part the tokens into chains.  Potentials:
 * a token's shape (digits, separators, parts, check digit, letters), log-linear;
 * neighbouring tokens of a chain;
 * skip edges between distant tokens that are equal or similar, that is, share their last seven
-  digits, or are one address case-folded.  Each token is joined to the next one like it, so
-  edges grow with the tokens, not with their pairs.
+  digits, or are one address case-folded, or are equal to a short token that is a base span.
+  Tokens that are alike are joined to one of them, the first that base spans hold, so edges
+  grow with the tokens, not with their pairs, and no repeat is far from what the patterns found.
 
-Tokens of base spans are observed.  Loopy message passing (``ROUNDS`` rounds, damped) over a
-whole batch of documents carries their labels along the edges, so an altered repeat of an
-identifier takes the label of the one the patterns found.  Tokens labelled as an entity that
-no base span touches become added spans.
+A number written in groups is one token if its groups together repeat the last seven digits of
+a card or phone that the patterns found in the document; groups that share no digit with the
+common end stay apart.
+
+Tokens of base spans are observed.  Loopy message passing (damped, over a whole batch of
+documents) carries their labels along the edges until a document's messages change by less
+than ``SETTLED``, so an altered repeat of an identifier takes the label of the one the patterns
+found.  A document whose loops swing stops after ``MOST`` looks at every ``ROUNDS`` rounds.
+Tokens labelled as an entity that no base span touches become added spans.
 
 Weights are fitted on the tokens of about ``FIT_ROWS`` documents (a hash of the id picks
 them), with the base spans as labels; Spark counts shapes and label pairs first, so the
@@ -41,7 +47,9 @@ from burnish.llm.common import small_batches
 
 KINDS = ("email", "ip", "card", "phone")
 FIT_ROWS = 3_000
-ROUNDS = 8
+ROUNDS = 8  # between two looks at whether messages have settled
+MOST = 100
+SETTLED = 1e-4
 DAMPING = 0.5
 SURE = 0.9  # belief an added token needs
 OBSERVED = 8.0
@@ -140,36 +148,93 @@ def _key(word: str) -> str:
     """What similar tokens share; empty for tokens too short to be told apart."""
     digits = _DIGITS.sub("", word)
     if "@" in word:
-        return word.lower().strip(".,;:!?\"'()[]<>|")
+        return _bare(word)
     return digits[-7:] if len(digits) >= 7 else ""
 
 
+def _bare(word: str) -> str:
+    return word.lower().strip(".,;:!?\"'()[]<>|")
+
+
+def _alike(a: str, b: str) -> int:
+    """Length of the common end of two numbers."""
+    n = 0
+    while n < min(len(a), len(b)) and a[-1 - n] == b[-1 - n]:
+        n += 1
+    return n
+
+
+def _joined(text: str, tokens: list[tuple[int, int]], own: list[Span]) -> list[tuple[int, int]]:
+    """The tokens, neighbours that together repeat a card or phone of ``own`` (in order) as one."""
+    numbers: dict[str, str] = {}
+    for k, s, e in own:
+        if k > 1:
+            digits = _DIGITS.sub("", text[s:e])
+            numbers.setdefault(digits[-7:], digits)
+    if not numbers:
+        return tokens
+    found: list[tuple[int, int]] = []
+    run: list[str] = []  # digits of the last tokens in ``found`` that may belong to one number
+    at = 0
+    for start, end in tokens:
+        while at < len(own) and own[at][2] <= start:
+            at += 1
+        if run and not (start - found[-1][1] < 3 and text[found[-1][1] : start].isspace()):
+            run = []
+        found.append((start, end))
+        word = text[start:end]
+        if any(s < end and e > start for _, s, e in own[at : at + 4]) or "@" in word or any(c.isalpha() for c in word):
+            run = []
+            continue
+        run = [*run[-19:], _DIGITS.sub("", word)]
+        digits = "".join(run)
+        if len(digits) >= 7 and (known := numbers.get(digits[-7:])):
+            same, n, covered = _alike(digits, known), 1, len(run[-1])
+            while covered < same and n < len(run) and covered + len(run[-n - 1]) <= len(known) + 4:
+                n += 1
+                covered += len(run[-n])
+            found[-n:] = [(found[-n][0], end)]
+            run[-n:] = ["".join(run[-n:])]  # a number of like digits may go on
+    return found
+
+
 def _graph(texts, spans: list[list[Span]]) -> tuple:
     """Tokens of many documents: owner, extents, shapes, observed labels; chain and skip edges."""
     owner, extent, shape, label, chain, skip = [], [], [], [], [], []
     for doc, (text, own) in enumerate(zip(texts, spans)):
         if not text:
             continue
-        ends: dict[str, int] = {}
+        like: dict[str, list[int]] = {}
+        equal: dict[str, list[int]] = {}  # tokens too short for a key
         last_end = -2
         own = sorted(own, key=lambda s: s[1])
         at = 0
-        for start, end in _tokens(text):
+        for start, end in _joined(text, _tokens(text), own):
             word, i = text[start:end], len(owner)
             while at < len(own) and own[at][2] <= start:
                 at += 1
-            near = [k for k, s, e in own[at : at + 4] if s < end and e > start]
+            near = [(k, s, e) for k, s, e in own[at : at + 4] if s < end and e > start]
             owner.append(doc)
             extent.append((start, end))
             shape.append(_shape(word))
-            label.append(1 + min(near) if near else 0)
+            label.append(1 + min(near)[0] if near else 0)
             if last_end >= 0 and text[last_end:start].isspace() and start - last_end < 3:
                 chain.append((i - 1, i))
             last_end = end
-            if key := _key(word):
-                if key in ends:
-                    skip.append((ends[key], i))
-                ends[key] = i
+            key = _key(word)
+            for k, s, e in near:
+                if k > 1 and s < start and e <= end:  # a number in several words ends here
+                    key = key or _DIGITS.sub("", text[s:e])[-7:]
+            if key:
+                like.setdefault(key, []).append(i)
+            elif all(start <= s and e <= end for _, s, e in near):
+                equal.setdefault(_bare(word), []).append(i)  # no part of a longer span
+        for groups, seen_only in ((like, False), (equal, True)):
+            for group in groups.values():
+                hub = next((i for i in group if label[i]), None)
+                if hub is not None or not seen_only:
+                    hub = group[0] if hub is None else hub
+                    skip += [(hub, i) for i in group if i != hub]
     pairs = lambda x: np.array(x, np.int64).reshape(-1, 2)
     return np.array(owner, np.int64), extent, np.array(shape, np.int64), np.array(label, np.int64), pairs(chain), pairs(skip)
 
@@ -231,8 +296,8 @@ def fit(docs: DataFrame, rows: int = FIT_ROWS) -> dict:
     return {"weights": weights, "bias": bias, "chain": edges[0], "skip": edges[1]}
 
 
-def beliefs(shape: np.ndarray, label: np.ndarray, chain: np.ndarray, skip: np.ndarray, model: dict) -> np.ndarray:
-    """Label probabilities of every token after loopy sum-product message passing."""
+def beliefs(shape: np.ndarray, label: np.ndarray, chain: np.ndarray, skip: np.ndarray, model: dict, owner: np.ndarray | None = None) -> np.ndarray:
+    """Label probabilities of every token after loopy sum-product message passing; each ``owner`` settles by itself."""
     unary = _bits(shape) @ model["weights"] + model["bias"]
     unary -= unary.max(axis=1, keepdims=True)
     seen = label > 0
@@ -245,13 +310,23 @@ def beliefs(shape: np.ndarray, label: np.ndarray, chain: np.ndarray, skip: np.nd
     reverse = np.concatenate((np.arange(len(chain)) + len(chain), np.arange(len(chain)), 2 * len(chain) + len(skip) + np.arange(len(skip)), 2 * len(chain) + np.arange(len(skip))))
     sent = np.zeros((len(source), unary.shape[1]))
     total = unary.copy()
-    for _ in range(ROUNDS if len(source) else 0):
-        out = total[source] - sent[reverse]
-        new = np.log(np.exp(out[:, :, None] - out.max(axis=1)[:, None, None] + tables[kinds]).sum(axis=1))
-        new -= new.max(axis=1, keepdims=True)
-        sent = DAMPING * sent + (1 - DAMPING) * new
-        total = unary.copy()
-        np.add.at(total, target, sent)
+    document = np.zeros(len(source), np.int64) if owner is None else owner[source]
+    live = np.flatnonzero(~seen[target])  # what the patterns found is given, however many repeats it has
+    for _ in range(MOST):
+        if not len(live):
+            break
+        for _ in range(ROUNDS):
+            out = total[source[live]] - sent[reverse[live]]
+            new = np.log(np.exp(out[:, :, None] - out.max(axis=1)[:, None, None] + tables[kinds[live]]).sum(axis=1))
+            new -= new.max(axis=1, keepdims=True)
+            moved = DAMPING * sent[live] + (1 - DAMPING) * new
+            change = np.abs(moved - sent[live]).max(axis=1)
+            sent[live] = moved
+            total = unary.copy()
+            np.add.at(total, target, sent)
+        moving = np.zeros(document.max() + 1, bool)
+        moving[document[live[change > SETTLED]]] = True
+        live = live[moving[document[live]]]
     p = np.exp(total - total.max(axis=1, keepdims=True))
     return p / p.sum(axis=1, keepdims=True)
 
@@ -270,7 +345,7 @@ def find(texts, model: dict) -> list[tuple[list[Span], list[Span]]]:
     added: list[list[Span]] = [[] for _ in texts]
     owner, extent, shape, label, chain, skip = _graph(texts, base)
     if len(owner):
-        p = beliefs(shape, label, chain, skip, model)
+        p = beliefs(shape, label, chain, skip, model, owner)
         kind = p.argmax(axis=1)
         joined = set(chain[:, 1].tolist())
         last = -2

@@ -104,3 +104,35 @@ def test_awkward_rows_and_masks(spark, awkward, nothing):
     assert done.filter("doc_id = 1").first().text is None
     assert pii.mask("a x@y.z b 1.2.3.4", plain("a x@y.z b 1.2.3.4")) == "a [EMAIL] b [IP]"
     assert pii.mask("abcdef", [(0, 1, 3), (3, 2, 4)]) == "a[EMAIL]ef"
+
+
+def _added(texts, model):
+    return [[t[s:e] for _, s, e in added] for t, (_, added) in zip(texts, pii.find(texts, model))]
+
+
+def test_altered_repeats_in_groups_and_far_away():
+    import numpy as np
+
+    size = len(pii.KINDS) + 1
+    bias = np.full(size, -1.0)
+    bias[0] = 0.0
+    model = {"weights": np.zeros((pii.FEATURES, size)), "bias": bias, "chain": np.zeros((size, size)), "skip": np.full((size, size), -2.0) + 4.0 * np.eye(size)}
+    texts = [
+        "call +49 30 1234 5678 now or later 030 1234 5678 please",
+        "card 4111 1111 1111 1111 and again 4111  1111  1111 1111 there",
+        "call +1 (212) 555-0123 now " + "then 212-555-0123 or word " * 60,
+        "call +49 30 1234 5678 and in 2024 there were 12 of 1234 5679 units",
+    ]
+    assert _added(texts, model) == [["030 1234 5678"], ["4111  1111  1111 1111"], ["212-555-0123"] * 60, []]
+    assert _added(texts[::-1], model) == _added(texts, model)[::-1]
+
+
+def test_short_equal_tokens_are_joined():
+    text = "host 10.0.0.1 and 10.0.0.1 or 212 then +1 (212) 555-0123"
+    *_, label, _, skip = pii._graph([text], [pii.base_spans(text)])
+    assert skip.tolist() == [[0, 1]] and label[:3].tolist() == [2, 2, 0]
+
+
+def test_grouped_numbers_take_linear_time():
+    for text in ("+49 30 1234 5678 x " + "1234 5678 " * 50_000, "+1 2 3 4 5 6 7 8 9 x " + "1 2 3 4 5 6 7 8 9 " * 20_000):
+        pii._graph([text], [pii.base_spans(text)])
