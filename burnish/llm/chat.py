@@ -5,8 +5,14 @@ assistant's, every other speaker is a named user, system messages stay system me
 Only the assistant's words and their end mark are learnt from; ``masks`` lists those spans
 as ``start:end`` (code points of ``text``, end exclusive), comma-joined.
 
-A dialogue of any length is rendered in parts of at most ``PART`` messages, so no task
-collects an unbounded group; parts in order give the whole dialogue.
+A dialogue is cut into parts of ``PART`` messages by their position in it, so one of up to
+``PART`` messages with turns is whole whatever its turns are, no task collects an unbounded
+group, and parts in order give the whole dialogue.  A part is named by its first turn:
+``block`` is that turn divided by ``PART``, ``chunk`` counts the parts of one block.  Messages
+without a turn have no place among the others and come in parts of their own, with no block.
+
+Positions are counted in two levels: messages are dealt into ranges of conversation, turn,
+speaker and text, counted within a range, and added up over the ranges of a conversation.
 
 Defined cases: a null text is an empty message; a null or blank role is the speaker
 ``unknown``; ``system`` is no participant; a null turn comes after the numbered ones; rows
@@ -20,10 +26,33 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from burnish.session import materialise
+
 PART = 256
+LEAD = 64  # characters of a text that decide its range
 OPEN, CLOSE = "<|im_start|>", "<|im_end|>"
 
 
+def _placed(turns: DataFrame, part: int) -> DataFrame:
+    """Adds ``block``, ``chunk`` and ``pos``, the place of a message in its dialogue."""
+    order = [F.col("turn").asc_nulls_last(), F.col("speaker"), F.col("said")]
+    dealt = turns.repartitionByRange("conv_id", F.col("turn").asc_nulls_last(), "speaker", F.substring("said", 1, LEAD))
+    dealt = materialise(dealt.select("*", F.col("turn").isNull().alias("_late"), F.spark_partition_id().alias("_range")), "chat-ranges")
+    dialogue = ["conv_id", "_late"]
+    counts = dealt.groupBy(*dialogue, "_range").agg(F.count(F.lit(1)).alias("_n"))
+    earlier = Window.partitionBy(*dialogue).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(*dialogue, "_range", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_offset"))
+    rank = F.row_number().over(Window.partitionBy(*dialogue, "_range").orderBy(*order)) - 1
+    placed = dealt.withColumn("_rank", rank).join(offsets, [*dialogue, "_range"])
+    placed = placed.withColumn("pos", F.col("_offset") + F.col("_rank")).withColumn("_part", F.floor(F.col("pos") / part).cast("long"))
+
+    parts = placed.groupBy(*dialogue, "_part").agg(F.floor(F.min("turn") / part).cast("long").alias("block"))
+    parts = parts.withColumn("_block", F.coalesce("block", F.lit(0)))
+    firsts = parts.groupBy(*dialogue, "_block").agg(F.min("_part").alias("_first"))
+    parts = parts.join(firsts, [*dialogue, "_block"]).select(*dialogue, "_part", "block", (F.col("_part") - F.col("_first")).alias("chunk"))
+    return placed.join(parts, [*dialogue, "_part"]).drop("_late", "_range", "_offset", "_rank", "_part")
+
+
 def rotate(conversations: DataFrame, part: int = PART) -> DataFrame:
     """One row per conversation, participant and part: rendered text and its masks."""
     role = F.trim(F.coalesce(F.col("role").cast("string"), F.lit("")))
@@ -39,11 +68,7 @@ def rotate(conversations: DataFrame, part: int = PART) -> DataFrame:
         .agg(F.count(F.lit(1)).alias("_n"))
         .drop("_n")
     )
-    block = F.floor(F.col("turn") / part).cast("long")
-    order = [F.col("turn").asc_nulls_last(), F.col("speaker"), F.col("said")]
-    turns = turns.withColumn("block", block)
-    turns = turns.withColumn("pos", F.row_number().over(Window.partitionBy("conv_id", "block").orderBy(*order)) - 1)
-    turns = turns.withColumn("chunk", F.floor(F.col("pos") / part).cast("long"))
+    turns = _placed(turns, part)
 
     people = conversations.filter(F.col("conv_id").isNotNull()).select("conv_id", F.when(role == "", F.lit("unknown")).otherwise(role).alias("participant")).filter(F.col("participant") != "system").distinct()
     own = F.col("speaker") == F.col("participant")

@@ -44,3 +44,14 @@ def test_empty_and_extra_columns(spark):
     assert chat.rotate(spark.createDataFrame([], SCHEMA)).count() == 0
     df = spark.createDataFrame([(1, 0, "a", "x", 5, "y")], SCHEMA + ", block int, said string")
     assert chat.rotate(df).first().text == "<|im_start|>assistant\nx<|im_end|>\n"
+
+
+def test_parts_are_cut_by_position(spark):
+    data = [(1, 250 + i, "ab"[i % 2], f"t{i}") for i in range(12)]
+    data += [(2, 1_700_000_000 + 1000 * i, "ab"[i % 2], f"t{i}") for i in range(256)]
+    data += [(3, 1000 * i, "ab"[i % 2], f"t{i}") for i in range(600)]
+    found = chat.rotate(spark.createDataFrame(data, SCHEMA)).filter("participant = 'a'").orderBy("conv_id", "block", "chunk").collect()
+    assert [(r.conv_id, r.chunk, r.n_messages) for r in found] == [(1, 0, 12), (2, 0, 256), (3, 0, 256), (3, 0, 256), (3, 0, 88)]
+    assert [r.block for r in found if r.conv_id == 3] == [0, 1000, 2000]
+    said = "".join(r.text for r in found if r.conv_id == 3).split("<|im_end|>\n")[:-1]
+    assert [x.split("\n")[1] for x in said] == [f"t{i}" for i in range(600)]
