@@ -6,9 +6,11 @@ n-grams: all of length 4, else 3, else 2, else single characters (with marks for
 ends).  Every word of the whole text counts; the language with the largest sum is returned.
 
 The frequencies are learnt on a sample of about ``per_language`` documents of each language
-(a hash of the id decides; all documents if there are fewer) and counted by Spark.  Of the
-counts the most frequent ``cells / languages`` words, and as many n-grams, form the model,
-so what is broadcast is bounded whatever the table's size; rarer words are unseen words.
+(a hash of the id decides; all documents if there are fewer) and counted by Spark.  Each
+language brings its own most frequent words, and as many n-grams: ``cells / languages``, at
+least ``EACH``, where the last count that fits in part gives a share picked by hash.  What is
+broadcast grows with the languages, not with the table, and no language is crowded out; a row
+names only the languages the gram was seen in.  Rarer words are unseen words.
 
 Defined cases: a null text, or one without letters, is ``und`` with score 0; equal sums go
 to the language that sorts first; without any training row all documents are ``und``;
@@ -32,12 +34,76 @@ from burnish.session import materialise
 
 PER_LANGUAGE = 1_500
 CELLS = 400_000
+EACH = 5_000  # words, and n-grams, that a language brings at least
 LONGEST = 4
 UNKNOWN = "und"
-CACHE = 100_000  # unseen words whose scores a task remembers
+SPREAD = 16_000_000  # cells up to which a task spreads a model table out
+CACHE = 100_000  # words whose scores a task remembers
 _WORDS = re.compile(r"[^\W\d_]+")
 
 
+def _top(grams: DataFrame, most: int) -> DataFrame:
+    """All counts (lang, gram, n) of the grams that are among about the ``most`` most frequent of some language."""
+    cuts, room = [], {}
+    # Distinct counts of a language are few: their sum is at most the sample's words.
+    for r in grams.groupBy("lang", "n").agg(F.count(F.lit(1)).alias("grams")).orderBy("lang", F.col("n").desc()).collect():
+        left = room.setdefault(r.lang, most)
+        if left > 0:
+            cuts.append((r.lang, r.n, min(1.0, left / r.grams)))
+            room[r.lang] = left - r.grams
+    kept = grams.sparkSession.createDataFrame(cuts, "lang string, n long, share double")
+    chance = F.pmod(F.xxhash64(F.lit("gram"), "gram"), F.lit(1_000_000)) / 1e6
+    own = F.coalesce(chance < F.col("share"), F.lit(False))
+    # One entry for each language that has the gram.
+    whole = grams.join(F.broadcast(kept), ["lang", "n"], "left").groupBy("gram").agg(F.max(own).alias("own"), F.collect_list(F.struct("lang", "n")).alias("all"))
+    return whole.filter("own").select("gram", F.inline("all"))
+
+
+def _frequencies(counts: DataFrame, langs: list[str]) -> tuple[dict, tuple]:
+    """Row of each gram, and its log frequencies (see ``_reader``)."""
+    found = counts.select("gram", "lang", "n").toArrow().to_pandas()
+    found["lang"] = found["lang"].map({x: i for i, x in enumerate(langs)})
+    found = found.sort_values(["gram", "lang"], ignore_index=True)
+    grams, starts = np.unique(found["gram"].to_numpy(object).astype(object), return_index=True) if len(found) else (np.array([]), np.array([], np.int64))
+    lang, n = found["lang"].to_numpy(np.int32), found["n"].to_numpy(np.float64)
+    totals = np.bincount(lang, n, len(langs)) + 0.5 * len(grams)
+    floor = np.log(0.5 / np.maximum(totals, 0.5)).astype(np.float32)
+    seen = np.log((n + 0.5) / totals[lang]).astype(np.float32)
+    return {g: i for i, g in enumerate(grams)}, (floor, np.append(starts, len(found)), lang, seen)
+
+
+def _plain(rows) -> np.ndarray | None:
+    """The plain table, unless it is too large to spread out."""
+    if isinstance(rows, np.ndarray):
+        return rows
+    floor, starts, lang, seen = rows
+    if (len(starts) - 1) * len(floor) > SPREAD:
+        return None
+    out = np.repeat(floor[None], len(starts) - 1, axis=0)
+    out[np.repeat(np.arange(len(starts) - 1), np.diff(starts)), lang] = seen
+    return out
+
+
+def _reader(rows):
+    """From row numbers to log frequencies of all languages.
+
+    ``rows`` is a plain table, or what unseen grams have in each language, the start of each
+    row, and by row the languages the gram was seen in with their log frequencies.
+    """
+    if (plain := _plain(rows)) is not None:
+        return lambda at: plain[at]
+    floor, starts, lang, seen = rows
+
+    def read(at: list[int]) -> np.ndarray:
+        out = np.repeat(floor[None], len(at), axis=0)
+        for i, row in enumerate(at):
+            own = slice(starts[row], starts[row + 1])
+            out[i, lang[own]] = seen[own]
+        return out
+
+    return read
+
+
 def learn(rows: DataFrame, per_language: int = PER_LANGUAGE, cells: int = CELLS) -> dict:
     """Rows (doc_id, text, lang) -> languages, vocabulary and log frequencies."""
     rows = rows.filter(F.col("lang").isNotNull() & F.col("text").isNotNull())
@@ -52,38 +118,41 @@ def learn(rows: DataFrame, per_language: int = PER_LANGUAGE, cells: int = CELLS)
     sample = rows.join(F.broadcast(shares), "lang").filter(chance < F.col("share"))
     words = sample.select("lang", F.explode(F.regexp_extract_all(F.lower("text"), F.lit("\\p{L}+"), F.lit(0))).alias("gram"))
     words = materialise(words.groupBy("lang", "gram").agg(F.count(F.lit(1)).alias("n")), "langid-words")
-    most = max(1_000, cells // len(langs))
+    most = max(EACH, cells // len(langs))
     model = {"langs": langs, "tables": []}
     padded = F.concat(F.lit("^"), F.col("gram"), F.lit("$"))
     pieces = F.flatten(F.array(*[F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.length(padded) - k + 1)), lambda i, k=k: F.substr(padded, i, F.lit(k))) for k in range(1, LONGEST + 1)]))
-    for grams in (words, words.select("lang", F.explode(pieces).alias("gram"), "n").groupBy("lang", "gram").agg(F.sum("n").alias("n"))):
-        wide = grams.groupBy("gram").agg(F.sum("n").alias("all"), *[F.sum(F.when(F.col("lang") == x, F.col("n"))).alias(f"n{i}") for i, x in enumerate(langs)])
-        top = wide.orderBy(F.col("all").desc(), "gram").limit(most).collect()
-        table = np.array([[r[f"n{i}"] or 0 for i in range(len(langs))] for r in top], np.float64).reshape(len(top), len(langs))
-        totals = table.sum(axis=0) + 0.5 * len(top)
-        model["tables"].append(({r.gram: i for i, r in enumerate(top)}, np.log((table + 0.5) / totals).astype(np.float32)))
+    parts = materialise(words.select("lang", F.explode(pieces).alias("gram"), "n").groupBy("lang", "gram").agg(F.sum("n").alias("n")), "langid-grams")
+    for grams in (words, parts):
+        model["tables"].append(_frequencies(_top(grams, most), langs))
     return model
 
 
 def _scorer(model: dict):
     (known, word_rows), (grams, gram_rows) = model["tables"]
     langs = model["langs"]
-    unseen: dict[str, int] = {}
-    table = np.concatenate((word_rows, np.zeros((CACHE, len(langs)), np.float32)))
+    plain, read_grams = _plain(word_rows), _reader(gram_rows)
+    read_words = _reader(word_rows) if plain is None else None
+    met: dict[str, int] = {}
+    room = np.zeros((CACHE, len(langs)), np.float32)
+    table = room if plain is None else np.concatenate((plain, room))
+    base = len(table) - CACHE
 
     def back_off(word: str) -> np.ndarray:
         marked = f"^{word}$"
         for size in range(min(LONGEST, len(marked)), 0, -1):
             found = [grams[g] for g in (marked[i : i + size] for i in range(len(marked) - size + 1)) if g in grams]
             if found:
-                return gram_rows[found].mean(axis=0)
+                return read_grams(found).mean(axis=0)
         return np.zeros(len(langs), np.float32)
 
     def row(word: str) -> int:
-        at = known.get(word)
-        if at is None and (at := unseen.get(word)) is None:
-            at = unseen[word] = len(known) + len(unseen)
-            table[at] = back_off(word)
+        own = known.get(word)
+        if own is not None and read_words is None:
+            return own
+        if (at := met.get(word)) is None:
+            at = met[word] = base + len(met)
+            table[at] = back_off(word) if own is None else read_words([own])[0]
         return at
 
     def score(text: str | None) -> tuple[str, float]:
@@ -93,8 +162,8 @@ def _scorer(model: dict):
         total, listed = np.zeros(len(langs)), list(words)
         for at in range(0, len(listed), CACHE // 2):
             part = listed[at : at + CACHE // 2]
-            if len(unseen) + len(part) > CACHE:
-                unseen.clear()
+            if len(met) + len(part) > CACHE:
+                met.clear()
             total += np.array([words[w] for w in part], np.float64) @ table[[row(w) for w in part]]
         spread = np.exp((total - total.max()) / np.sqrt(sum(words.values())))
         best = int(total.argmax())

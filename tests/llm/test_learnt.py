@@ -136,3 +136,34 @@ def test_centroid_graph_finds_the_nearest_lists():
         nodes, gaps = ann.nearest_lists(points, index, most)
         true = np.sort(np.sqrt(ann._gaps(points, index["centres"])), axis=1)[:, :most]
         assert (np.abs(gaps - true) < 1e-3).mean() > share and all(len(set(n)) == len(n) for n in nodes.tolist())
+
+
+def test_no_language_is_crowded_out(spark):
+    def word(lang, k):
+        return "".join(chr(97 + x) for x in (lang // 26, lang % 26, k // 26, k % 26))
+
+    # 100 languages of 60 words each; the last has 6 documents beside others with 30.
+    data = [(f"l{lang:02d}", " ".join(word(lang, (7 * d + k) % 60) for k in range(10))) for lang in range(100) for d in range(6 if lang == 99 else 30)]
+    rows = spark.createDataFrame([(i, text, lang) for i, (lang, text) in enumerate(data)], "doc_id long, text string, lang string")
+    model = langid.learn(rows, cells=4_000)
+    known = model["tables"][0][0]
+    assert all(w in known for _, text in data for w in text.split())
+    score = langid._scorer(model)
+    last = [score(text)[0] for lang, text in data if lang == "l99"]
+    assert last == ["l99"] * len(last)
+
+
+def test_each_language_keeps_its_most_frequent_grams(spark):
+    counts = [("big", f"b{i}", 1000 + i) for i in range(200)] + [("small", f"s{i}", 1 + i) for i in range(30)] + [("small", "b199", 40)]
+    top = langid._top(spark.createDataFrame(counts, "lang string, gram string, n long"), 10).collect()
+    assert {(r.lang, r.gram) for r in top} == {("big", f"b{i}") for i in range(190, 200)} | {("small", f"s{i}") for i in range(21, 30)} | {("small", "b199")}
+
+
+def test_tables_read_alike_spread_out_or_not(monkeypatch):
+    rows = (np.array([-9, -8, -7], np.float32), np.array([0, 2, 2, 3]), np.array([0, 2, 1], np.int32), np.array([-1, -2, -3], np.float32))
+    plain = langid._reader(rows)([0, 1, 2])
+    model = {"langs": ["a", "b", "c"], "tables": [({"x": 0, "y": 1, "z": 2}, rows), ({"q": 2}, rows)]}
+    scored = [langid._scorer(model)(t) for t in ("x z", "q", "y", "x q")]
+    monkeypatch.setattr(langid, "SPREAD", 0)
+    assert (langid._reader(rows)([0, 1, 2]) == plain).all() and plain.tolist() == [[-1, -8, -2], [-9, -8, -7], [-9, -3, -7]]
+    assert [langid._scorer(model)(t) for t in ("x z", "q", "y", "x q")] == scored
