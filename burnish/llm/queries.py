@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from burnish.llm import ann, chat, decontaminate, html, langid, mixing, pii, quality, simhash, urls
+from burnish.llm import ann, chat, decontaminate, html, langid, mixing, pii, quality, secrets, simhash, urls
 from burnish.llm.common import table
 from burnish.session import prepare_session
 
@@ -81,3 +81,8 @@ def _op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("op9_quality_votes")
 def _op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels"))
+
+
+@_query("op11_secret_ownership", secrets.OP11_SQL)
+def _op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.report(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
