@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from burnish.llm import ann, chat, decontaminate, divergence, html, langid, mixing, pii, quality, secrets, simhash, urls
+from burnish.llm import ann, chat, decontaminate, divergence, html, langid, mixing, pii, quality, secrets, simhash, trie, urls
 from burnish.llm.common import table
 from burnish.session import prepare_session
 
@@ -88,6 +88,11 @@ def _op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.report(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
 
 
+@_query("op12_prefix_trie", trie.OP12_SQL)
+def _op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 @_query("op13_source_divergence", divergence.OP13_SQL)
 def _op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "text"))
