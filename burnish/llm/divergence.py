@@ -3,8 +3,8 @@
 For every language the audit compares the term distributions of its sources.  Identical texts
 of a language are collapsed first: a narrow pass over hashes (SHA-256) finds the texts that
 occur more than once, their multiplicity in each source and one row to stand for them.
-Every distinct text is tokenised once; its term counts and document frequencies are weighted
-by the multiplicities.  Texts stay where they are read.
+Every distinct text is tokenised once, in Arrow batches; its term counts and document frequencies
+are added up within a task and weighted by the multiplicities.  Texts stay where they are read.
 
 Pairs are evaluated sparsely.  With smoothed shares p and q, a pair's distance sums
 f = floor((p - q)^2 / (p + q)) over all kept terms of the language, but a term that one side
@@ -26,6 +26,7 @@ import string
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from burnish.llm.common import small_batches
 from burnish.operators.skew import attach
 from burnish.session import materialise
 
@@ -36,10 +37,7 @@ TOP = 10
 BLOCK = 256  # sources of a block
 SOURCES_PART = 1024  # sources of one copied text that are weighted together
 HISTOGRAM_PART = 4096
-
-
-def _terms(text: Column) -> Column:
-    return F.regexp_extract_all(F.translate(text, string.ascii_uppercase, string.ascii_lowercase), F.lit(TERM), F.lit(0))
+TALLY_ENTRIES = 1 << 20  # terms that a task counts before it passes them on
 
 
 def _whole(docs: DataFrame) -> DataFrame:
@@ -48,11 +46,57 @@ def _whole(docs: DataFrame) -> DataFrame:
     return rows.withColumn("h", F.unhex(F.sha2("text", 256)))
 
 
-def _exploded(texts: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows with ``text`` -> one row per token (``tf`` 1) and one per distinct term (``df`` 1)."""
-    listed = texts.withColumn("t", _terms(F.col("text"))).drop("text")
-    both = F.array(F.struct(F.lit(0).alias("df"), F.col("t")), F.struct(F.lit(1).alias("df"), F.array_distinct("t").alias("t")))
-    return listed.select(*keys, F.explode(both).alias("b")).select(*keys, F.col("b.df").alias("df"), F.explode("b.t").alias("term"))
+def _tallies(kinds: list[tuple[str, str]], entries: int):
+    """Counts the terms of (keys.., text) rows; a task's tallies go out when they reach ``entries`` terms.
+
+    In UTF-8 a term is a run of ASCII letters and of bytes from 128 on, so every other byte
+    becomes a space, capitals their small letters, and the rest is a split.
+    """
+    table = bytes(x + 32 if 65 <= x <= 90 else x if 97 <= x <= 122 or x > 127 else 32 for x in range(256))
+
+    def run(batches):
+        from collections import Counter
+
+        import pyarrow as pa
+
+        types = [pa.string() if t == "string" else pa.int64() for _, t in kinds]
+        names = [*[n for n, _ in kinds], "term", "n", "df"]
+        tallies, held = {}, 0
+
+        def out():
+            for key, (n, df) in tallies.items():
+                terms = list(n)
+                for at in range(0, len(terms), 100_000):
+                    some = terms[at : at + 100_000]
+                    columns = [pa.repeat(pa.scalar(k, t), len(some)) for k, t in zip(key, types)]
+                    columns.append(pa.array(some, pa.binary()).view(pa.string()))
+                    columns += [pa.array(map(c.__getitem__, some), pa.int64()) for c in (n, df)]
+                    yield pa.RecordBatch.from_arrays(columns, names)
+
+        for batch in batches:
+            keys = zip(*[batch.column(n).to_pylist() for n, _ in kinds])
+            for key, text in zip(keys, batch.column("text").cast(pa.binary())):
+                words = text.as_py().translate(table).split()
+                if not words:
+                    continue
+                n, df = tallies.setdefault(key, (Counter(), Counter()))
+                before = len(n)
+                n.update(words)
+                df.update(set(words))
+                held += len(n) - before
+                if held >= entries:
+                    yield from out()
+                    tallies, held = {}, 0
+        yield from out()
+
+    return run
+
+
+def _tallied(texts: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys.., text) -> (keys.., term, n, df): tokens and texts with the term, added up within a task."""
+    kinds = [(k, dict(texts.dtypes)[k]) for k in keys]
+    schema = ", ".join(f"{k} {t}" for k, t in [*kinds, ("term", "string"), ("n", "bigint"), ("df", "bigint")])
+    return small_batches(texts.select(*keys, "text")).mapInArrow(_tallies(kinds, TALLY_ENTRIES), schema)
 
 
 def collapse(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
@@ -72,7 +116,7 @@ def collapse(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, DataFram
         "lang",
         "h",
         F.monotonically_increasing_id().alias("number"),
-        F.ceil(F.col("s") / SOURCES_PART).cast("int").alias("parts"),
+        F.ceil(F.col("s") / SOURCES_PART).cast("long").alias("parts"),
         F.col("rep.source").alias("_source"),
         F.col("rep.first.tag").alias("_tag"),
         F.col("rep.first.n").alias("_n"),
@@ -93,10 +137,10 @@ def term_counts(docs: DataFrame, least_docs: int = LEAST_DOCS) -> tuple[DataFram
     ``first`` is 1 on one row of each (lang, term).
     """
     once, several, weights, groups = collapse(docs)
-    single = _exploded(once, ["lang", "source"]).select("lang", "source", "term", (1 - F.col("df")).alias("n"), "df")
-    copied = _exploded(several, ["lang", "number", "parts"]).groupBy("lang", "number", "parts", "term").agg(F.sum(1 - F.col("df")).alias("tf"))
-    copied = copied.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).drop("parts")
-    dealt = weights.select("number", "source", F.col("n").alias("copies"), F.pmod(F.xxhash64("source"), F.col("parts")).cast("int").alias("part"))
+    single = _tallied(once, ["lang", "source"])
+    copied = _tallied(several, ["lang", "number", "parts"]).drop("df").withColumnRenamed("n", "tf")
+    copied = copied.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1))).drop("parts")
+    dealt = weights.select("number", "source", F.col("n").alias("copies"), F.pmod(F.xxhash64("source"), F.col("parts")).alias("part"))
     copied = copied.join(dealt, ["number", "part"]).select("lang", "source", "term", (F.col("tf") * F.col("copies")).alias("n"), F.col("copies").alias("df"))
     counts = single.unionByName(copied).groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("df").alias("df"))
     same = Window.partitionBy("lang", "term")

@@ -65,7 +65,7 @@ def test_against_the_dense_form(spark):
 
 
 def test_blocks_and_parts_do_not_change_the_result(spark, monkeypatch):
-    for name in ("BLOCK", "SOURCES_PART", "HISTOGRAM_PART"):
+    for name in ("BLOCK", "SOURCES_PART", "HISTOGRAM_PART", "TALLY_ENTRIES"):
         monkeypatch.setattr(divergence, name, 2)
     check(frame(spark, corpus(sources=11)))
 
