@@ -34,7 +34,7 @@ def _clean_stream(spark, sf_dir):
     d = domain("orders")
     stats = d.clean(raw(spark, sf_dir, "orders")).stats
     path = shared_path(spark, "k1")
-    cleaned = K.clean_stream(dirty_stream(spark, sf_dir, "orders", "orders"), d.rules, stats)
+    cleaned = K.clean_stream(dirty_stream(spark, sf_dir, "orders", "orders"), K.row_local(d.rules), stats)
     K.run_available(cleaned, f"{path}/out", f"{path}/checkpoint")
     return spark.read.parquet(f"{path}/out").select("row_seq", "order_amount", "nps_score", "order_amount_flag")
 

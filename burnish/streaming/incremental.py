@@ -19,9 +19,7 @@ from burnish.plans.engine import clean
 from burnish.plans.rules import Check, Rule
 from burnish.plans.score import WEIGHTS, score_table
 from burnish.session import materialise
-
-# Batches whose keys are written together.
-COMPACT_EVERY = 16
+from burnish.streaming.history import COMPACT_EVERY, KeyHistory
 
 
 def file_stream(
@@ -50,8 +48,15 @@ def row_local(rules: list[Rule]) -> list[Rule]:
 
 
 def clean_stream(stream: DataFrame, rules: list[Rule], stats: dict) -> DataFrame:
-    """The row-local stages on a stream, with statistics of a stored profile."""
-    return clean(stream, row_local(rules), [], stats=stats).frame
+    """Row-local rules on a stream, with statistics of a stored profile.
+
+    A rule that needs other rows raises: choose with ``row_local``, or use
+    ``chunks.ChunkedClean``, which applies key and reference rules as well.
+    """
+    others = [r.name for r in rules if r not in row_local(rules)]
+    if others:
+        raise ValueError(f"rules that need other rows: {', '.join(others)}")
+    return clean(stream, rules, [], stats=stats).frame
 
 
 def _event_time(df: DataFrame, column: str, delay: str) -> DataFrame:
@@ -69,39 +74,37 @@ def dedupe_into(path: str, keys: list[str], order_by: list[str], compact_every:
     """``foreachBatch`` handler: keep keys not yet in the target, without state in memory.
 
     Each batch owns one folder that a repeated batch overwrites, so a restart neither
-    loses nor doubles rows.  NULL keys are keys like any other.  Of earlier batches only
-    key columns are read.  The batch's keys are measured: within the broadcast limits they
-    are sent to the history, which is then not shuffled, and only keys found there come
-    back.  Every ``compact_every`` batches the keys of those before are written together.
+    loses nor doubles rows.  NULL keys are keys like any other.  Earlier keys are a
+    ``KeyHistory`` beside the rows, of which a batch opens only the buckets that may hold its keys.
     """
-    names = [f"_k{i}" for i in range(len(keys))]
-
-    def known(spark: SparkSession, schema: T.StructType, batch_id: int) -> DataFrame:
-        base = batch_id - batch_id % compact_every
-        folders = [f"{path}/_keys/upto={i}" for i in range(compact_every, base + 1, compact_every)]
-        # Every earlier batch wrote its folder, so all of them are there to read.
-        folders += [f"{path}/batch_id={i}" for i in range(base, batch_id)]
-        return spark.read.schema(schema).parquet(*folders).toDF(*names)
+    history = KeyHistory(f"{path}/_keys", keys, compact_every=compact_every)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        schema = batch.select(*keys).schema
-        fresh = dedupe_first(batch, keys, order_by)
-        if batch_id and batch_id % compact_every == 0:
-            block = [f"{path}/batch_id={i}" for i in range(batch_id - compact_every, batch_id)]
-            spark.read.schema(schema).parquet(*block).write.mode("overwrite").parquet(f"{path}/_keys/upto={batch_id}")
-        if batch_id:
-            seen = known(spark, schema, batch_id)
-            asked = materialise(batch.select(*keys).distinct(), "keys")
-            if is_small(asked):
-                seen = F.broadcast(seen_before(seen, asked, keys))
-            same = reduce(lambda a, b: a & b, [fresh[k].eqNullSafe(seen[n]) for k, n in zip(keys, names)])
-            fresh = fresh.join(seen, same, "left_anti")
+        fresh = unseen(dedupe_first(batch, keys, order_by), batch, history, batch_id)
         fresh.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        history.add(batch_id, batch.sparkSession.read.schema(batch.select(*keys).schema).parquet(f"{path}/batch_id={batch_id}"))
 
     return handle
 
 
+def unseen(fresh: DataFrame, batch: DataFrame, history: KeyHistory, batch_id: int) -> DataFrame:
+    """The rows of ``fresh`` whose keys no earlier batch had.
+
+    The batch's keys are measured: within the broadcast limits they are sent to the history,
+    which is then not shuffled, and only keys found there come back.
+    """
+    keys = history.keys
+    history.compact(batch_id, batch.schema)
+    asked = materialise(batch.select(*keys).distinct(), "keys")
+    seen = history.seen(asked, batch_id)
+    if seen is None:
+        return fresh
+    if is_small(asked):
+        seen = F.broadcast(seen_before(seen, asked, keys))
+    same = reduce(lambda a, b: a & b, [fresh[k].eqNullSafe(seen[n]) for k, n in zip(keys, history.names)])
+    return fresh.join(seen, same, "left_anti")
+
+
 def seen_before(history: DataFrame, asked: DataFrame, keys: list[str]) -> DataFrame:
     """Rows of the history that a few keys ask for: the keys travel, the history stays."""
     few = F.broadcast(asked)

@@ -90,3 +90,48 @@ def test_refresh_writes_profile_and_score(spark, tmp_path, small):
     handler(batch, 0)
     assert spark.read.parquet(f"{tmp_path}/score").count() == 1
     assert spark.read.parquet(f"{tmp_path}/profile").count() == len(batch.columns)
+
+
+def _keys(spark, start, n):
+    return spark.range(start, start + n).select(F.col("id").alias("k"))
+
+
+def test_history_opens_a_constant_number_of_files(spark, tmp_path):
+    """Thirty batches of new keys and one early key: what is read does not grow with the history."""
+    from burnish.streaming.history import KeyHistory
+
+    history = KeyHistory(str(tmp_path), ["k"], compact_every=8)
+    opened = []
+    for n in range(30):
+        batch = _keys(spark, n * 50, 50).union(_keys(spark, 7, 1))
+        history.compact(n, batch.schema)
+        seen = history.seen(batch, n)
+        opened.append(len(history.opened))
+        found = set() if seen is None else {r[0] for r in seen.collect()}
+        assert n == 0 or 7 in found
+        history.add(n, _keys(spark, n * 50, 50))
+    assert opened[0] == 0 and max(opened[1:]) <= 3 and sum(opened[1:]) <= 29 + 6
+
+
+def test_history_finds_every_key_over_many_buckets(spark, tmp_path, monkeypatch):
+    from burnish.streaming import history as H
+
+    monkeypatch.setattr(H, "KEYS_A_MAP", 16)
+    history = H.KeyHistory(str(tmp_path), ["a", "b"], buckets=8, compact_every=2)
+    rows = lambda n: spark.range(n * 100, n * 100 + 100).selectExpr("CASE WHEN id % 10 = 0 THEN NULL ELSE id END AS a", "CAST(id % 7 AS STRING) AS b")
+    for n in range(5):
+        history.compact(n, rows(0).schema)
+        history.add(n, rows(n).distinct())
+    asked = rows(3).distinct()
+    found = {tuple(r) for r in history.seen(asked, 5).collect()}
+    assert {tuple(r) for r in asked.collect()} <= found
+    strangers = spark.range(10**6, 10**6 + 3).selectExpr("id AS a", "'x' AS b")
+    assert len(history.may_hold(strangers, 5)) <= 2
+    # Batches may come again: generations are found by number, and later ones are not read.
+    assert all("batch-4" not in p for p in history.may_hold(rows(4), 4))
+
+
+def test_rules_that_need_other_rows_are_refused(spark):
+    rules = DOMAINS["orders"](as_of="2024-01-01").rules
+    with pytest.raises(ValueError, match="PK_VIOLATION"):
+        K.clean_stream(spark.range(1), rules, {})
