@@ -37,7 +37,7 @@ def as_text(df, name: str):
     )
 
 
-def _oracle(name: str) -> str:
+def cleaned_sql(name: str) -> str:
     parts = [f"strftime({c}, '%Y-%m-%d %H:%M:%S') AS {c}" for c in STAMPS[name]]
     parts += [f"CAST({c} AS VARCHAR) AS {c}" for c in NULLABLE_IDS.get(name, ())]
     replaced = ", ".join(parts)
@@ -46,12 +46,12 @@ def _oracle(name: str) -> str:
 
 for _id, _name in IDS.items():
     assert f"clean_{_name}" in TEXTS
-    query(_id, _oracle(_name))(lambda spark, sf_dir, name=_name: as_text(cleaned(spark, sf_dir, name), name))
+    query(_id, cleaned_sql(_name))(lambda spark, sf_dir, name=_name: as_text(cleaned(spark, sf_dir, name), name))
 
 
 @query(
     "n1_clean_orders_by_master",
-    _oracle("orders").replace("SELECT * REPLACE (", "SELECT * REPLACE (CASE WHEN customer_id NOT IN (SELECT c_custkey FROM customer) THEN 'ORPHANED_FK' END AS customer_id_flag, "),
+    cleaned_sql("orders").replace("SELECT * REPLACE (", "SELECT * REPLACE (CASE WHEN customer_id NOT IN (SELECT c_custkey FROM customer) THEN 'ORPHANED_FK' END AS customer_id_flag, "),
 )
 def _orders_by_master(spark, sf_dir):
     """The customer master decides which customers are unknown, instead of a pattern."""

@@ -6,8 +6,10 @@ from pyspark.sql import functions as F
 
 from burnish.dirty import TABLES, table
 from burnish.operators import profile as P
+from burnish.operators import sketches as S
 from burnish.plans.decide import classify_columns
 from burnish.registry.base import VIEW_NAMES, ctes, query, raw
+from burnish.session import materialise
 
 # Every column of the five views.
 COLUMNS = {
@@ -71,6 +73,31 @@ def _approx(spark, sf_dir):
     )
 
 
+SKETCHED_NUMBERS = {"orders": ["row_seq", "customer_id", "order_amount", "total_amount", "nps_score", "health_score", "seats_used", "arr", "mrr"]}
+SKETCHED_WORDS = {"orders": ["order_id", "status", "industry", "customer_name", "email"]}
+
+
+def sketched_sql(view: str) -> str:
+    """Exact counts, extremes of numbers and characters of texts per column, joined to the profile."""
+    extremes = [f"SELECT '{c}' AS column_name, CAST(min({c}) AS DOUBLE) AS min_value, CAST(max({c}) AS DOUBLE) AS max_value, CAST(NULL AS BIGINT) AS text_chars FROM dirty_{view}" for c in SKETCHED_NUMBERS[view]]
+    extremes += [f"SELECT '{c}', NULL, NULL, CAST(sum(length({c})) AS BIGINT) FROM dirty_{view}" for c in SKETCHED_WORDS[view]]
+    return (
+        "SELECT column_name, data_type, total_rows, null_count, null_pct, min_value, max_value, text_chars, true AS distinct_close "
+        f"FROM ({profile_sql(view)}) LEFT JOIN ({union(extremes)}) USING (column_name)"
+    )
+
+
+@query("c2_profile_union", ctes("dirty_orders") + sketched_sql("orders"))
+def _union(spark, sf_dir):
+    """Sketches of ten parts, stored; the table's profile is made from them without its rows."""
+    df = raw(spark, sf_dir, "orders")
+    parts = materialise(S.column_sketches(df.withColumn("part", F.col("row_seq") % 10), by=["part"]), "sketches")
+    exact = P.profile_columns(df).select("column_name", F.col("distinct_count").alias("exact"))
+    done = S.sketched_profile(S.merge_sketches(parts)).join(exact, "column_name")
+    close = F.abs(F.col("distinct_count") - F.col("exact")) <= F.col("exact") * 0.05
+    return done.select("column_name", "data_type", "total_rows", "null_count", "null_pct", "min_value", "max_value", "text_chars", close.alias("distinct_close"))
+
+
 @query(
     "c3_column_ranges",
     ctes("dirty_ledger")

@@ -8,10 +8,15 @@ from pyspark.sql import functions as F
 
 from burnish.dirty import VIEWS, table
 from burnish.plans.rules import Check
+from burnish.operators.profile import profile_columns
 from burnish.registry.base import AS_OF_EVENTS, ctes, domain, query, raw
+from burnish.registry.domains import as_text, cleaned_sql
+from burnish.registry.profiles import sketched_sql
 from burnish.registry.scores import DIMS
 from burnish.session import shared_path
 from burnish.streaming import incremental as K
+from burnish.streaming import refresh, routing
+from burnish.streaming.chunks import ChunkedClean
 
 
 def stream(spark, sf_dir: str, name: str) -> DataFrame:
@@ -39,6 +44,35 @@ def _clean_stream(spark, sf_dir):
     return spark.read.parquet(f"{path}/out").select("row_seq", "order_amount", "nps_score", "order_amount_flag")
 
 
+def in_order(df: DataFrame, folder: str, file_no: str, n: int = 3) -> DataFrame:
+    """Write ``df`` as ``n`` files, one after another so that they arrive in this order; read them as a stream."""
+    for i in range(n):
+        df.filter(F.expr(file_no) == i).coalesce(1).write.mode("append").parquet(folder)
+    return K.file_stream(df.sparkSession, folder, df.schema, "*.parquet", files_per_batch=1)
+
+
+def settled(spark, sf_dir: str, name: str) -> DataFrame:
+    """A domain's whole rule list over three files, a batch each, settled at the end."""
+    path, rows = shared_path(spark, "k1b"), raw(spark, sf_dir, name)
+    last = rows.agg(F.max("row_seq")).first()[0]
+    live = in_order(rows, f"{path}/in", f"row_seq * 3 div {last + 1}")
+    chunks = ChunkedClean.of(f"{path}/out", domain(name), rows.columns, settles=True)
+    K.run_batches(live, chunks, f"{path}/checkpoint")
+    return as_text(chunks.settle(spark, 3).frame, name)
+
+
+@query("k1_clean_stream_batches", cleaned_sql("orders"))
+def _clean_batches(spark, sf_dir):
+    """Deletions, statistics and flags over three files equal one run over the table."""
+    return settled(spark, sf_dir, "orders")
+
+
+@query("k1_clean_stream_own_master", cleaned_sql("workforce"))
+def _clean_own_master(spark, sf_dir):
+    """The master of the foreign key is the table itself: known when the last file is in."""
+    return settled(spark, sf_dir, "workforce")
+
+
 @query(
     "k2_dedupe_stream",
     "SELECT DISTINCT user_id, event_type FROM events",
@@ -69,9 +103,7 @@ def _dedupe_batches(spark, sf_dir):
     """Three files, a batch each, against the target table instead of state: no event time, no bound on delay."""
     path = shared_path(spark, "k2b")
     arriving = spark.sql(_ARRIVING + "{ledger}", ledger=raw(spark, sf_dir, "ledger"))
-    for n in range(3):  # written one after another, so they arrive in this order
-        arriving.filter(F.col("file_no") == n).coalesce(1).write.mode("append").parquet(f"{path}/in")
-    live = K.file_stream(spark, f"{path}/in", arriving.schema, "*.parquet", files_per_batch=1)
+    live = in_order(arriving, f"{path}/in", "file_no")
     handler = K.dedupe_into(f"{path}/out", ["entry"], _ENTRY_ORDER, compact_every=2)
     K.run_batches(live, handler, f"{path}/checkpoint")
     return spark.read.parquet(f"{path}/out").select("entry", "file_no", "l_partkey", "l_suppkey", "transaction_id")
@@ -91,6 +123,36 @@ def _route(spark, sf_dir):
     return spark.read.parquet(f"{path}/out").select("event_id", "route")
 
 
+# Ten days a file; every twentieth event comes a file late.
+_DELAYED = (
+    "SELECT event_id, ts, CASE WHEN event_id % 70 = 1 THEN ts - INTERVAL 1 HOUR ELSE ts + INTERVAL 30 SECOND END AS ingested, "
+    "least(2, CASE WHEN day(ts) <= 10 THEN 0 WHEN day(ts) <= 20 THEN 1 ELSE 2 END + CASE WHEN event_id % 20 = 0 THEN 1 ELSE 0 END) AS file_no FROM "
+)
+
+
+@query(
+    "k3_route_late_quarantine",
+    f"""
+WITH arrived AS ({_DELAYED} events),
+judged AS (SELECT *, CASE WHEN ingested < ts THEN 'impossible' WHEN ts > TIMESTAMP '{AS_OF_EVENTS}' THEN 'clock_drift' END AS wrong FROM arrived),
+marks AS (SELECT n, (SELECT max(ts) FROM judged WHERE file_no < n AND wrong IS NULL) - INTERVAL 1 DAY AS watermark FROM (SELECT unnest([0, 1, 2]) AS n)),
+routed AS (
+  SELECT event_id, file_no, watermark, coalesce(wrong, CASE WHEN ts < watermark THEN 'late' ELSE 'ok' END) AS route
+  FROM judged JOIN marks ON n = file_no)
+SELECT event_id, file_no, route, CASE WHEN route = 'ok' THEN 'ok' ELSE 'quarantine' END AS sink,
+       strftime(watermark, '%Y-%m-%d %H:%M:%S') AS watermark FROM routed""",
+)
+def _quarantine(spark, sf_dir):
+    """Three files with late, impossible and drifting rows, each row in exactly one sink."""
+    path = shared_path(spark, "k3b")
+    arrived = spark.sql(_DELAYED + "{events}", events=table(spark, sf_dir, "events"))
+    live = in_order(arrived, f"{path}/in", "file_no")
+    K.run_batches(live, routing.route_to_sinks(f"{path}/out", "ts", "ingested", "1 DAY", AS_OF_EVENTS), f"{path}/checkpoint")
+    both = [routing.sink(spark, f"{path}/out", s).withColumn("sink", F.lit(s)) for s in routing.SINKS]
+    rows = both[0].unionByName(both[1])
+    return rows.select("event_id", "file_no", "route", "sink", F.date_format("watermark", "yyyy-MM-dd HH:mm:ss").alias("watermark"))
+
+
 EVENT_CHECKS = [
     Check("low_value", "validity", "WARNING", "value", "value < 5"),
     Check("unknown_type", "consistency", "WARNING", "event_type", "event_type NOT IN ('view', 'click', 'purchase')"),
@@ -127,3 +189,15 @@ def _refresh(spark, sf_dir):
     return spark.read.parquet(f"{path}/score").select(
         "total_rows", *[F.round(d, 6).alias(d) for d in DIMS], "overall", "grade"
     )
+
+
+@query("k5_profile_merged", ctes("dirty_orders") + sketched_sql("orders"))
+def _profile_merged(spark, sf_dir):
+    """Three refreshes, each sketched as it lands: the merged profile is that of the whole table."""
+    path, rows = shared_path(spark, "k5b"), raw(spark, sf_dir, "orders")
+    live = refresh.observed(in_order(rows, f"{path}/in", "row_seq % 3"), rows.columns)
+    K.run_batches(live, refresh.sketch_batches(f"{path}/out"), f"{path}/checkpoint")
+    exact = profile_columns(rows).select("column_name", F.col("distinct_count").alias("exact"))
+    done = refresh.merged_profile(spark, f"{path}/out", 2).join(exact, "column_name")
+    close = F.abs(F.col("distinct_count") - F.col("exact")) <= F.col("exact") * 0.05
+    return done.select("column_name", "data_type", "total_rows", "null_count", "null_pct", "min_value", "max_value", "text_chars", close.alias("distinct_close"))
