@@ -11,12 +11,10 @@ from pyspark.sql import types as T
 from burnish.functions.aggregates import pearson
 from burnish.functions.numbers import holds
 from burnish.functions.text import trim_ws
+from burnish.operators.gram import correlation_matrix
 from burnish.operators.quantiles import Quantile, exact_quantiles
 
 
-# Column pairs of one aggregation.
-PAIRS_AT_ONCE = 500
-
 
 def _numeric(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]
@@ -316,11 +314,9 @@ def contradictions(df: DataFrame, constraints: dict[str, str]) -> DataFrame:
 
 
 def correlated_pairs(df: DataFrame, cols: list[str] | None = None, threshold: float = 0.7) -> DataFrame:
-    """Column pairs with |r| above the threshold; many pairs are computed a chunk at a time."""
+    """Column pairs with |r| above the threshold, however many columns: one pass over the table."""
     cols = cols or _numeric(df)
-    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1 :]]
-    chunks = [pairs[i : i + PAIRS_AT_ONCE] for i in range(0, max(len(pairs), 1), PAIRS_AT_ONCE)]
-    return reduce(DataFrame.unionByName, [correlations(df, chunk).filter(F.abs("r") > threshold) for chunk in chunks])
+    return correlation_matrix(df, cols).filter(F.abs("r") > threshold).select("column_a", "column_b", "r")
 
 
 def numeric_summary(df: DataFrame, cols: list[str]) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from burnish.dirty import dirty, table
 from burnish.operators import detect as D
 from burnish.operators import profile as P
+from burnish.operators import trigrams as G
 from burnish.operators.actions import outlier_share
 from burnish.operators.language import guess_language, wrong_language
 from burnish.plans.engine import group_imbalance
@@ -38,6 +39,7 @@ from burnish.registry.base import (
     query,
     raw,
 )
+from burnish.session import materialise
 from burnish.registry.profiles import union
 
 KEYS = {
@@ -328,6 +330,40 @@ def _language(spark, sf_dir):
     )
 
 
+# Words of six letters and more stand for names; some are declared in another language than their text's.
+_NAMES = (
+    "SELECT word AS value, CASE WHEN length(word) % 7 = 0 AND word < 'e' THEN CASE lang WHEN 'en' THEN 'de' WHEN 'de' THEN 'fr' WHEN 'fr' THEN 'es' ELSE 'en' END ELSE lang END AS label "
+    "FROM ({words}) WHERE length(word) >= 6 AND lang IS NOT NULL"
+)
+_PADDED = "concat(' ', trim(regexp_replace(lower(value), '[^\\p{L}\\p{M}]+', ' ', 'g')), ' ')"
+
+
+@query(
+    "d28_wrong_language_names",
+    f"""
+WITH named AS ({_NAMES.format(words="SELECT lang, unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS word FROM documents")}),
+vals AS (SELECT label, value, count(*) AS n, {_PADDED} AS p FROM named GROUP BY ALL),
+grams AS (SELECT label, value, n, substr(p, i, 3) AS gram FROM (SELECT *, unnest(generate_series(1, length(p) - 2)) AS i FROM vals WHERE length(p) > 2)),
+counts AS (SELECT label, gram, CAST(sum(n) AS BIGINT) AS n FROM grams GROUP BY ALL),
+totals AS (SELECT label, 2 * sum(n) + (SELECT count(DISTINCT gram) FROM counts) AS wide FROM counts GROUP BY label),
+floors AS (SELECT label, wide, CAST(round(ln(1e0 / CAST(wide AS DOUBLE)) * 1000) AS BIGINT) AS floor FROM totals),
+gains AS (SELECT c.label, gram, CAST(round(ln(CAST(2 * n + 1 AS DOUBLE) / CAST(wide AS DOUBLE)) * 1000) AS BIGINT) - floor AS gain FROM counts c JOIN floors USING (label)),
+texts AS (SELECT DISTINCT value, gram, pos FROM (SELECT value, substr(p, i, 3) AS gram, i AS pos FROM (SELECT DISTINCT value, p, unnest(generate_series(1, length(p) - 2)) AS i FROM vals WHERE length(p) > 2))),
+scores AS (
+  SELECT value, f.label, sum(floor + coalesce(gain, 0)) AS score
+  FROM texts CROSS JOIN floors f LEFT JOIN gains g ON g.label = f.label AND g.gram = texts.gram GROUP BY value, f.label),
+best AS (SELECT value, first(label ORDER BY score DESC, label) AS guess, max(score) AS top FROM scores GROUP BY value)
+SELECT v.label, v.value, v.n, CASE WHEN s.score IS NOT NULL THEN guess END AS guess, CAST(top - s.score AS BIGINT) AS lead, coalesce(top - s.score > 3000, false) AS wrong
+FROM vals v LEFT JOIN best USING (value) LEFT JOIN scores s ON s.value = v.value AND s.label = v.label""",
+)
+def _names(spark, sf_dir):
+    """Trigram model over single words, some declared in the wrong language."""
+    words = F.explode(F.regexp_extract_all("text", F.lit(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"), F.lit(0))).alias("word")
+    named = spark.sql(_NAMES.replace("({words})", "{words}"), words=table(spark, sf_dir, "documents").select("lang", words))
+    values = materialise(G.distinct_values(named, "value", "label"), "names")
+    return G.judge(values, *G.learn(values))
+
+
 rows_where(
     "d29_unit_break", "catalog", lambda: D.unit_break(F.col("weight_kg"), F.col("weight_lbs"), 2.205),
     "abs(weight_lbs - weight_kg * 2205e-3) > 1e-2", "weight_lbs",

@@ -128,6 +128,37 @@ def _infer_wide(spark, sf_dir):
     return _inferred(spark, table(spark, sf_dir, "orders").select(wide, "o_custkey"), "code")
 
 
+# Column of codes or numbers: its type, and the text of a row.
+_CODES = {
+    "zip": ("string", "lpad(CAST(c_custkey % 100000 AS {text}), 5, '0')"),
+    "slot": ("string", "concat(CAST(c_custkey % 9 + 1 AS {text}), 'E', CAST(c_custkey % 8 AS {text}))"),
+    "dial": ("string", "concat('+', CAST(c_custkey AS {text}))"),
+    "size": ("string", "concat(CAST(c_custkey % 50 + 1 AS {text}), 'D')"),
+    "mixed": ("string", "CASE WHEN c_custkey % 40 = 7 THEN concat('0', CAST(c_custkey AS {text})) ELSE CAST(c_custkey AS {text}) END"),
+    "whole": ("bigint", "CAST(c_custkey - 20 AS {text})"),
+    "ratio": ("double", "CASE WHEN c_custkey % 3 = 0 THEN '2.5E-3' WHEN c_custkey % 3 = 1 THEN '0.5' ELSE '-12' END"),
+}
+
+
+@query(
+    "a4_infer_types_codes",
+    " UNION ALL ".join(
+        f"SELECT '{name}' AS column_name, '{kind}' AS data_type, count(*) AS loaded_rows, count(DISTINCT {text.format(text='VARCHAR')}) AS different FROM customer"
+        for name, (kind, text) in _CODES.items()
+    ),
+)
+def _infer_codes(spark, sf_dir):
+    """Leading zeros, exponents, plus signs and suffixes stay text, so no two codes become one."""
+    path = shared_path(spark, "csv-codes")
+    S.write_csv(table(spark, sf_dir, "customer").select(*[F.expr(text.format(text="STRING")).alias(name) for name, (_, text) in _CODES.items()]), path)
+    text = S.read_csv_table(spark, path)
+    types = Y.infer_types(text)
+    ok, _ = Y.cast_or_reject(text, Y.inferred_schema(types))
+    counted = ok.agg(*[F.count(c).alias(f"n_{c}") for c in _CODES], *[F.count_distinct(c).alias(f"d_{c}") for c in _CODES])
+    rows = F.inline(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"n_{c}").alias("loaded_rows"), F.col(f"d_{c}").alias("different")) for c in _CODES]))
+    return types.select("column_name", "data_type").join(counted.select(rows), "column_name")
+
+
 @query(
     "a6_sanitise_names",
     "SELECT c_custkey AS C_CUSTKEY, c_name AS FULL_NAME, c_mktsegment AS MARKET_SEGMENT FROM customer",

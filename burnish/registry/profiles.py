@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from burnish.dirty import TABLES, table
 from burnish.operators import profile as P
 from burnish.operators import sketches as S
+from burnish.operators.gram import correlation_matrix
 from burnish.plans.decide import classify_columns
 from burnish.registry.base import VIEW_NAMES, ctes, query, raw
 from burnish.session import materialise
@@ -236,6 +237,25 @@ def _correlations(spark, sf_dir):
     return P.correlations(raw(spark, sf_dir, "orders"), PAIRS).withColumn("r", F.round("r", 6))
 
 
+_EVERY = SKETCHED_NUMBERS["orders"]
+
+
+@query(
+    "c11_correlation_matrix",
+    ctes("dirty_orders")
+    + union(
+        [
+            f"SELECT '{a}' AS column_a, '{b}' AS column_b, count(*) FILTER ({a} IS NOT NULL AND {b} IS NOT NULL) AS rows, round(corr({a}, {b}), 6) AS r FROM dirty_orders"
+            for i, a in enumerate(_EVERY)
+            for b in _EVERY[i + 1 :]
+        ]
+    ),
+)
+def _matrix(spark, sf_dir):
+    """Every pair of number columns from one scan."""
+    return correlation_matrix(raw(spark, sf_dir, "orders"), _EVERY).withColumn("r", F.round("r", 6))
+
+
 @query(
     "c12_outlier_rate",
     ctes("dirty_orders")

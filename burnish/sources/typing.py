@@ -11,6 +11,8 @@ from pyspark.sql import types as T
 from burnish.plans.decide import TEMPORAL_NAME
 
 LONG_LIMIT = float(1 << 63)
+# How a number prints: no plus sign, no leading zero, nothing but an exponent behind it.
+NUMBER = r"^\s*-?(0|[1-9][0-9]*|(?=\.[0-9]))(\.[0-9]*)?([eE][+-]?[0-9]+)?\s*$"
 
 
 def is_temporal_name(name: str) -> bool:
@@ -28,7 +30,9 @@ def infer_types(df: DataFrame, sample_rows: int | None = None) -> DataFrame:
 
     A type is chosen only if every value has it: BIGINT if all cast to it, DECIMAL(38,0)
     for longer whole numbers, text for longer ones still; whole-number doubles become
-    BIGINT within its range; a temporal type needs the name as well.  ``sample_rows``
+    BIGINT within its range; a temporal type needs the name as well.  Values that a number
+    would not give back are codes and stay text: leading zeros, plus signs, letters other than
+    an exponent, and exponents where no value of the column has a decimal point.  ``sample_rows``
     looks at some rows only; the casts that follow then count what did not fit.
     """
     sample = df if sample_rows is None else df.limit(sample_rows)
@@ -46,6 +50,9 @@ def infer_types(df: DataFrame, sample_rows: int | None = None) -> DataFrame:
                 F.count(text.try_cast("bigint")).alias(f"int{i}"),
                 F.count(text.try_cast("decimal(38,0)")).alias(f"dec{i}"),
                 F.count_if(text.rlike("[.eE]")).alias(f"dot{i}"),
+                F.count_if(text.contains(".")).alias(f"point{i}"),
+                F.count_if(text.rlike("[eE]")).alias(f"exp{i}"),
+                F.count_if(~text.rlike(NUMBER)).alias(f"code{i}"),
                 F.count(text.try_cast("timestamp")).alias(f"ts{i}"),
             ]
         elif isinstance(f.dataType, (T.DoubleType, T.FloatType)):
@@ -55,7 +62,8 @@ def infer_types(df: DataFrame, sample_rows: int | None = None) -> DataFrame:
     for i, f in enumerate(df.schema.fields):
         n = F.col(f"n{i}")
         if isinstance(f.dataType, T.StringType):
-            numeric = (n > 0) & (F.col(f"num{i}") == n)
+            code = (F.col(f"code{i}") > 0) | ((F.col(f"exp{i}") > 0) & (F.col(f"point{i}") == 0))
+            numeric = (n > 0) & (F.col(f"num{i}") == n) & ~code
             kind = (
                 F.when(numeric & (F.col(f"dot{i}") > 0), F.lit("double"))
                 .when(numeric & (F.col(f"int{i}") == n), F.lit("bigint"))
