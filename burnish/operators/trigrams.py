@@ -58,20 +58,21 @@ def learn(values: DataFrame) -> tuple[DataFrame, dict[str, int]]:
 
     With n of the N trigrams of a language and V distinct ones in all, a trigram's share is
     (2 n + 1) / (2 N + V); its gain is what it scores above an unseen one.  ``gains`` has an
-    entry per language that has the trigram.
+    entry per language, in the order of their codes.
     """
     grams = values.select("label", "n", F.explode(trigrams(F.col("value"))).alias("gram")).groupBy("label", "gram").agg(F.sum("n").alias("n"))
     grams = materialise(grams, "trigrams")
     distinct = grams.select("gram").distinct().count()
     totals = {r.label: r.n for r in grams.groupBy("label").agg(F.sum("n").alias("n")).collect()}  # a row per language
     if not totals:
-        return grams.select("gram", F.array(F.struct("label", F.col("n").alias("gain"))).alias("gains")), {}
+        return grams.select("gram", F.array("n").alias("gains")), {}
     wide = {label: 2 * n + distinct for label, n in totals.items()}
     unseen = {r.label: r.score for r in values.sparkSession.createDataFrame(list(wide.items()), "label string, wide bigint").select("label", _score(F.lit(1), F.col("wide")).alias("score")).collect()}
     by_label = F.create_map(*[F.lit(x) for label in totals for x in (label, wide[label])])
     floor = F.create_map(*[F.lit(x) for label in totals for x in (label, unseen[label])])
     gain = _score(2 * F.col("n") + 1, by_label[F.col("label")]) - floor[F.col("label")]
-    return grams.groupBy("gram").agg(F.collect_list(F.struct("label", gain.alias("gain"))).alias("gains")), unseen
+    each = [F.coalesce(F.max(F.when(F.col("label") == label, gain)), F.lit(0)).alias(f"g{i}") for i, label in enumerate(sorted(unseen))]
+    return grams.groupBy("gram").agg(*each).select("gram", F.array(*[f"g{i}" for i in range(len(each))]).alias("gains")), unseen
 
 
 def _score(part: Column, whole: Column) -> Column:
@@ -86,16 +87,15 @@ def judge(values: DataFrame, model: DataFrame, unseen: dict[str, int], margin: i
     if not unseen:
         return values.select("*", F.lit(None).cast("string").alias("guess"), F.lit(None).cast("bigint").alias("lead"), F.lit(False).alias("wrong"))
     texts = materialise(values.groupBy("value").agg(F.count(F.lit(1)).alias("labels")).select("value", F.monotonically_increasing_id().alias("id")), "texts")
-    grams = texts.select("id", F.explode(trigrams(F.col("value"))).alias("gram")).groupBy("id", "gram").agg(F.count(F.lit(1)).alias("times"))
-    scored = attach(grams, model, ["gram"])
-    gains = scored.select("id", F.col("times"), F.explode("gains").alias("g")).groupBy("id", F.col("g.label").alias("label")).agg(F.sum(F.col("times") * F.col("g.gain")).alias("gain"))
-    found = gains.groupBy("id").agg(F.map_from_entries(F.collect_list(F.struct("label", "gain"))).alias("gains"))
-    sizes = F.size(trigrams(F.col("value"))).cast("bigint")
-    total = lambda label: sizes * F.lit(unseen[label]) + F.coalesce(F.col("gains")[label], F.lit(0))
     names = sorted(unseen)
+    # A text's trigrams follow each other, so their sums are complete before the shuffle.
+    scored = attach(texts.select("id", F.explode(trigrams(F.col("value"))).alias("gram")), model, ["gram"])
+    gains = [F.sum(F.coalesce(F.col("gains")[i], F.lit(0))).alias(f"gain{i}") for i in range(len(names))]
+    found = scored.groupBy("id").agg(F.count(F.lit(1)).alias("size"), *gains)
+    total = lambda label: F.col("size") * F.lit(unseen[label]) + F.col(f"gain{names.index(label)}")
     best = F.greatest(*[F.struct(total(n).alias("score"), F.lit(-i).alias("i"), F.lit(n).alias("label")) for i, n in enumerate(names)]) if len(names) > 1 else F.struct(total(names[0]).alias("score"), F.lit(0).alias("i"), F.lit(names[0]).alias("label"))
     scores = F.create_map(*[x for n in names for x in (F.lit(n), total(n))])
-    per_text = texts.join(found, "id", "left").filter(sizes > 0).select("value", best.alias("best"), scores.alias("scores"))
+    per_text = texts.join(found, "id").select("value", best.alias("best"), scores.alias("scores"))
     judged = attach(values, per_text, ["value"])
     lead = F.col("best.score") - F.col("scores")[F.col("label")]
     return judged.select("label", "value", "n", F.when(lead.isNotNull(), F.col("best.label")).alias("guess"), lead.alias("lead"), F.coalesce(lead > margin, F.lit(False)).alias("wrong"))
