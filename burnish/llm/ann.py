@@ -13,10 +13,11 @@ that makes all norms equal, and queries a zero, so that order by distance is ord
 product; scores are computed in double precision on the original vectors.
 
 Equal vectors are indexed once and expanded at the end, so no number of copies makes a list
-long.  Lists are cut into blocks of at most about ``BLOCK`` vectors, blocks are dealt to
-shards, and a task scores a block of queries against a shard, each query only against the
-lists it reads, and returns its best.  Queries that found fewer than asked are searched
-exactly, in blocks, against all rows.
+long.  Lists are cut into blocks of at most about ``BLOCK`` vectors and blocks are dealt to
+shards.  A query goes to the shards that hold lists it reads; a shard that more queries read
+than a task takes is repeated for each part of them, and no other shard is.  A task scores its
+queries in turns, each only against the lists it reads, and returns their best.  Queries that
+found fewer than asked are searched exactly, in blocks, against all rows.
 
 Defined cases: a vector that is null, empty, zero, or holds null or non-finite components
 takes no part, nor does one whose length is not the table's most frequent length, or a row
@@ -35,9 +36,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from burnish.operators.skew import attach
 from burnish.session import materialise
 
 SAMPLE = 32_768  # vectors the centroids are fitted on, at most about
+SAMPLE_BYTES = 32 << 20  # and their size as floats
 LIST_ROWS = 200  # vectors a list should hold
 MOST_LISTS = 4_096
 REPLICAS = 4
@@ -48,7 +51,9 @@ DEGREE = 16
 STEP = 4  # nodes of the graph expanded at once for each point
 BLOCK = 2_000
 SHARD = 25  # blocks of vectors that a task holds
-ASKED = 1_000  # queries that a task holds
+ASKED = 20_000  # queries that a task takes, at most
+ASKED_BYTES = 64 << 20  # and their size as doubles
+TURN = 1_000  # queries that a task scores at once
 _POINTS = 500  # points whose graph search runs at once
 
 
@@ -144,6 +149,20 @@ def nearest_lists(points: np.ndarray, index: dict, most: int) -> tuple[np.ndarra
     return nodes[:, :most], np.sqrt(gaps[:, :most])
 
 
+def lists_within(points: np.ndarray, index: dict, ratio: float) -> list[list[int]]:
+    """The lists at most ``ratio`` times as far as the nearest; the beam is doubled for points that fill it."""
+    out: list[list[int]] = [[] for _ in points]
+    todo, most = np.arange(len(points)), index["beam"]
+    while len(todo):
+        lists, gaps = nearest_lists(points[todo], index, most)
+        near = gaps <= ratio * gaps[:, :1] + 1e-6
+        full = near.all(axis=1) & (most < len(index["centres"]))
+        for i in np.flatnonzero(~full):
+            out[todo[i]] = lists[i][near[i]].tolist()
+        todo, most = todo[full], 2 * most
+    return out
+
+
 def _assigner(shared, queries: bool):
     """Iterator function: the lists of each vector, nearest first."""
 
@@ -153,10 +172,12 @@ def _assigner(shared, queries: bool):
             out: list[list[int]] = []
             for at in range(0, len(values), _POINTS):
                 raw = np.stack(values.iloc[at : at + _POINTS].to_numpy()).astype(np.float32)
-                points = _aim(raw, index["longest"]) if queries else _lift(raw, index["longest"])
-                lists, gaps = nearest_lists(points, index, index["beam"] if queries else 4 * REPLICAS)
-                near = gaps <= (index["ratio"] if queries else REPLICA_RATIO) * gaps[:, :1] + 1e-6
-                out += [own[ok].tolist() if queries else own[ok][:REPLICAS].tolist() for own, ok in zip(lists, near)]
+                if queries:
+                    out += lists_within(_aim(raw, index["longest"]), index, index["ratio"])
+                    continue
+                lists, gaps = nearest_lists(_lift(raw, index["longest"]), index, 4 * REPLICAS)
+                near = gaps <= REPLICA_RATIO * gaps[:, :1] + 1e-6
+                out += [own[ok][:REPLICAS].tolist() for own, ok in zip(lists, near)]
             yield pd.Series(out, dtype=object)
 
     return assign
@@ -182,7 +203,11 @@ def _best(k: int):
             return pd.DataFrame({"query_id": np.zeros(0, np.int64), "cid": np.zeros(0, np.int64), "score": np.zeros(0)})
         rows = rows.sort_values(["list", "cid"], kind="stable")
         cids, lists = rows["cid"].to_numpy(), rows["list"].to_numpy()
-        vectors, asked = np.stack(rows["v"].to_numpy()).astype(np.float64), np.stack(queries["q"].to_numpy()).astype(np.float64)
+        vectors = np.stack(rows["v"].to_numpy()).astype(np.float64)
+        return pd.concat([turn(queries.iloc[at : at + TURN], cids, lists, vectors) for at in range(0, len(queries), TURN)])
+
+    def turn(queries: pd.DataFrame, cids: np.ndarray, lists: np.ndarray, vectors: np.ndarray) -> pd.DataFrame:
+        asked = np.stack(queries["q"].to_numpy()).astype(np.float64)
         reads = queries["lists"].to_numpy()
         reader = np.repeat(np.arange(len(reads)), [len(x) for x in reads])
         read = np.concatenate(reads)
@@ -210,17 +235,22 @@ def _scored(probes: DataFrame, postings: DataFrame, asked: DataFrame, k: int, bl
 
     Lists are cut into units of at most about ``block`` rows, and units dealt by hash into
     shards of about ``SHARD`` units; a query goes to a shard once, with the lists it reads there.
+    The queries of a shard are counted, and its rows repeated once per ``ASKED`` of them.
     """
     cut = postings.groupBy("list").agg(F.count(F.lit(1)).alias("rows"))
     cut = materialise(cut.select("list", "rows", F.ceil(F.col("rows") / block).cast("long").alias("units")), "lists")
     shards = max(1, (cut.agg(F.sum(F.col("rows") / block)).first()[0] or 0) // SHARD)
     shard = F.pmod(F.xxhash64("list", "unit"), F.lit(int(shards)))
     units = cut.select("list", F.explode(F.sequence(F.lit(0).cast("long"), F.col("units") - 1)).alias("unit")).select("list", shard.alias("shard")).distinct()
-    left = probes.join(units, "list").groupBy("query_id", "shard").agg(F.collect_set("list").alias("lists")).join(asked, "query_id")
-    parts = max(1, -(-asked.count() // ASKED))
-    left = left.withColumn("part", F.pmod(F.xxhash64("query_id"), F.lit(parts)))
-    right = postings.join(cut.select("list", "units"), "list").withColumn("unit", F.pmod(F.xxhash64("cid"), F.col("units"))).withColumn("shard", shard)
-    right = right.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(parts - 1).cast("long"))))
+    left = materialise(probes.join(units, "list").groupBy("query_id", "shard").agg(F.collect_set("list").alias("lists")), "reads")
+    wide = asked.agg(F.max(F.size("q"))).first()[0] or 1
+    most = max(TURN, min(ASKED, ASKED_BYTES // (8 * wide)))
+    parts = left.groupBy("shard").agg(F.ceil(F.count(F.lit(1)) / most).cast("long").alias("parts"))
+    parts = materialise(parts, "parts")
+    left = left.join(parts, "shard").withColumn("part", F.pmod(F.xxhash64("query_id"), F.col("parts"))).join(asked, "query_id")
+    right = postings.join(cut.select("list", "units"), "list").withColumn("unit", F.pmod(F.xxhash64("cid"), F.col("units")))
+    right = right.withColumn("shard", shard).join(parts, "shard")
+    right = right.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
     key = ["shard", "part"]
     return left.groupBy(*key).cogroup(right.select(*key, "list", "cid", "v").groupBy(*key)).applyInPandas(_best(k), _FOUND)
 
@@ -239,7 +269,8 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20, lists: int | None
     """query_id, rank, vec_id, score: the k nearest found of every row that ``is_query`` names."""
     spark = vectors.sparkSession
     rows = usable(vectors)
-    classed = materialise(rows.join(rows.groupBy("v").agg(F.min("vec_id").alias("cid")), "v"), "classed")
+    copied = rows.groupBy("v").agg(F.min("vec_id").alias("first"), F.count(F.lit(1)).alias("copies")).filter("copies > 1").drop("copies")
+    classed = materialise(attach(rows, copied, ["v"]).select("vec_id", "v", F.coalesce("first", "vec_id").alias("cid")), "classed")
     distinct = classed.filter(F.col("vec_id") == F.col("cid")).select("cid", "v")
     first = Window.partitionBy("cid").orderBy("vec_id")
     members = classed.select("cid", "vec_id").withColumn("r", F.row_number().over(first)).filter(F.col("r") <= k + 1).drop("r")
@@ -249,7 +280,8 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20, lists: int | None
     if not size.n:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     chance = F.pmod(F.xxhash64(F.lit("ann"), "cid"), F.lit(1_000_000)) / 1e6
-    sample = distinct.filter(chance < SAMPLE / size.n).select("v").limit(2 * SAMPLE).toPandas()["v"]
+    fitted = min(SAMPLE, SAMPLE_BYTES // (4 * distinct.select(F.size("v")).first()[0]) + 1)
+    sample = distinct.filter(chance < fitted / size.n).select("v").limit(2 * fitted).toPandas()["v"]
     if not len(sample):
         sample = distinct.select("v").limit(1).toPandas()["v"]
     lists = lists or int(min(MOST_LISTS, max(1, size.n // LIST_ROWS)))

@@ -1,6 +1,7 @@
 import zlib
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from burnish.llm import ann, langid, quality
@@ -97,7 +98,10 @@ def test_search_recall(spark):
     assert recall >= 0.9
 
 
-def test_search_with_copies_and_bad_vectors(spark):
+@pytest.mark.parametrize("asked, turn", [(20_000, 1_000), (2, 1)])
+def test_search_with_copies_and_bad_vectors(spark, monkeypatch, asked, turn):
+    monkeypatch.setattr(ann, "ASKED", asked)  # a task's queries: all, or two in turns of one
+    monkeypatch.setattr(ann, "TURN", turn)
     rng = np.random.default_rng(4)
     data = [(i, [float(x) for x in rng.normal(size=4).astype(np.float32)]) for i in range(60)]
     data += [(i, [1.0, 2.0, 3.0, 4.0]) for i in range(100, 160)]  # a large class of copies
@@ -113,6 +117,17 @@ def test_search_with_copies_and_bad_vectors(spark):
         assert np.allclose([r[2] for r in sorted(rows)], [s for _, s in want[q]])
 
 
+def test_beam_widens_until_the_ratio_ends_it():
+    points = np.random.default_rng(5).normal(size=(400, 8)).astype(np.float32)
+    index = ann.build(points, 40, float(np.linalg.norm(points, axis=1).max()), 5)
+    aims = ann._aim(points[:30], index["longest"])
+    gaps = np.sqrt(ann._gaps(aims, index["centres"]))
+    want = [set(np.flatnonzero(g <= 3 * g.min() + 1e-6)) for g in gaps]
+    assert max(map(len, want)) > 4
+    got = ann.lists_within(aims, {**index, "beam": 4}, 3)
+    assert [set(x) for x in got] == want
+
+
 def test_search_of_few_rows(spark):
     schema = "vec_id long, embedding array<float>"
     assert ann.search(spark.createDataFrame([], schema), F.col("vec_id") % 20 == 0).count() == 0
