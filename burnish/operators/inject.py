@@ -12,6 +12,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from burnish.operators.skew import attach
+from burnish.session import materialise
+
 PARTS = 1_000_000  # rates are whole millionths
 BLOCK = 1_000  # neighbouring keys among which a key is copied
 
@@ -45,14 +48,11 @@ def inject_dup_keys(df: DataFrame, column: str, key: str, pct: float) -> DataFra
 
     Rows are ordered by ``key`` inside a block, so sparse and text keys are copied as well
     as dense ones; the range of the numbers, or of the hash values, is cut into equal
-    blocks that hold about ``BLOCK`` rows each.
+    blocks that hold about ``BLOCK`` rows each.  A block of more than twice as many is cut
+    again between its own least and largest key, one of a single key by the hash of
+    ``column``.  Rows that agree in both would only take each other's value: they keep theirs.
     """
-    number = number_of(df, key)
-    size = df.agg(F.count(F.lit(1)).alias("n"), F.min(number).alias("lo"), F.max(number).alias("hi")).first()
-    least = size.lo or 0
-    width = max(1, BLOCK * ((size.hi or 0) - least + 1) // max(1, size.n))
-    block = F.floor((number.cast("decimal(38,0)") - F.lit(least).cast("decimal(38,0)")) / F.lit(width).cast("decimal(38,0)")).cast("bigint")
-    placed = df.withColumn("_block", block)
+    placed, even = _blocks(df, column, key)
     by = Window.partitionBy("_block").orderBy(key, column)
     share = round(pct * PARTS / 100)
     rank = F.row_number().over(by).cast("bigint") - 1
@@ -60,7 +60,47 @@ def inject_dup_keys(df: DataFrame, column: str, key: str, pct: float) -> DataFra
     placed = placed.withColumn("_taken", taken)
     upto = by.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     copied = F.coalesce(F.last(F.when(~F.col("_taken"), F.col(column)), ignorenulls=True).over(upto), F.col(column))
-    return placed.withColumn("_copied", copied).drop("_block", "_taken", column).withColumnRenamed("_copied", column).select(*df.columns)
+    copied = placed.withColumn("_copied", copied).drop("_block", "_taken", column).withColumnRenamed("_copied", column).select(*df.columns)
+    return copied if even is None else copied.unionByName(even)
+
+
+def _blocks(df: DataFrame, column: str, key: str) -> tuple[DataFrame, DataFrame | None]:
+    """Rows with their ``_block``, and those of one key and value that would fill a block alone.
+
+    Each round reads the table once, counts rows per block map-side and stores only the blocks
+    that are still too large, which are joined back by size.  A round at least halves their
+    ranges; a lone outlier takes one round more than even keys.
+    """
+    wide = T.DecimalType(38, 0)
+    number = number_of(df, key).cast(wide)
+    size = df.agg(F.count(F.lit(1)).alias("n"), F.min(number).alias("lo"), F.max(number).alias("hi")).first()
+    least = size.lo or 0
+    width = max(1, BLOCK * ((size.hi or 0) - least + 1) // max(1, size.n))
+    first = F.floor((number - F.lit(least).cast(wide)) / F.lit(width).cast(wide)).cast("bigint")
+    placed = df.withColumn("_block", F.array(first))
+    value = F.xxhash64(column).cast(wide)
+    alone = None
+    by_value = False
+    while True:
+        own = number_of(placed, key).cast(wide) if not by_value else value
+        blocks = placed.groupBy("_block").agg(F.count(F.lit(1)).alias("_n"), F.min(own).alias("_lo"), F.max(own).alias("_hi"))
+        large = materialise(blocks.filter(F.col("_n") > 2 * BLOCK), "large-blocks")
+        single = large.filter(F.col("_lo").eqNullSafe(F.col("_hi")))
+        if by_value and not single.isEmpty():
+            marked = attach(placed, single.select("_block", F.lit(True).alias("_single")), ["_block"])
+            even = marked.filter("_single").select(*df.columns)
+            alone = even if alone is None else alone.unionByName(even)
+            placed = marked.filter("_single IS NULL").drop("_single")
+        ranged = large.filter(~F.col("_lo").eqNullSafe(F.col("_hi")))
+        if ranged.isEmpty():
+            if by_value or single.isEmpty():
+                return placed, alone
+            by_value = True
+            continue
+        step = F.greatest(F.lit(1), F.floor(F.lit(BLOCK) * (F.col("_hi") - F.col("_lo") + 1) / F.col("_n")))
+        cuts = ranged.select("_block", "_lo", F.least(step, F.ceil((F.col("_hi") - F.col("_lo") + 1) / 2)).cast(wide).alias("_step"))
+        cut = F.when(F.col("_lo").isNotNull(), F.floor((own - F.col("_lo")) / F.col("_step")).cast("bigint"))
+        placed = attach(placed, cuts, ["_block"]).withColumn("_block", F.when(cut.isNotNull(), F.concat("_block", F.array(cut))).otherwise(F.col("_block"))).drop("_lo", "_step")
 
 
 def inject_range(df: DataFrame, column: str, key: str, values: list[float], pct: float) -> DataFrame:

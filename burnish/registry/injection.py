@@ -49,6 +49,26 @@ _dup("l3_inject_dup_keys_8pct", "o_orderkey", 8)
 _dup("l3_inject_dup_keys_40pct_sparse", "o_orderkey * 7919", 40)
 
 
+_OUTLYING = "CASE WHEN o_orderkey = (SELECT max(o_orderkey) FROM {orders}) THEN 1000000000000000 ELSE o_orderkey END"
+
+
+@query(
+    "l3_inject_dup_keys_outlier",
+    f"WITH t AS (SELECT {_OUTLYING.format(orders='orders')} AS k FROM orders), "
+    "a AS (SELECT k, (k - lo) // w AS b FROM t, (SELECT min(k) AS lo, greatest(1, 1000 * (max(k) - min(k) + 1) // count(*)) AS w FROM t)), "
+    "c AS (SELECT k, b, CASE WHEN n > 2000 THEN (k - lo) // least(greatest(1, 1000 * (hi - lo + 1) // n), (hi - lo + 2) // 2) END AS b2 "
+    "FROM a JOIN (SELECT b, count(*) AS n, min(k) AS lo, max(k) AS hi FROM a GROUP BY b) USING (b)), "
+    "r AS (SELECT *, row_number() OVER (PARTITION BY b, b2 ORDER BY k) - 1 AS r FROM c), "
+    "s AS (SELECT *, (r + 1) * 5 // 100 > r * 5 // 100 AS taken FROM r) "
+    "SELECT k AS o_orderkey, coalesce(last_value(CASE WHEN NOT taken THEN k END IGNORE NULLS) OVER (PARTITION BY b, b2 ORDER BY k "
+    "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), k) AS order_id FROM s",
+)
+def _dup_outlier(spark, sf_dir):
+    """One key far beyond the others: their block is cut again."""
+    keys = spark.sql(f"SELECT {_OUTLYING} AS o_orderkey FROM {{orders}}", orders=table(spark, sf_dir, "orders"))
+    return I.inject_dup_keys(keys.withColumn("order_id", F.col("o_orderkey")), "order_id", "o_orderkey", 5)
+
+
 def _rate(name: str, source: str, key: str, column: str, pct: int, fn, sql: str) -> None:
     """A rate that divides no hundred: still exact within one key per run of keys."""
     shown = f"{key}, CASE WHEN ({key} * {pct * 10_000}) % 1000000 < {pct * 10_000} THEN {sql} ELSE {column} END AS {column}"
