@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from burnish.functions.numbers import as_of_literal, holds
 from burnish.operators.profile import correlations, outlier_rate, profile_columns, variant_map
-from burnish.plans.engine import group_imbalance
+from burnish.plans.engine import SPELLED, group_imbalance
 from burnish.plans.rules import Balance, Rule, Stat
 from burnish.session import materialise
 
@@ -26,8 +26,8 @@ KEY_NAME = r"(^|_)(id|key|seq|custkey|orderkey|partkey|suppkey)$"
 SCHEDULED_NAME = r"(^|_)(order|due|deliver\w*|schedul\w*|plan\w*|expect\w*|renew\w*|expir\w*|go_live|launch|end|until)(_|$)"
 REFUND_NAME = r"(^|_)(refund\w*|credit\w*|return\w*|chargeback\w*)(_|$)"
 UNIQUE_SHARE = 0.9
-# Text with more values than this, in more than this share of its rows, is free text.
-FREE_TEXT_VALUES, FREE_TEXT_SHARE = 100, 0.2
+# Text with more values than this share of its rows is free text, however few or many rows there are.
+FREE_TEXT_SHARE = 0.2
 NUMERIC_LOW, NUMERIC_HIGH = 10.0, 30.0
 TEXT_LOW, TEXT_HIGH = 5.0, 15.0
 TEMPORAL_LIMIT = 5.0
@@ -52,7 +52,7 @@ def classify_columns(profile: DataFrame, overrides: dict[str, str] | None = None
         .when(name.rlike(PII_NAME) & ~numeric, F.lit("PII"))
         .when(name.rlike(MONEY_NAME) & numeric, F.lit("MONETARY"))
         .when(numeric, F.lit("NUMERIC"))
-        .when((F.col("distinct_count") > FREE_TEXT_VALUES) & (share > FREE_TEXT_SHARE), F.lit("TEXT"))
+        .when(share > FREE_TEXT_SHARE, F.lit("TEXT"))
         .otherwise(F.lit("CATEGORY"))
     )
     given = F.lit(None).cast("string")
@@ -252,27 +252,28 @@ def recommendations(plan: DataFrame) -> DataFrame:
     return plan.select("action", "column_name", "rule")
 
 
-def learn_spellings(df: DataFrame, plan: DataFrame) -> dict[str, dict[str, str]]:
+def learn_spellings(df: DataFrame, plan: DataFrame) -> dict[str, DataFrame]:
     """Spelling to the most frequent spelling of its cluster, for each column to standardise.
 
-    Such columns are categories: they have few values, or they would be free text.
+    The dictionaries stay tables, for ``plan_to_rules`` and ``clean`` alike: a category may have
+    many millions of values in a table that is large enough.
     """
     columns = [r["column_name"] for r in plan.filter("action = 'STANDARDIZE'").select("column_name").distinct().collect()]
-    return {c: {r[0]: r[1] for r in variant_map(df, c).collect()} for c in sorted(columns)}
+    return {c: variant_map(df, c) for c in sorted(columns)}
 
 
 def plan_to_rules(
     plan: DataFrame,
     as_of: str | None = None,
     keys: list[str] = (),
-    spellings: dict[str, dict[str, str]] | None = None,
+    spellings: dict[str, DataFrame] | None = None,
 ) -> tuple[list[Rule], list[str]]:
     """Rules for the engine, and the columns to drop.  The plan has a few rows per column.
 
     That a column looks like a key is a guess: rows are deleted for a missing or repeated
     key only where ``keys`` names the column; for the others the plan stays advice.
-    ``spellings`` are the learned ones of ``learn_spellings``; without them categories are
-    trimmed and upper-cased.  A FLAG_JOURNAL rule reads the mark ``_off_<column>`` of a
+    ``spellings`` are the learned ones of ``learn_spellings``, which ``clean`` has to be given
+    too; without them categories are trimmed and upper-cased.  A FLAG_JOURNAL rule reads the mark ``_off_<column>`` of a
     ``Balance`` given to the engine.
     """
     rules: list[Rule] = []
@@ -323,8 +324,8 @@ def plan_to_rules(
                 "STANDARDIZE_PHONE": lambda: Rule(name, "text", action, c, fn="phone"),
                 "TRIM_WHITESPACE": lambda: Rule(name, "text", action, c, fn="trim"),
                 "STANDARDIZE": lambda: (
-                    Rule(name, "text", action, c, fn="map", args={"mapping": spellings[c]})
-                    if spellings and spellings.get(c)
+                    Rule(name, "text", action, c, value=f"coalesce(`{SPELLED.format(c)}`, {q})")
+                    if spellings and c in spellings
                     else Rule(name, "text", action, c, fn="synonyms", args={"synonyms": {}})
                 ),
                 "DELETE_ROWS": lambda: Rule(name, "impossible", action, c, when=detail["when"]),

@@ -27,6 +27,8 @@ from burnish.plans.rules import (
 )
 from burnish.session import materialise
 
+SPELLED = "_spelled_{}"  # column with the canonical form of another's value, while text rules run
+
 AUDIT_SCHEMA = (
     "position int, action string, column_name string, rule string, "
     "rows_matched bigint, rows_deleted bigint, cells_modified bigint"
@@ -207,6 +209,7 @@ def clean(
     mode: str = "clean",
     stats: dict | None = None,
     slim_copy: bool = True,
+    spellings: dict[str, DataFrame] | None = None,
 ) -> Cleaned:
     """Apply rules in stage order.
 
@@ -217,6 +220,9 @@ def clean(
     Statistics, own-table masters and group sums read few columns, but each needs the
     surviving rows.  Those columns are deduplicated and stored once (``slim_copy``),
     so the wide rows are shuffled only for the result itself.
+
+    ``spellings`` holds a dictionary per column, (column, canonical); it is joined before the
+    text rules, which find a value's canonical form (NULL if it has none) in ``SPELLED``.
     """
     flag_only = mode == "flag_only"
     steps, survivors = ([], df) if flag_only else surviving_rows(df, rules, order_by)
@@ -231,6 +237,12 @@ def clean(
     def staged(frame: DataFrame, group: list[Rule]) -> DataFrame:
         return frame.withColumns(_projection(frame, group, stats, positions, flag_only))
 
+    def spelled(frame: DataFrame) -> DataFrame:
+        for c, lookup in (spellings or {}).items():
+            if c in frame.columns:
+                frame = attach(frame, lookup.select(c, F.col("canonical").alias(SPELLED.format(c))), [c])
+        return frame
+
     frame, narrow = survivors, slim
     positions = {id(r): i for i, r in enumerate(rules)}
     for stage, group in build_stages(rules):
@@ -241,13 +253,16 @@ def clean(
                 master = slim if ref.master == "self" else (masters or {})[ref.master]
                 frame = mark_orphans(frame, ref, master)
             frame = mark_imbalances(frame, list(balances), narrow)
-        elif slim is not survivors:
+        if stage == "text":
+            frame = spelled(frame)
+            narrow = spelled(narrow) if slim is not survivors else frame
+        if stage != "reference" and slim is not survivors:
             own = [r for r in group if r.changes_value and _readable(r, df.columns, narrow.columns)]
             narrow = staged(narrow, own) if own else narrow
         frame = staged(frame, group)
         if slim is survivors:
             narrow = frame
-    marks = [r.mark for r in references] + [b.mark for b in balances]
+    marks = [r.mark for r in references] + [b.mark for b in balances] + [SPELLED.format(c) for c in spellings or {}]
     marked = frame.drop(*marks)
     markers = [c for c in marked.columns if c.startswith(("_hit_", "_set_"))]
     return Cleaned(marked.drop(*markers), df, steps, survivors, marked, rules, stats, order_by)

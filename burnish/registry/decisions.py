@@ -75,7 +75,7 @@ def _measures(view: str, source: str, as_of: str) -> str:
             if numeric
             else "0"
         )
-        kind = f"'{cls}'" if cls else f"CASE WHEN count(DISTINCT {c}) > 100 AND count(DISTINCT {c}) > 2e-1 * count({c}) THEN 'TEXT' ELSE 'CATEGORY' END"
+        kind = f"'{cls}'" if cls else f"CASE WHEN count(DISTINCT {c}) > 2e-1 * count({c}) THEN 'TEXT' ELSE 'CATEGORY' END"
         parts.append(
             f"SELECT '{c}' AS column_name, {kind} AS cls, count(*) - count({c}) AS nulls, "
             f"round((count(*) - count({c})) * 100 / count(*), 2) AS pct, count({c}) - count(DISTINCT {c}) AS copies, "
@@ -183,6 +183,37 @@ for _view, _as_of in (("telemetry", AS_OF_EVENTS), ("workforce", AS_OF), ("catal
         return T.decide(T.measure(df, as_of), broken=broken).drop("predictor", "detail")
 
 
+# Text columns of tables from five rows to many: a table's size does not decide on the class.
+TEXT_COLUMNS = {
+    "region": {"r_name": None}, "nation": {"n_name": None}, "supplier": {"s_name": "PII"},
+    "customer": {"c_name": "PII", "c_mktsegment": None}, "part": {"p_name": None, "p_brand": None, "p_type": None},
+}
+
+
+@query(
+    "f1_classes_small",
+    union(
+        [
+            f"SELECT '{t}' AS table_name, '{c}' AS column_name, "
+            + (f"max('{k}')" if k else f"CASE WHEN count(DISTINCT {c}) > 2e-1 * count({c}) THEN 'TEXT' ELSE 'CATEGORY' END")
+            + f" AS column_class FROM {t}"
+            for t, columns in TEXT_COLUMNS.items()
+            for c, k in columns.items()
+        ]
+    ),
+)
+def _classes_small(spark, sf_dir):
+    from functools import reduce
+
+    from burnish.operators.profile import profile_columns
+
+    def classes(name, columns):
+        profile = profile_columns(table(spark, sf_dir, name).select(*columns))
+        return T.classify_columns(profile).select(F.lit(name).alias("table_name"), "column_name", "column_class")
+
+    return reduce(lambda a, b: a.unionByName(b), [classes(t, list(c)) for t, c in TEXT_COLUMNS.items()])
+
+
 define(
     "decided_live",
     f"SELECT * FROM orders_first WHERE NOT coalesce(onboarding_date > TIMESTAMP '{AS_OF}', false)",
@@ -205,8 +236,9 @@ def _decided_clean(spark, sf_dir):
     """The tree's own rules on the table they were decided for: order_id named as its key, spellings learned."""
     df = raw(spark, sf_dir, "orders")
     plan = T.decide(T.measure(df, AS_OF))
-    rules, dropped = T.plan_to_rules(plan, AS_OF, ["order_id"], T.learn_spellings(df, plan))
-    frame = clean(df.drop(*dropped), rules, ["row_seq"]).frame
+    spellings = T.learn_spellings(df, plan)
+    rules, dropped = T.plan_to_rules(plan, AS_OF, ["order_id"], spellings)
+    frame = clean(df.drop(*dropped), rules, ["row_seq"], spellings=spellings).frame
     return frame.select(
         "row_seq", "order_id", "order_amount", "nps_score", "health_score", "status", "industry", "industry_flag", "customer_name", "email"
     )

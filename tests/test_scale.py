@@ -12,8 +12,11 @@ from burnish.operators import actions, inject
 from burnish.operators.actions import flag_group, impute_group_median
 from burnish.operators.compare import cell_diff
 from burnish.operators.dedupe import dedupe_first, dedupe_latest, duplicate_rows, key_multiplicity
-from burnish.operators.profile import modes
+from burnish.operators.profile import modes, profile_columns
+from burnish.plans.decide import classify_columns, learn_spellings, plan_to_rules
+from burnish.plans.engine import clean
 from burnish.plans.rules import literal
+from burnish.session import materialise
 
 
 @pytest.fixture(scope="module")
@@ -217,3 +220,49 @@ def test_flag_group_hot_group(spark, monkeypatch):
     out = flag_group(df, "je", "d", "c", "OFF")
     got = {(r["je"], r["je_flag"]): r["count"] for r in out.groupBy("je", "je_flag").count().collect()}
     assert got == {(1, "OFF"): 501, (2, None): 300, (3, "OFF"): 1, (None, None): 1}
+
+
+def _largest_block(df, column, key):
+    placed, alone = inject._blocks(df, column, key)
+    return max(r["count"] for r in placed.groupBy("_block").count().collect()), 0 if alone is None else alone.count()
+
+
+def test_key_blocks_follow_rows(spark):
+    base = spark.range(6_000).selectExpr("id AS k", "id AS v")
+    far = base.union(spark.createDataFrame([(10**15, -1)], "k long, v long"))
+    hot = base.union(spark.range(5_000).selectExpr("77 AS k", "id + 100000 AS v"))
+    copies = base.union(spark.range(5_000).selectExpr("77 AS k", "77 AS v"))
+    bent = base.selectExpr("IF(k % 3 = 0, NULL, CAST(exp(k / 180) AS BIGINT)) AS k", "v")
+    for df, lonely in ((far, 0), (hot, 0), (copies, 5_001), (bent, 0)):
+        most, alone = _largest_block(df, "v", "k")
+        assert most <= 2 * inject.BLOCK and alone == lonely
+        out = inject.inject_dup_keys(df, "v", "k", 10)
+        assert out.count() == df.count()
+        lost = df.select("v").distinct().count() - out.select("v").distinct().count()
+        spread = df.select("v").distinct().count()
+        assert abs(lost - spread / 10) <= 60
+
+
+def test_spellings_are_joined(spark):
+    """100,000 spellings reach the rows by a join; none is written into the plan."""
+    rows = spark.range(200_000).selectExpr("id", "concat('Town ', CAST(id % 50000 AS STRING)) AS city")
+    odd = rows.selectExpr("id + 200000 AS id", "upper(city) AS city").filter("id % 4 = 0")
+    df = rows.unionByName(odd).withColumn("city", F.when(F.col("id") % 1000 != 7, F.col("city")))
+    df = materialise(df, "towns")
+    plan = spark.createDataFrame([("city", "CATEGORY", 0.1, None, "STANDARDIZE", "CATEGORY_CONSISTENCY", None)], "column_name string, column_class string, null_pct double, predictor string, action string, rule string, detail string")
+    spellings = learn_spellings(df, plan)
+    rules, _ = plan_to_rules(plan, spellings=spellings)
+    done = clean(df, rules, ["id"], spellings=spellings)
+    text = done.frame._jdf.queryExecution().optimizedPlan().toString()
+    assert "TOWN" not in text.upper() and len(text) < 20_000
+    assert done.frame.columns == ["id", "city"]
+    got = done.frame.selectExpr("count(*) n", "count(city) m", "count(DISTINCT city) d", "count_if(city LIKE 'TOWN%') u").first()
+    assert (got.n, got.m, got.d, got.u) == (df.count(), df.filter("city IS NOT NULL").count(), 49_950, 0)
+    assert done.audit().first()["cells_modified"] == df.filter("city LIKE 'TOWN%'").count()
+
+
+@pytest.mark.parametrize("rows", [5, 80, 5_000])
+def test_classes_do_not_follow_size(spark, rows):
+    df = spark.range(rows).selectExpr("concat('note ', CAST(id AS STRING)) AS note", "'x' AS status")
+    got = {r["column_name"]: r["column_class"] for r in classify_columns(profile_columns(df)).collect()}
+    assert got == {"note": "TEXT", "status": "CATEGORY"}
