@@ -163,16 +163,25 @@ def measure(
         out = out.withColumn("outlier_pct", empty)
     plain = [c for c in numbers if names[c]["column_class"] == "NUMERIC"]
     targets = [c for c in plain if NUMERIC_LOW <= names[c]["null_pct"] <= NUMERIC_HIGH]
-    pairs = [(t, c) for t in targets for c in plain if c != t]
-    if pairs:
-        found = correlations(df, pairs).filter(F.abs("r") > CORRELATION_LIMIT)
-        best = found.groupBy(F.col("column_a").alias("column_name")).agg(
-            F.max_by("column_b", F.struct(F.abs("r"), F.col("column_b"))).alias("predictor")
-        )
-        return out.join(F.broadcast(best), "column_name", "left")
+    if targets and len(plain) > 1:
+        return out.join(F.broadcast(predictors(df, targets, plain)), "column_name", "left")
     return out.withColumn("predictor", F.lit(None).cast("string"))
 
 
+def wants_predictor() -> Column:
+    """Numbers of the middle band; which of them are filled from another column the tree decides."""
+    return (F.col("column_class") == "NUMERIC") & F.coalesce(F.col("null_pct").between(NUMERIC_LOW, NUMERIC_HIGH), F.lit(False))
+
+
+def predictors(df: DataFrame, targets: list[str], among: list[str]) -> DataFrame:
+    """(column_name, predictor) of the targets that correlate strongly enough with another column."""
+    pairs = [(t, c) for t in targets for c in among if c != t]
+    found = correlations(df, pairs).filter(F.abs("r") > CORRELATION_LIMIT)
+    return found.groupBy(F.col("column_a").alias("column_name")).agg(
+        F.max_by("column_b", F.struct(F.abs("r"), F.col("column_b"))).alias("predictor")
+    )
+
+
 def _act(condition: Column, action: str, rule: str) -> Column:
     return F.when(holds(condition), F.struct(F.lit(action).alias("action"), F.lit(rule).alias("rule")))
 

@@ -317,3 +317,56 @@ def _drift(spark, sf_dir):
         F.when(F.col("column_name") == "c_acctbal", F.lit("bigint")).otherwise(F.col("data_type")).alias("data_type"),
     )
     return T.schema_drift(customer, stored)
+
+
+# What a catalog knew: no refunds, no index, an old column more, and amounts kept as text.
+_KNOWN = "SELECT * EXCLUDE (refund_code, usage_index, total_amount), CAST(total_amount AS VARCHAR) AS total_amount, CAST(row_seq % 7 AS DOUBLE) AS legacy_score FROM extended_orders"
+define("known_orders", _KNOWN, "extended_orders")
+_CHANGES = {"refund_code": "ADDED", "usage_index": "ADDED", "total_amount": "RETYPED", "legacy_score": "REMOVED"}
+
+
+def _reclassified(spark, sf_dir):
+    """Catalog of the orders as they were stored, read back and brought up to the columns of today."""
+    from burnish.plans import catalog as K
+    from burnish.session import shared_path
+
+    now = extended(spark, sf_dir)
+    known = now.drop("refund_code", "usage_index").withColumn("total_amount", F.col("total_amount").cast("string"))
+    known = known.withColumn("legacy_score", (F.col("row_seq") % 7).cast("double"))
+    path = shared_path(spark, "catalog")
+    K.save_version(T.measure(known, AS_OF), path, 1)
+    return K.reclassify(now, K.load_version(spark, path), AS_OF)
+
+
+@query("f6_reclassify_plan", _DECIDE)
+def _reclassify_plan(spark, sf_dir):
+    """The plan after a change of schema equals the plan of a whole run."""
+    return _reclassified(spark, sf_dir)[0].drop("predictor", "detail")
+
+
+VIEW_CLASSES["known"] = {**{c: k for c, k in VIEW_CLASSES["orders"].items() if c not in ("refund_code", "usage_index")}, "total_amount": None, "legacy_score": "NUMERIC"}
+
+
+def _acts(plan_sql: str, measures: str, prefix: str) -> str:
+    return (
+        f"SELECT column_name, any_value(cls) AS {prefix}_class, "
+        f"nullif(coalesce(string_agg(DISTINCT action, ',' ORDER BY action), ''), '') AS {prefix}_actions "
+        f"FROM ({measures}) LEFT JOIN (SELECT column_name, action FROM ({plan_sql})) USING (column_name) GROUP BY column_name"
+    )
+
+
+_OLD = _acts(decided_sql("known", "known_orders", AS_OF, False), _measures("known", "known_orders", AS_OF), "old")
+_NEW = _acts(_DECIDE, _measures("orders", "extended_orders", AS_OF), "new")
+
+
+@query(
+    "f6_reclassify_changes",
+    ctes("known_orders")
+    + ", change AS ("
+    + union([f"SELECT '{c}' AS column_name, '{k}' AS change" for c, k in _CHANGES.items()])
+    + f") SELECT column_name, change, old_class, new_class, old_actions, new_actions FROM ({_OLD}) FULL JOIN ({_NEW}) USING (column_name) "
+    "LEFT JOIN change USING (column_name) WHERE change IS NOT NULL OR old_class IS DISTINCT FROM new_class OR old_actions IS DISTINCT FROM new_actions",
+)
+def _reclassify_changes(spark, sf_dir):
+    """Columns whose type, class or actions are no longer those of the catalog."""
+    return _reclassified(spark, sf_dir)[1]
