@@ -38,6 +38,8 @@ from burnish.registry.base import (
 )
 from burnish.registry.detection import issues_sql
 from burnish.registry.profiles import COLUMNS, union
+from burnish.session import materialise
+from burnish.sources import load as L
 from burnish.sources.typing import cast_or_reject
 
 # (rule, action, column, rows matched, cells modified) over the surviving rows.
@@ -435,6 +437,48 @@ def _report(spark, sf_dir):
     return row.drop("profiled_at", "created_at", "full_profile_json")
 
 
+def _stored_report(spark, sf_dir):
+    """The report row of the orders, stored with its document as VARIANT and read back."""
+    return materialise(L.as_variant(prepare(raw(spark, sf_dir, "orders"), domain("orders")).report(AS_OF)), "report")
+
+
+@query(
+    "h10_report_paths",
+    ctes("scores_orders", "audit_orders")
+    + f"SELECT 'orders' AS table_name, {_scored('raw', 'total_rows')} AS total_rows, 'row_seq' AS last_column, CAST(NULL AS VARCHAR) AS nowhere",
+)
+def _report_paths(spark, sf_dir):
+    """Single values of the nested document by path; the last of the sorted column profiles by its place."""
+    paths = {
+        "total_rows": ("$.profile_metadata.total_rows", "bigint"),
+        "last_column": (f"$.column_profiles[{sorted(COLUMNS['orders']).index('row_seq')}].column_name", "string"),
+        "nowhere": ("$.profile_metadata.nowhere", "string"),
+    }
+    return _stored_report(spark, sf_dir).select("table_name", *L.document_values(paths))
+
+
+@query(
+    "h10_report_scores",
+    ctes("scores_orders")
+    + f"SELECT 'orders' AS table_name, 'overall' AS dimension, {_scored('raw', 'overall')} AS before_score, {_scored('cleaned', 'overall')} AS after_score",
+)
+def _report_scores(spark, sf_dir):
+    """Overall scores before and after out of the stored document."""
+    fields = {"dimension": ("$.dimension", "string"), "before_score": ("$.before_score", "double"), "after_score": ("$.after_score", "double")}
+    return L.document_rows(_stored_report(spark, sf_dir), "$.pre_post_comparison", fields).filter("dimension = 'overall'")
+
+
+@query(
+    "h10_report_columns",
+    ctes("dirty_orders")
+    + union([f"SELECT 'orders' AS table_name, '{c}' AS column_name, count(*) - count({c}) AS null_count, count(DISTINCT {c}) AS distinct_count FROM dirty_orders" for c in COLUMNS["orders"]]),
+)
+def _report_columns(spark, sf_dir):
+    """The column profiles of the stored document, one row each."""
+    fields = {"column_name": ("$.column_name", "string"), "null_count": ("$.null_count", "bigint"), "distinct_count": ("$.distinct_count", "bigint")}
+    return L.document_rows(_stored_report(spark, sf_dir), "$.column_profiles", fields)
+
+
 @query(
     "h11_reconcile_load",
     ctes("dirty_orders", "dirty_workforce")

@@ -6,7 +6,7 @@ import time
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from burnish.operators.compare import reconcile_load
@@ -168,6 +168,28 @@ def report_row(document: DataFrame, scores: DataFrame, totals: DataFrame, issues
     )
 
 
+def as_variant(report: DataFrame) -> DataFrame:
+    """Report rows with the nested document as a VARIANT, so that stored reports answer queries by path.
+
+    A document that is null or no JSON becomes null; the other columns stay.
+    """
+    return report.withColumn("full_profile_json", F.try_parse_json("full_profile_json"))
+
+
+def document_values(values: dict[str, tuple[str, str]]) -> list[Column]:
+    """One column per name from (path, type); a path that is not there, or holds another type, is null."""
+    return [F.try_variant_get("full_profile_json", path, kind).alias(n) for n, (path, kind) in values.items()]
+
+
+def document_rows(reports: DataFrame, path: str, values: dict[str, tuple[str, str]], keep: tuple[str, ...] = ("table_name",)) -> DataFrame:
+    """One row per entry of the list at ``path`` of every report, with the values of the entry's own paths.
+
+    Reports without that list, or with an empty one, have no rows.
+    """
+    entries = reports.select(*keep, F.explode(F.try_variant_get("full_profile_json", path, "array<variant>")).alias("_entry"))
+    return entries.select(*keep, *[F.try_variant_get("_entry", at, kind).alias(n) for n, (at, kind) in values.items()])
+
+
 def append_report(
     report: DataFrame, namespace: str = "profiles", name: str = "quality_reports", path: str | None = None
 ) -> None:

@@ -142,3 +142,18 @@ def test_languages(spark):
 def test_binary_that_is_not_utf8(spark):
     df = spark.sql("SELECT X'C328' AS b UNION ALL SELECT X'6869'")
     assert df.filter(invalid_utf8(F.col("b"))).count() == 1
+
+
+def test_stored_reports_answer_by_path(spark):
+    from burnish.session import materialise
+    from burnish.sources import load as L
+
+    texts = ['{"a": {"n": 3}, "rows": [{"c": "x", "v": 1}, {"c": "y"}]}', '{"a": {"n": "three"}, "rows": []}', "no json", None]
+    report = spark.createDataFrame(list(enumerate(texts)), "table_name int, full_profile_json string")
+    stored = materialise(L.as_variant(report), "report")
+    assert stored.schema["full_profile_json"].dataType.simpleString() == "variant"
+    values = {"n": ("$.a.n", "bigint"), "none": ("$.a.x.y", "string")}
+    found = stored.select("table_name", *L.document_values(values)).orderBy("table_name").collect()
+    assert [(r.n, r.none) for r in found] == [(3, None), (None, None), (None, None), (None, None)]
+    rows = L.document_rows(stored, "$.rows", {"c": ("$.c", "string"), "v": ("$.v", "bigint")}).collect()
+    assert sorted((r.table_name, r.c, r.v) for r in rows) == [(0, "x", 1), (0, "y", None)]
