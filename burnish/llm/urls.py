@@ -4,10 +4,11 @@ Hosts are nodes.  Edges are the hyperlinks of the pages (counted per pair of hos
 steps between a host and its parent domain, both ways.  Two personalised PageRanks run over
 them: trust starts at hosts with pages that a rule allows and follows the edges; distrust
 starts at hosts with pages that a rule blocks and follows them backwards.  Beside each runs the rank that a host would have if the seeds were spread over
-the hosts like their pages; the quotient is the host's lift.  A host is blocked when its
+the hosts like their pages; the quotient is the host's lift.  Both run until they settle, so distrust
+travels along chains of links of any length.  A host is blocked when its
 distrust has a lift above ``THRESHOLD`` and above that of its trust; otherwise it is allowed.
 
-Edges are pre-aggregated map-side, both ranks run in one loop, and every second round is
+Edges are pre-aggregated map-side, both ranks run in one loop, and every fourth round is
 written to the shared folder.  Mass at nodes without edges is dropped, not handed back.
 
 Defined cases: a null url, or one without ``://``, has empty host and path, fits no rule and
@@ -28,7 +29,8 @@ from burnish.session import materialise
 RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/"))
 MOST_RULES = 500  # rules become one expression; longer lists need a join
 DAMPING = 0.85
-ROUNDS = 10
+SETTLED = 1e-3  # no rank grows by more than this share of itself any more
+STRIDE = 4  # rounds between two writes
 THRESHOLD = 1.5
 LINK = r"""(?i)\bhref\s*=\s*["']?\s*(?:[a-z][a-z0-9+.-]*:)?//([^/?#"'\s<>]+)"""
 
@@ -81,25 +83,35 @@ def host_edges(pages: DataFrame) -> DataFrame:
     return links.unionByName(up).unionByName(down).groupBy("src", "dst").agg(F.sum("weight").alias("weight"))
 
 
-def propagate(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, rounds: int = ROUNDS) -> DataFrame:
+def propagate(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, rounds: int | None = None, settled: float = SETTLED) -> DataFrame:
     """edges (src, dst, weight), seeds (kind, host, mass, even) -> (kind, host, rank, even).
 
     ``kind`` is ``trust``, which follows the edges, or ``distrust``, which follows them backwards.
+    A round passes on what arrived in the one before, and adds it up.  Rounds end when no rank of
+    any host grows by more than ``settled`` of itself, which each round brings nearer by the damping;
+    ``rounds`` asks for that many instead.
     """
     both = edges.select(F.lit("trust").alias("kind"), "src", "dst", "weight").unionByName(
         edges.select(F.lit("distrust").alias("kind"), F.col("dst").alias("src"), F.col("src").alias("dst"), "weight")
     )
     out = both.groupBy("kind", "src").agg(F.sum("weight").alias("all"))
     steps = materialise(both.join(out, ["kind", "src"]).select("kind", "src", "dst", (F.col("weight") / F.col("all")).alias("p")), "steps")
-    start = materialise(seeds.select("kind", "host", (F.col("mass") * (1 - damping)).alias("rank"), (F.col("even") * (1 - damping)).alias("even")), "seeds")
-    ranks = start
-    for turn in range(rounds):
-        moved = ranks.select("kind", F.col("host").alias("src"), "rank", "even").join(steps, ["kind", "src"])
-        moved = moved.select("kind", F.col("dst").alias("host"), *[(F.col(c) * F.col("p") * damping).alias(c) for c in ("rank", "even")])
-        ranks = moved.unionByName(start).groupBy("kind", "host").agg(F.sum("rank").alias("rank"), F.sum("even").alias("even"))
-        if turn % 2 or turn == rounds - 1:
-            ranks = materialise(ranks, "ranks")
-    return ranks
+    names = ("rank", "even")
+    start = seeds.select("kind", "host", (F.col("mass") * (1 - damping)).alias("rank"), (F.col("even") * (1 - damping)).alias("even"))
+    ranks = materialise(start.select("*", *[F.col(c).alias(f"new_{c}") for c in names]), "seeds")
+    grows = F.greatest(*[F.coalesce(F.max(F.try_divide(f"new_{c}", c)), F.lit(0.0)) for c in names])
+    turn, growth = 0, 1.0
+    while turn < rounds if rounds is not None else growth > settled:
+        for _ in range(STRIDE if rounds is None else min(STRIDE, rounds - turn)):
+            moved = ranks.select("kind", F.col("host").alias("src"), *[f"new_{c}" for c in names]).join(steps, ["kind", "src"])
+            moved = moved.select("kind", F.col("dst").alias("host"), *[(F.col(f"new_{c}") * F.col("p") * damping).alias(c) for c in names])
+            moved = moved.select("*", *[F.col(c).alias(f"new_{c}") for c in names])
+            older = ranks.select("kind", "host", *names, *[F.lit(0.0).alias(f"new_{c}") for c in names])
+            ranks = moved.unionByName(older).groupBy("kind", "host").agg(*[F.sum(c).alias(c) for c in (*names, *[f"new_{c}" for c in names])])
+            turn += 1
+        ranks = materialise(ranks, "ranks")
+        growth = ranks.agg(grows).first()[0] if rounds is None else growth
+    return ranks.select("kind", "host", *names)
 
 
 def judge(pages: DataFrame, rules=RULES) -> DataFrame:
