@@ -33,6 +33,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pandas as pd
@@ -55,7 +56,8 @@ STOP_WORDS = frozenset(
     "au aux avec ce ces cette comme dans de des du elle en est et il ils je la le les leur lui mais ne nous ou où par pas pour plus qu que qui sa se ses son sont sur un une vous "
     "al como con de del donde el ella en entre era es esta este fue ha hay la las le lo los más me mi muy no nos o para pero por porque que se ser si sin sobre son su sus también un una y ya".split()
 )
-_DROPPED = frozenset("head nav header footer aside form button select option menu dialog fieldset label input noscript template svg math canvas object iframe audio video map datalist".split())
+_DROPPED = frozenset("head nav header footer aside form button select option menu dialog fieldset label input noscript template svg canvas object iframe audio video map datalist annotation annotation-xml".split())
+_AROUND = frozenset("header aside form fieldset".split())  # an article or main in them is none of theirs
 _RAW = frozenset("script style textarea xmp noembed noframes title".split())
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _BLOCK = frozenset("address article blockquote body center dd details div dl dt figcaption figure h1 h2 h3 h4 h5 h6 hr html li main ol p pre section summary table tbody td tfoot th thead tr ul caption hgroup".split())
@@ -65,7 +67,9 @@ _HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 _JUNK = frozenset("ad ads advert adverts advertisement advertising adbox banner breadcrumb breadcrumbs comment comments consent cookie cookies disqus footer gdpr header masthead menu modal nav navbar navigation newsletter notice notices popup promo promoted related replies respond share sharing sidebar social sponsor sponsored subscribe toolbar widget".split())
 _LAYOUT = frozenset("has hide no non not with without".split())
 _OPTIONAL = frozenset("p li td th tr dd dt tbody thead tfoot".split())  # may end without an end tag
-_TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)|</[^>]*(?:>|\Z)""", re.S)
+_TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']++|"[^"]*"|'[^']*')*+)(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*+)([^>]*)(?:>|\Z)|</[^>]*(?:>|\Z)""", re.S)
+# The same with quotes that count for nothing: before a quote that nothing ends.
+_LOOSE = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|()()()<(/?)([a-zA-Z][^\s/>]*+)([^>]*)(?:>|\Z)|</[^>]*(?:>|\Z)""", re.S)
 _ATTRIBUTE = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 _PUNCTUATION = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum())
 
@@ -136,13 +140,19 @@ def _without_named(found: list[_Block], named: list[_Named]) -> list[_Block]:
     return kept if not long or any(b.long() for b in kept) else found
 
 
-def blocks(page: str) -> list[_Block]:
-    """Blocks of a page that markup does not rule out, in page order."""
+def blocks(page: str, forms: bool = False) -> list[_Block]:
+    """Blocks of a page that markup does not rule out, in page order.
+
+    With ``forms`` the text of forms counts like any other, but for their labels and fields.
+    """
+    left_out = _DROPPED - {"form"} if forms else _DROPPED
     found: list[_Block] = []
     named: list[_Named] = []
     parts: list[str] = []
-    stack: list[tuple[str, bool, int | None]] = []  # open elements; whether each is left out; the named container to go back to
-    state = {"dropped": 0, "article": 0, "link": 0, "linked": 0, "heading": 0, "named": -1}
+    # Open elements; whether each is left out; the named container, and the depths of what is left out, to go back to.
+    stack: list[tuple[str, bool, int | None, tuple[int, int] | None]] = []
+    opened: Counter[str] = Counter()
+    state = {"dropped": 0, "around": 0, "article": 0, "link": 0, "linked": 0, "heading": 0, "named": -1}
 
     def end_block() -> None:
         text = " ".join("".join(parts).split())
@@ -161,7 +171,8 @@ def blocks(page: str) -> list[_Block]:
 
     def close(down_to: int, by_end_tag: bool = False) -> None:
         for at in range(len(stack) - 1, down_to - 1, -1):
-            name, dropped, around = stack[at]
+            name, dropped, around, lifted = stack[at]
+            opened[name] -= 1
             if name in _BLOCK or dropped or around is not None:
                 end_block()
             if around is not None:
@@ -169,18 +180,23 @@ def blocks(page: str) -> list[_Block]:
                     named[state["named"]].unclosed = True
                 state["named"] = around
             count(name, -1)
-            state["dropped"] -= dropped
+            state["around" if name in _AROUND else "dropped"] -= dropped
+            if lifted:
+                end_block()
+                state["around"] = lifted
         del stack[down_to:]
 
     def say(raw: str) -> None:
-        if raw and not state["dropped"]:
+        if raw and not (state["dropped"] or state["around"]):
             text = html.unescape(raw) if "&" in raw else raw
             parts.append(text)
             if state["link"]:
                 state["linked"] += len(text)
 
-    at = 0
-    while (m := _TOKEN.search(page, at)) is not None:
+    at, loose_to = 0, -1
+    while (m := (_LOOSE if at <= loose_to else _TOKEN).search(page, at)) is not None:
+        if m[5] and loose_to < 0:  # a quote up to the end of the page failed this tag, and would fail those before it
+            loose_to = max(page.rfind('"'), page.rfind("'"))
         say(page[at : m.start()])
         at = m.end()
         closing, name, attributes = (m[1], m[2], m[3]) if m[2] else (m[4], m[5], m[6])
@@ -188,13 +204,10 @@ def blocks(page: str) -> list[_Block]:
             continue
         name = name.lower()
         if closing:
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] == name:
-                    close(i, True)
-                    break
-            else:
-                if name == "p":
-                    end_block()
+            if opened[name]:
+                close(next(i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == name), True)
+            elif name == "p":
+                end_block()
             continue
         if name == "br":
             say(" ")
@@ -208,23 +221,26 @@ def blocks(page: str) -> list[_Block]:
             at = end.end() if end else len(page)
             continue
         if name in _CLOSES_P:
-            _close_open(stack, close, "p", ("div", "article", "section", "body", "td", "li", "blockquote", "main"))
+            _close_open(stack, opened, close, "p", ("div", "article", "section", "body", "td", "li", "blockquote", "main"))
         if name == "li":
-            _close_open(stack, close, "li", ("ul", "ol"))
+            _close_open(stack, opened, close, "li", ("ul", "ol"))
         if name in ("td", "th", "tr"):
-            _close_open(stack, close, name, ("table",))
+            _close_open(stack, opened, close, name, ("table",))
         if name in ("dd", "dt"):
-            _close_open(stack, close, "dd", ("dl",))
-            _close_open(stack, close, "dt", ("dl",))
+            _close_open(stack, opened, close, "dd", ("dl",))
+            _close_open(stack, opened, close, "dt", ("dl",))
         if name == "body":
-            _close_open(stack, close, "head", ())
+            _close_open(stack, opened, close, "head", ())
         if attributes.endswith("/") and name in ("path", "rect", "circle", "use"):
             continue
         junk = "=" in attributes and name not in ("html", "body") and _is_junk(attributes)
-        dropped, around = name in _DROPPED, None
+        dropped, around, lifted = name in left_out and not (name == "label" and state["article"]), None, None
         if name in ("article", "main"):
             if not junk and state["named"] >= 0:
                 around = state["named"]  # lifts the drop of the containers around it
+            if not junk and state["around"]:
+                end_block()
+                lifted, state["around"] = state["around"], 0
         elif junk and not dropped:
             around = state["named"]
         if name in _BLOCK or dropped or around is not None:
@@ -234,8 +250,9 @@ def blocks(page: str) -> list[_Block]:
             if not lifts:
                 named.append(_Named(around, state["article"] > 0))
             state["named"] = -1 if lifts else len(named) - 1
-        stack.append((name, dropped, around))
-        state["dropped"] += dropped
+        stack.append((name, dropped, around, lifted))
+        opened[name] += 1
+        state["around" if name in _AROUND else "dropped"] += dropped
         count(name, 1)
     rest = page[at:]
     say(rest)
@@ -244,8 +261,10 @@ def blocks(page: str) -> list[_Block]:
     return _without_named(found, named)
 
 
-def _close_open(stack, close, name: str, within: tuple) -> None:
+def _close_open(stack, opened, close, name: str, within: tuple) -> None:
     """Close an open ``name`` unless one of ``within`` was opened after it."""
+    if not opened[name]:
+        return
     for i in range(len(stack) - 1, -1, -1):
         if stack[i][0] == name:
             close(i)
@@ -310,6 +329,9 @@ def _second_pass(found: list[_Block], labels: list[bool | None], any_content: bo
 def main_text(page: str | None) -> str:
     """Content blocks of a page, joined by line ends."""
     found = blocks(page or "")
+    if not found and page and "<form" in page.lower():
+        found = blocks(page, forms=True)  # a page that is one form, as some frameworks write all of theirs
+        found = found if any(b.long() for b in found) else []
     labels = _first_passes(found)
     kept = [False] * len(found)
     some_inside = any(b.inside for b in found)

@@ -1,5 +1,6 @@
 import html as entities
 import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -66,6 +67,54 @@ def test_ranks_against_plain_iteration(spark):
             assert got.get((kind, h), 0) == pytest.approx(v, abs=1e-9)
 
 
+def test_distrust_travels_along_a_long_chain(spark):
+    """Every host of a chain of 17 that ends at a blocked host gets the distrust of a plain loop."""
+    chain = [(f"h{i}", f"h{i + 1}", 1.0) for i in range(17)]
+    seeds = [("distrust", "h17", 1.0, 0.0), *[("distrust", f"h{i}", 0.0, 1 / 18) for i in range(17)]]
+    got = urls.propagate(spark.createDataFrame(chain, "src string, dst string, weight double"), spark.createDataFrame(seeds, "kind string, host string, mass double, even double"))
+    got = {r.host: r.rank for r in got.filter("kind = 'distrust'").collect()}
+    assert len(got) == 18
+    assert all(got[f"h{i}"] == pytest.approx(0.15 * 0.85 ** (17 - i), rel=1e-9) for i in range(18))
+
+
+def test_verdicts_of_hosts_without_rule(spark):
+    """Ranks of a plain loop, run until nothing moves, give the same verdicts."""
+    link = '<a href="https://{}/x">t</a>'
+    data = [(f"http://bad{i % 3}.net/", "") for i in range(9)] + [(f"http://c{i}.io/", link.format(f"c{i + 1}.io" if i < 14 else "bad0.net")) for i in range(15)]
+    data += [(f"http://fine{i}.io/", link.format(f"fine{(i + 1) % 20}.io")) for i in range(20)] + [(f"http://k{i}.org/fr/", link.format(f"fine{i}.io")) for i in range(3)]
+    data += [("http://both.io/", link.format("bad1.net") + link.format("k0.org"))]
+    pages = [(i, u, h) for i, (u, h) in enumerate(data)]
+    weights = {}
+    hosts = [by_hand(u)[0] for u, _ in data]
+    for host, (_, page) in zip(hosts, data):
+        for to in re.findall(r"//([^/]+)/x", page):
+            weights[host, to] = weights.get((host, to), 0) + 1
+    ruled = [rule_by_hand(*by_hand(u))[1] for u, _ in data]
+    ranks = {}
+    for kind, verdict in (("trust", "allow"), ("distrust", "block")):
+        flow = weights if kind == "trust" else {(d, s): w for (s, d), w in weights.items()}
+        out = {}
+        for (s, _), w in flow.items():
+            out[s] = out.get(s, 0) + w
+        for name, seeds in (("rank", [h for h, v in zip(hosts, ruled) if v == verdict]), ("even", hosts)):
+            start = {h: 0.15 * seeds.count(h) / len(seeds) for h in hosts}
+            rank = dict(start)
+            for _ in range(200):
+                new = dict(start)
+                for (s, d), w in flow.items():
+                    new[d] = new.get(d, 0) + 0.85 * rank[s] * w / out[s]
+                rank = new
+            ranks[kind, name] = rank
+    lift = {h: [ranks[k, "rank"][h] / ranks[k, "even"][h] for k in ("trust", "distrust")] for h in hosts}
+    found = urls.judge(spark.createDataFrame(pages, PAGES)).collect()
+    assert len(found) == len(pages)
+    for r in found:
+        trust, distrust = lift[r.host]
+        assert r.verdict == (ruled[r.page_id] or ("block" if distrust > max(trust, urls.THRESHOLD) else "allow"))
+        assert r.trust == pytest.approx(trust, rel=0.02, abs=1e-6) and r.distrust == pytest.approx(distrust, rel=0.02, abs=1e-6)
+    assert {r.verdict for r in found if r.rule is None} == {"allow", "block"}
+
+
 def test_empty_urls_and_clashes(spark):
     assert urls.judge(spark.createDataFrame([], PAGES)).count() == 0
     twice = spark.createDataFrame([(1, "http://a.com/", None)] * 2 + [(None, "http://a.com/", "x")], PAGES).withColumn("host", F.lit("z"))
@@ -168,3 +217,33 @@ MENU = "<div><a href=/>Home</a></div>"
 )
 def test_articles_of_any_language_and_length(page, text):
     assert html.main_text(page) == text
+
+
+LONG = "This is a long passage of the article and it has many of the words that are on the list. " * 2
+
+
+@pytest.mark.parametrize(
+    "page, want",
+    [
+        (f"<body><form><nav>menu</nav><main><article><p>{LONG}</p></article></main></form></body>", [LONG]),
+        (f"<body><form id=all><div><p>{LONG}</p></div><label>Name</label><input></form></body>", [LONG]),
+        (f"<header><h1>Site</h1><div>menu<article><p>{LONG}</p></article>", [LONG]),
+        (f"<main><p>{LONG}</p><form>subscribe <p>{LONG}</p></form><p>{LONG}</p></main>", [LONG, LONG]),
+        (f"<article><p>{LONG}<label>Note</label> <math><mi>x</mi><annotation>tex</annotation></math></p></article>", [LONG + "Note x"]),
+        (f"<aside><p>{LONG}</p></aside><article><p>Short.</p></article><footer>{LONG}</footer>", ["Short."]),
+        ("<nav>a</nav><form><label>Login</label><p>short</p><button>ok</button></form>", []),
+    ],
+)
+def test_articles_in_forms_headers_and_asides(page, want):
+    assert html.main_text(page) == "\n".join(w.strip() for w in want)
+
+
+@pytest.mark.parametrize(
+    "page",
+    ["<" + "a" * 200_000 + ' "', "<b><i>" * 2_000 + "</u>" * 60_000, '<a ">" ' * 30_000, "<a " + "'\">" * 60_000, "<span>" * 20_000 + "<dl>" * 20_000],
+    ids=["long name", "end tags", "quotes", "both quotes", "open elements"],
+)
+def test_odd_pages_take_linear_time(page):
+    started = time.perf_counter()
+    html.main_text(page)
+    assert time.perf_counter() - started < 3
