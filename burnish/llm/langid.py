@@ -39,7 +39,17 @@ LONGEST = 4
 UNKNOWN = "und"
 SPREAD = 16_000_000  # cells up to which a task spreads a model table out
 CACHE = 100_000  # words whose scores a task remembers
-_WORDS = re.compile(r"[^\W\d_]+")
+_WORDS = re.compile(r"[^\W\d_]+")  # runs of letters, and of numerals that are no digits
+
+
+def _words(text: str) -> Counter[str]:
+    """Runs of letters of a lower-case text; fractions, Roman and circled numerals are none."""
+    words = Counter(_WORDS.findall(text))
+    for odd in [w for w in words if not w.isalpha()]:
+        times = words.pop(odd)
+        for run in "".join(c if c.isalpha() else " " for c in odd).split():
+            words[run] += times
+    return words
 
 
 def _top(grams: DataFrame, most: int) -> DataFrame:
@@ -156,7 +166,7 @@ def _scorer(model: dict):
         return at
 
     def score(text: str | None) -> tuple[str, float]:
-        words = Counter(_WORDS.findall((text or "").lower()))
+        words = _words((text or "").lower())
         if not words:
             return UNKNOWN, 0.0
         total, listed = np.zeros(len(langs)), list(words)
