@@ -30,6 +30,7 @@ DIMENSIONS = 64
 SVD_ROWS = 1_500
 LABEL_ROWS = 6_000
 NEIGHBOURS = 25
+ROUNDED = 5  # digits of a similarity
 BLOCK = 1 << 20  # bytes of a text hashed at once
 
 
@@ -100,13 +101,21 @@ def fit(docs: DataFrame, labels: DataFrame, svd_rows: int = SVD_ROWS, label_rows
     }
 
 
+def _nearest(similar: np.ndarray, neighbours: int) -> np.ndarray:
+    """Positions of the most similar of each row; of equal ones the first, which have the smaller doc_id."""
+    if similar.shape[1] <= neighbours:
+        return np.broadcast_to(np.arange(similar.shape[1]), similar.shape)
+    least = -np.partition(-similar, neighbours - 1, axis=1)[:, neighbours - 1 : neighbours]
+    over, level = similar > least, similar == least
+    taken = over | (level & (level.cumsum(axis=1) <= neighbours - over.sum(axis=1, keepdims=True)))
+    return np.nonzero(taken)[1].reshape(len(similar), neighbours)
+
+
 def votes(texts, model: dict, neighbours: int = NEIGHBOURS) -> np.ndarray:
-    similar = _project(texts, model["space"]) @ model["vectors"].T
-    if similar.shape[1] > neighbours:
-        near = np.argpartition(-similar, neighbours - 1, axis=1)[:, :neighbours]
-    else:
-        near = np.broadcast_to(np.arange(similar.shape[1]), similar.shape)
-    weight = np.maximum(np.take_along_axis(similar, near, axis=1), 0).astype(np.float64)
+    # Rounded, as the last digits of a product depend on what it is computed beside.
+    similar = np.round((_project(texts, model["space"]) @ model["vectors"].T).astype(np.float64), ROUNDED)
+    near = _nearest(similar, neighbours)
+    weight = np.maximum(np.take_along_axis(similar, near, axis=1), 0)
     total = weight.sum(axis=1)
     voted = (weight * model["labels"][near]).sum(axis=1) / np.where(total > 0, total, 1)
     return np.clip(np.where(total > 1e-9, voted, model["labels"].mean()), 0, 1)
