@@ -283,7 +283,7 @@ def pieces(benchmark: DataFrame, width: int = WIDTH, piece: int = PIECE_WORDS) -
 def mark(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, text: str = "text", without: tuple = (), block_words: int = BLOCK_WORDS) -> DataFrame:
     """All rows of ``docs`` with ``n_words``, ``hit_words``, ``hit_items`` and character ``spans``."""
     spark = docs.sparkSession
-    cut = materialise(pieces(benchmark, width), "windows")
+    cut = materialise(pieces(benchmark, width).distinct(), "windows")  # copies of an item would share a block
     total = cut.agg(F.sum(F.size("words"))).first()[0] or 0
     blocks = max(1, -(-total // block_words))
     names = [c for c in docs.columns if c not in ADDED]
