@@ -95,7 +95,8 @@ def propagate(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, roun
         edges.select(F.lit("distrust").alias("kind"), F.col("dst").alias("src"), F.col("src").alias("dst"), "weight")
     )
     out = both.groupBy("kind", "src").agg(F.sum("weight").alias("all"))
-    steps = materialise(both.join(out, ["kind", "src"]).select("kind", "src", "dst", (F.col("weight") / F.col("all")).alias("p")), "steps")
+    # Never broadcast: ranks come out of a round where the next one looks for them, and many small copies fill a driver too.
+    steps = materialise(both.join(out, ["kind", "src"]).select("kind", "src", "dst", (F.col("weight") / F.col("all")).alias("p")), "steps").hint("merge")
     names = ("rank", "even")
     start = seeds.select("kind", "host", (F.col("mass") * (1 - damping)).alias("rank"), (F.col("even") * (1 - damping)).alias("even"))
     ranks = materialise(start.select("*", *[F.col(c).alias(f"new_{c}") for c in names]), "seeds")
