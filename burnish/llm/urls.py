@@ -8,7 +8,7 @@ the hosts like their pages; the quotient is the host's lift.  Both run until the
 travels along chains of links of any length.  A host is blocked when its
 distrust has a lift above ``THRESHOLD`` and above that of its trust; otherwise it is allowed.
 
-Edges are pre-aggregated map-side, both ranks run in one loop, and every fourth round is
+Edges are pre-aggregated map-side, both ranks run in one loop, and every second round is
 written to the shared folder.  Mass at nodes without edges is dropped, not handed back.
 
 Defined cases: a null url, or one without ``://``, has empty host and path, fits no rule and
@@ -30,7 +30,7 @@ RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "exa
 MOST_RULES = 500  # rules become one expression; longer lists need a join
 DAMPING = 0.85
 SETTLED = 1e-3  # no rank grows by more than this share of itself any more
-STRIDE = 4  # rounds between two writes
+STRIDE = 2  # rounds between two writes
 THRESHOLD = 1.5
 LINK = r"""(?i)\bhref\s*=\s*["']?\s*(?:[a-z][a-z0-9+.-]*:)?//([^/?#"'\s<>]+)"""
 
