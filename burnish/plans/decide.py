@@ -125,12 +125,10 @@ def measure(
     types = {f.name: f.dataType for f in df.schema.fields}
     numbers = [c for c, t in types.items() if isinstance(t, T.NumericType)]
     moments = [c for c, t in types.items() if isinstance(t, (T.TimestampNTZType, T.TimestampType, T.DateType))]
-    pieces = [
-        df.agg(
-            *[F.skewness(c).alias(f"k{i}") for i, c in enumerate(numbers)],
-            *[F.count_if(F.col(c) < 0).alias(f"g{i}") for i, c in enumerate(numbers)],
-            *[F.count_if(F.col(c) > as_of_literal(as_of)).alias(f"u{i}") for i, c in enumerate(moments)],
-        )
+    aggs = [
+        *[F.skewness(c).alias(f"k{i}") for i, c in enumerate(numbers)],
+        *[F.count_if(F.col(c) < 0).alias(f"g{i}") for i, c in enumerate(numbers)],
+        *[F.count_if(F.col(c) > as_of_literal(as_of)).alias(f"u{i}") for i, c in enumerate(moments)],
     ]
     empty = F.lit(None).cast("double")
     zero = F.lit(0).cast("bigint")
@@ -149,7 +147,7 @@ def measure(
     ]
     out = typed
     if items:
-        out = out.join(F.broadcast(pieces[0].select(F.inline(F.array(*items)))), "column_name", "left")
+        out = out.join(F.broadcast(df.agg(*aggs).select(F.inline(F.array(*items)))), "column_name", "left")
     else:
         out = out.withColumns({"skewness": empty, "negatives": zero, "futures": zero})
     # Outlier fences and predictors only where the tree asks for them.
