@@ -44,20 +44,23 @@ def _clean_stream(spark, sf_dir):
     return spark.read.parquet(f"{path}/out").select("row_seq", "order_amount", "nps_score", "order_amount_flag")
 
 
-def in_order(df: DataFrame, folder: str, file_no: str, n: int = 3) -> DataFrame:
-    """Write ``df`` as ``n`` files, one after another so that they arrive in this order; read them as a stream."""
+def in_order(df: DataFrame, folder: str, file_no: str, handler, checkpoint: str, n: int = 3, shape=lambda live: live) -> None:
+    """Let ``df`` arrive in ``n`` parts, one after another, each a batch of ``handler``.
+
+    A part is written by as many tasks as ``df`` has, and the stream takes up all its files at once
+    before the next part is written.
+    """
     for i in range(n):
-        df.filter(F.expr(file_no) == i).coalesce(1).write.mode("append").parquet(folder)
-    return K.file_stream(df.sparkSession, folder, df.schema, "*.parquet", files_per_batch=1)
+        df.filter(F.expr(file_no) == i).write.mode("append").parquet(folder)
+        K.run_batches(shape(K.file_stream(df.sparkSession, folder, df.schema, "*.parquet")), handler, checkpoint)
 
 
 def settled(spark, sf_dir: str, name: str) -> DataFrame:
-    """A domain's whole rule list over three files, a batch each, settled at the end."""
+    """A domain's whole rule list over three parts, a batch each, settled at the end."""
     path, rows = shared_path(spark, "k1b"), raw(spark, sf_dir, name)
     last = rows.agg(F.max("row_seq")).first()[0]
-    live = in_order(rows, f"{path}/in", f"row_seq * 3 div {last + 1}")
     chunks = ChunkedClean.of(f"{path}/out", domain(name), rows.columns, settles=True)
-    K.run_batches(live, chunks, f"{path}/checkpoint")
+    in_order(rows, f"{path}/in", f"row_seq * 3 div {last + 1}", chunks, f"{path}/checkpoint")
     return as_text(chunks.settle(spark, 3).frame, name)
 
 
@@ -103,9 +106,8 @@ def _dedupe_batches(spark, sf_dir):
     """Three files, a batch each, against the target table instead of state: no event time, no bound on delay."""
     path = shared_path(spark, "k2b")
     arriving = spark.sql(_ARRIVING + "{ledger}", ledger=raw(spark, sf_dir, "ledger"))
-    live = in_order(arriving, f"{path}/in", "file_no")
     handler = K.dedupe_into(f"{path}/out", ["entry"], _ENTRY_ORDER, compact_every=2)
-    K.run_batches(live, handler, f"{path}/checkpoint")
+    in_order(arriving, f"{path}/in", "file_no", handler, f"{path}/checkpoint")
     return spark.read.parquet(f"{path}/out").select("entry", "file_no", "l_partkey", "l_suppkey", "transaction_id")
 
 
@@ -146,8 +148,7 @@ def _quarantine(spark, sf_dir):
     """Three files with late, impossible and drifting rows, each row in exactly one sink."""
     path = shared_path(spark, "k3b")
     arrived = spark.sql(_DELAYED + "{events}", events=table(spark, sf_dir, "events"))
-    live = in_order(arrived, f"{path}/in", "file_no")
-    K.run_batches(live, routing.route_to_sinks(f"{path}/out", "ts", "ingested", "1 DAY", AS_OF_EVENTS), f"{path}/checkpoint")
+    in_order(arrived, f"{path}/in", "file_no", routing.route_to_sinks(f"{path}/out", "ts", "ingested", "1 DAY", AS_OF_EVENTS), f"{path}/checkpoint")
     both = [routing.sink(spark, f"{path}/out", s).withColumn("sink", F.lit(s)) for s in routing.SINKS]
     rows = both[0].unionByName(both[1])
     return rows.select("event_id", "file_no", "route", "sink", F.date_format("watermark", "yyyy-MM-dd HH:mm:ss").alias("watermark"))
@@ -195,8 +196,7 @@ def _refresh(spark, sf_dir):
 def _profile_merged(spark, sf_dir):
     """Three refreshes, each sketched as it lands: the merged profile is that of the whole table."""
     path, rows = shared_path(spark, "k5b"), raw(spark, sf_dir, "orders")
-    live = refresh.observed(in_order(rows, f"{path}/in", "row_seq % 3"), rows.columns)
-    K.run_batches(live, refresh.sketch_batches(f"{path}/out"), f"{path}/checkpoint")
+    in_order(rows, f"{path}/in", "row_seq % 3", refresh.sketch_batches(f"{path}/out"), f"{path}/checkpoint", shape=lambda live: refresh.observed(live, rows.columns))
     exact = profile_columns(rows).select("column_name", F.col("distinct_count").alias("exact"))
     done = refresh.merged_profile(spark, f"{path}/out", 2).join(exact, "column_name")
     close = F.abs(F.col("distinct_count") - F.col("exact")) <= F.col("exact") * 0.05

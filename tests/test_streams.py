@@ -135,3 +135,19 @@ def test_rules_that_need_other_rows_are_refused(spark):
     rules = DOMAINS["orders"](as_of="2024-01-01").rules
     with pytest.raises(ValueError, match="PK_VIOLATION"):
         K.clean_stream(spark.range(1), rules, {})
+
+
+def test_a_part_arrives_in_many_files(spark, tmp_path):
+    """A part is one batch, but neither written nor read by a single task; an empty part is a batch too."""
+    from burnish.registry.streams import in_order
+
+    df = spark.range(0, 900, numPartitions=6).selectExpr("id", "CASE WHEN id % 2 = 0 THEN 0 ELSE 2 END AS part")
+    seen = {}
+
+    def handler(batch, batch_id):
+        seen[batch_id] = (batch.count(), batch.agg(F.min("part"), F.max("part")).first(), len(batch.inputFiles()))
+
+    in_order(df, str(tmp_path / "in"), "part", handler, str(tmp_path / "cp"))
+    assert {k: v[:2] for k, v in seen.items()} == {0: (450, (0, 0)), 1: (0, (None, None)), 2: (450, (2, 2))}
+    files = [r[0] for r in spark.read.parquet(str(tmp_path / "in")).groupBy(F.input_file_name()).count().select("count").collect()]
+    assert len(files) >= 8 and max(files) <= 150
