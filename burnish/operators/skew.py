@@ -22,6 +22,8 @@ BROADCAST_TEXT_BYTES = 32 << 20
 # are fewer than 1 / HOT_SHARE such keys, so the hot list always fits a broadcast.
 HOT_SHARE = 0.001
 SALTS = 64
+# Words of 64 bits that tell which rows a lookup of few keys may concern; they are broadcast.
+WORDS = BROADCAST_ROWS
 
 
 def is_small(df: DataFrame, max_rows: int | None = None) -> bool:
@@ -51,6 +53,7 @@ def attach(
     on: list[str],
     max_broadcast_rows: int | None = None,
     salts: int = SALTS,
+    few: bool = False,
 ) -> DataFrame:
     """Left join ``df`` to ``lookup`` (unique on ``on``), keeping every row of ``df``.
 
@@ -60,11 +63,38 @@ def attach(
     lookup rows are repeated.  The salt is a hash of the row's other columns, moved by the
     input partition number for exact copies, so a task run again after an executor loss
     salts the same way and input clustered by the key is spread all the same.
+
+    ``few`` says that most rows have no match.  Bits of the lookup's hashed keys are then broadcast,
+    rows whose bit is not set stay where they are, and only the others are joined by shuffle.
+    ``df`` is read twice for that.
     """
     added = [c for c in lookup.columns if c not in on]
     lookup = materialise(lookup, "lookup")
     if is_small(lookup, max_broadcast_rows):
         return df.join(F.broadcast(lookup), on, "left").select(*df.columns, *added)
+    if few and all(isinstance(df.schema[c].dataType, _HASHED) for c in on):
+        near, far = _split(df, lookup, on)
+        unmatched = [F.lit(None).cast(lookup.schema[c].dataType).alias(c) for c in added]
+        return _shuffled(near, lookup, on, added, salts).unionByName(far.select(*df.columns, *unmatched))
+    return _shuffled(df, lookup, on, added, salts)
+
+
+# Types of which equal values hash alike.
+_HASHED = (T.IntegralType, T.StringType, T.DateType)
+
+
+def _split(df: DataFrame, lookup: DataFrame, on: list[str]) -> tuple[DataFrame, DataFrame]:
+    """Rows that may have a match in ``lookup``, and rows that have none."""
+    hashed = F.xxhash64(*[F.col(f"`{c}`").cast(df.schema[c].dataType) for c in on])
+    word = F.pmod(hashed, F.lit(WORDS)).alias("_word")
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod(F.shiftright(hashed, 40), F.lit(64)).cast("int"))
+    words = materialise(lookup.select(word, bit.alias("_bit")).groupBy("_word").agg(F.bit_or("_bit").alias("_bits")), "words")
+    asked = df.withColumn("_word", word).join(F.broadcast(words), "_word", "left")
+    lit = F.coalesce(F.col("_bits").bitwiseAND(bit) != 0, F.lit(False))
+    return asked.filter(lit).select(*df.columns), asked.filter(~lit).select(*df.columns)
+
+
+def _shuffled(df: DataFrame, lookup: DataFrame, on: list[str], added: list[str], salts: int) -> DataFrame:
     hot = hot_keys(df, on)
     if not hot:
         return df.join(lookup, on, "left").select(*df.columns, *added)

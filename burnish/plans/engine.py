@@ -119,7 +119,8 @@ def mark_imbalances(df: DataFrame, balances: list[Balance], source: DataFrame |
     """Boolean marks on every row (in scope) of an imbalanced group.
 
     Balances over one key share one aggregation and one join back.  ``source`` is a
-    narrower frame with the same rows to sum over.
+    narrower frame with the same rows to sum over.  Imbalanced groups are taken to be few, so
+    only rows that may belong to one go through the shuffle of a large lookup.
     """
     for key in dict.fromkeys(b.key for b in balances):
         group = [b for b in balances if b.key == key]
@@ -130,7 +131,7 @@ def mark_imbalances(df: DataFrame, balances: list[Balance], source: DataFrame |
         ]
         off = [F.col(f"_off{i}") for i in range(len(group))]
         sums = (df if source is None else source).groupBy(key).agg(*gaps).filter(reduce(lambda x, y: x | y, [holds(o) for o in off]))
-        df = attach(df, sums, [key]).withColumns(
+        df = attach(df, sums, [key], few=True).withColumns(
             {b.mark: holds(o) & s for b, o, s in zip(group, off, scopes)}
         ).drop(*[f"_off{i}" for i in range(len(group))])
     return df
@@ -180,8 +181,11 @@ class Deletion:
     by_key: bool
 
 
-def surviving_rows(df: DataFrame, rules: list[Rule], order_by: list[str]) -> tuple[list[Deletion], DataFrame]:
-    """Deletion steps and what is left: rows without a key, extra copies, impossible rows."""
+def surviving_rows(df: DataFrame, rules: list[Rule], order_by: list[str], store: bool = False) -> tuple[list[Deletion], DataFrame]:
+    """Deletion steps and what is left: rows without a key, extra copies, impossible rows.
+
+    ``store`` writes the first rows per key, so that whatever reads them later shuffles nothing again.
+    """
     missing = [r for r in rules if r.stage == "key" and r.action != "DELETE_DUPLICATES"]
     copies = [r for r in rules if r.stage == "key" and r.action == "DELETE_DUPLICATES"]
     impossible = [r for r in rules if r.stage == "impossible"]
@@ -193,6 +197,7 @@ def surviving_rows(df: DataFrame, rules: list[Rule], order_by: list[str]) -> tup
         steps.append(Deletion(df, group, by_key))
         if by_key:
             df = dedupe_first(df, list(group[0].keys), order_by)
+            df = materialise(df, "kept") if store else df
         else:
             gone = reduce(lambda a, b: a | b, [holds(F.expr(r.when)) for r in group])
             df = df.filter(~gone)
@@ -218,18 +223,19 @@ def clean(
     is the table's own surviving rows.
 
     Statistics, own-table masters and group sums read few columns, but each needs the
-    surviving rows.  Those columns are deduplicated and stored once (``slim_copy``),
-    so the wide rows are shuffled only for the result itself.
+    surviving rows.  If there are any and a rule deletes copies, the first rows per key are
+    stored once, and statistics and result read from there; without such a rule only the
+    columns needed are stored (``slim_copy``).
 
     ``spellings`` holds a dictionary per column, (column, canonical); it is joined before the
     text rules, which find a value's canonical form (NULL if it has none) in ``SPELLED``.
     """
     flag_only = mode == "flag_only"
-    steps, survivors = ([], df) if flag_only else surviving_rows(df, rules, order_by)
     wanted = [] if stats is not None else [s for r in rules for s in r.stats]
-    slim = survivors
     columns = slim_columns(df.columns, rules, wanted, references, balances)
-    if slim_copy and columns:
+    steps, survivors = ([], df) if flag_only else surviving_rows(df, rules, order_by, store=slim_copy and bool(columns))
+    slim = survivors
+    if slim_copy and columns and not any(s.by_key for s in steps):
         slim = materialise(survivors.select(*[c for c in df.columns if c in columns]), "slim")
     if stats is None:
         stats = compute_stats(slim, wanted)

@@ -266,3 +266,29 @@ def test_classes_do_not_follow_size(spark, rows):
     df = spark.range(rows).selectExpr("concat('note ', CAST(id AS STRING)) AS note", "'x' AS status")
     got = {r["column_name"]: r["column_class"] for r in classify_columns(profile_columns(df)).collect()}
     assert got == {"note": "TEXT", "status": "CATEGORY"}
+
+
+def test_few_matches_leave_the_other_rows_in_place(spark):
+    """Rows that cannot have a match in a large lookup are not shuffled; results are those of a plain join."""
+    df = spark.range(0, 20_000, numPartitions=4).selectExpr("CASE WHEN id % 11 = 0 THEN NULL WHEN id % 3 = 0 THEN 7 ELSE id % 5000 - 2500 END AS k", "id AS v")
+    lookup = df.filter("k % 50 = 7").groupBy("k").agg(F.count(F.lit(1)).alias("n"))
+    out = skew.attach(df, lookup, ["k"], max_broadcast_rows=0, few=True)
+    plain = skew.attach(df, lookup, ["k"])
+    assert out.columns == plain.columns and out.count() == 20_000 and out.exceptAll(plain).isEmpty()
+    near, far = skew._split(df, materialise(lookup, "l"), ["k"])
+    assert far.count() > 12_000 and near.join(lookup, "k", "left_semi").count() == df.join(lookup, "k", "left_semi").count()
+    assert "hashpartitioning" not in far._jdf.queryExecution().executedPlan().toString()
+
+
+def test_copies_are_removed_once(spark):
+    """Statistics and result read the stored first rows; the window over the wide rows runs once."""
+    from burnish.plans.domains import DOMAINS
+
+    df = spark.range(400).selectExpr(
+        "concat('t', id % 300) AS transaction_id", "id % 40 AS journal_entry_id", "TIMESTAMP_NTZ '2024-01-01' AS posting_date",
+        "id * 1.5D AS debit_amount", "id * 1.5D + IF(id % 40 = 3, 1, 0) AS credit_amount", "1 AS intercompany_flag",
+    )
+    done = clean(df, [r for r in DOMAINS["ledger"]().rules if r.stage == "key" or r.name in ("JOURNAL_BALANCE", "INTERCOMPANY")], ["posting_date"], balances=DOMAINS["ledger"]().balances)
+    assert "Window" not in done.frame._jdf.queryExecution().optimizedPlan().toString()
+    assert done.frame.count() == 300
+    assert {r[0] for r in done.frame.filter("journal_entry_id_flag IS NOT NULL").select("journal_entry_id").distinct().collect()} == {3}
