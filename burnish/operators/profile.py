@@ -29,8 +29,9 @@ def profile_columns(df: DataFrame, cols: list[str] | None = None, approx: bool =
     """Type, null count, null percentage and distinct count per column.
 
     Exact distincts come from counting each (column, value) once, map-side combined,
-    instead of one wide Expand over all columns.  A value travels as a 128-bit hash, so a
-    unique text column shuffles two numbers a row and not its texts.  ``approx`` uses
+    instead of one wide Expand over all columns.  An integer travels as it is, any
+    other value as a 128-bit hash, so a unique text column shuffles two numbers a row and
+    not its texts.  ``approx`` uses
     sketches in a single aggregation without that shuffle and adds a sketched median.
     """
     cols = cols or df.columns
@@ -41,6 +42,8 @@ def profile_columns(df: DataFrame, cols: list[str] | None = None, approx: bool =
         value = F.col(f"`{c}`")
         if "map<" in df.schema[c].dataType.simpleString():
             value = value.cast("string")
+        if isinstance(df.schema[c].dataType, T.IntegralType):
+            return F.struct(F.lit(i).alias("i"), value.cast("bigint").alias("a"), F.lit(None).cast("bigint").alias("b"))
         known = value.isNotNull()
         return F.struct(
             F.lit(i).alias("i"), F.when(known, F.xxhash64(value)).alias("a"), F.when(known, F.xxhash64(F.lit(1), value)).alias("b")

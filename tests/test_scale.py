@@ -292,3 +292,13 @@ def test_copies_are_removed_once(spark):
     assert "Window" not in done.frame._jdf.queryExecution().optimizedPlan().toString()
     assert done.frame.count() == 300
     assert {r[0] for r in done.frame.filter("journal_entry_id_flag IS NOT NULL").select("journal_entry_id").distinct().collect()} == {3}
+
+
+def test_integers_are_counted_as_they_are(spark):
+    """An integer is its own cell and needs no hashes; equal numbers of other types stay one value."""
+    rows = [(1, -0.0, 1.5, "a", True), (2, 0.0, 2.5, "a", None), (2**60 + 1, float("nan"), None, "b", True), (2**60, float("nan"), 1.5, None, True)]
+    odd = spark.createDataFrame(rows, "w bigint, x double, y float, t string, f boolean")
+    got = {r["column_name"]: (r["total_rows"], r["null_count"], r["distinct_count"]) for r in profile_columns(odd).collect()}
+    assert got == {"w": (4, 0, 4), "x": (4, 0, 2), "y": (4, 1, 2), "t": (4, 1, 2), "f": (4, 1, 1)}
+    plan = profile_columns(odd.select("w"))._jdf.queryExecution().optimizedPlan().toString()
+    assert "xxhash64" not in plan
