@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from burnish.operators.skew import attach
+from burnish.operators.skew import _split, attach, hashable
+from burnish.session import materialise
 
 
 def _first(df: DataFrame, keys: list[str], order: list) -> DataFrame:
@@ -38,6 +39,27 @@ def dedupe_latest(df: DataFrame, keys: list[str], date: str, order_by: list) ->
     return _first(df, keys, [F.col(date).desc_nulls_last(), *total_order(df, order_by)])
 
 
+def repeated_keys(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Keys that occur more than once (NULL like any other), with their rows ``_n``; stored."""
+    counted = df.groupBy(*[F.col(f"`{k}`") for k in keys]).agg(F.count(F.lit(1)).alias("_n"))
+    return materialise(counted.filter("_n > 1"), "repeated")
+
+
+def dedupe_rest(df: DataFrame, keys: list[str], order_by: list, repeated: DataFrame) -> DataFrame:
+    """``dedupe_first`` for a frame that is read several times: ``repeated`` are its repeated keys.
+
+    Rows whose key is sure to occur once stay where they are; only the others are ordered, and the
+    first of them stored.  The fewer keys repeat, the less is sorted, shuffled and written; if all do,
+    it is all rows once.  Keys that cannot be told apart by a hash are ordered and stored as a whole.
+    """
+    if repeated.isEmpty():
+        return df
+    if not hashable(df, keys):
+        return materialise(dedupe_first(df, keys, order_by), "kept")
+    shared, alone = _split(df, repeated, keys)
+    return alone.unionByName(materialise(dedupe_first(shared, keys, order_by), "kept"))
+
+
 def drop_null_key(df: DataFrame, key: str) -> DataFrame:
     return df.filter(F.col(key).isNotNull())
 

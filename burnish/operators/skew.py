@@ -22,8 +22,11 @@ BROADCAST_TEXT_BYTES = 32 << 20
 # are fewer than 1 / HOT_SHARE such keys, so the hot list always fits a broadcast.
 HOT_SHARE = 0.001
 SALTS = 64
-# Words of 64 bits that tell which rows a lookup of few keys may concern; they are broadcast.
-WORDS = BROADCAST_ROWS
+# Bits that tell which rows a lookup may concern are broadcast, in blocks of 512 words of 64 bits:
+# eight bits a key, and never more than 32 MB.
+BLOCK_WORDS = 512
+KEY_BITS = 8
+MAX_BLOCKS = 8_192
 
 
 def is_small(df: DataFrame, max_rows: int | None = None) -> bool:
@@ -72,26 +75,45 @@ def attach(
     lookup = materialise(lookup, "lookup")
     if is_small(lookup, max_broadcast_rows):
         return df.join(F.broadcast(lookup), on, "left").select(*df.columns, *added)
-    if few and all(isinstance(df.schema[c].dataType, _HASHED) for c in on):
+    if few and hashable(df, on):
         near, far = _split(df, lookup, on)
         unmatched = [F.lit(None).cast(lookup.schema[c].dataType).alias(c) for c in added]
         return _shuffled(near, lookup, on, added, salts).unionByName(far.select(*df.columns, *unmatched))
     return _shuffled(df, lookup, on, added, salts)
 
 
-# Types of which equal values hash alike.
-_HASHED = (T.IntegralType, T.StringType, T.DateType)
+# Types of which equal values hash alike (strings: only if they are compared byte by byte).
+_HASHED = (T.IntegralType, T.DateType, T.TimestampType, T.TimestampNTZType)
+
+
+def hashable(df: DataFrame, on: list[str]) -> bool:
+    """True when rows with equal ``on`` are sure to have equal hashes."""
+    kinds = [df.schema[c].dataType for c in on]
+    return all(isinstance(k, _HASHED) or (isinstance(k, T.StringType) and k.isUTF8BinaryCollation()) for k in kinds)
 
 
 def _split(df: DataFrame, lookup: DataFrame, on: list[str]) -> tuple[DataFrame, DataFrame]:
-    """Rows that may have a match in ``lookup``, and rows that have none."""
+    """Rows that may have a match in ``lookup``, and rows that have none.
+
+    With eight bits a key a ninth of the rows without a match is taken along; where ``lookup`` outgrows
+    the largest bitmap it is more, up to all rows.
+    """
+    blocks = min(MAX_BLOCKS, -(-max(lookup.count(), 1) * KEY_BITS // (BLOCK_WORDS * 64)))
     hashed = F.xxhash64(*[F.col(f"`{c}`").cast(df.schema[c].dataType) for c in on])
-    word = F.pmod(hashed, F.lit(WORDS)).alias("_word")
-    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod(F.shiftright(hashed, 40), F.lit(64)).cast("int"))
-    words = materialise(lookup.select(word, bit.alias("_bit")).groupBy("_word").agg(F.bit_or("_bit").alias("_bits")), "words")
-    asked = df.withColumn("_word", word).join(F.broadcast(words), "_word", "left")
-    lit = F.coalesce(F.col("_bits").bitwiseAND(bit) != 0, F.lit(False))
-    return asked.filter(lit).select(*df.columns), asked.filter(~lit).select(*df.columns)
+    block = F.pmod(hashed, F.lit(blocks))
+    place = F.pmod(F.shiftright(hashed, 32), F.lit(BLOCK_WORDS)).cast("int")
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod(F.shiftright(hashed, 48), F.lit(64)).cast("int"))
+    lit = lookup.select((block * BLOCK_WORDS + place).alias("_word"), bit.alias("_bit"))
+    dark = df.sparkSession.range(blocks * BLOCK_WORDS).select(F.col("id").alias("_word"), F.lit(0).cast("bigint").alias("_bit"))
+    words = lit.unionByName(dark).groupBy("_word").agg(F.bit_or("_bit").alias("_bits"))
+    # Every word of a block is there, so its place in the sorted list is its number.
+    listed = words.groupBy(F.floor(F.col("_word") / BLOCK_WORDS).alias("_block")).agg(
+        F.array_sort(F.collect_list(F.struct("_word", "_bits"))).alias("_words")
+    )
+    bitmap = materialise(listed.select("_block", F.col("_words._bits").alias("_words")), "bits")
+    asked = df.withColumn("_block", block).join(F.broadcast(bitmap), "_block", "left")
+    found = F.coalesce(F.get("_words", place).bitwiseAND(bit) != 0, F.lit(False))
+    return asked.filter(found).select(*df.columns), asked.filter(~found).select(*df.columns)
 
 
 def _shuffled(df: DataFrame, lookup: DataFrame, on: list[str], added: list[str], salts: int) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from burnish.functions.aggregates import pearson
 from burnish.functions.numbers import holds
-from burnish.operators.dedupe import dedupe_first, duplicate_rows
+from burnish.operators.dedupe import dedupe_first, dedupe_rest, duplicate_rows, repeated_keys
 from burnish.operators.profile import modes
 from burnish.operators.quantiles import Quantile, exact_quantiles
 from burnish.operators.skew import attach
@@ -161,6 +161,11 @@ class Cleaned:
         self.observed = seen.get
         return stored
 
+    def repeated(self, keys: tuple[str, ...]) -> DataFrame | None:
+        """Keys of the raw table that have copies, with their rows ``_n``, if a rule over ``keys`` counted them there."""
+        first = self.steps[0] if self.steps else None
+        return first.repeated if first is not None and first.by_key and first.rules[0].keys == keys else None
+
     def audit(self) -> DataFrame:
         """One row per rule: matched, deleted, cells really changed."""
         return audit_frame(self)
@@ -179,12 +184,14 @@ class Deletion:
     before: DataFrame
     rules: list[Rule]
     by_key: bool
+    repeated: DataFrame | None = None  # stored keys with more than one row, if they were counted
 
 
 def surviving_rows(df: DataFrame, rules: list[Rule], order_by: list[str], store: bool = False) -> tuple[list[Deletion], DataFrame]:
     """Deletion steps and what is left: rows without a key, extra copies, impossible rows.
 
-    ``store`` writes the first rows per key, so that whatever reads them later shuffles nothing again.
+    ``store`` counts rows per key first and writes the keys with copies and their first rows, so that
+    rows without a copy are not shuffled, and whatever reads the result later shuffles nothing again.
     """
     missing = [r for r in rules if r.stage == "key" and r.action != "DELETE_DUPLICATES"]
     copies = [r for r in rules if r.stage == "key" and r.action == "DELETE_DUPLICATES"]
@@ -194,10 +201,11 @@ def surviving_rows(df: DataFrame, rules: list[Rule], order_by: list[str], store:
         if not group:
             continue
         by_key = group[0].action == "DELETE_DUPLICATES"
-        steps.append(Deletion(df, group, by_key))
+        keys = list(group[0].keys)
+        repeated = repeated_keys(df, keys) if by_key and store else None
+        steps.append(Deletion(df, group, by_key, repeated))
         if by_key:
-            df = dedupe_first(df, list(group[0].keys), order_by)
-            df = materialise(df, "kept") if store else df
+            df = dedupe_first(df, keys, order_by) if repeated is None else dedupe_rest(df, keys, order_by, repeated)
         else:
             gone = reduce(lambda a, b: a | b, [holds(F.expr(r.when)) for r in group])
             df = df.filter(~gone)
@@ -223,9 +231,9 @@ def clean(
     is the table's own surviving rows.
 
     Statistics, own-table masters and group sums read few columns, but each needs the
-    surviving rows.  If there are any and a rule deletes copies, the first rows per key are
-    stored once, and statistics and result read from there; without such a rule only the
-    columns needed are stored (``slim_copy``).
+    surviving rows.  If a rule deletes copies, the keys that have some and their first rows are
+    stored once, and statistics and result read these and the other rows of ``df``; without such a
+    rule only the columns needed are stored (``slim_copy``).
 
     ``spellings`` holds a dictionary per column, (column, canonical); it is joined before the
     text rules, which find a value's canonical form (NULL if it has none) in ``SPELLED``.
@@ -233,7 +241,7 @@ def clean(
     flag_only = mode == "flag_only"
     wanted = [] if stats is not None else [s for r in rules for s in r.stats]
     columns = slim_columns(df.columns, rules, wanted, references, balances)
-    steps, survivors = ([], df) if flag_only else surviving_rows(df, rules, order_by, store=slim_copy and bool(columns))
+    steps, survivors = ([], df) if flag_only else surviving_rows(df, rules, order_by, store=slim_copy)
     slim = survivors
     if slim_copy and columns and not any(s.by_key for s in steps):
         slim = materialise(survivors.select(*[c for c in df.columns if c in columns]), "slim")
@@ -347,11 +355,10 @@ def audit_frame(result: Cleaned) -> DataFrame:
     for step in result.steps:
         if step.by_key:
             (rule,) = step.rules
-            copies = (
-                step.before.groupBy(*rule.keys)
-                .agg(F.count(F.lit(1)).alias("n"))
-                .agg(F.coalesce(F.sum(F.col("n") - 1), zero).alias("copies"))
-            )
+            counted = step.repeated
+            if counted is None:
+                counted = step.before.groupBy(*rule.keys).agg(F.count(F.lit(1)).alias("_n"))
+            copies = counted.agg(F.coalesce(F.sum(F.col("_n") - 1), zero).alias("copies"))
             entry = (result.rules.index(rule), rule, F.col("copies"), F.col("copies"), zero)
             pieces.append(rows(copies, [entry]))
             continue

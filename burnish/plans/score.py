@@ -119,12 +119,20 @@ def measure_layer(
     masters: dict[str, DataFrame] | None = None,
     weights: dict[str, float] | None = None,
     scale: str = "framework",
+    repeated: DataFrame | None = None,
 ) -> Measured:
-    """Score, issues and affected rows of a layer: marked once, aggregated once, stored as one row."""
+    """Score, issues and affected rows of a layer: marked once, aggregated once, stored as one row.
+
+    ``repeated`` holds the layer's keys that occur more than once, with their rows ``_n``, if they were counted before.
+    """
     marked = with_marks(df, domain, masters)
     checks = [c for c in domain.checks if c.column in marked.columns]
     counted = marked.agg(*_passing(marked, checks), *issue_counts(checks), affected_count(checks))
-    unique = uniqueness(df, list(domain.key)).select("uniqueness").scalar()
+    if repeated is None:
+        unique = uniqueness(df, list(domain.key)).select("uniqueness").scalar()
+    else:
+        shared = repeated.agg(F.coalesce(F.sum("_n"), F.lit(0))).scalar()
+        unique = F.try_divide((F.col("total_rows") - shared) * 100, F.col("total_rows"))
     counted = materialise(counted.withColumn("_unique", unique), "measured")
     return Measured(
         overall_score(_dimensions(counted, F.col("_unique")), weights, scale),

@@ -122,8 +122,10 @@ def table_scores(spark, sf_dir, name: str) -> DataFrame:
     """Raw and cleaned score rows; the cleaned table is written once and scored from there."""
     d = domain(name)
     df = raw(spark, sf_dir, name)
-    done = materialise(d.clean(df).frame, f"clean-{name}")
-    return S.score_layers({"raw": S.measure_layer(df, d).scores, "cleaned": S.measure_layer(done, d).scores}, name)
+    result = d.clean(df)
+    done = materialise(result.frame, f"clean-{name}")
+    before = S.measure_layer(df, d, repeated=result.repeated(d.key))
+    return S.score_layers({"raw": before.scores, "cleaned": S.measure_layer(done, d).scores}, name)
 
 
 def all_scores(spark, sf_dir) -> DataFrame:

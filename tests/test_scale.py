@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from burnish.operators import quantiles as Q
-from burnish.operators import skew
+from burnish.operators import dedupe, skew
 from burnish.operators import actions, inject
 from burnish.operators.actions import flag_group, impute_group_median
 from burnish.operators.compare import cell_diff
@@ -302,3 +302,54 @@ def test_integers_are_counted_as_they_are(spark):
     assert got == {"w": (4, 0, 4), "x": (4, 0, 2), "y": (4, 1, 2), "t": (4, 1, 2), "f": (4, 1, 1)}
     plan = profile_columns(odd.select("w"))._jdf.queryExecution().optimizedPlan().toString()
     assert "xxhash64" not in plan
+
+
+def test_only_repeated_keys_are_ordered(spark):
+    """Rows whose key occurs once stay in place; the result is that of the window over all rows."""
+    df = spark.range(0, 40_000, numPartitions=4).selectExpr(
+        "CASE WHEN id % 1000 = 7 THEN NULL WHEN id % 50 = 3 THEN concat('k', id - 3) ELSE concat('k', id) END AS k", "id % 3 = 0 AS f", "-id AS o"
+    )
+    repeated = dedupe.repeated_keys(df, ["k"])
+    assert {r["_n"] for r in repeated.collect()} == {2, 40} and repeated.filter("k IS NULL").first()["_n"] == 40
+    out = dedupe.dedupe_rest(df, ["k"], ["o"], repeated)
+    want = dedupe_first(df, ["k"], ["o"])
+    assert out.count() == want.count() and out.exceptAll(want).isEmpty()
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "hashpartitioning" not in plan
+    shared, alone = skew._split(df, repeated, ["k"])
+    assert alone.count() > 30_000 and shared.count() + alone.count() == 40_000
+    single = df.filter("o % 50 = -1")
+    assert dedupe.dedupe_rest(single, ["k"], ["o"], dedupe.repeated_keys(single, ["o"])) is single
+
+
+def test_keys_that_hash_differently_are_ordered_as_a_whole(spark):
+    """Zero and minus zero, or letters of a collation, are one key with different hashes."""
+    df = spark.createDataFrame([(0.0, "a", 1), (-0.0, "A", 2), (1.0, "b", 3)], "x double, t string collate UTF8_LCASE, o int")
+    for key in ("x", "t"):
+        out = dedupe.dedupe_rest(df, [key], ["o"], dedupe.repeated_keys(df, [key]))
+        assert sorted(r["o"] for r in out.collect()) == [1, 3]
+
+
+def test_cleaning_sorts_only_rows_with_copies(spark, tmp_path):
+    """What cleaning writes grows with the copies, and the audit and the raw score count the same ones."""
+    from burnish.plans.domains import DOMAINS
+    from burnish.plans.score import measure_layer
+
+    domain = DOMAINS["workforce"]("2024-01-01")
+    df = spark.range(20_000).selectExpr(
+        "id AS row_seq", "IF(id % 100 = 9, id - 9, id) AS employee_id", "CAST(NULL AS BIGINT) AS manager_id", "'x' AS department",
+        "concat('name ', id) AS full_name", "concat('n', id, '@x.org') AS email", "'active' AS employment_status", "1D AS base_salary", "CAST(id % 7 AS DOUBLE) AS perf_rating_2024",
+        "TIMESTAMP_NTZ '2020-01-01' AS hire_date", "CAST(NULL AS TIMESTAMP_NTZ) AS termination_date", "1D AS bonus_target",
+        "1D AS equity_grant", "9D AS total_comp", "9D AS salary_band_max", "1D AS pto_days_used", "1D AS pto_days_remaining",
+    )
+    df.write.parquet(f"{tmp_path}/w")
+    df = spark.read.parquet(f"{tmp_path}/w")
+    done = domain.clean(df)
+    kept = [f for f in done.frame.inputFiles() if "/kept-" in f]
+    assert kept and spark.read.parquet(*kept).count() < 4_000
+    assert done.frame.count() == 19_800
+    assert done.audit().filter("rule = 'PK_VIOLATION'").first()["rows_deleted"] == 200
+    known = done.repeated(domain.key)
+    assert known.count() == 200
+    counted, told = (measure_layer(df, domain, repeated=r).scores.collect() for r in (None, known))
+    assert counted == told
