@@ -77,6 +77,49 @@ def test_distrust_travels_along_a_long_chain(spark):
     assert all(got[f"h{i}"] == pytest.approx(0.15 * 0.85 ** (17 - i), rel=1e-9) for i in range(18))
 
 
+@pytest.mark.parametrize("few", [True, False])
+def test_a_round_is_one_join_and_ends_as_before(spark, monkeypatch, few):
+    """Ranks are read once a round, few steps need few writes, and both ways stop at the same even round of a plain loop."""
+    from burnish.operators import skew
+
+    joins, write = [], urls.materialise
+
+    def seen(df, name):
+        if name == "ranks":
+            joins.append(df._jdf.queryExecution().optimizedPlan().toString().count("Join Inner"))
+        return write(df, name)
+
+    monkeypatch.setattr(urls, "materialise", seen)
+    if not few:
+        monkeypatch.setattr(skew, "BROADCAST_ROWS", 0)
+    edges = [(f"h{i}", f"h{(i * 3 + k) % 9}", 1.0 + k) for i in range(9) for k in (1, 2) if i != (i * 3 + k) % 9] + [("h1", "leaf", 1.0), ("h1", "h2", 1.0)]
+    seeds = [(k, h, m, 0.1) for k in ("trust", "distrust") for h, m in [*((f"h{i}", float(i == 4)) for i in range(9)), ("alone", 0.5)]]
+    got = urls.propagate(spark.createDataFrame(edges, "src string, dst string, weight double"), spark.createDataFrame(seeds, "kind string, host string, mass double, even double"))
+    got = {(r.kind, r.host): (r.rank, r.even) for r in got.collect()}
+
+    flows = {"trust": edges, "distrust": [(d, s, w) for s, d, w in edges]}
+    new = {(k, h): [0.15 * m, 0.15 * e] for k, h, m, e in seeds}
+    ranks, turn, growth = {key: list(v) for key, v in new.items()}, 0, 1.0
+    while growth > urls.SETTLED or turn % 2:
+        moved = {}
+        for kind, flow in flows.items():
+            out = {s: sum(w for a, _, w in flow if a == s) for s, *_ in flow}
+            for s, d, w in flow:
+                if (kind, s) in new:
+                    at = moved.setdefault((kind, d), [0.0, 0.0])
+                    for i in (0, 1):
+                        at[i] += 0.85 * new[kind, s][i] * w / out[s]
+        new = moved
+        for key, v in new.items():
+            ranks[key] = [a + b for a, b in zip(ranks.get(key, [0.0, 0.0]), v)]
+        growth = max(a / b for key, v in new.items() for a, b in zip(v, ranks[key]) if b)
+        turn += 1
+    assert got.keys() == ranks.keys()
+    assert all(got[key] == pytest.approx(v, rel=1e-9) for key, v in ranks.items())
+    assert turn > 20 and sum(joins) <= turn + urls.FAR and max(joins) <= (urls.FAR if few else 2)
+    assert len(joins) <= (turn // 4 if few else turn // 2)
+
+
 def test_verdicts_of_hosts_without_rule(spark):
     """Ranks of a plain loop, run until nothing moves, give the same verdicts."""
     link = '<a href="https://{}/x">t</a>'
