@@ -5,6 +5,8 @@ of a language are collapsed first: a narrow pass over hashes (SHA-256) finds the
 occur more than once, their multiplicity in each source and one row to stand for them.
 Every distinct text is tokenised once, in Arrow batches; its term counts and document frequencies
 are added up within a task and weighted by the multiplicities.  Texts stay where they are read.
+A task passes on one row per language and term, with the list of its sources; the lists are dealt
+by term once, and opened only for terms that are kept.
 
 Pairs are evaluated sparsely.  With smoothed shares p and q, a pair's distance sums
 f = floor((p - q)^2 / (p + q)) over all kept terms of the language, but a term that one side
@@ -46,13 +48,24 @@ def _whole(docs: DataFrame) -> DataFrame:
     return rows.withColumn("h", F.unhex(F.sha2("text", 256)))
 
 
-def _tallies(kinds: list[tuple[str, str]], entries: int):
-    """Counts the terms of (keys.., text) rows; a task's tallies go out when they reach ``entries`` terms.
+def _words(batches, names: list[str]):
+    """(keys, words) of every row of (names.., text) that has words.
 
     In UTF-8 a term is a run of ASCII letters and of bytes from 128 on, so every other byte
     becomes a space, capitals their small letters, and the rest is a split.
     """
+    import pyarrow as pa
+
     table = bytes(x + 32 if 65 <= x <= 90 else x if 97 <= x <= 122 or x > 127 else 32 for x in range(256))
+    for batch in batches:
+        keys = zip(*[batch.column(n).to_pylist() for n in names])
+        for key, text in zip(keys, batch.column("text").cast(pa.binary())):
+            if words := text.as_py().translate(table).split():
+                yield key, words
+
+
+def _tallies(kinds: list[tuple[str, str]], entries: int):
+    """Counts the terms of (keys.., text) rows; a task's tallies go out when they reach ``entries`` terms."""
 
     def run(batches):
         from collections import Counter
@@ -60,45 +73,86 @@ def _tallies(kinds: list[tuple[str, str]], entries: int):
         import pyarrow as pa
 
         types = [pa.string() if t == "string" else pa.int64() for _, t in kinds]
-        names = [*[n for n, _ in kinds], "term", "n", "df"]
+        names = [n for n, _ in kinds]
         tallies, held = {}, 0
 
         def out():
-            for key, (n, df) in tallies.items():
+            for key, n in tallies.items():
                 terms = list(n)
                 for at in range(0, len(terms), 100_000):
                     some = terms[at : at + 100_000]
                     columns = [pa.repeat(pa.scalar(k, t), len(some)) for k, t in zip(key, types)]
                     columns.append(pa.array(some, pa.binary()).view(pa.string()))
-                    columns += [pa.array(map(c.__getitem__, some), pa.int64()) for c in (n, df)]
-                    yield pa.RecordBatch.from_arrays(columns, names)
-
-        for batch in batches:
-            keys = zip(*[batch.column(n).to_pylist() for n, _ in kinds])
-            for key, text in zip(keys, batch.column("text").cast(pa.binary())):
-                words = text.as_py().translate(table).split()
-                if not words:
-                    continue
-                n, df = tallies.setdefault(key, (Counter(), Counter()))
-                before = len(n)
-                n.update(words)
-                df.update(set(words))
-                held += len(n) - before
-                if held >= entries:
-                    yield from out()
-                    tallies, held = {}, 0
+                    columns.append(pa.array(map(n.__getitem__, some), pa.int64()))
+                    yield pa.RecordBatch.from_arrays(columns, [*names, "term", "tf"])
+
+        for key, words in _words(batches, names):
+            n = tallies.setdefault(key, Counter())
+            before = len(n)
+            n.update(words)
+            held += len(n) - before
+            if held >= entries:
+                yield from out()
+                tallies, held = {}, 0
+        yield from out()
+
+    return run
+
+
+def _lists(entries: int):
+    """Counts the terms of (lang, source, text) rows; a task's lists go out when they reach ``entries`` terms of sources."""
+
+    def run(batches):
+        from collections import Counter
+
+        import numpy as np
+        import pyarrow as pa
+
+        langs, held = {}, 0
+
+        def out():
+            for lang, (df, sources) in langs.items():
+                place = {term: at for at, term in enumerate(df)}
+                lengths = [len(n) for n in sources.values()]
+                at = np.concatenate([np.fromiter(map(place.__getitem__, n), np.int64, len(n)) for n in sources.values()])
+                order = np.argsort(at, kind="stable")
+                counts = np.concatenate([np.fromiter(n.values(), np.int64, len(n)) for n in sources.values()])[order]
+                names = pa.array(sources, pa.string()).take(pa.array(np.repeat(np.arange(len(lengths)), lengths)[order]))
+                ends = np.concatenate([[0], np.cumsum(np.bincount(at, minlength=len(df)))])
+                lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.StructArray.from_arrays([names, pa.array(counts)], ["source", "n"]))
+                columns = [pa.array(df, pa.binary()).view(pa.string()), pa.array(np.add.reduceat(counts, ends[:-1])), pa.array(df.values(), pa.int64()), lists]
+                whole = pa.RecordBatch.from_arrays([pa.repeat(pa.scalar(lang, pa.string()), len(df)), *columns], ["lang", "term", "n", "df", "counts"])
+                for start in range(0, len(df), 10_000):
+                    yield whole.slice(start, 10_000)
+
+        for (lang, source), words in _words(batches, ["lang", "source"]):
+            df, sources = langs.setdefault(lang, (Counter(), {}))
+            n = sources.setdefault(source, Counter())
+            before = len(n)
+            n.update(words)
+            df.update(set(words))
+            held += len(n) - before
+            if held >= entries:
+                yield from out()
+                langs, held = {}, 0
         yield from out()
 
     return run
 
 
 def _tallied(texts: DataFrame, keys: list[str]) -> DataFrame:
-    """(keys.., text) -> (keys.., term, n, df): tokens and texts with the term, added up within a task."""
+    """(keys.., text) -> (keys.., term, tf): tokens, added up within a task."""
     kinds = [(k, dict(texts.dtypes)[k]) for k in keys]
-    schema = ", ".join(f"{k} {t}" for k, t in [*kinds, ("term", "string"), ("n", "bigint"), ("df", "bigint")])
+    schema = ", ".join(f"{k} {t}" for k, t in [*kinds, ("term", "string"), ("tf", "bigint")])
     return small_batches(texts.select(*keys, "text")).mapInArrow(_tallies(kinds, TALLY_ENTRIES), schema)
 
 
+def _listed(texts: DataFrame) -> DataFrame:
+    """(lang, source, text) -> (lang, term, n, df, counts): tokens, texts with the term and tokens of each source, added up within a task."""
+    schema = "lang string, term string, n bigint, df bigint, counts array<struct<source: string, n: bigint>>"
+    return small_batches(texts.select("lang", "source", "text")).mapInArrow(_lists(TALLY_ENTRIES), schema)
+
+
 def collapse(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
     """(once, several, weights, groups).
 
@@ -137,23 +191,27 @@ def term_counts(docs: DataFrame, least_docs: int = LEAST_DOCS) -> tuple[DataFram
     ``first`` is 1 on one row of each (lang, term).
     """
     once, several, weights, groups = collapse(docs)
-    single = _tallied(once, ["lang", "source"])
-    copied = _tallied(several, ["lang", "number", "parts"]).drop("df").withColumnRenamed("n", "tf")
+    copied = _tallied(several, ["lang", "number", "parts"])
     copied = copied.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1))).drop("parts")
     dealt = weights.select("number", "source", F.col("n").alias("copies"), F.pmod(F.xxhash64("source"), F.col("parts")).alias("part"))
-    copied = copied.join(dealt, ["number", "part"]).select("lang", "source", "term", (F.col("tf") * F.col("copies")).alias("n"), F.col("copies").alias("df"))
-    counts = single.unionByName(copied).groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("df").alias("df"))
-    same = Window.partitionBy("lang", "term")
-    counts = counts.select(
+    copied = copied.join(dealt, ["number", "part"]).select("lang", "source", "term", (F.col("tf") * F.col("copies")).alias("n"), "copies")
+    copied = copied.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("copies").alias("df"))
+    lists = _listed(once).unionByName(copied.select("lang", "term", "n", "df", F.array(F.struct("source", "n")).alias("counts")))
+    same = Window.partitionBy("lang", "term").orderBy("df")
+    every = same.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    lists = lists.select(
         "lang",
-        "source",
         "term",
-        "n",
-        F.sum("n").over(same).alias("lang_n"),
-        F.sum("df").over(same).alias("lang_df"),
-        (F.row_number().over(same.orderBy("source")) == 1).cast("int").alias("first"),
+        "counts",
+        F.sum("n").over(every).alias("lang_n"),
+        F.sum("df").over(every).alias("lang_df"),
+        (F.row_number().over(same) == 1).alias("head"),
     )
-    return materialise(counts.filter(F.col("lang_df") >= least_docs).drop("lang_df"), "divergence-counts"), groups
+    counts = lists.filter(F.col("lang_df") >= least_docs).select("lang", "term", "lang_n", "head", F.posexplode("counts").alias("at", "c"))
+    first = F.max((F.col("head") & (F.col("at") == 0)).cast("int")).alias("first")
+    # Rows of a term are together already, so this moves none.
+    counts = counts.groupBy("lang", F.col("c.source").alias("source"), "term", "lang_n").agg(F.sum("c.n").alias("n"), first)
+    return materialise(counts.select("lang", "source", "term", "n", "lang_n", "first"), "divergence-counts"), groups
 
 
 def share(n: str, total: str, kept: str) -> Column:

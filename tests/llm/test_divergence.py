@@ -108,6 +108,27 @@ def test_distinct_texts_are_read_once(spark):
     assert groups.count() == len({(lang or "", s or "") for _, _, lang, s in data})
 
 
+def test_a_task_passes_on_one_row_per_term(spark, monkeypatch):
+    """Twenty sources with the same words make no twenty rows of a word, and the lists are dealt out once, by term."""
+    data = [(i, f"alpha Beta beta w{'x' * (i % 5)} {'abcdefghij'[i % 10] * (i // 10 + 1)}", "en", f"s{i % 20}") for i in range(100)]
+    moved, write = [], divergence.materialise
+
+    def seen(df, name):
+        if name == "divergence-counts":
+            plan = df._jdf.queryExecution().executedPlan()
+            moved.extend(re.findall(r"Exchange hashpartitioning\((.*?), \d+\)", re.split(r"[+:]- Union", plan.toString())[0]))
+        return write(df, name)
+
+    monkeypatch.setattr(divergence, "materialise", seen)
+    counts, _ = divergence.term_counts(frame(spark, data))
+    assert [re.sub(r"#\d+", "", by) for by in moved] == ["lang, term"]
+    assert counts.filter("first = 1").count() == counts.select("term").distinct().count()
+    found = divergence._listed(frame(spark, data).coalesce(1).select("lang", "source", "text")).collect()
+    assert len(found) == len({r.term for r in found})
+    assert {r.term: (r.n, r.df, len(r.counts)) for r in found}["beta"] == (200, 100, 20)
+    assert all(r.n == sum(c.n for c in r.counts) and len(r.counts) == len({c.source for c in r.counts}) for r in found)
+
+
 @pytest.mark.parametrize("share", [1, 3])
 def test_hot_text_and_source(spark, share):
     data = [(i, "hot copy of one text" if i % 3 < share else f"text {i} of word{i % 11}", "en", "hot" if i % 2 else f"s{i % 9}") for i in range(1_500)]
