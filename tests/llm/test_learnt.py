@@ -160,6 +160,72 @@ def test_lists_cut_short_are_searched_exactly(spark):
     assert found.groupBy("query_id").count().filter("count <> 20").count() == 0
 
 
+def test_ratio_is_measured_on_neighbours_in_the_whole_table(spark, monkeypatch):
+    """Neighbours among the sample alone are farther away, and sample vectors lie nearer to their list: nearly all lists were read."""
+    monkeypatch.setattr(ann, "SAMPLE", 600)
+    monkeypatch.setattr(ann, "SHARD_BYTES", 100_000)
+    built = []
+    build = ann.build
+    monkeypatch.setattr(ann, "build", lambda *a, **b: built.append(build(*a, **b)) or built[-1])
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(8_000, 24)).astype(np.float32)
+    x[4_000:4_020] = x[7]  # copies
+    data = [(i, [float(y) for y in v]) for i, v in enumerate(x)]
+    df = spark.createDataFrame(data, "vec_id long, embedding array<float>")
+    got = {}
+    for r in ann.search(df, F.col("vec_id") % 20 == 0, k=10, lists=80).collect():
+        got.setdefault(r.query_id, []).append((r.rank, r.vec_id, r.score))
+    assert set(got) == set(range(0, 8_000, 20))
+    scores = x[::20].astype(np.float64) @ x.astype(np.float64).T
+    scores[np.arange(400), np.arange(0, 8_000, 20)] = -np.inf
+    ids = np.broadcast_to(np.arange(8_000), scores.shape)
+    want = np.lexsort((ids, -scores))[:, :10]
+    for q, rows in got.items():
+        assert [r[0] for r in sorted(rows)] == list(range(1, 11))
+        assert [(-r[2], r[1]) for r in sorted(rows)] == sorted((-r[2], r[1]) for r in rows)
+        assert np.allclose([r[2] for r in rows], [scores[q // 20, r[1]] for r in rows], rtol=0, atol=1e-9)
+    assert np.mean([len({r[1] for r in got[20 * i]} & set(w.tolist())) / 10 for i, w in enumerate(want)]) >= 0.95
+    gaps = np.sqrt(ann._gaps(ann._aim(x[::20], built[0]["longest"]), built[0]["centres"]))
+    assert (gaps <= built[0]["ratio"] * gaps.min(axis=1, keepdims=True)).mean() < 0.8
+
+
+@pytest.mark.parametrize("kind, scale", [(np.float32, 1.0), (np.float64, 1.0), (np.float64, 1e200), (np.float64, 1e-200), (np.float32, 1e37)])
+def test_products_in_single_precision_leave_out_none_of_the_best(monkeypatch, kind, scale):
+    monkeypatch.setattr(ann, "PENDING", 3)
+    rng = np.random.default_rng(10)
+    x = np.concatenate((rng.normal(size=(600, 12)), rng.integers(-1, 2, (600, 12)) + 1e-9 * rng.normal(size=(600, 12))))
+    x = (x * scale).astype(kind)
+    counts = rng.integers(1, 4, len(x))
+    lists = np.concatenate([rng.choice(9, n, replace=False) for n in counts]).astype(np.int32)
+    held = [set(y.tolist()) for y in np.split(lists, np.cumsum(counts)[:-1])]
+    cids = rng.permutation(len(x)) + 5
+    shard = ann._Shard(cids, x, counts, lists)
+    queries = np.concatenate((rng.normal(size=(20, 12)), rng.integers(-1, 2, (20, 12)) + 0.5)).astype(kind)
+    read = rng.random((9, 40)) < 0.4
+    read[:, 3] = False
+    place, cid, score = shard.best(queries, read, 7, 50)
+    for q in range(40):
+        can = [i for i in range(len(x)) if any(read[j, q] for j in held[i])]
+        true = np.einsum("ij,ij->i", np.broadcast_to(queries[q].astype(np.float64), x[can].shape), x[can].astype(np.float64)) if can else []
+        best = sorted(zip(-np.asarray(true), cids[can]))[:7]
+        assert [(s, c) for s, c in zip(-score[place == q], cid[place == q])] == best
+
+
+def test_few_queries_are_searched_where_the_rows_lie(spark, monkeypatch):
+    data = [(i, [float(i % 7), 1.0 + i % 3]) for i in range(50)]
+    rows = spark.createDataFrame(data, "cid long, v array<float>").repartition(4)
+    asked = rows.filter("cid < 4").selectExpr("cid AS query_id", "v AS q", "cid")
+    want = exact(data, 60)
+    found = []
+    for few in (4, 3):  # in place, and by shards
+        monkeypatch.setattr(ann, "FEW", few)
+        found.append(sorted(map(tuple, ann._exact(rows, asked, {"n": 50, "d": 2}, 6, 5).collect())))
+    assert found[0] == found[1] and len(found[0]) == 24
+    for q in range(4):
+        all_rows = sorted([*want[q], (q, float(np.dot(data[q][1], data[q][1])))], key=lambda x: (-x[1], x[0]))[:6]
+        assert sorted((c, s) for i, c, s in found[0] if i == q) == sorted(all_rows)
+
+
 def test_centroid_graph_finds_the_nearest_lists():
     rng = np.random.default_rng(6)
     index = ann.build(rng.normal(size=(4000, 16)).astype(np.float32), 100, 10.0, 10)
