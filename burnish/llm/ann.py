@@ -57,6 +57,7 @@ SHARD_BYTES = 128 << 20  # vectors that a task holds
 ASKED = 1_000_000  # queries that pass through a task, at most
 TURN = 4_000  # queries that a task scores at once
 WORK = 50_000_000  # pairs of a query and a row, below which a task is not worth another
+EACH = 20  # vectors that are moved in the time a query takes in a shard, however small
 PENDING = 30  # rows of a query that wait to be ranked, about
 FEW = 500  # queries that are searched exactly where the rows lie
 _POINTS = 500  # points that walk the graph together
@@ -422,7 +423,7 @@ def _tiles(rows: int, asked: int, width: int, tasks: int) -> tuple[int, int]:
     least, parts = max(1, -(-rows * width // SHARD_BYTES)), max(1, -(-asked // ASKED))
     wanted = min(2 * tasks, rows * asked // WORK)
     tiles = [(max(least, -(-wanted // p)), p) for p in range(parts, max(parts, wanted) + 1)]
-    return min(tiles, key=lambda x: x[1] * rows + 2 * x[0] * asked)  # what is found in a shard takes about the room of a query
+    return min(tiles, key=lambda x: x[1] * rows + EACH * x[0] * asked)
 
 
 def _scored(listed: DataFrame, asked: DataFrame, size: dict, k: int, block: int, index=None) -> DataFrame:
@@ -469,7 +470,8 @@ def _nearest(distinct: DataFrame, asked: np.ndarray, k: int, without: np.ndarray
 
     def nearest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         asked, without = shared.value
-        cids, scores = np.zeros((len(asked), 0), np.int64), np.zeros((len(asked), 0))
+        query, cid, score = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+        least = np.full(len(asked), -np.inf)
         for batch in batches:
             ids = batch.column("cid").to_numpy()
             if not len(ids):
@@ -477,17 +479,16 @@ def _nearest(distinct: DataFrame, asked: np.ndarray, k: int, without: np.ndarray
             new = asked @ _matrix(batch.column("v")).T.astype(np.float64)
             if without is not None:
                 new[without[:, None] == ids] = -np.inf
-            if len(ids) > k:  # the k-th score and all above it; of its equals the smaller ids
-                least = -np.partition(-new, k - 1, axis=1)[:, k - 1 : k]
-                most = int((new >= least).sum(axis=1).max())
-                top = np.argpartition(-new, most - 1, axis=1)[:, :most]
-                ids, new = ids[top], np.take_along_axis(new, top, axis=1)
-            cids = np.concatenate((cids, np.broadcast_to(ids, new.shape)), axis=1)
-            scores = np.concatenate((scores, new), axis=1)
-            order = np.lexsort((cids, -scores))[:, :k]
-            cids, scores = np.take_along_axis(cids, order, axis=1), np.take_along_axis(scores, order, axis=1)
-        query, column = np.nonzero(scores > -np.inf)
-        yield pa.RecordBatch.from_arrays([pa.array(query, pa.int64()), pa.array(cids[query, column], pa.int64()), pa.array(scores[query, column], pa.float64())], names=["query", "cid", "score"])
+            bound = least
+            if len(ids) > k and np.isneginf(least).any():
+                bound = np.maximum(least, -np.partition(-new, k - 1, axis=1)[:, k - 1])
+            which, what = np.nonzero((new >= bound[:, None]) & (new > -np.inf))
+            query, cid, score = np.append(query, which), np.append(cid, ids[what]), np.append(score, new[which, what])
+            own = _ranked(query, cid, score, k)
+            query, cid, score = query[own], cid[own], score[own]
+            full = np.flatnonzero(np.bincount(query, minlength=len(asked)) == k)
+            least[full] = score[np.searchsorted(query, full) + k - 1]
+        yield pa.RecordBatch.from_arrays([pa.array(query, pa.int64()), pa.array(cid, pa.int64()), pa.array(score, pa.float64())], names=["query", "cid", "score"])
 
     near = distinct.select(F.col("cid").cast("long").alias("cid"), "v").mapInArrow(nearest, "query long, cid long, score double")
     by = Window.partitionBy("query").orderBy(F.col("score").desc(), "cid")
